@@ -176,3 +176,137 @@ u AS (SELECT doc_id, 'name' AS field, 'inferlink_name' AS source, n AS value FRO
       UNION ALL SELECT doc_id, 'state', 'inferlink_state', st FROM s)
 SELECT doc_id, field, source, value FROM u WHERE value IS NOT NULL AND value <> ''
 """
+
+
+# --- consolidation ------------------------------------------------------------
+
+WS = "[ \\t\\n\\x0B\\f\\r]"
+
+
+def strip_sql(e: str) -> str:
+    return f"regexp_replace({e}, '^{WS}+|{WS}+$', '', 'g')"
+
+
+def py_float_sql(e: str) -> str:
+    from fieldloom.functions.text import _PY_FLOAT
+    return f"(CASE WHEN regexp_matches({e}, {q(_PY_FLOAT)}) THEN TRY_CAST(trim({e}) AS DOUBLE) END)"
+
+
+def trunc_sql(e: str) -> str:
+    return f"(CASE WHEN NOT isnan({e}) AND abs({e}) < 9.2e18 THEN CAST(trunc({e}) AS BIGINT) END)"
+
+
+def py2_sql(e: str) -> str:
+    s = f"printf('%.12g', {e})"
+    return (f"(CASE WHEN isnan({e}) THEN 'nan' WHEN {e} = 'inf'::DOUBLE THEN 'inf' WHEN {e} = '-inf'::DOUBLE THEN '-inf' "
+            f"WHEN contains({s}, '.') OR contains({s}, 'e') THEN {s} ELSE {s} || '.0' END)")
+
+
+def title_case_sql(e: str) -> str:
+    parts = f"regexp_extract_all(lower({e}), '([\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+|[^\\p{{Lu}}\\p{{Ll}}\\p{{Lt}}]+)', 1)"
+    return f"array_to_string(list_transform({parts}, lambda s: upper(substring(s, 1, 1)) || substring(s, 2)), '')"
+
+
+EVENT_CANDIDATES = """
+ev AS (SELECT user_id AS doc_id,
+              CASE event_type WHEN 'view' THEN 'age' WHEN 'click' THEN 'weight' WHEN 'purchase' THEN 'name'
+                              WHEN 'signup' THEN 'title' ELSE 'price' END AS field,
+              CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id AS pos, value AS amount FROM events),
+cand AS (SELECT doc_id, field,
+                CASE WHEN k % 3 = 0 THEN 'relaxed' ELSE 'strict' END AS tier,
+                CASE WHEN k % 3 <> 0 THEN (CASE WHEN k % 2 = 0 THEN 1 ELSE 2 END)
+                     ELSE (CASE WHEN k % 2 = 0 THEN 6 ELSE 7 END) END AS pass_no,
+                pos,
+                CASE WHEN k % 2 = 0 THEN amount / 500.0 END AS probability,
+                CASE WHEN k % 2 = 0 THEN -amount / 500.0 ELSE 0.0 END AS rank,
+                CASE WHEN k >= 95 THEN TRUE END AS selected,
+                CASE field
+                  WHEN 'age' THEN (CASE WHEN k % 5 = 0 THEN CAST(k AS VARCHAR) || '-' || CAST(k + 5 AS VARCHAR)
+                                        ELSE CAST(k AS VARCHAR) END)
+                  WHEN 'weight' THEN CAST(CAST(floor(amount) AS BIGINT) AS VARCHAR)
+                       || (CASE k % 4 WHEN 0 THEN ' lbs' WHEN 1 THEN 'kg' WHEN 2 THEN '' ELSE ' kilos' END)
+                  WHEN 'name' THEN (CASE k % 3 WHEN 0 THEN 'mary-jane' WHEN 1 THEN 'o''neil' ELSE 'ann  lee' END)
+                       || ' ' || CAST(k % 4 AS VARCHAR)
+                  WHEN 'title' THEN 'Title ' || CAST(k % 5 AS VARCHAR)
+                  ELSE CAST(k AS VARCHAR) END AS value
+         FROM ev)
+"""
+
+ROUTED = """
+rs AS (SELECT *, row_number() OVER (PARTITION BY doc_id, field ORDER BY pass_no, rank, pos) AS rn
+       FROM cand WHERE tier = 'strict'),
+routed AS (SELECT doc_id, field, tier, pass_no, pos, probability, rank, selected, value,
+                  CASE WHEN selected IS NOT NULL OR probability >= 0.5 OR rn = 1 THEN 'strict' ELSE 'relaxed' END AS routed_tier
+           FROM rs
+           UNION ALL
+           SELECT doc_id, field, tier, pass_no, pos, probability, rank, selected, value, 'relaxed' FROM cand WHERE tier <> 'strict')
+"""
+
+ORACLE["route_strict_relaxed"] = f"WITH {EVENT_CANDIDATES}, {ROUTED} SELECT pos AS event_id, doc_id, field, routed_tier FROM routed"
+
+
+def _weight_sql() -> str:
+    x = f"lower({strip_sql('value')})"
+    lb = f"trim({x}, 's')"
+
+    def after(chars):
+        return trunc_sql(py_float_sql(f"trim({lb}, {q(chars)})"))
+    bare = trunc_sql(py_float_sql(x))
+    return f"""
+w1 AS (SELECT *, {x} AS wx, {lb} AS wlb FROM routed WHERE field = 'weight'),
+w2 AS (SELECT *, CASE WHEN wx LIKE '%st%' OR regexp_matches(value, '[^\\x00-\\x7F]') THEN NULL
+                      WHEN ends_with(wlb, 'lb') THEN {after('lb')} / 2.2
+                      WHEN ends_with(wlb, 'pound') THEN {after('pound')} / 2.2
+                      WHEN ends_with(wlb, 'kg') THEN CAST({after('kg')} AS DOUBLE)
+                      WHEN ends_with(wlb, 'kilo') THEN CAST({after('kilo')} AS DOUBLE)
+                      WHEN ends_with(wlb, 'kilogram') THEN CAST({after('kilogram')} AS DOUBLE)
+                      WHEN {bare} < 90 THEN CAST({bare} AS DOUBLE) ELSE {bare} / 2.2 END AS kg,
+                 NOT ends_with(wlb, 'lb') AND NOT ends_with(wlb, 'pound')
+                   AND (ends_with(wlb, 'kg') OR ends_with(wlb, 'kilo') OR ends_with(wlb, 'kilogram')) AS is_int
+          FROM w1),
+w3 AS (SELECT *, kg IS NOT NULL AND (kg = 0 OR {trunc_sql('kg')} BETWEEN 40 AND 150) AS ok,
+              CASE WHEN is_int THEN CAST(CAST(kg AS BIGINT) AS VARCHAR) ELSE {py2_sql('kg')} END AS wtext FROM w2),
+nw AS (SELECT doc_id, field, routed_tier, pass_no, rank, pos, ok,
+              CASE WHEN ok THEN wtext ELSE '' END AS key, CASE WHEN ok THEN wtext ELSE value END AS name,
+              CASE WHEN ok THEN kg END AS num,
+              CASE WHEN ok THEN wtext || ' ' || {py2_sql('kg * 2.20462')} END AS search FROM w3)
+"""
+
+
+def _age_sql() -> str:
+    head = strip_sql(f"split_part(lower({strip_sql('value')}), '-', 1)")
+    n = f"TRY_CAST(regexp_replace({head}, '[^0-9]+', '', 'g') AS BIGINT)"
+    return f"""
+a1 AS (SELECT *, {n} AS an FROM routed WHERE field = 'age'),
+na AS (SELECT doc_id, field, routed_tier, pass_no, rank, pos, (an IS NOT NULL AND an <> 0 AND an BETWEEN 18 AND 60) AS ok,
+              CASE WHEN an BETWEEN 18 AND 60 THEN CAST(an AS VARCHAR) ELSE '' END AS key,
+              CASE WHEN an BETWEEN 18 AND 60 THEN CAST(an AS VARCHAR) ELSE value END AS name,
+              CASE WHEN an BETWEEN 18 AND 60 THEN CAST(an AS DOUBLE) END AS num, CAST(NULL AS VARCHAR) AS search FROM a1)
+"""
+
+
+NORMALIZED = f"""
+{_weight_sql()},
+{_age_sql()},
+nn AS (SELECT doc_id, field, routed_tier, pass_no, rank, pos, TRUE AS ok,
+              {title_case_sql(f"regexp_replace(value, '{WS}+', ' ', 'g')")} AS key,
+              {title_case_sql(f"regexp_replace(value, '{WS}+', ' ', 'g')")} AS name,
+              CAST(NULL AS DOUBLE) AS num, CAST(NULL AS VARCHAR) AS search FROM routed WHERE field = 'name'),
+nt AS (SELECT doc_id, field, routed_tier, pass_no, rank, pos, TRUE AS ok, CAST(NULL AS VARCHAR) AS key, value AS name,
+              CAST(NULL AS DOUBLE) AS num, CAST(NULL AS VARCHAR) AS search FROM routed WHERE field = 'title'),
+np AS (SELECT doc_id, field, routed_tier, pass_no, rank, pos, FALSE AS ok, value AS key, value AS name,
+              CAST(NULL AS DOUBLE) AS num, CAST(NULL AS VARCHAR) AS search FROM routed WHERE field = 'price'),
+norm AS (SELECT * FROM nw UNION ALL SELECT * FROM na UNION ALL SELECT * FROM nn UNION ALL SELECT * FROM nt
+         UNION ALL SELECT * FROM np),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY doc_id, field, routed_tier, num IS NULL, num,
+                                                      CASE WHEN num IS NULL THEN name END
+                                        ORDER BY pass_no, rank, pos) AS dn FROM norm),
+fields AS (SELECT doc_id, field, routed_tier AS tier, pass_no, rank, pos, key, name, num, search
+           FROM ranked WHERE NOT ok OR dn = 1)
+"""
+
+ORACLE["consolidate_fields"] = f"""WITH {EVENT_CANDIDATES}, {ROUTED}, {NORMALIZED}
+SELECT doc_id, field, tier, pass_no, rank, pos, key, name, num, search FROM fields"""
+
+ORACLE["dedupe_fields"] = f"""WITH {EVENT_CANDIDATES}, {ROUTED}, {NORMALIZED}
+SELECT doc_id, field, tier, count(*) AS n_values, count(DISTINCT name) AS n_names FROM fields GROUP BY doc_id, field, tier"""

@@ -148,3 +148,60 @@ def site_pages(spark, sf_dir) -> DataFrame:
 @query
 def merge_site_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.site_field_mentions(site_pages(spark, sf_dir), ["doc_id"])
+
+
+# --- consolidation on events as candidates (G2-G13) ---------------------------
+
+def event_candidates(spark, sf_dir) -> DataFrame:
+    """Events shaped as candidates: ``user_id`` is the document, the event type
+    picks the field, ``props.k`` picks tier and pass, ``value / 500`` is the
+    span probability and ``event_id`` the arrival position."""
+    ev = T.load(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+    field = (F.when(F.col("event_type") == "view", "age").when(F.col("event_type") == "click", "weight")
+             .when(F.col("event_type") == "purchase", "name").when(F.col("event_type") == "signup", "title")
+             .otherwise("price"))
+    c = ev.select(F.col("user_id").alias("doc_id"), field.alias("field"), k.alias("k"),
+                  F.col("event_id").alias("pos"), F.col("value").alias("amount"))
+    tier = F.when(F.col("k") % 3 == 0, "relaxed").otherwise("strict")
+    span = F.col("k") % 2 == 0
+    pass_no = (F.when(tier == "strict", F.when(span, 1).otherwise(2))
+               .otherwise(F.when(span, 6).otherwise(7)))
+    probability = F.when(span, F.col("amount") / 500.0)
+    kk = F.col("k")
+    value = (F.when(F.col("field") == "age",
+                    F.when(kk % 5 == 0, F.concat(kk.cast("string"), F.lit("-"), (kk + 5).cast("string")))
+                    .otherwise(kk.cast("string")))
+             .when(F.col("field") == "weight",
+                   F.concat(F.floor("amount").cast("string"),
+                            F.when(kk % 4 == 0, " lbs").when(kk % 4 == 1, "kg").when(kk % 4 == 2, "").otherwise(" kilos")))
+             .when(F.col("field") == "name",
+                   F.concat(F.when(kk % 3 == 0, "mary-jane").when(kk % 3 == 1, "o'neil").otherwise("ann  lee"),
+                            F.lit(" "), (kk % 4).cast("string")))
+             .when(F.col("field") == "title", F.concat(F.lit("Title "), (kk % 5).cast("string")))
+             .otherwise(kk.cast("string")))
+    return c.select("doc_id", "field", tier.alias("tier"), pass_no.alias("pass_no"), "pos",
+                    probability.alias("probability"),
+                    F.when(span, -F.col("amount") / 500.0).otherwise(F.lit(0.0)).alias("rank"),
+                    F.when(kk >= 95, F.lit(True)).alias("selected"), value.alias("value"))
+
+
+@query
+def route_strict_relaxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import consolidate as G
+    routed = G.route(G.with_optional_columns(event_candidates(spark, sf_dir)))
+    return routed.select(F.col("pos").alias("event_id"), "doc_id", "field", "routed_tier")
+
+
+@query
+def dedupe_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import consolidate as G
+    fields = G.consolidate(event_candidates(spark, sf_dir))
+    return (fields.groupBy("doc_id", "field", "tier")
+            .agg(F.count("*").alias("n_values"), F.count_distinct("name").alias("n_names")))
+
+
+@query
+def consolidate_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import consolidate as G
+    return G.consolidate(event_candidates(spark, sf_dir))
