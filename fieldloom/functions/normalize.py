@@ -1,15 +1,24 @@
-"""Scalar field normalisers as Column builders.
+"""Scalar field normalisers.
 
-Each ``clean_*`` returns a field-value struct ``FV = (key, name, num, search)``
+Each normaliser yields a field-value struct ``FV = (key, name, num, search)``
 or null when the value is rejected; a null later becomes the raw fallback
 ``(key='', name=raw)`` in consolidation.  ``name`` holds the text the value
 prints as (integers bare, floats as Python-2 ``str``); ``num`` holds numeric
 values so that ``55`` and ``55.0`` compare equal when deduplicating.
+
+A normaliser is written once as a list of named steps plus a final FV
+expression.  It runs in two modes:
+
+* frame mode (``apply``/``normalize_frame``): every step becomes an
+  intermediate column, so each is computed once inside whole-stage codegen;
+  this is what the pipeline and the registered queries use;
+* column mode (``clean_*``): the steps are bound with ``let`` into a single
+  Column, convenient for ad-hoc use in any ``select``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom import config
@@ -26,7 +35,7 @@ def fv(key, name, num=None, search=None) -> Column:
                     lit_or(num, "double").alias("num"), lit_or(search, "string").alias("search"))
 
 
-def _null_fv() -> Column:
+def null_fv() -> Column:
     return F.lit(None).cast(FV_TYPE)
 
 
@@ -70,6 +79,13 @@ def unit_conversion(val, from_unit, to_unit) -> Column:
     """Convert between kg/lb and ft/in/cm.  Same unit returns the value
     unchanged; an unknown pair gives null.  Units may be literals or columns."""
     v = col_of(val).cast("double")
+    if isinstance(from_unit, str) and isinstance(to_unit, str):
+        if from_unit == to_unit:
+            return v
+        if (from_unit, to_unit) not in _FACTORS:
+            return F.lit(None).cast("double")
+        op, k = _FACTORS[(from_unit, to_unit)]
+        return v * k if op == "*" else v / k
     fu = F.lit(from_unit) if isinstance(from_unit, str) else from_unit
     tu = F.lit(to_unit) if isinstance(to_unit, str) else to_unit
     out = F.when(fu == tu, v)
@@ -100,112 +116,122 @@ def _in_range(num, field) -> Column:
     return (col_of(num) == 0) | i.between(lo, hi)
 
 
-# --- H4 --------------------------------------------------------------------
-
-def clean_age(value) -> Column:
-    """First number of a range, digits only, kept when 18..60."""
-    v = F.lower(py_strip(value))
-    head = py_strip(F.split(v, "-", -1).getItem(0))
-    lo, hi = config.NORMALIZE_CONFIG["age"]["range"]
-    return let(numeric_only(head).try_cast("bigint"), lambda n: F.when(
-        n.isNotNull() & (n != 0) & n.between(lo, hi), fv(n.cast("string"), n.cast("string"), n)))
+def sanity_check_values(num, field) -> Column:
+    """Range check on ``int(x)`` with falsy values passing through."""
+    return F.when(col_of(num) == 0, col_of(num)).when(_in_range(num, field), col_of(num))
 
 
-# --- H5 --------------------------------------------------------------------
+# --- normalisers as steps ------------------------------------------------------
+# A spec is (steps, final): steps is a list of (name, fn(env) -> Column) and
+# final is fn(env) -> FV Column; ``env`` maps input and step names to Columns.
 
-def clean_name(value) -> Column:
-    """Whitespace runs to one space, then title case after every non-letter."""
-    name = title_case(replace_multiple_spaces_with_one(value))
-    return F.when(col_of(value).isNotNull(), let(name, lambda n: fv(n, n)))
+def _age_spec():
+    """H4: first number of a range, digits only, kept when 18..60."""
+    lo, hi = config.NORMALIZE_CONFIG["age"]["range"]
+    steps = [("n", lambda e: numeric_only(py_strip(F.split(F.lower(py_strip(e["value"])), "-", -1).getItem(0)))
+              .try_cast("bigint"))]
 
+    def final(e):
+        n = e["n"]
+        return F.when(n.isNotNull() & (n != 0) & n.between(lo, hi), fv(n.cast("string"), n.cast("string"), n))
+    return steps, final
 
-# --- H7, H8 ----------------------------------------------------------------
 
-def clean_height(value, bare_height_cm: bool = False) -> Column:
-    """Height text to centimetres.
+def _name_spec():
+    """H5: whitespace runs to one space, then title case after every non-letter."""
+    steps = [("t", lambda e: title_case(replace_multiple_spaces_with_one(e["value"])))]
+    return steps, lambda e: F.when(e["value"].isNotNull(), fv(e["t"], e["t"]))
 
-    ``5'9"`` style: feet * 30.48 + inches * 2.54 (bad or empty inches count as
-    0).  Text without a foot mark yields its digits as text, which the number
-    type check rejects; text without digits yields ``''``, which passes.
-    With ``bare_height_cm`` an in-range bare number is taken as centimetres.
-    """
-    raw = col_of(value)
 
-    def from_head(head):
-        dims = F.split(head, "'", -1)
+def _height_spec(bare_height_cm: bool = False):
+    """H7/H8: height text (``5'9"`` -> feet * 30.48 + inches * 2.54, bad
+    inches count 0; text without a foot mark yields digits as text, which the
+    number check rejects, or ``''`` when it has none, which passes) or a list
+    of integer centimetres (first in range)."""
+    def cm(e):
+        dims = e["dims"]
         feet = py_float(dims.getItem(0))
         inches = F.coalesce(py_float(F.btrim(F.get(dims, 1), F.lit('"'))), F.lit(0.0))
-        cm_expr = feet * config.CM_PER_FT + inches * config.CM_PER_IN
-        foot_fv = let(cm_expr, lambda cm: F.when(
-            cm.isNotNull() & ((cm == 0) | _in_range(cm, "height")),
-            let(py2_str(cm), lambda t: fv(t, t, cm, convert_height_all_units(cm, t)))))
-        return F.when(F.size(dims) >= 2, foot_fv).otherwise(bare_fv)
-
-    digits = numeric_only(raw)
-    if bare_height_cm:
-        bare_fv = let(digits.try_cast("bigint"), lambda bare: F.when(
-            (bare != 0) & _in_range(bare, "height"),
-            fv(bare.cast("string"), bare.cast("string"), bare, convert_height_all_units(bare, bare.cast("string")))))
-    else:
-        bare_fv = F.when(digits == "", fv(F.lit(""), F.lit(""), None, F.lit(" None None")))
-    head = py_strip(F.split(py_strip(F.lower(py_strip(raw))), "-", -1).getItem(0))
-    return F.when(raw.isNull(), _null_fv()).otherwise(let(head, from_head))
-
-
-def clean_height_list(centimeters) -> Column:
-    """First in-range (or zero) value of an integer centimetre list."""
-    first = F.get(F.filter(col_of(centimeters), lambda e: (e == 0) | _in_range(e, "height")), 0)
-    return let(first, lambda v: F.when(v.isNotNull(), fv(v.cast("string"), v.cast("string"), v,
-                                                         convert_height_all_units(v, v.cast("string")))))
-
+        return F.when(F.size(dims) >= 2, feet * config.CM_PER_FT + inches * config.CM_PER_IN)
+
+    def first_list(e):
+        return F.get(F.filter(e["centimeter"], lambda x: (x == 0) | _in_range(x, "height")), 0)
+
+    steps = [
+        ("dims", lambda e: F.split(py_strip(F.split(py_strip(F.lower(py_strip(e["value"]))), "-", -1).getItem(0)),
+                                   "'", -1)),
+        ("cm", cm),
+        ("lst", first_list),
+        ("cm_txt", lambda e: py2_str(e["cm"])),
+        ("bare", lambda e: numeric_only(e["value"])),
+    ]
+
+    def final(e):
+        c, lst = e["cm"], e["lst"]
+        foot_ok = c.isNotNull() & ((c == 0) | _in_range(c, "height"))
+        foot_fv = F.when(foot_ok, fv(e["cm_txt"], e["cm_txt"], c, convert_height_all_units(c, e["cm_txt"])))
+        if bare_height_cm:
+            b = e["bare"].try_cast("bigint")
+            bare_fv = F.when((b != 0) & _in_range(b, "height"),
+                             fv(b.cast("string"), b.cast("string"), b, convert_height_all_units(b, b.cast("string"))))
+        else:
+            bare_fv = F.when(e["bare"] == "", fv(F.lit(""), F.lit(""), None, F.lit(" None None")))
+        list_fv = F.when(lst.isNotNull(), fv(lst.cast("string"), lst.cast("string"), lst,
+                                             convert_height_all_units(lst, lst.cast("string"))))
+        return (F.when(e["centimeter"].isNotNull(), list_fv)
+                .when(e["value"].isNull(), null_fv())
+                .when(F.size(e["dims"]) >= 2, foot_fv)
+                .otherwise(bare_fv))
+    return steps, final
 
-# --- H11, H12 --------------------------------------------------------------
 
-def clean_weight(value) -> Column:
-    """Weight text to kilograms.
+def _weight_spec():
+    """Weight text to kilograms, or a kilogram list (first in range).
 
-    In order: text containing ``st`` (stone) is rejected; trailing/leading
+    In order: text containing ``st`` (stone) is rejected; leading/trailing
     ``s`` stripped; ``lb``/``pound`` suffix -> int(n)/2.2; ``kg``/``kilo``/
     ``kilogram`` suffix -> int(n) (an integer); a bare number is truncated and
     read as kg below 90, else as lb/2.2.  Kept when 40..150 (or zero).
     Non-ASCII text is rejected.
     """
-    raw = col_of(value)
     per_lb = config.LB_PER_KG_WEIGHT
 
-    def with_lb(x, lb):
-        def num_after(chars):
+    def kg(e):
+        x, lb = e["x"], e["lb"]
+
+        def after(chars):
             return py_int_of_float(py_float(F.btrim(lb, F.lit(chars))))
         bare = py_int_of_float(py_float(x))
-        kg_expr = (F.when(lb.endswith("lb"), num_after("lb") / per_lb)
-                   .when(lb.endswith("pound"), num_after("pound") / per_lb)
-                   .when(lb.endswith("kg"), num_after("kg").cast("double"))
-                   .when(lb.endswith("kilo"), num_after("kilo").cast("double"))
-                   .when(lb.endswith("kilogram"), num_after("kilogram").cast("double"))
-                   .otherwise(let(bare, lambda b: F.when(b < config.BARE_WEIGHT_KG_BELOW, b.cast("double"))
-                                  .otherwise(b / per_lb))))
-        is_int = (~lb.endswith("lb") & ~lb.endswith("pound")
-                  & (lb.endswith("kg") | lb.endswith("kilo") | lb.endswith("kilogram")))
-
-        def with_kg(kg):
-            text = F.when(is_int, kg.cast("bigint").cast("string")).otherwise(py2_str(kg))
-            ok = kg.isNotNull() & ((kg == 0) | _in_range(kg, "weight"))
-            return F.when(ok, let(text, lambda t: fv(t, t, kg, convert_weight_all_units(kg, t))))
-        return F.when(~x.contains("st"), let(kg_expr, with_kg))
-
-    rejected = raw.isNull() | raw.rlike(r"[^\x00-\x7F]")
-    return F.when(~rejected, let(F.lower(py_strip(raw)), lambda x: let(F.btrim(x, F.lit("s")),
-                                                                        lambda lb: with_lb(x, lb))))
-
-
-def clean_weight_list(kilograms) -> Column:
-    """First in-range (or zero) value of a kilogram list, as a float."""
-    first = F.get(F.filter(col_of(kilograms), lambda e: (e == 0) | _in_range(e, "weight")), 0).cast("double")
-    return let(first, lambda v: F.when(v.isNotNull(), let(py2_str(v), lambda t: fv(
-        t, t, v, convert_weight_all_units(v, t)))))
-
+        kg_txt = (F.when(lb.endswith("lb"), after("lb") / per_lb)
+                  .when(lb.endswith("pound"), after("pound") / per_lb)
+                  .when(lb.endswith("kg"), after("kg").cast("double"))
+                  .when(lb.endswith("kilo"), after("kilo").cast("double"))
+                  .when(lb.endswith("kilogram"), after("kilogram").cast("double"))
+                  .when(bare < config.BARE_WEIGHT_KG_BELOW, bare.cast("double"))
+                  .otherwise(bare / per_lb))
+        rejected = e["value"].isNull() | x.contains("st") | e["value"].rlike(r"[^\x00-\x7F]")
+        return F.when(e["kilogram"].isNotNull(),
+                      F.get(F.filter(e["kilogram"], lambda v: (v == 0) | _in_range(v, "weight")), 0).cast("double")
+                      ).when(~rejected, kg_txt)
+
+    def is_int(e):
+        lb = e["lb"]
+        return (e["kilogram"].isNull() & ~lb.endswith("lb") & ~lb.endswith("pound")
+                & (lb.endswith("kg") | lb.endswith("kilo") | lb.endswith("kilogram")))
+
+    steps = [
+        ("x", lambda e: F.lower(py_strip(e["value"]))),
+        ("lb", lambda e: F.btrim(e["x"], F.lit("s"))),
+        ("kg", kg),
+        ("txt", lambda e: F.when(is_int(e), e["kg"].cast("bigint").cast("string")).otherwise(py2_str(e["kg"]))),
+    ]
+
+    def final(e):
+        k = e["kg"]
+        ok = k.isNotNull() & ((k == 0) | _in_range(k, "weight"))
+        return F.when(ok, fv(e["txt"], e["txt"], k, convert_weight_all_units(k, e["txt"])))
+    return steps, final
 
-# --- H13 -------------------------------------------------------------------
 
 def parse_date(value, formats=None) -> Column:
     """First format of the list that parses, as a timestamp; null if none."""
@@ -214,85 +240,142 @@ def parse_date(value, formats=None) -> Column:
     return F.coalesce(*[F.try_to_timestamp(v, F.lit(f)) for f in formats])
 
 
-def clean_posting_date(value, formats=None) -> Column:
-    """Free-form date to ISO ``yyyy-MM-ddTHH:mm:ss``; null if no format fits."""
-    iso = F.date_format(parse_date(value, formats), config.ISO_FORMAT)
-    return let(iso, lambda d: F.when(d.isNotNull(), fv(d, d)))
+def _date_spec(formats=None):
+    """Free-form date to ISO ``yyyy-MM-ddTHH:mm:ss`` over a format list."""
+    steps = [("iso", lambda e: F.date_format(parse_date(e["value"], formats), config.ISO_FORMAT))]
+    return steps, lambda e: F.when(e["iso"].isNotNull(), fv(e["iso"], e["iso"]))
 
 
-# --- H17, H19 --------------------------------------------------------------
+def _city_spec():
+    """key = value:state:country:lon:lat when all four are present, else
+    the value itself; name is always the value."""
+    def key(e):
+        v = e["value"]
+        full = (e["state"].isNotNull() & e["country"].isNotNull() & e["longitude"].isNotNull()
+                & e["latitude"].isNotNull())
+        return F.when(full, F.concat_ws(":", v, e["state"], e["country"], py2_str(e["longitude"]),
+                                        py2_str(e["latitude"]))).otherwise(v)
+    steps = [("key", key)]
+    return steps, lambda e: F.when(e["value"].isNotNull(), fv(e["key"], e["value"]))
 
-def clean_city(value, state=None, country=None, longitude=None, latitude=None) -> Column:
-    """key = value:state:country:lon:lat when all four are present, else the
-    value itself; name is always the value."""
-    v = col_of(value)
-    parts = [state, country, longitude, latitude]
-    if any(p is None for p in parts):
-        return F.when(v.isNotNull(), fv(v, v))
-    st, co, lon, lat = (col_of(p) for p in parts)
-    full = st.isNotNull() & co.isNotNull() & lon.isNotNull() & lat.isNotNull()
-    key = F.when(full, F.concat_ws(":", v, st, co, py2_str(lon.cast("double")), py2_str(lat.cast("double")))
-                 ).otherwise(v)
-    return F.when(v.isNotNull(), fv(key, v))
 
+def _identity_spec():
+    """Name only, no key."""
+    return [], lambda e: fv(None, e["value"])
 
-def identity(value) -> Column:
-    """name only, no key."""
-    return fv(None, col_of(value))
 
+def _vocab_spec():
+    """The vocabulary match (resolved by a join, see canonical.py)."""
+    return [], lambda e: F.when(e["canonical"].isNotNull(), fv(e["canonical"], e["canonical"]))
 
-# --- H18 -------------------------------------------------------------------
 
-def sanity_check_values(num, field) -> Column:
-    """Range check on ``int(x)`` with falsy values passing through."""
-    return F.when(col_of(num) == 0, col_of(num)).when(_in_range(num, field), col_of(num))
+SPECS = {
+    "clean_age": _age_spec, "clean_name": _name_spec, "clean_height": _height_spec, "clean_weight": _weight_spec,
+    "clean_posting_date": _date_spec, "clean_city": _city_spec, "identity": _identity_spec,
+    "clean_ethnicity": _vocab_spec, "clean_eye_color": _vocab_spec, "clean_hair_color": _vocab_spec,
+}
 
+INPUTS = ("value", "canonical", "centimeter", "kilogram", "state", "country", "longitude", "latitude")
+INPUT_TYPES = {"value": "string", "canonical": "string", "centimeter": "array<int>", "kilogram": "array<double>",
+               "state": "string", "country": "string", "longitude": "double", "latitude": "double"}
 
-# --- H20: dispatch -----------------------------------------------------------
 
-# Normalisers that need a vocabulary (resolved by a join, see canonical.py).
-VOCAB_FUNCTIONS = {"clean_ethnicity": "ethnicity", "clean_eye_color": "eye_color", "clean_hair_color": "hair_color"}
+def _env(inputs: dict) -> dict:
+    env = {}
+    for k in INPUTS:
+        c = inputs.get(k)
+        env[k] = col_of(c) if c is not None else F.lit(None).cast(INPUT_TYPES[k])
+    return env
 
 
-def normalize(field, value, *, canonical=None, centimeters=None, kilograms=None, state=None,
-              country=None, longitude=None, latitude=None, normalize_config=None) -> Column:
-    """Dispatch on the field name through the normaliser configuration.
+def _column_mode(spec, inputs) -> Column:
+    steps, final = spec
 
-    Returns the FV struct, null when the configured normaliser rejects the
-    value.  ``canonical`` is the vocabulary match for the vocabulary-backed
-    fields; ``centimeters`` / ``kilograms`` carry list-valued height/weight
-    mentions.  Unconfigured fields are not handled here (see ``is_configured``).
-    """
-    conf = normalize_config or config.NORMALIZE_CONFIG
-    f = col_of(field)
+    def go(i, env):
+        if i == len(steps):
+            return final(env)
+        name, fn = steps[i]
+        return let(fn(env), lambda b: go(i + 1, {**env, name: b}))
+    return go(0, _env(inputs))
+
+
+def clean_age(value) -> Column:
+    return _column_mode(_age_spec(), {"value": value})
+
+
+def clean_name(value) -> Column:
+    return _column_mode(_name_spec(), {"value": value})
+
+
+def clean_height(value, bare_height_cm: bool = False) -> Column:
+    return _column_mode(_height_spec(bare_height_cm), {"value": value})
+
+
+def clean_height_list(centimeters) -> Column:
+    return _column_mode(_height_spec(), {"centimeter": centimeters})
+
+
+def clean_weight(value) -> Column:
+    return _column_mode(_weight_spec(), {"value": value})
+
+
+def clean_weight_list(kilograms) -> Column:
+    return _column_mode(_weight_spec(), {"kilogram": kilograms})
+
+
+def clean_posting_date(value, formats=None) -> Column:
+    return _column_mode(_date_spec(formats), {"value": value})
+
+
+def clean_city(value, state=None, country=None, longitude=None, latitude=None) -> Column:
+    return _column_mode(_city_spec(), {"value": value, "state": state, "country": country,
+                                       "longitude": longitude, "latitude": latitude})
+
+
+def identity(value) -> Column:
+    return _column_mode(_identity_spec(), {"value": value})
+
+
+# --- frame mode -----------------------------------------------------------------
+
+def apply(df: DataFrame, function: str, out_col: str = "fv", **inputs) -> DataFrame:
+    """Run one normaliser in frame mode: ``inputs`` name the input columns
+    (``value=``, ``centimeter=``, ...); adds ``out_col`` (FV struct)."""
+    return normalize_frame(df, None, out_col, functions={"_": function}, **inputs)
+
+
+def normalize_frame(df: DataFrame, field_col: str | None, out_col: str = "fv", *, normalize_config=None,
+                    functions: dict | None = None, **inputs) -> DataFrame:
+    """Dispatch on the field through the normaliser configuration, in
+    frame mode.  Each configured normaliser's steps are added as columns
+    gated on the row's field (rows of other fields carry nulls), then one
+    ``CASE`` picks the FV.  Unconfigured fields get null (see
+    ``is_configured``)."""
+    if functions is None:
+        conf = normalize_config or config.NORMALIZE_CONFIG
+        functions = {f: spec["function"] for f, spec in conf.items()}
+    by_fn: dict = {}
+    for field, fn in functions.items():
+        by_fn.setdefault(fn, []).append(field)
+    base = _env({k: F.col(v) if isinstance(v, str) else v for k, v in inputs.items()})
+    tmp, finals = [], []
+    for i, (fn, fields) in enumerate(by_fn.items()):
+        if fn not in SPECS:
+            raise ValueError(f"unknown normaliser {fn!r}")
+        steps, final = SPECS[fn]()
+        gate = F.lit(True) if field_col is None else F.col(field_col).isin(*fields)
+        env = dict(base)
+        for name, step in steps:
+            col = f"__n{i}_{name}"
+            df = df.withColumn(col, F.when(gate, step(env)))
+            env[name] = F.col(col)
+            tmp.append(col)
+        finals.append((gate, final(env)))
     out = None
-    for name, spec in conf.items():
-        fn = spec["function"]
-        if fn == "clean_age":
-            expr = clean_age(value)
-        elif fn == "clean_name":
-            expr = clean_name(value)
-        elif fn == "clean_height":
-            expr = clean_height(value)
-            if centimeters is not None:
-                expr = F.when(col_of(centimeters).isNotNull(), clean_height_list(centimeters)).otherwise(expr)
-        elif fn == "clean_weight":
-            expr = clean_weight(value)
-            if kilograms is not None:
-                expr = F.when(col_of(kilograms).isNotNull(), clean_weight_list(kilograms)).otherwise(expr)
-        elif fn == "clean_posting_date":
-            expr = clean_posting_date(value)
-        elif fn in VOCAB_FUNCTIONS:
-            expr = _null_fv() if canonical is None else F.when(
-                col_of(canonical).isNotNull(), fv(canonical, canonical))
-        elif fn == "clean_city":
-            expr = clean_city(value, state, country, longitude, latitude)
-        elif fn == "identity":
-            expr = identity(value)
-        else:
-            raise ValueError(f"unknown normaliser {fn!r} for field {name!r}")
-        out = F.when(f == name, expr) if out is None else out.when(f == name, expr)
-    return out.otherwise(_null_fv())
+    for gate, expr in finals:
+        out = F.when(gate, expr) if out is None else out.when(gate, expr)
+    out = null_fv() if out is None else out.otherwise(null_fv())
+    return df.withColumn(out_col, out).drop(*tmp)
 
 
 def is_configured(field, normalize_config=None) -> Column:

@@ -49,17 +49,19 @@ def py_int_of_float(c) -> Column:
 
 def py2_str(c) -> Column:
     """Text of ``str(float)`` in Python 2: 12 significant digits (``%.12g``),
-    trailing zeros dropped, ``.0`` appended to integral values."""
-    def body(v):
-        g = F.format_string("%.12g", v)
-        g = F.regexp_replace(g, r"(\.[0-9]*[1-9])0+(e|$)", "$1$2")
-        g = F.regexp_replace(g, r"\.0*(e|$)", "$1")
-        return (F.when(F.isnan(v), F.lit("nan"))
-                .when(v == F.lit(float("inf")), F.lit("inf"))
-                .when(v == F.lit(float("-inf")), F.lit("-inf"))
-                .otherwise(let(g, lambda t: F.when(t.contains(".") | t.contains("e"), t)
-                                              .otherwise(F.concat(t, F.lit(".0"))))))
-    return let(col_of(c).cast("double"), body)
+    trailing fraction zeros dropped (one kept after the point), ``.0``
+    appended to bare integers.  Pass a column or a cheap expression: ``c`` is
+    referenced more than once."""
+    c = col_of(c).cast("double")
+    g = F.format_string("%.12g", c)
+    g = F.regexp_replace(g, r"(\.[0-9]*?[0-9])0*$", "$1")
+    g = F.regexp_replace(g, r"(\.[0-9]*?)0+e", "$1e")
+    g = F.regexp_replace(g, r"\.e", "e")
+    g = F.regexp_replace(g, r"^(-?[0-9]+)$", "$1.0")
+    return (F.when(F.isnan(c), F.lit("nan"))
+            .when(c == F.lit(float("inf")), F.lit("inf"))
+            .when(c == F.lit(float("-inf")), F.lit("-inf"))
+            .otherwise(g))
 
 
 def collapse_ws(c, keep_edges: bool = True) -> Column:

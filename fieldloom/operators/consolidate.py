@@ -79,12 +79,10 @@ def normalize_values(cands: DataFrame, normalize_config=None) -> DataFrame:
     """Add ``key, name, num, search`` and ``dedupe`` (whether the row
     takes part in name deduplication)."""
     conf = normalize_config or config.NORMALIZE_CONFIG
-    fv = N.normalize("field", "value", canonical="canonical", centimeters="centimeter", kilograms="kilogram",
-                     state="state", country="country", longitude="longitude", latitude="latitude",
-                     normalize_config=conf)
-    configured = N.is_configured("field", conf)
-    out = (cands.withColumn("__fv", fv)
-           .withColumn("__cfg", configured)
+    out = N.normalize_frame(cands, "field", "__fv", normalize_config=conf, value="value", canonical="canonical",
+                            centimeter="centimeter", kilogram="kilogram", state="state", country="country",
+                            longitude="longitude", latitude="latitude")
+    out = (out.withColumn("__cfg", N.is_configured("field", conf))
            .withColumn("dedupe", F.col("__cfg") & F.col("__fv").isNotNull()))
     raw = F.col("value")
     return (out.withColumn("key", F.when(F.col("dedupe"), F.col("__fv.key"))

@@ -310,3 +310,227 @@ SELECT doc_id, field, tier, pass_no, rank, pos, key, name, num, search FROM fiel
 
 ORACLE["dedupe_fields"] = f"""WITH {EVENT_CANDIDATES}, {ROUTED}, {NORMALIZED}
 SELECT doc_id, field, tier, count(*) AS n_values, count(DISTINCT name) AS n_names FROM fields GROUP BY doc_id, field, tier"""
+
+
+# --- normalisers ------------------------------------------------------------------
+
+LI = "li AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity) AS INTEGER) AS q FROM lineitem)"
+
+AGE_TEXT = """CASE WHEN l_linenumber % 4 = 0 THEN CAST(q + 10 AS VARCHAR)
+     WHEN l_linenumber % 4 = 1 THEN CAST(q + 10 AS VARCHAR) || '-' || CAST(q + 15 AS VARCHAR)
+     WHEN l_linenumber % 4 = 2 THEN ' ' || CAST(q + 5 AS VARCHAR) || ' yo'
+     ELSE CAST(q AS VARCHAR) || '.5' END"""
+
+ORACLE["normalize_age"] = f"""
+WITH {LI}, r AS (SELECT l_orderkey, l_linenumber, {AGE_TEXT} AS raw FROM li),
+a AS (SELECT *, TRY_CAST(regexp_replace({strip_sql(f"split_part(lower({strip_sql('raw')}), '-', 1)")}, '[^0-9]+', '', 'g')
+                         AS BIGINT) AS n FROM r)
+SELECT l_orderkey, l_linenumber, raw,
+       CASE WHEN n BETWEEN 18 AND 60 THEN CAST(n AS VARCHAR) END AS key,
+       CASE WHEN n BETWEEN 18 AND 60 THEN CAST(n AS VARCHAR) END AS name,
+       CASE WHEN n BETWEEN 18 AND 60 THEN CAST(n AS DOUBLE) END AS num, CAST(NULL AS VARCHAR) AS search FROM a
+"""
+
+HEIGHT_TEXT = """CASE WHEN l_linenumber % 5 = 0 THEN CAST(4 + q % 4 AS VARCHAR) || '''' || CAST(l_linenumber + q % 5 AS VARCHAR) || '"'
+     WHEN l_linenumber % 5 = 1 THEN CAST(4 + q % 4 AS VARCHAR) || '''' || CAST(l_linenumber + q % 5 AS VARCHAR) || '" - '
+          || CAST(4 + q % 4 AS VARCHAR) || '''' || CAST(l_linenumber + q % 5 + 1 AS VARCHAR) || '"'
+     WHEN l_linenumber % 5 = 2 THEN CAST(4 + q % 4 AS VARCHAR) || ''''
+     WHEN l_linenumber % 5 = 3 THEN CAST(q + 120 AS VARCHAR) || ' cm'
+     ELSE CAST(4 + q % 4 AS VARCHAR) || ''' ' || CAST(l_linenumber + q % 5 AS VARCHAR) END"""
+
+ORACLE["normalize_height"] = f"""
+WITH {LI}, r AS (SELECT l_orderkey, l_linenumber, {HEIGHT_TEXT} AS raw FROM li),
+h AS (SELECT *, string_split({strip_sql(f"split_part({strip_sql('lower(' + strip_sql('raw') + ')')}, '-', 1)")}, '''') AS dims,
+             regexp_replace(raw, '[^0-9]+', '', 'g') AS digits FROM r),
+c AS (SELECT *, {py_float_sql('dims[1]')} * 30.48 + coalesce({py_float_sql("trim(dims[2], '\"')")}, 0.0) * 2.54 AS cm FROM h),
+o AS (SELECT *, len(dims) >= 2 AS foot, cm IS NOT NULL AND (cm = 0 OR {trunc_sql('cm')} BETWEEN 121 AND 214) AS ok FROM c)
+SELECT l_orderkey, l_linenumber, raw,
+       CASE WHEN foot AND ok THEN {py2_sql('cm')} WHEN NOT foot AND digits = '' THEN '' END AS key,
+       CASE WHEN foot AND ok THEN {py2_sql('cm')} WHEN NOT foot AND digits = '' THEN '' END AS name,
+       CASE WHEN foot AND ok THEN cm END AS num,
+       CASE WHEN foot AND ok THEN {py2_sql('cm')} || ' ' || {py2_sql('cm / 30.48')} || ' ' || {py2_sql('cm / 2.54')}
+            WHEN NOT foot AND digits = '' THEN ' None None' END AS search
+FROM o
+"""
+
+WEIGHT_TEXT = """CASE WHEN l_linenumber % 7 = 0 THEN CAST(q * 4 AS VARCHAR) || ' lbs'
+     WHEN l_linenumber % 7 = 1 THEN CAST(q + 30 AS VARCHAR) || 'kg'
+     WHEN l_linenumber % 7 = 2 THEN CAST(q + 30 AS VARCHAR) || ' kilos'
+     WHEN l_linenumber % 7 = 3 THEN CAST(q * 4 AS VARCHAR)
+     WHEN l_linenumber % 7 = 4 THEN CAST(q + 40 AS VARCHAR) || '.' || CAST(l_linenumber AS VARCHAR)
+     WHEN l_linenumber % 7 = 5 THEN CAST(q % 12 AS VARCHAR) || ' stone'
+     ELSE CAST(q * 3 AS VARCHAR) || ' pounds' END"""
+
+
+def weight_fv_sql(src: str, raw: str, keep: str) -> str:
+    """CTEs ``w1..w3`` computing weight kg / text / ok over ``src``."""
+    x = f"lower({strip_sql(raw)})"
+    lb = f"trim({x}, 's')"
+
+    def after(chars):
+        return trunc_sql(py_float_sql(f"trim(wlb, {q(chars)})"))
+    bare = trunc_sql(py_float_sql("wx"))
+    return f"""
+w1 AS (SELECT {keep}, {raw} AS wraw, {x} AS wx, {lb} AS wlb FROM {src}),
+w2 AS (SELECT *, CASE WHEN wx LIKE '%st%' OR regexp_matches(wraw, '[^\\x00-\\x7F]') THEN NULL
+                      WHEN ends_with(wlb, 'lb') THEN {after('lb')} / 2.2
+                      WHEN ends_with(wlb, 'pound') THEN {after('pound')} / 2.2
+                      WHEN ends_with(wlb, 'kg') THEN CAST({after('kg')} AS DOUBLE)
+                      WHEN ends_with(wlb, 'kilo') THEN CAST({after('kilo')} AS DOUBLE)
+                      WHEN ends_with(wlb, 'kilogram') THEN CAST({after('kilogram')} AS DOUBLE)
+                      WHEN {bare} < 90 THEN CAST({bare} AS DOUBLE) ELSE {bare} / 2.2 END AS kg,
+                 NOT ends_with(wlb, 'lb') AND NOT ends_with(wlb, 'pound')
+                   AND (ends_with(wlb, 'kg') OR ends_with(wlb, 'kilo') OR ends_with(wlb, 'kilogram')) AS is_int
+          FROM w1),
+w3 AS (SELECT *, kg IS NOT NULL AND (kg = 0 OR {trunc_sql('kg')} BETWEEN 40 AND 150) AS ok,
+              CASE WHEN is_int THEN CAST(CAST(kg AS BIGINT) AS VARCHAR) ELSE {py2_sql('kg')} END AS wtext FROM w2)
+"""
+
+
+ORACLE["normalize_weight"] = f"""
+WITH {LI}, r AS (SELECT l_orderkey, l_linenumber, {WEIGHT_TEXT} AS raw FROM li),
+{weight_fv_sql('r', 'raw', 'l_orderkey, l_linenumber, raw')}
+SELECT l_orderkey, l_linenumber, raw, CASE WHEN ok THEN wtext END AS key, CASE WHEN ok THEN wtext END AS name,
+       CASE WHEN ok THEN kg END AS num, CASE WHEN ok THEN wtext || ' ' || {py2_sql('kg * 2.20462')} END AS search
+FROM w3
+"""
+
+ORACLE["normalize_name"] = f"""
+WITH r AS (SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN p_name || '  ' || lower(p_type)
+                                  ELSE 'o''' || p_name || '-' || lower(p_brand) || chr(9) || '3cd' END AS raw FROM part)
+SELECT p_partkey, raw, {title_case_sql(f"regexp_replace(raw, '{WS}+', ' ', 'g')")} AS key,
+       {title_case_sql(f"regexp_replace(raw, '{WS}+', ' ', 'g')")} AS name FROM r
+"""
+
+ORACLE["normalize_city"] = f"""
+WITH g AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+j AS (SELECT c_custkey, lower(n_name) AS v, CASE WHEN c_custkey % 4 <> 0 THEN r_name END AS st, c_mktsegment AS co,
+             c_acctbal / 100 AS lon, CAST(c_custkey % 180 AS DOUBLE) - 90.5 AS lat
+      FROM customer JOIN g ON c_nationkey = n_nationkey)
+SELECT c_custkey,
+       CASE WHEN st IS NOT NULL AND co IS NOT NULL AND lon IS NOT NULL AND lat IS NOT NULL
+            THEN v || ':' || st || ':' || co || ':' || {py2_sql('lon')} || ':' || {py2_sql('lat')} ELSE v END AS key,
+       v AS name FROM j
+"""
+
+_PAIRS = ["('kg','lb')", "('lb','kg')", "('ft','in')", "('ft','cm')", "('in','ft')", "('in','cm')", "('cm','ft')",
+          "('cm','in')", "('kg','kg')", "('ft','lb')"]
+
+ORACLE["unit_convert"] = f"""
+WITH p AS (SELECT * FROM (VALUES {", ".join(f"({i}, {p[1:-1]})" for i, p in enumerate(_PAIRS))}) v(ix, from_unit, to_unit)),
+l AS (SELECT l_orderkey, l_linenumber, l_quantity AS v, (l_orderkey + l_linenumber) % 10 AS ix FROM lineitem)
+SELECT l_orderkey, l_linenumber, from_unit, to_unit,
+       round(CASE WHEN from_unit = to_unit THEN v
+                  WHEN from_unit = 'kg' AND to_unit = 'lb' THEN v * 2.20462
+                  WHEN from_unit = 'lb' AND to_unit = 'kg' THEN v / 2.20462
+                  WHEN from_unit = 'ft' AND to_unit = 'in' THEN v * 12
+                  WHEN from_unit = 'ft' AND to_unit = 'cm' THEN v * 30.48
+                  WHEN from_unit = 'in' AND to_unit = 'ft' THEN v / 12
+                  WHEN from_unit = 'in' AND to_unit = 'cm' THEN v * 2.54
+                  WHEN from_unit = 'cm' AND to_unit = 'ft' THEN v / 30.48
+                  WHEN from_unit = 'cm' AND to_unit = 'in' THEN v / 2.54 END, 6) AS converted
+FROM l JOIN p USING (ix)
+"""
+
+MEASURE_TEXT = """CASE WHEN l_linenumber % 4 = 0 THEN 'she is ' || CAST(4 + q % 4 AS VARCHAR) || '''' || CAST(l_linenumber + q % 5 AS VARCHAR)
+                                           || '" and ' || CAST(q * 4 AS VARCHAR) || ' lbs'
+     WHEN l_linenumber % 4 = 1 THEN 'height ' || CAST(q + 150 AS VARCHAR) || ' cm'
+     WHEN l_linenumber % 4 = 2 THEN 'weight ' || CAST(q + 40 AS VARCHAR) || ' kg, or ' || CAST(q * 3 AS VARCHAR) || ' Pounds'
+     ELSE 'no measurements here' END"""
+
+ORACLE["height_weight_split"] = f"""
+WITH {LI}, t AS (SELECT l_orderkey, l_linenumber, {MEASURE_TEXT} AS text FROM li),
+f AS (SELECT l_orderkey, l_linenumber, text, regexp_extract_all(text, {q(M.FOOT_PATTERN)}, 0) AS feet FROM t),
+c AS (SELECT l_orderkey, l_linenumber,
+             list_concat(list_transform(feet, lambda m: CAST(round(CAST(regexp_extract(m, {q(M.FOOT_PATTERN)}, 1) AS INTEGER) * 30.48
+                                          + coalesce(TRY_CAST(regexp_extract(m, {q(M.FOOT_PATTERN)}, 2) AS INTEGER), 0) * 2.54) AS INTEGER)),
+                         list_transform(regexp_extract_all(text, {q(M.CM_PATTERN)}, 1), lambda x: CAST(x AS INTEGER))) AS cm,
+             list_concat(list_transform(regexp_extract_all(text, {q(M.LB_PATTERN)}, 1), lambda x: CAST(round(CAST(x AS INTEGER) / 2.20462) AS INTEGER)),
+                         list_transform(regexp_extract_all(text, {q(M.KG_PATTERN)}, 1), lambda x: CAST(x AS INTEGER))) AS kg
+      FROM f)
+SELECT l_orderkey, l_linenumber, 'height' AS field, CAST(len(cm) AS BIGINT) AS n_values, cm[1] AS first_value FROM c WHERE len(cm) > 0
+UNION ALL
+SELECT l_orderkey, l_linenumber, 'weight', CAST(len(kg) AS BIGINT), kg[1] FROM c WHERE len(kg) > 0
+"""
+
+_DATE_PARSE = ["%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%m/%d/%Y", "%B %d, %Y", "%d %B %Y", "%b %d, %Y"]
+
+ORACLE["posting_date"] = f"""
+WITH o AS (SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+                                                  WHEN 1 THEN strftime(o_orderdate, '%m/%d/%Y')
+                                                  ELSE strftime(o_orderdate, '%B %-d, %Y') END AS raw FROM orders)
+SELECT o_orderkey, raw,
+       strftime(coalesce({", ".join(f"try_strptime({strip_sql('raw')}, {q(f)})" for f in _DATE_PARSE)}), '%Y-%m-%dT%H:%M:%S') AS iso
+FROM o
+"""
+
+ORACLE["canonicalize_vocab"] = f"""
+WITH p AS (SELECT p_partkey, string_split(p_name, ' ') AS ws FROM part),
+u AS (SELECT p_partkey, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS word_ix FROM p),
+m AS (SELECT p_partkey, CAST(word_ix AS INTEGER) AS word_ix,
+             substr(w, 1, CAST(p_partkey % length(w) AS INTEGER)) || substr(w, CAST(p_partkey % length(w) AS INTEGER) + 2) AS raw FROM u),
+v AS (SELECT * FROM (VALUES {", ".join(f"({q(w)}, {i})" for i, w in enumerate(T.PART_WORDS))}) v(entry, ref_ix)),
+s AS (SELECT DISTINCT raw FROM m),
+sc AS (SELECT raw, entry, ref_ix, jaro_similarity(lower(trim(raw)), entry) AS score FROM s CROSS JOIN v),
+b AS (SELECT raw, entry, score, row_number() OVER (PARTITION BY raw ORDER BY score DESC, ref_ix) AS rn
+      FROM sc WHERE score >= 0.9)
+SELECT m.p_partkey, m.word_ix, m.raw, b.entry AS canonical, round(b.score, 6) AS score
+FROM m LEFT JOIN (SELECT * FROM b WHERE rn = 1) b ON m.raw = b.raw
+"""
+
+PHRASE_WEIGHTS = ", ".join(f"({q(p)}, CAST({T.PHRASE_WEIGHTS[p]} AS DOUBLE))" for p in T.PHRASE_VOCAB)
+
+PHRASE_SPANS = f"""
+t AS (SELECT doc_id, {TOKENS} AS toks FROM documents),
+p AS (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS i FROM t),
+g AS (SELECT doc_id, toks, i, unnest(range(1, least(3, len(toks) - i + 1) + 1)) AS k FROM p),
+v AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS start, CAST(i - 1 + k AS INTEGER) AS "end",
+             array_to_string(list_slice(toks, i, i + k - 1), ' ') AS txt FROM g),
+spans AS (SELECT v.doc_id, v.start, v."end", v.txt, w.weight FROM v JOIN (VALUES {PHRASE_WEIGHTS}) w(entry, weight)
+          ON lower(v.txt) = w.entry WHERE regexp_matches(lower(v.txt), {q(config.DICTIONARY_PREFILTER)}))
+"""
+
+ORACLE["annotate_tokens"] = f"""
+WITH {PHRASE_SPANS},
+a AS (SELECT doc_id, start, "end", unnest(range(start, "end")) AS pos FROM spans)
+SELECT doc_id, CAST(pos AS INTEGER) AS pos, 'phrase' AS type, CAST(pos - start AS INTEGER) AS "offset",
+       CASE WHEN pos = start THEN CAST("end" - start AS INTEGER) END AS length, start FROM a
+"""
+
+ORACLE["rebuild_spans"] = f"""
+WITH {PHRASE_SPANS}
+SELECT s.doc_id, s.start, s."end", trim(array_to_string(list_slice(t.toks, s.start + 1, s."end"), ' ')) AS value,
+       s.weight AS probability
+FROM spans s JOIN t ON s.doc_id = t.doc_id WHERE s.weight > 0.2
+"""
+
+ORACLE["score_mentions"] = """
+WITH u AS (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS x FROM u GROUP BY label, i),
+w AS (SELECT label, list(x ORDER BY i) AS w FROM c GROUP BY label),
+s AS (SELECT e.vec_id, e.label, list_dot_product(CAST(e.embedding AS DOUBLE[]), w.w) AS d
+      FROM embeddings e JOIN w ON e.label = w.label)
+SELECT vec_id, label, round(1.0 / (1.0 + exp(-d)), 6) AS score FROM s
+"""
+
+ORACLE["consistent_locations"] = """
+WITH g AS (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
+m AS (SELECT c_custkey AS doc_id, 'state' AS type, n_name AS value, 'title' AS source, CAST(0.6 AS DOUBLE) AS probability
+      FROM customer JOIN g ON c_nationkey = n_nationkey
+      UNION ALL SELECT c_custkey, 'state', n2.n_name, 'text', CAST(0.8 AS DOUBLE)
+      FROM customer JOIN nation n2 ON n2.n_nationkey = (c_nationkey + 7) % 25
+      UNION ALL SELECT c_custkey, 'country', r_name, 'text', CAST(0.5 AS DOUBLE) FROM customer JOIN g ON c_nationkey = n_nationkey),
+gz AS (SELECT 'state' AS type_a, n_name AS value_a, 'country' AS type_b, r_name AS value_b FROM g
+       UNION ALL SELECT 'country', r_name, 'state', n_name FROM g),
+pres AS (SELECT DISTINCT doc_id, type, value FROM m),
+p AS (SELECT a.doc_id, a.type, a.value, count(*) AS n FROM pres a
+      JOIN gz ON gz.type_a = a.type AND gz.value_a = a.value
+      JOIN pres b ON b.doc_id = a.doc_id AND b.type = gz.type_b AND b.value = gz.value_b
+      GROUP BY a.doc_id, a.type, a.value),
+s AS (SELECT m.doc_id, m.type, m.value,
+             (CASE m.source WHEN 'title' THEN CAST(1.0 AS DOUBLE) WHEN 'text' THEN CAST(0.5 AS DOUBLE) ELSE 0.0 END) * m.probability
+             + coalesce(p.n, 0) AS score
+      FROM m LEFT JOIN p ON m.doc_id = p.doc_id AND m.type = p.type AND m.value = p.value),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, type ORDER BY score DESC, value) AS rn FROM s)
+SELECT doc_id AS c_custkey, type, value, round(score, 6) AS score FROM b WHERE rn = 1
+"""

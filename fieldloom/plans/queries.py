@@ -205,3 +205,234 @@ def dedupe_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def consolidate_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.operators import consolidate as G
     return G.consolidate(event_candidates(spark, sf_dir))
+
+
+# --- normalisers on strings built from lineitem / part / customer (H1-H19) ---
+
+def _li(spark, sf_dir) -> DataFrame:
+    li = T.load(spark, sf_dir, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", F.floor("l_quantity").cast("int").alias("q"))
+
+
+def _with_fv(df: DataFrame, function: str, keep, **inputs) -> DataFrame:
+    """Run a normaliser in frame mode and unpack the FV struct."""
+    from fieldloom.functions import normalize as N
+    out = N.apply(df, function, "fv", **inputs)
+    return out.select(*keep, "fv.key", "fv.name", "fv.num", "fv.search")
+
+
+def age_text(q, ln) -> "F.Column":
+    return (F.when(ln % 4 == 0, (q + 10).cast("string"))
+            .when(ln % 4 == 1, F.concat((q + 10).cast("string"), F.lit("-"), (q + 15).cast("string")))
+            .when(ln % 4 == 2, F.concat(F.lit(" "), (q + 5).cast("string"), F.lit(" yo")))
+            .otherwise(F.concat(q.cast("string"), F.lit(".5"))))
+
+
+def height_text(q, ln) -> "F.Column":
+    f = (F.lit(4) + q % 4).cast("string")
+    i = (ln + q % 5).cast("string")
+    i2 = (ln + q % 5 + 1).cast("string")
+    return (F.when(ln % 5 == 0, F.concat(f, F.lit("'"), i, F.lit('"')))
+            .when(ln % 5 == 1, F.concat(f, F.lit("'"), i, F.lit('" - '), f, F.lit("'"), i2, F.lit('"')))
+            .when(ln % 5 == 2, F.concat(f, F.lit("'")))
+            .when(ln % 5 == 3, F.concat((q + 120).cast("string"), F.lit(" cm")))
+            .otherwise(F.concat(f, F.lit("' "), i)))
+
+
+def weight_text(q, ln) -> "F.Column":
+    return (F.when(ln % 7 == 0, F.concat((q * 4).cast("string"), F.lit(" lbs")))
+            .when(ln % 7 == 1, F.concat((q + 30).cast("string"), F.lit("kg")))
+            .when(ln % 7 == 2, F.concat((q + 30).cast("string"), F.lit(" kilos")))
+            .when(ln % 7 == 3, (q * 4).cast("string"))
+            .when(ln % 7 == 4, F.concat((q + 40).cast("string"), F.lit("."), ln.cast("string")))
+            .when(ln % 7 == 5, F.concat((q % 12).cast("string"), F.lit(" stone")))
+            .otherwise(F.concat((q * 3).cast("string"), F.lit(" pounds"))))
+
+
+@query
+def normalize_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _li(spark, sf_dir).withColumn("raw", age_text(F.col("q"), F.col("l_linenumber")))
+    return _with_fv(li, "clean_age", ["l_orderkey", "l_linenumber", "raw"], value="raw")
+
+
+@query
+def normalize_height(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _li(spark, sf_dir).withColumn("raw", height_text(F.col("q"), F.col("l_linenumber")))
+    return _with_fv(li, "clean_height", ["l_orderkey", "l_linenumber", "raw"], value="raw")
+
+
+@query
+def normalize_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _li(spark, sf_dir).withColumn("raw", weight_text(F.col("q"), F.col("l_linenumber")))
+    return _with_fv(li, "clean_weight", ["l_orderkey", "l_linenumber", "raw"], value="raw")
+
+
+@query
+def normalize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = T.load(spark, sf_dir, "part")
+    raw = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.col("p_name"), F.lit("  "), F.lower("p_type")))
+    raw = raw.otherwise(F.concat(F.lit("o'"), F.col("p_name"), F.lit("-"), F.lower("p_brand"), F.lit("\t3cd")))
+    out = _with_fv(p.select("p_partkey", raw.alias("raw")), "clean_name", ["p_partkey", "raw"], value="raw")
+    return out.select("p_partkey", "raw", "key", "name")
+
+
+@query
+def normalize_city(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators.plumbing import bounded_broadcast
+    c = T.load(spark, sf_dir, "customer")
+    geo = (T.load(spark, sf_dir, "nation")
+           .join(T.load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+           .select("n_nationkey", "n_name", "r_name"))
+    j = c.join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+    city = j.select("c_custkey", F.lower("n_name").alias("v"),
+                    F.when(F.col("c_custkey") % 4 != 0, F.col("r_name")).alias("st"), F.col("c_mktsegment").alias("co"),
+                    (F.col("c_acctbal") / 100).alias("lon"), ((F.col("c_custkey") % 180) - 90.5).alias("lat"))
+    out = _with_fv(city, "clean_city", ["c_custkey"], value="v", state="st", country="co", longitude="lon",
+                   latitude="lat")
+    return out.select("c_custkey", "key", "name")
+
+
+UNIT_PAIRS = [("kg", "lb"), ("lb", "kg"), ("ft", "in"), ("ft", "cm"), ("in", "ft"), ("in", "cm"), ("cm", "ft"),
+              ("cm", "in"), ("kg", "kg"), ("ft", "lb")]
+
+
+@query
+def unit_convert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.functions import normalize as N
+    li = T.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    idx = (F.col("l_orderkey") + F.col("l_linenumber")) % len(UNIT_PAIRS)
+    fu, tu = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for i, (a, b) in enumerate(UNIT_PAIRS):
+        fu = F.when(idx == i, F.lit(a)).otherwise(fu)
+        tu = F.when(idx == i, F.lit(b)).otherwise(tu)
+    li = li.withColumn("from_unit", fu).withColumn("to_unit", tu)
+    return li.select("l_orderkey", "l_linenumber", "from_unit", "to_unit",
+                     F.round(N.unit_conversion(F.col("l_quantity"), F.col("from_unit"), F.col("to_unit")), 6)
+                     .alias("converted"))
+
+
+def measurement_text(q, ln) -> "F.Column":
+    f = (F.lit(4) + q % 4).cast("string")
+    i = (ln + q % 5).cast("string")
+    return (F.when(ln % 4 == 0, F.concat(F.lit("she is "), f, F.lit("'"), i, F.lit('" and '), (q * 4).cast("string"),
+                                         F.lit(" lbs")))
+            .when(ln % 4 == 1, F.concat(F.lit("height "), (q + 150).cast("string"), F.lit(" cm")))
+            .when(ln % 4 == 2, F.concat(F.lit("weight "), (q + 40).cast("string"), F.lit(" kg, or "),
+                                        (q * 3).cast("string"), F.lit(" Pounds")))
+            .otherwise(F.lit("no measurements here")))
+
+
+@query
+def height_weight_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _li(spark, sf_dir).withColumn("text", measurement_text(F.col("q"), F.col("l_linenumber")))
+    rec = li.select("l_orderkey", "l_linenumber", mentions.height_weight(F.col("text")).alias("hw"))
+    split = mentions.split_height_weight(rec, ["l_orderkey", "l_linenumber"])
+    vals = F.coalesce(F.col("centimeter"), F.col("kilogram"))
+    return split.select("l_orderkey", "l_linenumber", "field", F.size(vals).cast("bigint").alias("n_values"),
+                        F.get(vals, 0).alias("first_value"))
+
+
+# --- dates (H13) --------------------------------------------------------------
+
+DATE_SHAPES = ["yyyy-MM-dd", "MM/dd/yyyy", "MMMM d, yyyy"]
+
+
+@query
+def posting_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = T.load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    shape = F.col("o_orderkey") % len(DATE_SHAPES)
+    raw = F.lit(None).cast("string")
+    for i, fmt in enumerate(DATE_SHAPES):
+        raw = F.when(shape == i, F.date_format("o_orderdate", fmt)).otherwise(raw)
+    o = o.select("o_orderkey", raw.alias("raw"))
+    return _with_fv(o, "clean_posting_date", ["o_orderkey", "raw"], value="raw").select(
+        "o_orderkey", "raw", F.col("name").alias("iso"))
+
+
+# --- canonicalisation (J1) ----------------------------------------------------
+
+def misspelled_part_words(spark, sf_dir) -> DataFrame:
+    """Each part-name word with one letter dropped (position by part key)."""
+    p = T.load(spark, sf_dir, "part").select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("word_ix", "w"))
+    pos = F.col("p_partkey") % F.length("w")
+    raw = F.concat(F.substring("w", 1, pos), F.substring(F.col("w"), pos + 2, 1 << 20))
+    return p.select("p_partkey", F.col("word_ix").cast("int").alias("word_ix"), raw.alias("raw"))
+
+
+@query
+def canonicalize_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import canonical as J
+    refs = J.reference_table(spark, {None: T.PART_WORDS})
+    out = J.canonicalize(misspelled_part_words(spark, sf_dir), "raw", refs, score_col="score")
+    return out.select("p_partkey", "word_ix", "raw", "canonical", F.round("score", 6).alias("score"))
+
+
+# --- spans (F1, G1) -------------------------------------------------------------
+
+def phrase_spans(spark, sf_dir) -> DataFrame:
+    return mentions.dictionary_mentions(_doc_tokens(spark, sf_dir), ["doc_id"], "tokens", T.phrase_vocab(spark),
+                                        field="phrase", n=3)
+
+
+@query
+def annotate_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import spans
+    a = spans.token_annotations(phrase_spans(spark, sf_dir), ["doc_id"])
+    return a.select("doc_id", "pos", "type", "offset", "length", "start")
+
+
+@query
+def rebuild_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import consolidate as G
+    s = G.rebuild_spans(phrase_spans(spark, sf_dir).withColumnRenamed("weight", "probability"))
+    return s.select("doc_id", "start", "end", "value", "probability")
+
+
+# --- scoring (F3, F4) -------------------------------------------------------------
+
+@query
+def score_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import scoring
+    e = T.load(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("string").alias("field"),
+                                                    F.col("embedding").alias("vec"))
+    models = scoring.prototype_models(e)
+    s = scoring.score(e, models)
+    return s.select("vec_id", F.col("field").cast("int").alias("label"), F.round("probability", 6).alias("score"))
+
+
+def location_mentions(spark, sf_dir) -> DataFrame:
+    """Per customer: its nation (title, 0.6), a decoy nation (text, 0.8) and its
+    region (text, 0.5) as state/country mentions."""
+    c = T.load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    n = T.load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = T.load(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    from fieldloom.operators.plumbing import bounded_broadcast
+    geo = bounded_broadcast(n.join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    own = c.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
+    decoy = c.withColumn("dk", (F.col("c_nationkey") + 7) % 25).join(
+        bounded_broadcast(n.select(F.col("n_nationkey").alias("dk"), F.col("n_name").alias("decoy"))), "dk")
+    m1 = own.select(F.col("c_custkey").alias("doc_id"), F.lit("state").alias("type"), F.col("n_name").alias("value"),
+                    F.lit("title").alias("source"), F.lit(0.6).alias("probability"))
+    m2 = decoy.select(F.col("c_custkey").alias("doc_id"), F.lit("state").alias("type"), F.col("decoy").alias("value"),
+                      F.lit("text").alias("source"), F.lit(0.8).alias("probability"))
+    m3 = own.select(F.col("c_custkey").alias("doc_id"), F.lit("country").alias("type"), F.col("r_name").alias("value"),
+                    F.lit("text").alias("source"), F.lit(0.5).alias("probability"))
+    return m1.unionByName(m2).unionByName(m3)
+
+
+def state_country_gazetteer(spark, sf_dir) -> DataFrame:
+    n = T.load(spark, sf_dir, "nation")
+    r = T.load(spark, sf_dir, "region")
+    pairs = n.join(r, F.col("n_regionkey") == F.col("r_regionkey")).select("n_name", "r_name")
+    a = pairs.select(F.lit("state").alias("type_a"), F.col("n_name").alias("value_a"),
+                     F.lit("country").alias("type_b"), F.col("r_name").alias("value_b"))
+    b = pairs.select(F.lit("country").alias("type_a"), F.col("r_name").alias("value_a"),
+                     F.lit("state").alias("type_b"), F.col("n_name").alias("value_b"))
+    return a.unionByName(b)
+
+
+@query
+def consistent_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import scoring
+    best = scoring.choose_locations(location_mentions(spark, sf_dir), state_country_gazetteer(spark, sf_dir))
+    return best.select(F.col("doc_id").alias("c_custkey"), "type", "value", F.round("score", 6).alias("score"))
