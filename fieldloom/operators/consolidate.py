@@ -63,16 +63,17 @@ def rebuild_spans(spans: DataFrame, threshold: float = config.SPAN_PROBABILITY)
 
 
 def route(cands: DataFrame) -> DataFrame:
-    """Add ``routed_tier``."""
-    strict = cands.where(F.col("tier") == "strict")
-    first = (strict.groupBy("doc_id", "field")
+    """Add ``routed_tier``.  One grouped minimum finds each field's
+    first strict-tier candidate; one left join brings it back (a hot
+    (doc, field) key is split by AQE's skew join, the other side being one
+    row per key)."""
+    first = (cands.where(F.col("tier") == "strict").groupBy("doc_id", "field")
              .agg(F.min(F.struct(*SEQ)).alias("__first")))
-    s = strict.join(first, ["doc_id", "field"], "inner")
+    j = cands.join(first, ["doc_id", "field"], "left")
     keep = (F.col("selected").isNotNull() | (F.col("probability") >= config.STRICT_PROBABILITY)
             | (F.struct(*SEQ) == F.col("__first")))
-    s = s.withColumn("routed_tier", F.when(F.coalesce(keep, F.lit(False)), "strict").otherwise("relaxed")).drop("__first")
-    r = cands.where(F.col("tier") != "strict").withColumn("routed_tier", F.lit("relaxed"))
-    return s.unionByName(r)
+    strict = (F.col("tier") == "strict") & F.coalesce(keep, F.lit(False))
+    return j.withColumn("routed_tier", F.when(strict, "strict").otherwise("relaxed")).drop("__first")
 
 
 def normalize_values(cands: DataFrame, normalize_config=None) -> DataFrame:
@@ -95,16 +96,26 @@ def normalize_values(cands: DataFrame, normalize_config=None) -> DataFrame:
 
 def dedupe(values: DataFrame) -> DataFrame:
     """First value per (doc, field, routed tier, name); numeric names are
-    compared by number (55 equals 55.0)."""
-    dkey = F.when(F.col("num").isNotNull(), F.concat(F.lit("#"), F.col("num").cast("string"))) \
-        .otherwise(F.concat(F.lit("$"), F.coalesce(F.col("name"), F.lit("\u0000null"))))
-    payload = [c for c in values.columns if c not in ("doc_id", "field", "routed_tier", "dedupe")]
-    d = values.where(F.col("dedupe")).withColumn("__dk", dkey)
-    kept = (d.groupBy("doc_id", "field", "routed_tier", "__dk")
-            .agg(F.min(F.struct(*SEQ, *[c for c in payload if c not in SEQ])).alias("__m"))
-            .select("doc_id", "field", "routed_tier", F.lit(True).alias("dedupe"), "__m.*"))
-    rest = values.where(~F.col("dedupe"))
-    return kept.select(*values.columns).unionByName(rest)
+    compared by number (55 equals 55.0).
+
+    One grouped minimum over ``seq`` does it (partial aggregation, no window
+    over a possibly hot group).  Rows that are not deduplicated (fallbacks,
+    unconfigured fields) get a key of their own, built from their pass,
+    position, rank and value, so they pass through unmerged.  No filter
+    follows the normaliser projections: a pushed-down filter would inline
+    every normaliser step into its condition.
+    """
+    name_key = (F.when(F.col("num").isNotNull(), F.concat(F.lit("#"), F.col("num").cast("string")))
+                .otherwise(F.concat(F.lit("$"), F.coalesce(F.col("name"), F.lit("\u0000null")))))
+    own_key = F.concat_ws("\u0001", F.lit("~"), F.col("tier"), F.col("pass_no").cast("string"),
+                          F.col("rank").cast("string"), F.col("pos").cast("string"),
+                          F.coalesce(F.col("value"), F.lit("\u0000null")))
+    payload = [c for c in values.columns if c not in ("doc_id", "field", "routed_tier") and c not in SEQ]
+    kept = (values.withColumn("__dk", F.when(F.col("dedupe"), name_key).otherwise(own_key))
+            .groupBy("doc_id", "field", "routed_tier", "__dk")
+            .agg(F.min(F.struct(*SEQ, *payload)).alias("__m"))
+            .select("doc_id", "field", "routed_tier", "__m.*"))
+    return kept.select(*values.columns)
 
 
 FIELD_COLUMNS = ["doc_id", "field", "tier", "pass_no", "rank", "pos", "key", "name", "num", "search"]
@@ -126,12 +137,15 @@ def title_description_candidates(docs: DataFrame) -> DataFrame:
     """G10/G11 candidates from per-document columns ``doc_id, title,
     strict_text, relaxed_text`` and optional ``inferlink_title``,
     ``inferlink_description``.  ``strict_text`` null means the document has no
-    strict segment: then neither title nor strict description is produced."""
+    strict segment: then no strict description (and no site-title fallback)
+    is produced."""
     for c in ("title", "strict_text", "relaxed_text", "inferlink_title", "inferlink_description"):
         if c not in docs.columns:
             docs = docs.withColumn(c, F.lit(None).cast("string"))
     has_strict = F.col("strict_text").isNotNull()
-    title = F.when(has_strict, F.coalesce(F.nullif(F.col("title"), F.lit("")), F.col("inferlink_title")))
+    # The page title is always visible (deliberate deviation); the site title
+    # is the fallback only when a strict segment exists.
+    title = F.coalesce(F.nullif(F.col("title"), F.lit("")), F.when(has_strict, F.col("inferlink_title")))
     desc_strict = F.when(has_strict, F.coalesce(F.col("inferlink_description"), F.col("strict_text")))
     def row(field, tier, pass_no, value):
         return F.struct(F.lit(field).alias("field"), F.lit(tier).alias("tier"), F.lit(pass_no).alias("pass_no"),

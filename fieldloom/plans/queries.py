@@ -436,3 +436,13 @@ def consistent_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.operators import scoring
     best = scoring.choose_locations(location_mentions(spark, sf_dir), state_country_gazetteer(spark, sf_dir))
     return best.select(F.col("doc_id").alias("c_custkey"), "type", "value", F.round("score", 6).alias("score"))
+
+
+# --- flagship: full pipeline (C1-C6, D1, X1, X7, G1-G13, A7) ---------------------
+
+@query
+def assemble_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.plans import pipeline
+    pages = T.load(spark, sf_dir, "pages")
+    docs = pipeline.consolidate_documents(pages, T.phrase_vocab(spark))
+    return pipeline.field_summary(docs)
