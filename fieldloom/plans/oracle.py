@@ -534,3 +534,66 @@ s AS (SELECT m.doc_id, m.type, m.value,
 b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, type ORDER BY score DESC, value) AS rn FROM s)
 SELECT doc_id AS c_custkey, type, value, round(score, 6) AS score FROM b WHERE rn = 1
 """
+
+
+# --- flagship ----------------------------------------------------------------------
+
+ORACLE["assemble_documents"] = f"""
+WITH {BLOCKS_CTE},
+f AS (SELECT * FROM blocks WHERE n_chars >= {config.STRICT_MIN_CHARS}
+      AND link_chars <= n_chars * {config.STRICT_MAX_LINK_DENSITY}),
+r AS (SELECT host, text FROM f GROUP BY host, text HAVING count(DISTINCT page_id) > {config.STRICT_MAX_SITE_REPEATS}),
+sb AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.host = f.host AND r.text = f.text)),
+st AS (SELECT page_id, string_agg(text, chr(10) ORDER BY block_ix) AS text FROM sb GROUP BY page_id),
+rt AS (SELECT page_id, string_agg(text, chr(10) ORDER BY block_ix) AS text FROM blocks GROUP BY page_id),
+segs AS (SELECT page_id, 'content_strict' AS segment, text FROM st WHERE text <> ''
+         UNION ALL SELECT page_id, 'content_relaxed', text FROM rt WHERE text <> ''),
+ttl AS (SELECT page_id, nullif(regexp_extract(html, {q(config.TITLE_PATTERN)}, 1), '') AS title FROM pages),
+tk AS (SELECT page_id, segment, text, {TOKENS} AS toks FROM segs),
+p1 AS (SELECT page_id, segment, toks, unnest(range(1, len(toks) + 1)) AS i FROM tk),
+p2 AS (SELECT page_id, segment, toks, i, unnest(range(1, least(3, len(toks) - i + 1) + 1)) AS k FROM p1),
+p3 AS (SELECT page_id, segment, i - 1 AS start, array_to_string(list_slice(toks, i, i + k - 1), ' ') AS txt FROM p2),
+spans AS (SELECT p3.page_id, p3.segment, p3.start, trim(p3.txt) AS value, w.weight AS probability
+          FROM p3 JOIN (VALUES {PHRASE_WEIGHTS}) w(entry, weight) ON lower(p3.txt) = w.entry
+          WHERE regexp_matches(lower(p3.txt), {q(config.DICTIONARY_PREFILTER)}) AND w.weight > {config.SPAN_PROBABILITY}),
+em1 AS (SELECT page_id, segment, string_split(regexp_replace(replace(text, chr(1), ''), {q(M.EMAIL_PATTERN)},
+               chr(1) || '\\0' || chr(1), 'g'), chr(1)) AS parts FROM segs),
+em2 AS (SELECT page_id, segment, parts, unnest(range(2, len(parts), 2)) AS i FROM em1),
+emails AS (SELECT page_id, segment, length(array_to_string(list_slice(parts, 1, i - 1), '')) AS start, parts[i] AS value
+           FROM em2 WHERE length(parts[i]) > 0),
+cand AS (
+  SELECT page_id AS doc_id, 'phrase' AS field, CASE WHEN segment = 'content_strict' THEN 'strict' ELSE 'relaxed' END AS tier,
+         CASE WHEN segment = 'content_strict' THEN 1 ELSE 6 END AS pass_no, -probability AS rank, start AS pos,
+         value, probability FROM spans
+  UNION ALL
+  SELECT page_id, 'email', CASE WHEN segment = 'content_strict' THEN 'strict' ELSE 'relaxed' END,
+         CASE WHEN segment = 'content_strict' THEN 2 ELSE 7 END, 0.0, start, value, NULL FROM emails
+  UNION ALL SELECT page_id, 'title', 'strict', 3, 0.0, 0, title, NULL FROM ttl WHERE title IS NOT NULL
+  UNION ALL SELECT page_id, 'title', 'relaxed', 4, 0.0, 0, title, NULL FROM ttl WHERE title IS NOT NULL
+  UNION ALL SELECT page_id, 'description', 'strict', 5, 0.0, 0, text, NULL FROM segs WHERE segment = 'content_strict'
+  UNION ALL SELECT page_id, 'description', 'relaxed', 8, 0.0, 0, text, NULL FROM segs WHERE segment = 'content_relaxed'),
+rs AS (SELECT *, row_number() OVER (PARTITION BY doc_id, field ORDER BY pass_no, rank, pos) AS rn FROM cand WHERE tier = 'strict'),
+routed AS (SELECT doc_id, field, pass_no, rank, pos, value,
+                  CASE WHEN probability >= 0.5 OR rn = 1 THEN 'strict' ELSE 'relaxed' END AS rtier FROM rs
+           UNION ALL SELECT doc_id, field, pass_no, rank, pos, value, 'relaxed' FROM cand WHERE tier <> 'strict'),
+dd AS (SELECT *, CASE WHEN field IN ('title', 'description')
+                      THEN row_number() OVER (PARTITION BY doc_id, field, rtier, value ORDER BY pass_no, rank, pos)
+                      ELSE 1 END AS dn FROM routed),
+fields AS (SELECT * FROM dd WHERE dn = 1),
+agg AS (SELECT doc_id, count(DISTINCT field) AS n_fields,
+               arg_min(CASE WHEN field = 'title' AND rtier = 'strict' THEN value END, (pass_no, rank, pos))
+                 FILTER (WHERE field = 'title' AND rtier = 'strict') AS title,
+               count(*) FILTER (WHERE field = 'description' AND rtier = 'strict') AS n_desc_strict,
+               count(*) FILTER (WHERE field = 'description' AND rtier = 'relaxed') AS n_desc_relaxed,
+               count(*) FILTER (WHERE field = 'phrase' AND rtier = 'strict') AS n_phrase_strict,
+               count(*) FILTER (WHERE field = 'phrase' AND rtier = 'relaxed') AS n_phrase_relaxed,
+               arg_min(value, (pass_no, rank, pos)) FILTER (WHERE field = 'phrase' AND rtier = 'strict') AS top_phrase,
+               count(*) FILTER (WHERE field = 'email' AND rtier = 'relaxed') AS n_email_relaxed
+        FROM fields GROUP BY doc_id)
+SELECT p.page_id, CAST(coalesce(a.n_fields, 0) AS BIGINT) AS n_fields, a.title,
+       CAST(coalesce(a.n_desc_strict, 0) AS BIGINT) AS n_desc_strict, CAST(coalesce(a.n_desc_relaxed, 0) AS BIGINT) AS n_desc_relaxed,
+       CAST(coalesce(a.n_phrase_strict, 0) AS BIGINT) AS n_phrase_strict,
+       CAST(coalesce(a.n_phrase_relaxed, 0) AS BIGINT) AS n_phrase_relaxed, a.top_phrase,
+       CAST(coalesce(a.n_email_relaxed, 0) AS BIGINT) AS n_email_relaxed
+FROM pages p LEFT JOIN agg a ON p.page_id = a.doc_id
+"""
