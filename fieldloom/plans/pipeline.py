@@ -98,3 +98,36 @@ def field_summary(documents: DataFrame, id_col: str = "page_id") -> DataFrame:
         F.coalesce(F.size(f["phrase"]["relaxed"]), F.lit(0)).cast("bigint").alias("n_phrase_relaxed"),
         F.get(f["phrase"]["strict"], 0)["name"].alias("top_phrase"),
         F.coalesce(F.size(f["email"]["relaxed"]), F.lit(0)).cast("bigint").alias("n_email_relaxed"))
+
+
+# --- extractor selection (B9) and table cells (X14, D3, F2) -----------------------
+
+REGEX_EXTRACTORS = {
+    "email": (mentions.EMAIL_PATTERN, 0),
+    "phone": (mentions.PHONE_PATTERN, 0),
+    "age": (mentions.AGE_PATTERN, 0),
+    "name": (r"(?i)(?:my[\s]+name[\s]+is[\s]+([-a-z0-9@$!]+))", 1),
+}
+
+
+def select_regexes(names, available=None, log=print) -> dict:
+    """The requested regex extractors; an unknown name is reported and
+    skipped, never fatal."""
+    available = available or REGEX_EXTRACTORS
+    out = {}
+    for n in names:
+        if n in available:
+            out[n] = available[n][0]
+        else:
+            log(f"{n} - Not found")
+    return out
+
+
+def cell_mentions(pages: DataFrame, vocab: DataFrame, *, id_col: str = "page_id", html_col: str = "html",
+                  field: str = "phrase", n: int = 3) -> DataFrame:
+    """Vocabulary mentions inside table cells: the segment plan keyed by
+    ``(id, table_ix, row_ix, cell_ix)``."""
+    keys = [id_col, "table_ix", "row_ix", "cell_ix"]
+    cells = content.extract_tables(pages, id_col, html_col)
+    toks = cells.select(*keys, tokens.tokenize(F.col("text")).alias("tokens"))
+    return mentions.dictionary_mentions(toks, keys, "tokens", vocab, field=field, n=n)

@@ -53,3 +53,25 @@ def test_site_fields_from_jsonl_shape(spark):
     df = spark.createDataFrame([("d1", ["25", "26"], None)], "doc_id string, `inferlink_age` array<string>, `inferlink_name` string")
     got = sorted((r.field, r.value) for r in site_field_mentions(df, ["doc_id"]).collect())
     assert got == [("age", "25"), ("age", "26")]
+
+
+def test_cell_mentions_and_annotations(spark):
+    from fieldloom.operators import spans
+    from fieldloom.plans import pipeline
+    html = ("<table><tr><td>Released under the MIT License.</td><td>x</td></tr>"
+            "<tr><th>of the</th></tr></table>")
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    vocab = spark.createDataFrame([("mit license", 0.9), ("of the", 0.3)], "entry string, weight double")
+    m = pipeline.cell_mentions(pages, vocab)
+    got = sorted((r.row_ix, r.cell_ix, r.value, r.start, r.end) for r in m.collect())
+    assert got == [(0, 0, "mit license", 3, 5), (1, 0, "of the", 0, 2)]
+    ann = spans.token_annotations(m, ["page_id", "table_ix", "row_ix", "cell_ix"]).collect()
+    assert sorted((a.row_ix, a.pos, a.offset, a.length) for a in ann) == [
+        (0, 3, 0, 2), (0, 4, 1, None), (1, 0, 0, 2), (1, 1, 1, None)]
+
+
+def test_select_regexes_skips_unknown():
+    from fieldloom.plans import pipeline
+    seen = []
+    out = pipeline.select_regexes(["email", "nonsense"], log=seen.append)
+    assert list(out) == ["email"] and seen == ["nonsense - Not found"]
