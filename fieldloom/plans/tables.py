@@ -11,7 +11,17 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+# Runtime SQL settings the plans rely on; applied to whatever session runs
+# them (a session built elsewhere does not carry ``session.DEFAULT_CONF``).
+RUNTIME_CONF = {"spark.sql.constraintPropagation.enabled": "false",
+                "spark.sql.adaptive.enabled": "true",
+                "spark.sql.adaptive.skewJoin.enabled": "true"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
