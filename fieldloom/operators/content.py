@@ -86,8 +86,10 @@ def strict_blocks(blocks: DataFrame, id_col: str, site_col: str,
     ``max_site_repeats`` distinct pages of one site.  Repeats are counted on
     ``(site, hash, length)`` with a distinct-count aggregation (partial
     aggregation; a hot site or block never lands whole in one task), and the
-    boilerplate keys are removed with an anti join: broadcast when the key set
-    is within ``max_broadcast_rows``, shuffled (AQE skew split) beyond.
+    boilerplate keys are removed with an anti join.  The key set is derived
+    from the data, so its size is measured at run time: AQE broadcasts it when
+    the measured size is small and keeps a shuffled join (with skew splitting)
+    otherwise; a separate counting pass would recompute the whole block job.
     """
     keyed = (blocks.where((F.col("n_chars") >= min_chars) & (F.col("link_chars") <= F.col("n_chars") * max_link_density))
              .withColumn("__h", F.xxhash64("text")))
@@ -95,7 +97,6 @@ def strict_blocks(blocks: DataFrame, id_col: str, site_col: str,
                 .agg(F.count_distinct(id_col).alias("__pages"))
                 .where(F.col("__pages") > max_site_repeats)
                 .select(site_col, "__h", "n_chars"))
-    repeated = bounded_broadcast(repeated, max_broadcast_rows)
     return keyed.join(repeated, [site_col, "__h", "n_chars"], "left_anti").drop("__h")
 
 

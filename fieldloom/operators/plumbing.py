@@ -77,14 +77,16 @@ def add_registered_domain(df: DataFrame, url_col: str = "url", out_col: str = "t
     """Add ``out_col`` = registered domain of the URL host; an existing
     non-null ``out_col`` is kept.
 
-    The suffix search runs once per distinct host, not per page; the host map
-    is broadcast when its size is within ``max_broadcast_hosts`` and joined by
-    a shuffle (AQE splits hot hosts) otherwise.
+    The suffix search runs once per distinct host, not per page.  The host
+    map is derived from the data, so its size is measured at run time: AQE
+    broadcasts it when small, otherwise the join stays shuffled and AQE splits
+    hot hosts (``max_broadcast_hosts`` is kept for callers that pass a
+    precomputed host table).
     """
     with_host = df.withColumn("__host", host_of(F.col(url_col)))
     hosts = with_host.select(F.col("__host").alias("host")).where(F.col("host").isNotNull()).distinct()
     rd = registered_domains(hosts, "host", suffixes).withColumnRenamed("host", "__host")
-    out = with_host.join(bounded_broadcast(rd, max_broadcast_hosts), "__host", "left").drop("__host")
+    out = with_host.join(rd, "__host", "left").drop("__host")
     if out_col in df.columns:
         return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("registered_domain"))).drop("registered_domain")
     return out.withColumnRenamed("registered_domain", out_col)

@@ -50,9 +50,10 @@ def prototype_models(examples: DataFrame, field_col: str = "field", vec_col: str
 
 def score(vectors: DataFrame, models: DataFrame, vec_col: str = "vec", field_col: str = "field",
           max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Add ``probability`` to rows carrying a context vector and a field; the
-    model table (one row per field) is a size-checked broadcast."""
-    m = bounded_broadcast(models.withColumnRenamed("field", field_col), max_broadcast_rows)
+    """Add ``probability`` to rows carrying a context vector and a field.  The
+    model table has one row per field; when it is derived from data its size
+    is measured at run time and AQE broadcasts it (no recomputing size pass)."""
+    m = models.withColumnRenamed("field", field_col)
     return (vectors.join(m, field_col, "inner")
             .withColumn("probability", sigmoid(dot(F.col(vec_col).cast("array<double>"), F.col("w")) + F.col("b")))
             .drop("w", "b"))
