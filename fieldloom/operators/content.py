@@ -150,24 +150,27 @@ def landmark_values(pages: DataFrame, rules: DataFrame, id_col: str, site_col: s
 
 
 def segments(pages: DataFrame, id_col: str, html_col: str = "html", url_col: str | None = "url",
-             strict: bool = True, site_col: str = "host") -> DataFrame:
+             strict: bool = True, site_col: str = "host", materialize: bool = True) -> DataFrame:
     """All content segments of the pages as ``(id, segment, source, text)``:
     ``title``, ``content_relaxed`` and (optionally) ``content_strict``; empty
-    segments are dropped (C6)."""
-    base = pages.select(id_col, html_col, *([url_col] if url_col else []))
-    with_blocks = base.withColumn("blocks", html_blocks(F.col(html_col)))
-    title = base.select(id_col, F.lit("title").alias("segment"), F.lit(html_col).alias("source"),
-                        extract_title(F.col(html_col)).alias("text"))
-    relaxed = with_blocks.select(id_col, F.lit("content_relaxed").alias("segment"), F.lit(html_col).alias("source"),
-                                 relaxed_content("blocks").alias("text"))
-    parts = [title, relaxed]
+    segments are dropped (C6).
+
+    The HTML is parsed once into per-page rows ``(id, site, title, blocks)``;
+    with ``materialize`` those rows are checkpointed so the relaxed/title
+    branch and the strict branch (explode, site repeat count, anti join,
+    regroup) both read them instead of re-parsing the HTML."""
+    site = host_of(F.col(url_col)) if url_col else F.lit("")
+    rows = pages.select(id_col, site.alias(site_col), extract_title(F.col(html_col)).alias("title"),
+                        html_blocks(F.col(html_col)).alias("blocks"))
+    if materialize:
+        from fieldloom.session import cut_lineage
+        rows = cut_lineage(rows)
+    src = F.lit(html_col).alias("source")
+    title = rows.select(id_col, F.lit("title").alias("segment"), src, F.col("title").alias("text"))
+    relaxed = rows.select(id_col, F.lit("content_relaxed").alias("segment"), src, relaxed_content("blocks").alias("text"))
+    out = title.unionByName(relaxed)
     if strict:
-        site = host_of(F.col(url_col)) if url_col else F.lit("")
-        exploded = explode_blocks(with_blocks.withColumn(site_col, site), id_col, keep=(site_col,))
+        exploded = explode_blocks(rows, id_col, keep=(site_col,))
         strict_df = join_blocks(strict_blocks(exploded, id_col, site_col), id_col)
-        parts.append(strict_df.select(id_col, F.lit("content_strict").alias("segment"),
-                                      F.lit(html_col).alias("source"), "text"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(strict_df.select(id_col, F.lit("content_strict").alias("segment"), src, "text"))
     return out.where(F.col("text") != "")

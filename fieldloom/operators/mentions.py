@@ -28,16 +28,22 @@ MARK = "\u0001"
 
 def ngrams(tokens, n: int) -> "F.Column":
     """``array<struct<start, k, text>>`` of every token n-gram up to ``n``
-    tokens (joined with one space), computed inside the row."""
+    tokens (joined with one space), computed inside the row.
+
+    The k-gram array is the (k-1)-gram array zipped with the tokens shifted by
+    k-1 (one linear pass per k), so no per-position slicing is needed."""
     t = col_of(tokens)
     size = F.size(t)
-    per_pos = F.transform(
-        F.sequence(F.lit(0), F.greatest(size - 1, F.lit(0))),
-        lambda i: F.transform(F.sequence(F.lit(1), F.greatest(F.least(F.lit(n), size - i), F.lit(1))),
-                              lambda k: F.struct(i.alias("start"), k.alias("k"),
-                                                 F.array_join(F.slice(t, i + 1, k), " ").alias("text"))))
-    return F.when(size > 0, F.flatten(per_pos)).otherwise(F.array().cast(
-        "array<struct<start:int,k:int,text:string>>"))
+    arrays, g = [t], t
+    for k in range(2, n + 1):
+        g = F.zip_with(g, F.slice(t, k, F.greatest(size - k + 1, F.lit(1))),
+                       lambda a, b: F.concat(a, F.lit(" "), b))
+        arrays.append(g)
+
+    def tag(k):
+        return lambda x, i: F.struct(i.alias("start"), F.lit(k).alias("k"), x.alias("text"))
+    parts = [F.transform(a, tag(k)) for k, a in enumerate(arrays, start=1)]
+    return F.filter(F.concat(*parts), lambda s: s["text"].isNotNull())
 
 
 def vocabulary(spark, entries, extra=None) -> DataFrame:
