@@ -354,28 +354,47 @@ def normalize_frame(df: DataFrame, field_col: str | None, out_col: str = "fv", *
     if functions is None:
         conf = normalize_config or config.NORMALIZE_CONFIG
         functions = {f: spec["function"] for f, spec in conf.items()}
+    steps, out = _frame_plan(df.sparkSession, field_col, functions, inputs)
+    for col, expr in steps:
+        df = df.withColumn(col, expr)
+    return df.withColumn(out_col, out).drop(*[c for c, _ in steps])
+
+
+_FRAME_CACHE: dict = {}
+
+
+def _frame_plan(spark, field_col, functions: dict, inputs: dict):
+    """Build (and cache per session) the step columns and the final FV
+    expression.  Column expressions are immutable, so one build serves every
+    DataFrame of the session; building them node by node from Python is the
+    expensive part, not evaluating them."""
+    cacheable = all(isinstance(v, str) for v in inputs.values())
+    key = (id(spark), field_col, tuple(sorted(functions.items())), tuple(sorted(inputs.items()))) if cacheable else None
+    if key is not None and key in _FRAME_CACHE:
+        return _FRAME_CACHE[key]
     by_fn: dict = {}
     for field, fn in functions.items():
         by_fn.setdefault(fn, []).append(field)
     base = _env({k: F.col(v) if isinstance(v, str) else v for k, v in inputs.items()})
-    tmp, finals = [], []
+    steps, finals = [], []
     for i, (fn, fields) in enumerate(by_fn.items()):
         if fn not in SPECS:
             raise ValueError(f"unknown normaliser {fn!r}")
-        steps, final = SPECS[fn]()
+        spec_steps, final = SPECS[fn]()
         gate = F.lit(True) if field_col is None else F.col(field_col).isin(*fields)
         env = dict(base)
-        for name, step in steps:
+        for name, step in spec_steps:
             col = f"__n{i}_{name}"
-            df = df.withColumn(col, F.when(gate, step(env)))
+            steps.append((col, F.when(gate, step(env))))
             env[name] = F.col(col)
-            tmp.append(col)
         finals.append((gate, final(env)))
     out = None
     for gate, expr in finals:
         out = F.when(gate, expr) if out is None else out.when(gate, expr)
     out = null_fv() if out is None else out.otherwise(null_fv())
-    return df.withColumn(out_col, out).drop(*tmp)
+    if key is not None:
+        _FRAME_CACHE[key] = (steps, out)
+    return steps, out
 
 
 def is_configured(field, normalize_config=None) -> Column:
