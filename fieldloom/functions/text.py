@@ -21,6 +21,31 @@ _PY_FLOAT = (r"^[" + ASCII_WS + r"]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0
              r"|(?i:inf|infinity|nan))[" + ASCII_WS + r"]*$")
 
 
+_MEMO: dict = {}
+
+
+def memo_column(fn):
+    """Memoise a Column builder per session and argument expressions.
+
+    Large expressions (Jaro, HTML blocks, n-grams) take seconds to assemble
+    node by node from Python, far longer than evaluating them; a built Column
+    is immutable, so one build can serve every DataFrame of the session."""
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        from pyspark.sql import SparkSession
+        try:
+            key = (id(SparkSession.getActiveSession()), fn.__module__, fn.__qualname__,
+                   tuple(str(a) for a in args), tuple(sorted((k, str(v)) for k, v in kwargs.items())))
+        except Exception:  # noqa: BLE001 - unhashable or unprintable argument: no memo
+            return fn(*args, **kwargs)
+        if key not in _MEMO:
+            _MEMO[key] = fn(*args, **kwargs)
+        return _MEMO[key]
+    return wrapper
+
+
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -108,6 +133,7 @@ def chars(c) -> Column:
         F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, 1)))
 
 
+@memo_column
 def jaro(a, b) -> Column:
     """Jaro similarity of two strings, evaluated with higher-order functions.
 

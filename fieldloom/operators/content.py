@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom import config
-from fieldloom.functions.text import col_of, html_to_text
+from fieldloom.functions.text import col_of, html_to_text, memo_column
 from fieldloom.operators.plumbing import bounded_broadcast, host_of
 
 # Patterns (shared with the SQL oracles in plans/).
@@ -43,6 +43,7 @@ def extract_title(html) -> "F.Column":
     return F.regexp_extract(col_of(html), config.TITLE_PATTERN, 1)
 
 
+@memo_column
 def html_blocks(html) -> "F.Column":
     """Array of ``(ix, text, n_chars, link_chars)`` for every block of a page,
     computed inside the row (no explode, no shuffle).  ``ix`` is the block's

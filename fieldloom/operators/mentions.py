@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom import config
-from fieldloom.functions.text import col_of
+from fieldloom.functions.text import col_of, memo_column
 from fieldloom.operators.plumbing import bounded_broadcast
 
 MARK = "\u0001"
@@ -26,6 +26,7 @@ MARK = "\u0001"
 
 # --- X1: dictionary ---------------------------------------------------------
 
+@memo_column
 def ngrams(tokens, n: int) -> "F.Column":
     """``array<struct<start, k, text>>`` of every token n-gram up to ``n``
     tokens (joined with one space), computed inside the row.
@@ -81,6 +82,7 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
 
 # --- X7: regex ---------------------------------------------------------------
 
+@memo_column
 def regex_matches(text, pattern: str) -> "F.Column":
     """All non-empty matches of ``pattern`` with character offsets:
     ``array<struct<ix, start, end, match>>``.
@@ -135,6 +137,7 @@ HW_TYPE = ("struct<height:struct<foot:array<string>,raw:array<struct<foot:int,in
            "weight:struct<pound:array<int>,kilogram:array<int>>>")
 
 
+@memo_column
 def height_weight(text) -> "F.Column":
     """Height/weight record of a text: feet-inch marks and ``N cm`` give
     ``height.centimeter`` (rounded), ``N lb`` and ``N kg`` give
