@@ -77,11 +77,40 @@ def candidates(extracted: dict, id_col: str = "page_id") -> DataFrame:
     return out
 
 
-def consolidate_documents(pages: DataFrame, vocab: DataFrame, id_col: str = "page_id", **kw) -> DataFrame:
-    """Pages -> ``(id, url, fields)`` documents shaped for the search index."""
-    ex = extract(pages, vocab, id_col=id_col, **kw)
-    fields = G.consolidate(cut_lineage(candidates(ex, id_col)))
-    docs = pages.select(F.col(id_col).alias("doc_id"), "url")
+def site_candidates(pages: DataFrame, id_col: str = "page_id") -> DataFrame | None:
+    """Wrapper (site) fields of the pages as strict extractor values
+    (pass 2), in the order of the site-field configuration."""
+    from fieldloom import config
+    order = {src: i for i, src in enumerate(s for srcs in config.SITE_FIELD_SOURCES.values() for s in srcs)}
+    present = [c for c in pages.columns if c in order]
+    if not present:
+        return None
+    m = mentions.site_field_mentions(pages.select(id_col, *[F.col(f"`{c}`") for c in present]), [id_col])
+    pos = F.lit(0).cast("bigint")
+    for src, i in order.items():
+        pos = F.when(F.col("source") == src, F.lit(i).cast("bigint")).otherwise(pos)
+    return m.select(F.col(id_col).alias("doc_id"), "field", F.lit("strict").alias("tier"), F.lit(2).alias("pass_no"),
+                    F.lit(0.0).alias("rank"), pos.alias("pos"), "value", F.lit(None).cast("double").alias("probability"))
+
+
+def consolidate_documents(pages: DataFrame, vocab: DataFrame, id_col: str = "page_id",
+                          html_col: str = "html", url_col: str = "url", references: DataFrame | None = None,
+                          **kw) -> DataFrame:
+    """Pages -> ``(id, url, fields)`` documents shaped for the search index.
+    Wrapper fields present on the pages (``inferlink_*`` columns, strings or
+    arrays of strings) join the candidates as strict extractor values.  With
+    ``references(field, canonical, synonym, ref_ix, syn_ix)`` the vocabulary
+    fields (eye/hair colour, ethnicity) are canonicalised (J1) first."""
+    ex = extract(pages, vocab, id_col=id_col, html_col=html_col, url_col=url_col, **kw)
+    cands = candidates(ex, id_col)
+    site = site_candidates(pages, id_col)
+    if site is not None:
+        cands = cands.unionByName(site.select(*cands.columns))
+    if references is not None:
+        from fieldloom.operators.canonical import canonicalize
+        cands = canonicalize(cands, "value", references, field_col="field")
+    fields = G.consolidate(cut_lineage(cands))
+    docs = pages.select(F.col(id_col).alias("doc_id"), url_col)
     return G.assemble(fields, docs).withColumnRenamed("doc_id", id_col)
 
 

@@ -75,3 +75,31 @@ def test_select_regexes_skips_unknown():
     seen = []
     out = pipeline.select_regexes(["email", "nonsense"], log=seen.append)
     assert list(out) == ["email"] and seen == ["nonsense - Not found"]
+
+
+def test_jsonl_record_to_index_documents(spark):
+    """A crawled record (JSON line) through the whole pipeline to the index shape."""
+    from fieldloom.plans import pipeline
+    from fieldloom.sources import pages as P
+    d = tempfile.mkdtemp(prefix="fl-e2e-")
+    html = ("<html><head><title>Hello There</title><script>var x='</p>';</script></head><body>"
+            "<nav><ul><li><a href='/a'>a</a></li></ul></nav><article><p>Released under the MIT License. "
+            "Write to someone@example.com for the details of the licence terms.</p></article></body></html>")
+    rec = {"_id": "c" * 64, "url": "http://www.site.example.com/p/1", "raw_content": html,
+           "inferlink_age": [{"result": {"value": "25"}}, {"result": {"value": "25"}}],
+           "inferlink_hair-color": [{"result": {"value": "Auburn"}}]}
+    with open(os.path.join(d, "a.jl"), "w") as fh:
+        fh.write(json.dumps(rec) + "\n")
+    pages = P.read_pages(spark, d)
+    vocab = spark.createDataFrame([("mit license", 0.9)], "entry string, weight double")
+    from fieldloom.operators.canonical import default_references
+    docs = pipeline.consolidate_documents(pages, vocab, id_col="cdr_id", html_col="raw_content",
+                                          references=default_references(spark))
+    out = P.index_documents(docs).first()
+    f = out.fields
+    assert out.cdr_id == "c" * 64
+    assert [v.name for v in f["title"].strict] == ["Hello There"]
+    assert [v.name for v in f["age"].strict] == ["25"] and f["age"].relaxed == []   # deduplicated
+    assert [(v.key, v.name) for v in f["hair-color"].strict] == [("auburn", "auburn")]  # renamed + canonicalised
+    assert [v.name for v in f["phrase"].strict] == ["MIT License"]
+    assert [v.name for v in f["email"].strict] == ["someone@example.com"]
