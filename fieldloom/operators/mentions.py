@@ -183,14 +183,15 @@ def site_field_map(spark, mapping=None) -> DataFrame:
     return spark.createDataFrame(rows, "source string, field string")
 
 
-def site_field_mentions(df: DataFrame, key_cols, mapping=None,
+def site_field_mentions(df: DataFrame, key_cols, mapping=None, with_index: bool = False,
                         max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
     """Unpivot the wrapper (site) columns present in ``df`` and map them to
     semantic fields: ``(*keys, field, source, value)``.  ``mapping`` is
     ``{field: [source column, ...]}`` (default: the site-field configuration).
     Array-valued site columns contribute one row per element; nulls and empty
     strings none.  One source may feed several fields and one field may have
-    several sources."""
+    several sources.  ``with_index`` adds ``ix``, the element's position in
+    its source array."""
     key_cols = list(key_cols)
     mapping = mapping or config.SITE_FIELD_SOURCES
     fm = site_field_map(df.sparkSession, mapping)
@@ -207,7 +208,7 @@ def site_field_mentions(df: DataFrame, key_cols, mapping=None,
                   if df.schema[c].dataType.simpleString().startswith("array") else F.array(ref.cast("string")))
         pairs.append(F.struct(F.lit(c).alias("s"), values.alias("v")))
     unp = df.select(*key_cols, F.explode(F.array(*pairs)).alias("z"))
-    long = (unp.select(*key_cols, F.col("z.s").alias("source"), F.explode("z.v").alias("value"))
+    long = (unp.select(*key_cols, F.col("z.s").alias("source"), F.posexplode("z.v").alias("ix", "value"))
             .where(F.col("value").isNotNull() & (F.col("value") != "")))
     return long.join(bounded_broadcast(fm, max_broadcast_rows), "source", "inner").select(
-        *key_cols, "field", "source", "value")
+        *key_cols, "field", "source", "value", *(["ix"] if with_index else []))

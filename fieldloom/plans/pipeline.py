@@ -85,10 +85,12 @@ def site_candidates(pages: DataFrame, id_col: str = "page_id") -> DataFrame | No
     present = [c for c in pages.columns if c in order]
     if not present:
         return None
-    m = mentions.site_field_mentions(pages.select(id_col, *[F.col(f"`{c}`") for c in present]), [id_col])
-    pos = F.lit(0).cast("bigint")
+    m = mentions.site_field_mentions(pages.select(id_col, *[F.col(f"`{c}`") for c in present]), [id_col],
+                                     with_index=True)
+    src_ix = F.lit(0).cast("bigint")
     for src, i in order.items():
-        pos = F.when(F.col("source") == src, F.lit(i).cast("bigint")).otherwise(pos)
+        src_ix = F.when(F.col("source") == src, F.lit(i).cast("bigint")).otherwise(src_ix)
+    pos = src_ix * (1 << 32) + F.col("ix")
     return m.select(F.col(id_col).alias("doc_id"), "field", F.lit("strict").alias("tier"), F.lit(2).alias("pass_no"),
                     F.lit(0.0).alias("rank"), pos.alias("pos"), "value", F.lit(None).cast("double").alias("probability"))
 

@@ -87,7 +87,8 @@ def test_jsonl_record_to_index_documents(spark):
             "Write to someone@example.com for the details of the licence terms.</p></article></body></html>")
     rec = {"_id": "c" * 64, "url": "http://www.site.example.com/p/1", "raw_content": html,
            "inferlink_age": [{"result": {"value": "25"}}, {"result": {"value": "25"}}],
-           "inferlink_hair-color": [{"result": {"value": "Auburn"}}]}
+           "inferlink_hair-color": [{"result": {"value": "Auburn"}}],
+           "inferlink_price": [{"result": {"value": "x"}}, {"result": {"value": "x"}}]}
     with open(os.path.join(d, "a.jl"), "w") as fh:
         fh.write(json.dumps(rec) + "\n")
     pages = P.read_pages(spark, d)
@@ -99,7 +100,10 @@ def test_jsonl_record_to_index_documents(spark):
     f = out.fields
     assert out.cdr_id == "c" * 64
     assert [v.name for v in f["title"].strict] == ["Hello There"]
-    assert [v.name for v in f["age"].strict] == ["25"] and f["age"].relaxed == []   # deduplicated
+    # first value strict; the second is demoted (not first, no probability) and is new in relaxed
+    assert [v.name for v in f["age"].strict] == ["25"] and [v.name for v in f["age"].relaxed] == ["25"]
     assert [(v.key, v.name) for v in f["hair-color"].strict] == [("auburn", "auburn")]  # renamed + canonicalised
     assert [v.name for v in f["phrase"].strict] == ["MIT License"]
     assert [v.name for v in f["email"].strict] == ["someone@example.com"]
+    prices = [v.name for v in f["price"].strict] + [v.name for v in f["price"].relaxed]
+    assert prices == ["x", "x"]   # unconfigured field: never deduplicated
