@@ -118,9 +118,6 @@ def dedupe(values: DataFrame) -> DataFrame:
     return kept.select(*values.columns)
 
 
-FIELD_COLUMNS = ["doc_id", "field", "tier", "pass_no", "rank", "pos", "key", "name", "num", "search"]
-
-
 def consolidate(cands: DataFrame, normalize_config=None) -> DataFrame:
     """Candidates -> ``fields(doc_id, field, tier, pass_no, rank, pos, key,
     name, num, search)``; list order within (doc, field, tier) is

@@ -34,9 +34,6 @@ CELL_PATTERN = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
 LIST_PATTERN = r"(?is)<(?:ul|ol)\b[^>]*>(.*?)</(?:ul|ol)>"
 ITEM_PATTERN = r"(?is)<li\b[^>]*>(.*?)</li>"
 
-BLOCK_TYPE = "array<struct<ix:int,text:string,n_chars:int,link_chars:int>>"
-
-
 def extract_title(html) -> "F.Column":
     """Text of the first ``<title>`` element, case-insensitive; ``.`` does not
     cross newlines.  Empty string when absent."""
@@ -65,10 +62,6 @@ def relaxed_content(blocks) -> "F.Column":
     return F.array_join(F.transform(col_of(blocks), lambda b: b["text"]), "\n")
 
 
-def is_strict_block(b, min_chars=config.STRICT_MIN_CHARS, max_link_density=config.STRICT_MAX_LINK_DENSITY):
-    return (b["n_chars"] >= min_chars) & (b["link_chars"] <= b["n_chars"] * max_link_density)
-
-
 def explode_blocks(df: DataFrame, id_col: str, blocks_col: str = "blocks", keep=()) -> DataFrame:
     """Long table ``(id, *keep, block_ix, text, n_chars, link_chars)``."""
     return (df.select(id_col, *keep, F.explode(blocks_col).alias("b"))
@@ -79,8 +72,7 @@ def explode_blocks(df: DataFrame, id_col: str, blocks_col: str = "blocks", keep=
 def strict_blocks(blocks: DataFrame, id_col: str, site_col: str,
                   min_chars: int = config.STRICT_MIN_CHARS,
                   max_link_density: float = config.STRICT_MAX_LINK_DENSITY,
-                  max_site_repeats: int = config.STRICT_MAX_SITE_REPEATS,
-                  max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+                  max_site_repeats: int = config.STRICT_MAX_SITE_REPEATS) -> DataFrame:
     """High-precision blocks: long enough, link-poor, and not boilerplate.
 
     A block is boilerplate when the same text occurs on more than

@@ -47,7 +47,7 @@ def ngrams(tokens, n: int) -> "F.Column":
     return F.filter(F.concat(*parts), lambda s: s["text"].isNotNull())
 
 
-def vocabulary(spark, entries, extra=None) -> DataFrame:
+def vocabulary(spark, entries) -> DataFrame:
     """Vocabulary table ``(entry)`` from a Python list (lower-cased)."""
     rows = [(e.lower(),) for e in entries]
     return spark.createDataFrame(rows, "entry string").distinct()

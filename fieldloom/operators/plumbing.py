@@ -72,16 +72,14 @@ def registered_domains(hosts: DataFrame, host_col: str = "host", suffixes: DataF
 
 
 def add_registered_domain(df: DataFrame, url_col: str = "url", out_col: str = "tld",
-                          suffixes: DataFrame | None = None,
-                          max_broadcast_hosts: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+                          suffixes: DataFrame | None = None) -> DataFrame:
     """Add ``out_col`` = registered domain of the URL host; an existing
     non-null ``out_col`` is kept.
 
     The suffix search runs once per distinct host, not per page.  The host
     map is derived from the data, so its size is measured at run time: AQE
     broadcasts it when small, otherwise the join stays shuffled and AQE splits
-    hot hosts (``max_broadcast_hosts`` is kept for callers that pass a
-    precomputed host table).
+    hot hosts.
     """
     with_host = df.withColumn("__host", host_of(F.col(url_col)))
     hosts = with_host.select(F.col("__host").alias("host")).where(F.col("host").isNotNull()).distinct()

@@ -48,8 +48,7 @@ def prototype_models(examples: DataFrame, field_col: str = "field", vec_col: str
             .select(F.col(field_col).alias("field"), F.col("mean").alias("w"), F.lit(0.0).alias("b")))
 
 
-def score(vectors: DataFrame, models: DataFrame, vec_col: str = "vec", field_col: str = "field",
-          max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+def score(vectors: DataFrame, models: DataFrame, vec_col: str = "vec", field_col: str = "field") -> DataFrame:
     """Add ``probability`` to rows carrying a context vector and a field.  The
     model table has one row per field; when it is derived from data its size
     is measured at run time and AQE broadcasts it (no recomputing size pass)."""
