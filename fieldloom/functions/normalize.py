@@ -60,9 +60,7 @@ def py_strip(c, chars: str | None = None) -> Column:
     """Python ``str.strip``: ASCII whitespace by default, else the given
     character set, from both ends."""
     c = col_of(c)
-    if chars is None:
-        return F.regexp_replace(c, "^[" + ASCII_WS + "]+|[" + ASCII_WS + "]+$", "")
-    return F.btrim(c, F.lit(chars))
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r" if chars is None else chars))
 
 
 # --- H6, H9, H10 -----------------------------------------------------------

@@ -76,17 +76,19 @@ def py2_str(c) -> Column:
     """Text of ``str(float)`` in Python 2: 12 significant digits (``%.12g``),
     trailing fraction zeros dropped (one kept after the point), ``.0``
     appended to bare integers.  Pass a column or a cheap expression: ``c`` is
-    referenced more than once."""
+    referenced more than once.  Plain decimals are fixed with ``rtrim``; only
+    the rare exponent form uses regular expressions."""
     c = col_of(c).cast("double")
     g = F.format_string("%.12g", c)
-    g = F.regexp_replace(g, r"(\.[0-9]*?[0-9])0*$", "$1")
-    g = F.regexp_replace(g, r"(\.[0-9]*?)0+e", "$1e")
-    g = F.regexp_replace(g, r"\.e", "e")
-    g = F.regexp_replace(g, r"^(-?[0-9]+)$", "$1.0")
+    frac = F.rtrim(g, F.lit("0"))
+    decimal = F.when(frac.endswith("."), F.concat(frac, F.lit("0"))).otherwise(frac)
+    expo = F.regexp_replace(F.regexp_replace(g, r"(\.[0-9]*?)0+e", "$1e"), r"\.e", "e")
     return (F.when(F.isnan(c), F.lit("nan"))
             .when(c == F.lit(float("inf")), F.lit("inf"))
             .when(c == F.lit(float("-inf")), F.lit("-inf"))
-            .otherwise(g))
+            .when(g.contains("e"), expo)
+            .when(g.contains("."), decimal)
+            .otherwise(F.concat(g, F.lit(".0"))))
 
 
 def collapse_ws(c, keep_edges: bool = True) -> Column:
