@@ -28,8 +28,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     than the session's default parallelism (a few large row groups), spread
     the rows round-robin.  Inputs that are already split (the normal case for
     many large files) are left alone, so no extra shuffle is added at scale."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no partition information (e.g. a remote session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

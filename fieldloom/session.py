@@ -57,17 +57,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when the setting is absent (local tests) is a fresh scratch folder set.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the setting
+        return current
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
     local = tempfile.mkdtemp(prefix="fieldloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
     return local
 
 
 def cut_lineage(df):
-    """Materialise ``df`` reliably (survives executor loss) and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """Materialise ``df`` reliably (survives executor loss) and cut its lineage.
+
+    Uses ``checkpoint()`` into the shared checkpoint folder (never a local
+    checkpoint).  If the session offers no checkpoint folder at all, the plan
+    is returned unchanged: results are the same, only recomputation is not
+    saved."""
+    if not ensure_checkpoint_dir(df.sparkSession):
+        return df
     return df.checkpoint(eager=True)
