@@ -3,8 +3,11 @@ vectorised word hashes, streaming over sorted runs."""
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def on_executors(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that a
+    task can import it wherever the driver was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        archive = shutil.make_archive(f"{tempfile.mkdtemp()}/fieldloom", "zip", root, "fieldloom")
+        sc.addPyFile(archive)  # the driver serves it; executors fetch it
+        _shipped.add(sc.applicationId)
+
+
 # --- 64-bit mixing ------------------------------------------------------------------
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -94,9 +111,11 @@ class Words:
         self.data, self.bounds, self.hash, self.start, self.end, self.first = data, bounds, hash_, start, end, first
 
 
-def split_words(data: np.ndarray, bounds: np.ndarray, part: np.ndarray = NOT_SPACE, codes: np.ndarray = CODES) -> Words:
+def split_words(data: np.ndarray, bounds: np.ndarray, part: np.ndarray = NOT_SPACE, codes: np.ndarray = CODES,
+                stem: int | None = None) -> Words:
     """Split ``data`` (UTF-8 bytes of several texts, cut at ``bounds``) into
-    maximal runs of ``part`` bytes and hash each run (A-Z as a-z by default)."""
+    maximal runs of ``part`` bytes and hash each run (A-Z as a-z by default), or
+    its first ``stem`` bytes."""
     n = len(data)
     inside = part[data]
     prev = np.zeros(n + 1, dtype=bool)
@@ -110,10 +129,31 @@ def split_words(data: np.ndarray, bounds: np.ndarray, part: np.ndarray = NOT_SPA
     p, q = _power_table(n)
     c = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(np.where(inside, codes[data], np.uint64(0)) * p[:n], out=c[1:])
-    h = mix64((c[end] - c[start]) * q[start])
+    to = end if stem is None else np.minimum(end, start + stem)
+    h = mix64((c[to] - c[start]) * q[start])
     return Words(data, bounds, h, start, end, np.searchsorted(start, bounds))
 
 
+SENTENCE_END = byte_set(b".!?\n")
+
+
+def sentence_starts(w: Words) -> np.ndarray:
+    """Index of each sentence's first word: a sentence ends at a word whose last
+    byte is . ! or ?, or where one of these or a line break follows the word."""
+    if not len(w.hash):
+        return np.zeros(0, dtype=np.int64)
+    c = np.concatenate([[0], np.cumsum(SENTENCE_END[w.data])])
+    new = np.ones(len(w.hash), dtype=bool)
+    new[1:] = c[w.start[1:]] > c[w.end[:-1] - 1]
+    new[w.first[w.first < len(new)]] = True
+    return np.flatnonzero(new)
+
+
+def char_offsets(data: np.ndarray) -> np.ndarray:
+    """Characters (code points) that begin before each byte offset."""
+    return np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+
+
 def text_pieces(column, limit: int = PIECE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first_row, bytes, bounds)`` for runs of whole texts of about ``limit``
     bytes (one longer text alone); a null text is empty."""

@@ -3,9 +3,16 @@ of its table with production parameters and returns the full result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fieldloom.llm.pair_bpe import decode, encode
+from fieldloom.llm.sentence_spans import repeated_spans
+from fieldloom.llm.spaced_seeds import contaminated
 from fieldloom.llm.token_groups import jaccard_classes
+from fieldloom.llm.toxicity import toxicity
+from fieldloom.llm.trie_counts import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +23,39 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", "n_sentences",
+                      F.size("offending").cast("long").alias("n_offending"))
+
+
+def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    out = decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_toxicity": op4_toxicity,
+    "op5_sentence_spans": op5_sentence_spans,
+    "op6_token_counts": op6_token_counts,
+    "op7_benchmark_overlap": op7_benchmark_overlap,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLE: dict[str, str] = {}

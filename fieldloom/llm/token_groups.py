@@ -40,7 +40,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import (batch, mix64, runs, shingle_sets, signed, split_words, stored, text_pieces)
+from fieldloom.llm.common import (batch, mix64, on_executors, runs, shingle_sets, signed, split_words, stored, text_pieces)
 from fieldloom.llm.graph import components
 
 SCAN = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("grp", pa.int64()),
@@ -307,6 +307,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     link when 100 * |intersection| >= percent * |union| of their shingle sets,
     and ``component_id`` is the smallest doc_id that links reach."""
     spark = docs.sparkSession
+    on_executors(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     scan = stored(docs.mapInArrow(_scan(k, buckets), SCAN_DDL), "scan")
     rows = scan.where("slice is null").select("doc_id", "n", "d1", "d2", "grp")
