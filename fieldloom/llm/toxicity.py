@@ -30,6 +30,7 @@ from fieldloom.llm.common import WORD_BYTES, Words, char_offsets, on_executors,
 DIM = 1 << 18
 STEM = 5  # bytes of a word's beginning
 OFFENDING = 0.5
+LEAST, ODDS = 5, 4.0  # toxic documents that hold a used feature, and how much more often they do
 
 
 def held_out(doc_id: Column) -> Column:
@@ -61,9 +62,10 @@ def _bags(batches):
                                              schema=schema)
 
 
-def fit(bags: list[tuple[int, bytes, bytes]], prior: tuple[float, float], rounds: int = 120, rate: float = 0.15,
+def fit(bags: list[tuple[int, bytes, bytes]], prior: tuple[float, float], rounds: int = 200, rate: float = 0.15,
         decay: float = 1e-5) -> tuple[np.ndarray, float]:
-    """Weights and bias that maximise the weighted noisy-or likelihood (Adam, full batch)."""
+    """Non-negative weights and a bias that maximise the weighted noisy-or
+    likelihood less ``decay`` times the sum of the weights (Adam, full batch)."""
     bags = [b for b in bags if len(b[2])]
     y = np.array([b[0] for b in bags], dtype=bool)
     if not y.any() or y.all():
@@ -71,10 +73,12 @@ def fit(bags: list[tuple[int, bytes, bytes]], prior: tuple[float, float], rounds
     feats = [np.frombuffer(b[1], np.int32) for b in bags]
     firsts = [np.frombuffer(b[2], np.int32) for b in bags]
     flat = np.concatenate(feats)
-    # a feature met in fewer than three documents cannot be told from chance
-    seen = np.bincount(np.concatenate([np.unique(f) for f in feats]), minlength=DIM)
-    code = np.full(DIM, 0, dtype=np.int64)
-    used = np.flatnonzero(seen >= 3)
+    # evidence: features that toxic documents hold clearly more often; others tell nothing apart from chance
+    held = [np.bincount(np.concatenate([np.unique(f) for f, t in zip(feats, y, strict=True) if t == side]), minlength=DIM)
+            for side in (False, True)]
+    odds = ((held[1] + 0.5) / (y.sum() + 1)) / ((held[0] + 0.5) / ((~y).sum() + 1))
+    used = np.flatnonzero((held[1] >= LEAST) & (odds >= ODDS))
+    code = np.zeros(DIM, dtype=np.int64)
     code[used] = np.arange(1, len(used) + 1)
     flat = code[flat]
     base = np.concatenate([[0], np.cumsum([len(f) for f in feats])])[:-1]
@@ -82,11 +86,10 @@ def fit(bags: list[tuple[int, bytes, bytes]], prior: tuple[float, float], rounds
     size = np.diff(np.r_[first, len(flat)])
     doc = np.repeat(np.arange(len(bags)), [len(f) for f in firsts])
     weight = np.where(y, prior[1] / max(1, y.sum()), prior[0] / max(1, (~y).sum())) * len(y)
-    theta = np.zeros(len(used) + 2)  # features from 1, bias at 0 (unused features), last: bias
-    theta[-1] = -4.0
+    theta = np.zeros(len(used) + 2)  # 0: all other features, then the used ones, last the bias
+    theta[-1] = -6.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
-        theta[0] = 0.0
         z = np.add.reduceat(theta[flat], first) + theta[-1]
         soft = np.logaddexp(0, z)
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -95,11 +98,12 @@ def fit(bags: list[tuple[int, bytes, bytes]], prior: tuple[float, float], rounds
         g = slope[doc] * p
         grad = np.bincount(flat, np.repeat(g, size), minlength=len(theta)).astype(float)
         grad[-1] += g.sum()
-        grad[:-1] += decay * theta[:-1]
+        grad[:-1] += decay
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    theta[0] = 0.0
+        theta[:-1] = np.maximum(theta[:-1], 0)  # a sentence is evidence for, never against
+        theta[0] = 0.0
     out = np.zeros(DIM, dtype=np.float32)
     out[used] = theta[1:-1]
     return out, float(theta[-1])
