@@ -7,7 +7,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldloom.llm.arc_warc import convert, http_field
+from fieldloom.llm.epsilon_grid import near_copies
+from fieldloom.llm.kd_shards import kd_shards
 from fieldloom.llm.pair_bpe import decode, encode
+from fieldloom.llm.secret_scan import scan
 from fieldloom.llm.sentence_spans import repeated_spans
 from fieldloom.llm.spaced_seeds import contaminated
 from fieldloom.llm.token_groups import jaccard_classes
@@ -19,6 +23,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = kd_shards(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op2_epsilon_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +55,19 @@ def op7_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_arc_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = convert(_table(spark, sf_dir, "pages"))
+    whole = F.when(F.col("type") == "revisit", http_field(F.col("head"), "Content-Length").cast("long")).otherwise(F.octet_length("body"))
+    digest = F.when(F.col("type") == "revisit", F.col("payload_digest")).otherwise(F.sha2("body", 256))
+    return back.select(F.col("key").alias("page_id"), whole.cast("long").alias("payload_bytes"), digest.alias("payload_digest"),
+                       F.col("type").alias("record_type"), F.col("refers_key").alias("refers_to"))
+
+
+def op9_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (scan(_table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base_spans"), 256).alias("base_sha256"), "spans"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     out = decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
@@ -50,11 +77,15 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_kd_shards": op1_kd_shards,
+    "op2_epsilon_grid": op2_epsilon_grid,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_toxicity": op4_toxicity,
     "op5_sentence_spans": op5_sentence_spans,
     "op6_token_counts": op6_token_counts,
     "op7_benchmark_overlap": op7_benchmark_overlap,
+    "op8_arc_warc": op8_arc_warc,
+    "op9_secret_links": op9_secret_links,
     "op10_bpe": op10_bpe,
 }
 

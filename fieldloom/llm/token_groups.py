@@ -9,14 +9,16 @@ opened and its members compared exactly.
 Steps:
 1. One scan hashes each text's distinct k-word shingles and keeps per document
    the set's size, a 128-bit digest and the smallest hash, and per task a table
-   of shingle counts in ``buckets`` cells (a fixed size, summed over all tasks).
+   of shingle counts in ``buckets`` cells (a fixed size, summed over all tasks;
+   more cells order the shingles of a larger corpus better, results are equal).
 2. Equal digests are one class, represented by its smallest doc_id.
 3. A second scan orders each set by (bucket count, hash), rare shingles first,
    and emits the prefix that any similar set must share a shingle with, under
-   the group's key.  Groups that share such a shingle and whose sizes fit are
+   the group's key.  Groups that share such a shingle, whose sizes fit and whose
+   orders have enough left from it on, are
    the candidate cells of the matrix.
 4. Texts of candidate groups alone are read again and stored as group rows:
-   the union and each member's positions in it.
+   the union and a bit per member and token.
 5. Each candidate pair of groups bounds the overlap of every member with the
    other union, opens what qualifies, and counts exact intersections.  Only a
    spanning forest of the links found leaves the task, so a group of near
@@ -59,7 +61,7 @@ def _scan(k: int, buckets: int):
     shift = np.uint64(64 - buckets.bit_length() + 1)
 
     def run(batches):
-        counts = np.zeros(buckets, dtype=np.int64)
+        counts = np.zeros(buckets, dtype=np.int32)
         for b in batches:
             ids, texts = b.column(0).to_numpy(zero_copy_only=False), b.column(1)
             rows: list = []
@@ -85,11 +87,11 @@ def _scan(k: int, buckets: int):
 
 
 def _pack(x: np.ndarray) -> bytes:
-    return zstandard.compress(x.astype(np.int64).tobytes(), 1)
+    return zstandard.compress(x.astype(np.int32).tobytes(), 1)
 
 
 def _unpack(x: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(x), dtype=np.int64)
+    return np.frombuffer(zstandard.decompress(x), dtype=np.int32)
 
 
 def _levels(scan: DataFrame, buckets: int) -> np.ndarray:
@@ -104,13 +106,16 @@ def _levels(scan: DataFrame, buckets: int) -> np.ndarray:
     for fan in (64, 64):
         part = (part.withColumn("task", F.expr(f"task div {fan}")).groupBy("slice", "task")
                 .applyInPandas(add, "slice long, task long, counts binary"))
-    out = np.zeros(buckets, dtype=np.int64)
+    out = np.zeros(buckets, dtype=np.uint8)
+    part = part.groupBy("slice").applyInPandas(lambda key, pdf: add((key[0], 0), pdf), "slice long, task long, counts binary")
     for r in part.toLocalIterator():
-        out[r["slice"] * SLICE:(r["slice"] + 1) * SLICE] += _unpack(bytes(r["counts"]))
-    return np.minimum(255, np.round(8 * np.log2(1 + out))).astype(np.uint8)
+        c = _unpack(bytes(r["counts"]))
+        out[r["slice"] * SLICE:r["slice"] * SLICE + len(c)] = np.minimum(255, np.round(8 * np.log2(1.0 + c)))
+    return out
 
 
-POSTING = pa.schema([("token", pa.int64()), ("grp", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
+POSTING = pa.schema([("token", pa.int64()), ("grp", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("rest", pa.int32())])
+POSTING_DDL = "token long, grp long, lo int, hi int, rest int"
 
 
 def _postings(k: int, percent: int, levels):
@@ -120,7 +125,7 @@ def _postings(k: int, percent: int, levels):
         seen: set = set()
         for b in batches:
             ids = b.column(0)
-            tok, grp, size = [], [], []
+            tok, grp, size, rest = [], [], [], []
             for i, data, bounds in text_pieces(b.column(1)):
                 for j, s in enumerate(shingle_sets(split_words(data, bounds), k)):
                     n = len(s)
@@ -135,10 +140,11 @@ def _postings(k: int, percent: int, levels):
                     rare = np.argsort(level[(s >> shift).astype(np.int64)], kind="stable")[:n - _need(n, percent) + 1]
                     tok.append(s[rare])
                     grp.append(np.full(len(rare), s[0]))
-                    size.append(np.full(len(rare), n))
+                    size.append(np.full(len(rare), n, dtype=np.int32))
+                    rest.append(np.arange(n, n - len(rare), -1, dtype=np.int32))  # shingles from here on in the order
             if tok:
-                n = pa.array(np.concatenate(size), pa.int64())
-                yield batch(POSTING, signed(np.concatenate(tok)), signed(np.concatenate(grp)), n, n)
+                n = pa.array(np.concatenate(size), pa.int32())
+                yield batch(POSTING, signed(np.concatenate(tok)), signed(np.concatenate(grp)), n, n, np.concatenate(rest))
     return run
 
 
@@ -150,7 +156,7 @@ def _meet(percent: int):
     def run(batches):
         held = None
         for b in batches:
-            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
             if held is not None:
                 cols = [np.concatenate(x) for x in zip(held, cols, strict=True)]
             if not len(cols[0]):
@@ -166,17 +172,18 @@ def _meet(percent: int):
 
 
 def _fold(cols):
-    tok, grp, lo, hi = cols
+    """One row per token and group, tokens and groups in order."""
+    tok, grp = cols[:2]
     if not len(tok):
         return cols
     order = np.lexsort((grp, tok))
-    tok, grp, lo, hi = (x[order] for x in (tok, grp, lo, hi))
+    tok, grp, lo, hi, rest = (x[order] for x in cols)
     new = np.flatnonzero(np.r_[True, (tok[1:] != tok[:-1]) | (grp[1:] != grp[:-1])])
-    return [tok[new], grp[new], np.minimum.reduceat(lo, new), np.maximum.reduceat(hi, new)]
+    return [tok[new], grp[new], np.minimum.reduceat(lo, new), np.maximum.reduceat(hi, new), np.maximum.reduceat(rest, new)]
 
 
 def _pairs(cols, percent):
-    tok, grp, lo, hi = _fold(cols)
+    tok, grp, lo, hi, rest = (x.astype(np.int64) for x in _fold(cols))
     i = np.arange(len(tok))
     d = 0
     found, rows = [], 0
@@ -187,7 +194,9 @@ def _pairs(cols, percent):
         if not len(i):
             break
         j = i + d
-        ok = (100 * hi[i] >= percent * lo[j]) & (100 * hi[j] >= percent * lo[i])
+        # sizes must fit, and what follows the shared shingle in both orders must reach the smallest overlap of such sizes
+        ok = ((100 * hi[i] >= percent * lo[j]) & (100 * hi[j] >= percent * lo[i])
+              & ((100 + percent) * np.minimum(rest[i], rest[j]) >= percent * (lo[i] + lo[j])))
         if ok.any():
             found.append(np.stack([np.minimum(grp[i], grp[j])[ok], np.maximum(grp[i], grp[j])[ok]]))
             rows += found[-1].shape[1]
@@ -205,25 +214,34 @@ def _unique_pairs(found):
     return batch(PAIR, p[0][keep], p[1][keep])
 
 
-GROUP = pa.schema([("gid", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("tokens", pa.binary()), ("at", pa.binary())])
-GROUP_DDL = "gid long, ids binary, sizes binary, tokens binary, at binary"
+GROUP = pa.schema([("gid", pa.int64()), ("ids", pa.binary()), ("tokens", pa.binary()), ("bits", pa.binary())])
+GROUP_DDL = "gid long, ids binary, tokens binary, bits binary"
+WIDTH = 6  # bytes kept of a shingle's hash in a matrix row
+
+
+def _narrow(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH]).tobytes()
+
+
+def _wide(x: bytes) -> np.ndarray:
+    out = np.zeros((len(x) // WIDTH, 8), dtype=np.uint8)
+    out[:, :WIDTH] = np.frombuffer(x, np.uint8).reshape(-1, WIDTH)
+    return out.reshape(-1).view("<u8")
 
 
 def _group_rows(k: int):
-    """One matrix row per group: the token union and each member's places in it."""
+    """One matrix row per group: the token union, and a bit per member and token."""
     def run(batches):
+        low = np.uint64((1 << 8 * WIDTH) - 1)
         for t in runs(batches, "gid"):
-            ids, sets = [], []
-            col = t.column("text").combine_chunks() if t.num_rows else t.column("text")
-            for i, data, bounds in text_pieces(col):
-                sets += list(shingle_sets(split_words(data, bounds), k))
-            ids = t.column("doc_id").to_numpy()
-            ids, first = np.unique(ids, return_index=True)
+            sets = []
+            for i, data, bounds in text_pieces(t.column("text")):
+                sets += [np.unique(s & low) for s in shingle_sets(split_words(data, bounds), k)]
+            ids, first = np.unique(t.column("doc_id").to_numpy(), return_index=True)
             sets = [sets[i] for i in first]
-            union, at = np.unique(np.concatenate(sets), return_inverse=True)
-            yield batch(GROUP, [t.column("gid")[0].as_py()], [ids.astype(np.int64).tobytes()],
-                        [np.array([len(s) for s in sets], dtype=np.int64).tobytes()], [union.tobytes()],
-                        [at.astype(np.int32).tobytes()])
+            union = np.unique(np.concatenate(sets))
+            bits = b"".join(np.packbits(np.isin(union, s, assume_unique=True)).tobytes() for s in sets)
+            yield batch(GROUP, [t.column("gid")[0].as_py()], [ids.astype(np.int64).tobytes()], [_narrow(union)], [bits])
     return run
 
 
@@ -232,37 +250,32 @@ BLOCK = 1 << 16
 
 
 class _Group:
-    def __init__(self, ids, sizes, tokens, at):
-        self.ids, self.sizes = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64)
-        self.tokens, self.at = np.frombuffer(tokens, np.uint64), np.frombuffer(at, np.int32)
-        self.of = np.repeat(np.arange(len(self.ids)), self.sizes)
+    def __init__(self, ids, tokens, bits):
+        self.ids, self.union = np.frombuffer(ids, np.int64), _wide(tokens)
+        self.packed = np.frombuffer(bits, np.uint8).reshape(len(self.ids), -1)
+        self.sizes = np.bitwise_count(self.packed).sum(axis=1, dtype=np.int64)
+
+    def bits(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        """Which of the union's ``columns`` the members ``rows`` hold."""
+        return self.packed[np.ix_(rows, columns >> 3)] >> (7 - (columns & 7)).astype(np.uint8) & 1
 
 
 def _linked(x: _Group, y: _Group, percent: int) -> tuple:
     """Members of x and of y that open the other group, and which of them link."""
-    common, in_x, in_y = np.intersect1d(x.tokens, y.tokens, assume_unique=True, return_indices=True)
+    _, in_x, in_y = np.intersect1d(x.union, y.union, assume_unique=True, return_indices=True)
     sides = []
     for g, place in ((x, in_x), (y, in_y)):
-        code = np.full(len(g.tokens), -1, dtype=np.int64)
-        code[place] = np.arange(len(common))
-        at = code[g.at]
-        covered = np.bincount(g.of[at >= 0], minlength=len(g.ids))  # the bound: what the other union covers
-        opened = np.flatnonzero(100 * covered >= percent * g.sizes)
-        sides.append((at, g.of, opened))
-    (at_x, of_x, open_x), (at_y, of_y, open_y) = sides
-    if not len(open_x) or not len(open_y):
-        return open_x, open_y, np.zeros((len(open_x), len(open_y)), dtype=bool)
+        everyone = np.arange(len(g.ids))
+        covered = np.zeros(len(g.ids), dtype=np.int64)  # the bound: how much the other union covers
+        for s in range(0, len(place), BLOCK):
+            covered += g.bits(everyone, place[s:s + BLOCK]).sum(axis=1, dtype=np.int64)
+        sides.append(np.flatnonzero(100 * covered >= percent * g.sizes))
+    open_x, open_y = sides
     inter = np.zeros((len(open_x), len(open_y)), dtype=np.int64)
-    for s in range(0, len(common), BLOCK):
-        m = []
-        for at, of, opened in sides:
-            row = np.full(int(of.max(initial=-1)) + 1, -1)
-            row[opened] = np.arange(len(opened))
-            ok = (at >= s) & (at < s + BLOCK) & (row[of] >= 0)
-            z = np.zeros((len(opened), min(BLOCK, len(common) - s)), dtype=np.float32)
-            z[row[of[ok]], at[ok] - s] = 1
-            m.append(z)
-        inter += np.rint(m[0] @ m[1].T).astype(np.int64)
+    if inter.size:
+        for s in range(0, len(in_x), BLOCK):
+            a, b = x.bits(open_x, in_x[s:s + BLOCK]), y.bits(open_y, in_y[s:s + BLOCK])
+            inter += np.rint(a.astype(np.float32) @ b.T.astype(np.float32)).astype(np.int64)
     both = x.sizes[open_x][:, None] + y.sizes[open_y][None, :] - inter
     return open_x, open_y, 100 * inter >= percent * both
 
@@ -290,8 +303,8 @@ def _open(percent: int):
         for b in batches:
             a, c = [], []
             for r in b.to_pylist():
-                x = _Group(r["ids"], r["sizes"], r["tokens"], r["at"])
-                y = x if r["gid"] == r["gid2"] else _Group(r["ids2"], r["sizes2"], r["tokens2"], r["at2"])
+                x = _Group(r["ids"], r["tokens"], r["bits"])
+                y = x if r["gid"] == r["gid2"] else _Group(r["ids2"], r["tokens2"], r["bits2"])
                 ox, oy, link = _linked(x, y, percent)
                 for p, q in _forest(x.ids[ox], y.ids[oy], link):
                     a.append(p)
@@ -302,7 +315,7 @@ def _open(percent: int):
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
-                    buckets: int = 1 << 22) -> DataFrame:
+                    buckets: int = 1 << 24) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per input row: documents
     link when 100 * |intersection| >= percent * |union| of their shingle sets,
     and ``component_id`` is the smallest doc_id that links reach."""
@@ -316,10 +329,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     usable = rows.where("doc_id is not null and n > 0")
     classes = stored(usable.groupBy("d1", "d2", "n", "grp").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     chunks = F.greatest(F.expr(f"ceil(count(1) / {GROUP_DOCS})"), F.expr(f"ceil(sum(n) / {GROUP_SHINGLES})"))
-    groups = stored(classes.groupBy("grp").agg(chunks.cast("long").alias("chunks"), F.count(F.lit(1)).alias("members"))
-                    , "groups")
+    groups = stored(classes.groupBy("grp").agg(chunks.cast("long").alias("chunks"), F.count(F.lit(1)).alias("members")),
+                    "groups")
 
-    posted = (docs.mapInArrow(_postings(k, percent, levels), "token long, grp long, lo long, hi long")
+    posted = (docs.mapInArrow(_postings(k, percent, levels), POSTING_DDL)
               .repartition("token").sortWithinPartitions("token"))
     cells = posted.mapInArrow(_meet(percent), "g long, h long").distinct()
     own = groups.where("members > 1").select(F.col("grp").alias("g"), F.col("grp").alias("h"))
