@@ -48,7 +48,7 @@ from fieldloom.llm.graph import components
 SCAN = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("grp", pa.int64()),
                   ("slice", pa.int64()), ("task", pa.int64()), ("counts", pa.binary())])
 SCAN_DDL = "doc_id long, n long, d1 long, d2 long, grp long, slice long, task long, counts binary"
-SLICE = 1 << 16  # count cells per stored slice
+SLICE, FAN = 1 << 20, 64  # count cells per stored slice; tasks whose tables are summed at a time
 GROUP_DOCS, GROUP_SHINGLES = 128, 2_000_000  # a larger group is cut into chunks; chunks meet pairwise
 
 
@@ -96,18 +96,19 @@ def _unpack(x: bytes) -> np.ndarray:
 
 def _levels(scan: DataFrame, buckets: int) -> np.ndarray:
     """Per cell, a byte that grows with the logarithm of its count.  The tasks'
-    tables are summed in groups of 64, 4,096 and all; the result has ``buckets``
+    tables are summed ``FAN`` at a time, level by level; the result has ``buckets``
     bytes whatever the size of the corpus."""
     def add(key, pdf):
         import pandas as pd
         out = sum(map(_unpack, pdf["counts"]))
         return pd.DataFrame({"slice": [key[0]], "task": [key[1]], "counts": [_pack(out)]})
     part = scan.where("slice is not null").select("slice", "task", "counts")
-    for fan in (64, 64):
-        part = (part.withColumn("task", F.expr(f"task div {fan}")).groupBy("slice", "task")
+    last = part.agg(F.max("task")).first()[0] or 0
+    while last > 0:
+        last //= FAN
+        part = (part.withColumn("task", F.expr(f"task div {FAN}")).groupBy("slice", "task")
                 .applyInPandas(add, "slice long, task long, counts binary"))
     out = np.zeros(buckets, dtype=np.uint8)
-    part = part.groupBy("slice").applyInPandas(lambda key, pdf: add((key[0], 0), pdf), "slice long, task long, counts binary")
     for r in part.toLocalIterator():
         c = _unpack(bytes(r["counts"]))
         out[r["slice"] * SLICE:r["slice"] * SLICE + len(c)] = np.minimum(255, np.round(8 * np.log2(1.0 + c)))
