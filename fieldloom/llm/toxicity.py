@@ -164,18 +164,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return fit(bags, (count[0] / total, count[1] / total))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, score, n_sentences, offending)`` per row: the noisy-or score and
-    the sentences (character spans) whose own score reaches ``OFFENDING``."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The ``keep`` columns of each row with ``score``, ``n_sentences`` and
+    ``offending``: the noisy-or score and the sentences (character spans) whose own
+    score reaches ``OFFENDING``.  Kept columns must not have these names."""
     on_executors(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_score(shared), "doc_id long, " + SCORED)
+    rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).alias("__text"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(_score(shared), f"{schema}, {SCORED}")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7,
              **kw) -> DataFrame:
     """Train and score: adds ``held_out`` and ``predicted`` (score >= threshold)."""
-    out = score(docs, train(docs, labels, id_col, text_col, **kw), id_col, text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    out = score(rows, train(docs, labels, id_col, text_col, **kw))
     return (out.withColumn("held_out", F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
