@@ -33,8 +33,8 @@ from fieldloom.llm.common import on_executors, text_pieces
 
 # Fixed value: the split pattern of byte-level pre-tokenisation.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-BLOCK_BYTES = 1 << 21
-KNOWN = 400_000
+BLOCK_BYTES = 1 << 20
+KNOWN = 200_000
 
 
 def byte_letters() -> dict[str, int]:
