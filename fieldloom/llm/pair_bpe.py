@@ -109,7 +109,7 @@ def merge_all(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray
     order = np.argsort(known, kind="stable")
     at, known = at[order], known[order]
     cut = np.flatnonzero(np.r_[True, known[1:] != known[:-1]]) if len(known) else np.zeros(0, dtype=np.int64)
-    index = {int(known[s]): at[s:e].tolist() for s, e in zip(cut, np.r_[cut[1:], len(known)], strict=True)}
+    index = {int(known[s]): at[s:e].tolist() for s, e in zip(cut, [*cut[1:], len(known)], strict=False)}
     active = sorted(index)
     sym, nxt, prv, rank = starts.tolist(), after.tolist(), before.tolist(), v.rank.get
     while active:
