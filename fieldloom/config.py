@@ -101,10 +101,6 @@ HAIR_COLOR_REFERENCES = [
 TITLE_WEIGHT = 1.0
 TEXT_WEIGHT = 0.5
 
-# Index layout of the search sink.
-INDEX_SHARDS = 10
-INDEX_REPLICAS = 0
-
 # ---------------------------------------------------------------------------
 # Engine defaults (our own definitions; override freely)
 # ---------------------------------------------------------------------------
@@ -146,5 +142,6 @@ DEFAULT_PUBLIC_SUFFIXES = [
     "co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "de", "fr", "es", "it", "nl", "uk", "us",
 ]
 
-# Row bound under which a configuration table is broadcast.
+# Bounds under which a configuration table is broadcast.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20

@@ -6,7 +6,10 @@ they run inside the JVM (no Python worker) and compose into any plan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import functools
+import weakref
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom import config
@@ -21,28 +24,26 @@ _PY_FLOAT = (r"^[" + ASCII_WS + r"]*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0
              r"|(?i:inf|infinity|nan))[" + ASCII_WS + r"]*$")
 
 
-_MEMO: dict = {}
+_MEMO: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def memo_column(fn):
-    """Memoise a Column builder per session and argument expressions.
-
-    Large expressions (Jaro, HTML blocks, n-grams) take seconds to assemble
-    node by node from Python, far longer than evaluating them; a built Column
-    is immutable, so one build can serve every DataFrame of the session."""
-    import functools
+    """Memoise a Column builder called with plain names and numbers, per session.
 
+    Large expressions (Jaro, HTML blocks, n-grams) take longer to assemble node
+    by node from Python than to evaluate.  An expression over column *names* is
+    unresolved, so one build serves every DataFrame of its session; a call with
+    a Column (which may belong to one DataFrame) is always built anew."""
     @functools.wraps(fn)
-    def wrapper(*args, **kwargs):
-        from pyspark.sql import SparkSession
-        try:
-            key = (id(SparkSession.getActiveSession()), fn.__module__, fn.__qualname__,
-                   tuple(str(a) for a in args), tuple(sorted((k, str(v)) for k, v in kwargs.items())))
-        except Exception:  # noqa: BLE001 - unhashable or unprintable argument: no memo
-            return fn(*args, **kwargs)
-        if key not in _MEMO:
-            _MEMO[key] = fn(*args, **kwargs)
-        return _MEMO[key]
+    def wrapper(*args):
+        session = SparkSession.getActiveSession()
+        if session is None or not all(isinstance(a, (str, int)) for a in args):
+            return fn(*args)
+        built = _MEMO.setdefault(session, {})
+        key = (fn.__module__, fn.__qualname__, args)
+        if key not in built:
+            built[key] = fn(*args)
+        return built[key]
     return wrapper
 
 
@@ -105,8 +106,21 @@ def unescape_entities(c) -> Column:
         if ent == "&amp;":
             continue
         out = F.replace(out, F.lit(ent), F.lit(ch))
-    out = F.replace(out, F.lit("&amp;"), F.lit("&"))
-    return out
+    return F.replace(_numeric_entities(out), F.lit("&amp;"), F.lit("&"))
+
+
+def _numeric_entities(c) -> Column:
+    """Decode ``&#8217;`` and ``&#x2019;``; code points that are no character stay as they are."""
+    rx = r"&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+    def decode(e):
+        n = F.when(e.rlike("^&#[xX]"), F.conv(F.regexp_extract(e, "[0-9a-fA-F]+(?=;)", 0), 16, 10)).otherwise(
+            F.regexp_extract(e, "[0-9]+", 0)).cast("bigint")
+        ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32BE")).otherwise(e)
+    found = F.transform(F.regexp_extract_all(c, F.lit(rx), 0), decode)
+    whole = F.array_join(F.zip_with(F.split(c, rx, -1), found, lambda p, d: F.concat(p, F.coalesce(d, F.lit("")))), "")
+    return F.when(c.contains("&#"), whole).otherwise(c)
 
 
 def strip_tags(c) -> Column:
@@ -142,35 +156,33 @@ def jaro(a, b) -> Column:
     Window ``max(len)/2 - 1``; each character of ``a`` takes the first unused
     equal character of ``b`` inside the window; transpositions are half the
     mismatches between the two matched sequences (integer division).  Two
-    empty strings score 0.
-    """
-    a, b = col_of(a), col_of(b)
-    la, lb = F.length(a), F.length(b)
-    ca, cb = chars(a), chars(b)
-    window = F.greatest(F.floor(F.greatest(la, lb) / 2).cast("int") - 1, F.lit(0))
-
-    init = F.struct(F.transform(cb, lambda _: F.lit(False)).alias("used"),
-                    F.array().cast("array<string>").alias("ma"))
-
-    def step(acc, i):
-        ch = F.get(ca, i)
-        lo = F.greatest(i - window, F.lit(0))
-        hi = F.least(i + window, lb - 1)
-        cand = F.filter(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>")),
-                        lambda j: (~F.get(acc["used"], j)) & (F.get(cb, j) == ch))
-        j = F.get(cand, 0)
-        return F.when(j.isNull(), acc).otherwise(
-            F.struct(F.transform(acc["used"], lambda u, k: u | (k == j)).alias("used"),
-                     F.concat(acc["ma"], F.array(ch)).alias("ma")))
-
-    positions = F.when(la > 0, F.sequence(F.lit(0), la - 1)).otherwise(F.array().cast("array<int>"))
-    res = F.aggregate(positions, init, step)
-    ma, used = res["ma"], res["used"]
-    mb = F.transform(F.filter(F.sequence(F.lit(0), F.greatest(lb - 1, F.lit(0))), lambda k: F.get(used, k)),
-                     lambda k: F.get(cb, k))
-    m = F.size(ma)
-    mismatches = F.size(F.filter(F.sequence(F.lit(0), F.greatest(m - 1, F.lit(0))),
-                                 lambda k: F.get(ma, k) != F.get(mb, k)))
-    t = F.floor(mismatches / 2)
-    score = (m / la + m / lb + (m - t) / m) / 3.0
-    return F.when((la == 0) | (lb == 0) | (m == 0), F.lit(0.0)).otherwise(score)
+    empty strings score 0.  Every intermediate is bound once, so the cost is
+    that of the character comparisons."""
+    none = F.array().cast("array<int>")
+
+    def upto(n):  # 0..n-1
+        return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(none)
+
+    def matched(s):
+        ca, cb = s["ca"], s["cb"]
+        la, lb = F.size(ca), F.size(cb)
+        window = F.greatest(F.floor(F.greatest(la, lb) / 2).cast("int") - 1, F.lit(0))
+
+        def step(acc, i):
+            lo, hi = F.greatest(i - window, F.lit(0)), F.least(i + window, lb - 1)
+            free = F.filter(F.when(lo <= hi, F.sequence(lo, hi)).otherwise(none),
+                            lambda j: ~F.array_contains(acc, j) & (F.get(cb, j) == F.get(ca, i)))
+            return F.concat(acc, F.array(F.coalesce(F.get(free, 0), F.lit(-1))))
+        # per character of a: the position it takes in b, or -1
+        return F.struct(s["ca"].alias("ca"), s["cb"].alias("cb"), F.aggregate(upto(la), none, step).alias("to"))
+
+    def score(s):
+        ca, cb = s["ca"], s["cb"]
+        in_a = F.filter(F.transform(s["to"], lambda j, i: F.when(j >= 0, F.get(ca, i))), lambda x: x.isNotNull())
+        in_b = F.transform(F.array_sort(F.filter(s["to"], lambda j: j >= 0)), lambda j: F.get(cb, j))
+        off = F.size(F.filter(F.zip_with(in_a, in_b, lambda x, y: x != y), lambda d: d))
+        return F.struct(F.size(ca).alias("la"), F.size(cb).alias("lb"), F.size(in_a).alias("m"), F.floor(off / 2).alias("t"))
+
+    start = F.struct(chars(a).alias("ca"), chars(b).alias("cb"))
+    return let(let(let(start, matched), score), lambda r: F.when(r["m"] == 0, F.lit(0.0)).otherwise(
+        (r["m"] / r["la"] + r["m"] / r["lb"] + (r["m"] - r["t"]) / r["m"]) / 3.0))

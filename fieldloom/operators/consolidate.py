@@ -100,18 +100,16 @@ def dedupe(values: DataFrame) -> DataFrame:
 
     One grouped minimum over ``seq`` does it (partial aggregation, no window
     over a possibly hot group).  Rows that are not deduplicated (fallbacks,
-    unconfigured fields) get a key of their own, built from their pass,
-    position, rank and value, so they pass through unmerged.  No filter
+    unconfigured fields) get a row id as key, so they pass through unmerged
+    even where all their columns are equal.  No filter
     follows the normaliser projections: a pushed-down filter would inline
     every normaliser step into its condition.
     """
     name_key = (F.when(F.col("num").isNotNull(), F.concat(F.lit("#"), F.col("num").cast("string")))
                 .otherwise(F.concat(F.lit("$"), F.coalesce(F.col("name"), F.lit("\u0000null")))))
-    own_key = F.concat_ws("\u0001", F.lit("~"), F.col("tier"), F.col("pass_no").cast("string"),
-                          F.col("rank").cast("string"), F.col("pos").cast("string"),
-                          F.coalesce(F.col("value"), F.lit("\u0000null")))
+    own_key = F.concat(F.lit("~"), F.col("__row").cast("string"))
     payload = [c for c in values.columns if c not in ("doc_id", "field", "routed_tier") and c not in SEQ]
-    kept = (values.withColumn("__dk", F.when(F.col("dedupe"), name_key).otherwise(own_key))
+    kept = (values.withColumn("__row", F.monotonically_increasing_id()).withColumn("__dk", F.when(F.col("dedupe"), name_key).otherwise(own_key))
             .groupBy("doc_id", "field", "routed_tier", "__dk")
             .agg(F.min(F.struct(*SEQ, *payload)).alias("__m"))
             .select("doc_id", "field", "routed_tier", "__m.*"))

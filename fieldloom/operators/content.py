@@ -77,7 +77,7 @@ def strict_blocks(blocks: DataFrame, id_col: str, site_col: str,
 
     A block is boilerplate when the same text occurs on more than
     ``max_site_repeats`` distinct pages of one site.  Repeats are counted on
-    ``(site, hash, length)`` with a distinct-count aggregation (partial
+    ``(site, 128-bit hash, length)``, a null site being one site, with a distinct-count aggregation (partial
     aggregation; a hot site or block never lands whole in one task), and the
     boilerplate keys are removed with an anti join.  The key set is derived
     from the data, so its size is measured at run time: AQE broadcasts it when
@@ -85,12 +85,14 @@ def strict_blocks(blocks: DataFrame, id_col: str, site_col: str,
     otherwise; a separate counting pass would recompute the whole block job.
     """
     keyed = (blocks.where((F.col("n_chars") >= min_chars) & (F.col("link_chars") <= F.col("n_chars") * max_link_density))
-             .withColumn("__h", F.xxhash64("text")))
-    repeated = (keyed.groupBy(site_col, "__h", "n_chars")
+             .withColumn("__h", F.xxhash64("text")).withColumn("__h2", F.xxhash64(F.lit(1), "text")))
+    repeated = (keyed.groupBy(site_col, "__h", "__h2", "n_chars")
                 .agg(F.count_distinct(id_col).alias("__pages"))
                 .where(F.col("__pages") > max_site_repeats)
-                .select(site_col, "__h", "n_chars"))
-    return keyed.join(repeated, [site_col, "__h", "n_chars"], "left_anti").drop("__h")
+                .select(F.col(site_col).alias("__site"), "__h", "__h2", "n_chars"))
+    same = (F.col(site_col).eqNullSafe(F.col("__site")) & (keyed["__h"] == repeated["__h"]) & (keyed["__h2"] == repeated["__h2"])
+            & (keyed["n_chars"] == repeated["n_chars"]))
+    return keyed.join(repeated, same, "left_anti").drop("__h", "__h2")
 
 
 def join_blocks(blocks: DataFrame, id_col: str, out_col: str = "text") -> DataFrame:
@@ -154,7 +156,7 @@ def segments(pages: DataFrame, id_col: str, html_col: str = "html", url_col: str
     regroup) both read them instead of re-parsing the HTML."""
     site = host_of(F.col(url_col)) if url_col else F.lit("")
     rows = pages.select(id_col, site.alias(site_col), extract_title(F.col(html_col)).alias("title"),
-                        html_blocks(F.col(html_col)).alias("blocks"))
+                        html_blocks(html_col).alias("blocks"))
     if materialize:
         from fieldloom.session import cut_lineage
         rows = cut_lineage(rows)

@@ -66,7 +66,7 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
     vocabulary columns (e.g. ``canonical``, ``weight``) are carried along.
     """
     key_cols = list(key_cols)
-    g = (df.select(*key_cols, F.explode(ngrams(F.col(tokens_col), n)).alias("g"))
+    g = (df.select(*key_cols, F.explode(ngrams(tokens_col, n)).alias("g"))
          .select(*key_cols, F.col("g.start").alias("start"), (F.col("g.start") + F.col("g.k")).alias("end"),
                  F.col("g.text").alias("text"), F.lower(F.col("g.text")).alias("value")))
     if prefilter:
@@ -82,37 +82,30 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
 
 # --- X7: regex ---------------------------------------------------------------
 
-@memo_column
-def regex_matches(text, pattern: str) -> "F.Column":
-    """All non-empty matches of ``pattern`` with character offsets:
-    ``array<struct<ix, start, end, match>>``.
+def regex_mentions(df: DataFrame, key_cols, text_col: str, pattern: str, *, field: str, group: int = 0,
+                   extractor: str | None = None) -> DataFrame:
+    """Regex extractor over text with context (X7): every non-empty match with
+    character offsets.  ``value`` is the match, or its capture ``group`` when
+    ``group > 0`` (taken where it matched, so anchors and lookaround hold).
 
     Matches are marked with a control character, the text is split on it and
     the odd pieces are the matches; offsets are running sums of piece lengths.
     Offsets refer to the text with any pre-existing marker characters removed.
-    """
-    t = F.regexp_replace(col_of(text), MARK, "")
-    parts = F.split(F.regexp_replace(t, pattern, MARK + "$0" + MARK), MARK, -1)
-    lens = F.transform(parts, lambda p: F.length(p))
-    offsets = F.aggregate(lens, F.array(F.lit(0)),
-                          lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
-    idx = F.filter(F.sequence(F.lit(1), F.greatest(F.size(parts) - 2, F.lit(1)), F.lit(2)),
-                   lambda i: (i < F.size(parts)) & (F.length(F.get(parts, i)) > 0))
-    return F.transform(idx, lambda i, j: F.struct(j.alias("ix"), F.get(offsets, i).alias("start"),
-                                                  (F.get(offsets, i) + F.length(F.get(parts, i))).alias("end"),
-                                                  F.get(parts, i).alias("match")))
-
-
-def regex_mentions(df: DataFrame, key_cols, text_col: str, pattern: str, *, field: str, group: int = 0,
-                   extractor: str | None = None) -> DataFrame:
-    """Regex extractor over text with context (X7).  ``value`` is the match, or
-    its capture ``group`` when ``group > 0``."""
-    key_cols = list(key_cols)
-    m = df.select(*key_cols, F.explode(regex_matches(F.col(text_col), pattern)).alias("m"))
-    value = F.col("m.match") if group == 0 else F.regexp_extract(F.col("m.match"), pattern, group)
-    return m.select(*key_cols, F.lit(field).alias("field"), F.lit(extractor or f"{field}_regex").alias("extractor"),
-                    F.lit("text").alias("input_type"), value.alias("value"), F.col("m.match").alias("text"),
-                    F.col("m.start").alias("start"), F.col("m.end").alias("end"), F.col("m.ix").alias("match_ix"))
+    Pieces and offsets are columns of their own, so each is computed once per
+    text however many matches it has."""
+    keys = [F.col(f"`{c}`") for c in key_cols]
+    marked = (df.select(*keys, F.regexp_replace(F.col(text_col), MARK, "").alias("__t"))
+              .withColumn("__p", F.split(F.regexp_replace("__t", pattern, MARK + "$0" + MARK), MARK, -1))
+              .withColumn("__v", F.regexp_extract_all("__t", F.lit(pattern), F.lit(group))))
+    sums = F.aggregate("__p", F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p))))
+    m = (marked.withColumn("__o", sums).select(*keys, F.explode(F.arrays_zip(
+        F.transform("__v", lambda v, k: k).alias("k"), F.col("__v").alias("value"),
+        F.filter("__p", lambda p, i: i % 2 == 1).alias("match"), F.filter("__o", lambda o, i: i % 2 == 1).alias("start"))).alias("m")))
+    m = m.where((F.length("m.match") > 0) & F.col("m.k").isNotNull())
+    return m.select(*keys, F.lit(field).alias("field"), F.lit(extractor or f"{field}_regex").alias("extractor"),
+                    F.lit("text").alias("input_type"), F.col("m.value").alias("value"), F.col("m.match").alias("text"),
+                    F.col("m.start").alias("start"), (F.col("m.start") + F.length("m.match")).alias("end"),
+                    F.col("m.k").alias("match_ix"))
 
 
 # Extractor patterns (our definitions; the originals live outside the source).

@@ -10,16 +10,18 @@ from fieldloom import config
 from fieldloom.functions.text import col_of
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it holds at most ``max_rows`` rows.
-
-    The bound is checked with a ``limit(max_rows + 1).count()`` job on the
-    (small, configuration-sized) table; above it the table is left to a
-    shuffled join, which AQE may still turn into a broadcast from runtime
-    statistics.
+def bounded_broadcast(df: DataFrame, max_rows: int = config.BROADCAST_MAX_ROWS,
+                      max_bytes: int = config.BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if it holds at most ``max_rows`` rows and
+    ``max_bytes`` bytes (as JSON text, an upper estimate for most rows).
+
+    One job over at most ``max_rows + 1`` rows of the (small, configuration-sized)
+    table checks both; above a bound the table is left to a shuffled join, which
+    AQE may still turn into a broadcast from runtime statistics.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))
+    n, b = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df
 
 
 def blank_columns(df: DataFrame, columns=None, keep_placeholder: bool = False) -> DataFrame:
@@ -39,8 +41,11 @@ def rename_if_present(df: DataFrame, old: str = "_id", new: str = "cdr_id") -> D
 
 
 def host_of(url) -> Column:
-    """Lower-cased host of a URL (null when unparseable)."""
-    return F.lower(F.try_parse_url(col_of(url), F.lit("HOST")))
+    """Lower-cased host of a URL: the authority without user and port, whatever
+    characters the rest of the URL has (null when there is no authority)."""
+    authority = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]+)"
+    host = F.lower(F.regexp_extract(F.trim(col_of(url)), authority, 1))
+    return F.when(host != "", host)
 
 
 def suffix_table(spark, suffixes=None) -> DataFrame:

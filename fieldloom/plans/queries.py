@@ -38,7 +38,7 @@ def registered_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _blocks(spark, sf_dir) -> DataFrame:
     pages = T.load(spark, sf_dir, "pages")
     with_blocks = pages.select("page_id", host_of(F.col("url")).alias("host"),
-                               content.html_blocks(F.col("html")).alias("blocks"))
+                               content.html_blocks("html").alias("blocks"))
     return content.explode_blocks(with_blocks, "page_id", keep=("host",))
 
 
@@ -325,7 +325,7 @@ def measurement_text(q, ln) -> "F.Column":
 @query
 def height_weight_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _li(spark, sf_dir).withColumn("text", measurement_text(F.col("q"), F.col("l_linenumber")))
-    rec = li.select("l_orderkey", "l_linenumber", mentions.height_weight(F.col("text")).alias("hw"))
+    rec = li.select("l_orderkey", "l_linenumber", mentions.height_weight("text").alias("hw"))
     split = mentions.split_height_weight(rec, ["l_orderkey", "l_linenumber"])
     vals = F.coalesce(F.col("centimeter"), F.col("kilogram"))
     return split.select("l_orderkey", "l_linenumber", "field", F.size(vals).cast("bigint").alias("n_values"),

@@ -7,6 +7,7 @@ in settings that are unset, so a cluster's own configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -53,8 +54,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is read, never replaced.  Only
-    when the setting is absent (local tests) is a fresh scratch folder set.
+    A cluster names a shared folder there; it is read, never replaced.  Only in
+    local mode, where driver and executor share a disk, is a fresh scratch
+    folder set when the setting is absent; elsewhere that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -65,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="fieldloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

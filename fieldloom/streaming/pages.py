@@ -36,7 +36,7 @@ def page_mentions(pages: DataFrame, vocab: DataFrame, *, id_col: str = "page_id"
     """Stateless per-page extraction: relaxed content -> tokens -> vocabulary
     spans, as ``(id, segment, field, value, start, end)``."""
     segs = pages.select(id_col, F.lit("content_relaxed").alias("segment"),
-                        content.relaxed_content(content.html_blocks(F.col(html_col))).alias("text"))
+                        content.relaxed_content(content.html_blocks(html_col)).alias("text"))
     toks = segs.select(id_col, "segment", tokens.tokenize(F.col("text")).alias("tokens"))
     m = mentions.dictionary_mentions(toks, [id_col, "segment"], "tokens", vocab, field=field, n=n)
     return m.select(id_col, "segment", "field", "value", "start", "end")
