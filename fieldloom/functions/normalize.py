@@ -106,42 +106,58 @@ def convert_weight_all_units(kg, kg_text=None) -> Column:
     return F.concat_ws(" ", head, py2_str(unit_conversion(kg, "kg", "lb")))
 
 
-def _in_range(num, field) -> Column:
-    """Range check of the configuration on ``int(num)``; a zero passes
-    (falsy values are not checked)."""
-    lo, hi = config.NORMALIZE_CONFIG[field]["range"]
+# Data types whose values a normaliser yields as numbers.
+_WHOLE, _NUMERIC = {"int", "long"}, {"int", "long", "float", "number"}
+
+
+def _in_range(num, conf: dict) -> Column:
+    """Range check of a field's configuration on ``int(num)``; a zero passes
+    (falsy values are not checked), and so does any value of a field without a
+    range."""
+    if not conf.get("range"):
+        return col_of(num).isNotNull()
+    lo, hi = conf["range"]
     i = py_int_of_float(col_of(num).cast("double"))
     return (col_of(num) == 0) | i.between(lo, hi)
 
 
+def _of_type(conf: dict, whole: bool) -> bool:
+    """Whether a numeric value (``whole``: an integer) has the configured data type."""
+    kind = conf.get("data_type")
+    return kind is None or kind == "number" or (kind in _WHOLE if whole else kind == "float")
+
+
 def sanity_check_values(num, field) -> Column:
-    """Range check on ``int(x)`` with falsy values passing through."""
-    return F.when(col_of(num) == 0, col_of(num)).when(_in_range(num, field), col_of(num))
+    """Range check on ``int(x)`` with falsy values passing through.
+    ``field`` is a configured field's name or a configuration entry."""
+    conf = field if isinstance(field, dict) else config.NORMALIZE_CONFIG[field]
+    return F.when(col_of(num) == 0, col_of(num)).when(_in_range(num, conf), col_of(num))
 
 
 # --- normalisers as steps ------------------------------------------------------
 # A spec is (steps, final): steps is a list of (name, fn(env) -> Column) and
 # final is fn(env) -> FV Column; ``env`` maps input and step names to Columns.
 
-def _age_spec():
-    """H4: first number of a range, digits only, kept when 18..60."""
-    lo, hi = config.NORMALIZE_CONFIG["age"]["range"]
+def _age_spec(conf: dict):
+    """H4: first number of a range, digits only, kept in the configured range
+    (18..60 by default) if an integer is the configured type."""
+    fits = F.lit(_of_type(conf, True))
     steps = [("n", lambda e: numeric_only(py_strip(F.split(F.lower(py_strip(e["value"])), "-", -1).getItem(0)))
               .try_cast("bigint"))]
 
     def final(e):
         n = e["n"]
-        return F.when(n.isNotNull() & (n != 0) & n.between(lo, hi), fv(n.cast("string"), n.cast("string"), n))
+        return F.when(n.isNotNull() & (n != 0) & _in_range(n, conf) & fits, fv(n.cast("string"), n.cast("string"), n))
     return steps, final
 
 
-def _name_spec():
+def _name_spec(conf: dict):
     """H5: whitespace runs to one space, then title case after every non-letter."""
     steps = [("t", lambda e: title_case(replace_multiple_spaces_with_one(e["value"])))]
     return steps, lambda e: F.when(e["value"].isNotNull(), fv(e["t"], e["t"]))
 
 
-def _height_spec(bare_height_cm: bool = False):
+def _height_spec(conf: dict, bare_height_cm: bool = False):
     """H7/H8: height text (``5'9"`` -> feet * 30.48 + inches * 2.54, bad
     inches count 0; text without a foot mark yields digits as text, which the
     number check rejects, or ``''`` when it has none, which passes) or a list
@@ -153,7 +169,7 @@ def _height_spec(bare_height_cm: bool = False):
         return F.when(F.size(dims) >= 2, feet * config.CM_PER_FT + inches * config.CM_PER_IN)
 
     def first_list(e):
-        return F.get(F.filter(e["centimeter"], lambda x: (x == 0) | _in_range(x, "height")), 0)
+        return F.get(F.filter(e["centimeter"], lambda x: (x == 0) | _in_range(x, conf)), 0)
 
     steps = [
         ("dims", lambda e: F.split(py_strip(F.split(py_strip(F.lower(py_strip(e["value"]))), "-", -1).getItem(0)),
@@ -166,15 +182,15 @@ def _height_spec(bare_height_cm: bool = False):
 
     def final(e):
         c, lst = e["cm"], e["lst"]
-        foot_ok = c.isNotNull() & ((c == 0) | _in_range(c, "height"))
+        foot_ok = c.isNotNull() & ((c == 0) | (_in_range(c, conf) & F.lit(_of_type(conf, False))))
         foot_fv = F.when(foot_ok, fv(e["cm_txt"], e["cm_txt"], c, convert_height_all_units(c, e["cm_txt"])))
         if bare_height_cm:
             b = e["bare"].try_cast("bigint")
-            bare_fv = F.when((b != 0) & _in_range(b, "height"),
+            bare_fv = F.when((b != 0) & _in_range(b, conf),
                              fv(b.cast("string"), b.cast("string"), b, convert_height_all_units(b, b.cast("string"))))
         else:
             bare_fv = F.when(e["bare"] == "", fv(F.lit(""), F.lit(""), None, F.lit(" None None")))
-        list_fv = F.when(lst.isNotNull(), fv(lst.cast("string"), lst.cast("string"), lst,
+        list_fv = F.when(lst.isNotNull() & ((lst == 0) | F.lit(_of_type(conf, True))), fv(lst.cast("string"), lst.cast("string"), lst,
                                              convert_height_all_units(lst, lst.cast("string"))))
         return (F.when(e["centimeter"].isNotNull(), list_fv)
                 .when(e["value"].isNull(), null_fv())
@@ -183,14 +199,16 @@ def _height_spec(bare_height_cm: bool = False):
     return steps, final
 
 
-def _weight_spec():
+def _weight_spec(conf: dict, fix_stone: bool = False):
     """Weight text to kilograms, or a kilogram list (first in range).
 
     In order: text containing ``st`` (stone) is rejected; leading/trailing
     ``s`` stripped; ``lb``/``pound`` suffix -> int(n)/2.2; ``kg``/``kilo``/
     ``kilogram`` suffix -> int(n) (an integer); a bare number is truncated and
-    read as kg below 90, else as lb/2.2.  Kept when 40..150 (or zero).
-    Non-ASCII text is rejected.
+    read as kg below 90, else as lb/2.2.  Kept in the configured range
+    (40..150 by default) or when zero.  Non-ASCII text is rejected.  With
+    ``fix_stone`` stones are read: ``int(14 * stones + pounds) / 2.2``, where
+    text after the mark that is no number counts as no pounds.
     """
     per_lb = config.LB_PER_KG_WEIGHT
 
@@ -207,9 +225,14 @@ def _weight_spec():
                   .when(lb.endswith("kilogram"), after("kilogram").cast("double"))
                   .when(bare < config.BARE_WEIGHT_KG_BELOW, bare.cast("double"))
                   .otherwise(bare / per_lb))
-        rejected = e["value"].isNull() | x.contains("st") | e["value"].rlike(r"[^\x00-\x7F]")
+        if fix_stone:
+            halves = F.when(x.contains("stone"), F.split(x, "stone", -1)).otherwise(F.split(x, "st", -1))
+            left = F.btrim(F.btrim(F.btrim(F.get(halves, 1), F.lit("s")), F.lit("lb")), F.lit("pound"))
+            pounds = F.coalesce(py_float(left), F.lit(0.0))
+            kg_txt = F.when(x.contains("st"), py_int_of_float(py_float(F.get(halves, 0)) * 14 + pounds) / per_lb).otherwise(kg_txt)
+        rejected = e["value"].isNull() | (F.lit(not fix_stone) & x.contains("st")) | e["value"].rlike(r"[^\x00-\x7F]")
         return F.when(e["kilogram"].isNotNull(),
-                      F.get(F.filter(e["kilogram"], lambda v: (v == 0) | _in_range(v, "weight")), 0).cast("double")
+                      F.get(F.filter(e["kilogram"], lambda v: (v == 0) | _in_range(v, conf)), 0).cast("double")
                       ).when(~rejected, kg_txt)
 
     def is_int(e):
@@ -226,7 +249,8 @@ def _weight_spec():
 
     def final(e):
         k = e["kg"]
-        ok = k.isNotNull() & ((k == 0) | _in_range(k, "weight"))
+        typed = F.when(is_int(e), F.lit(_of_type(conf, True))).otherwise(F.lit(_of_type(conf, False)))
+        ok = k.isNotNull() & ((k == 0) | (_in_range(k, conf) & typed))
         return F.when(ok, fv(e["txt"], e["txt"], k, convert_weight_all_units(k, e["txt"])))
     return steps, final
 
@@ -238,13 +262,13 @@ def parse_date(value, formats=None) -> Column:
     return F.coalesce(*[F.try_to_timestamp(v, F.lit(f)) for f in formats])
 
 
-def _date_spec(formats=None):
+def _date_spec(conf: dict, formats=None):
     """Free-form date to ISO ``yyyy-MM-ddTHH:mm:ss`` over a format list."""
     steps = [("iso", lambda e: F.date_format(parse_date(e["value"], formats), config.ISO_FORMAT))]
     return steps, lambda e: F.when(e["iso"].isNotNull(), fv(e["iso"], e["iso"]))
 
 
-def _city_spec():
+def _city_spec(conf: dict):
     """key = value:state:country:lon:lat when all four are present, else
     the value itself; name is always the value."""
     def key(e):
@@ -257,12 +281,12 @@ def _city_spec():
     return steps, lambda e: F.when(e["value"].isNotNull(), fv(e["key"], e["value"]))
 
 
-def _identity_spec():
+def _identity_spec(conf: dict):
     """Name only, no key."""
     return [], lambda e: fv(None, e["value"])
 
 
-def _vocab_spec():
+def _vocab_spec(conf: dict):
     """The vocabulary match (resolved by a join, see canonical.py)."""
     return [], lambda e: F.when(e["canonical"].isNotNull(), fv(e["canonical"], e["canonical"]))
 
@@ -297,102 +321,99 @@ def _column_mode(spec, inputs) -> Column:
     return go(0, _env(inputs))
 
 
-def clean_age(value) -> Column:
-    return _column_mode(_age_spec(), {"value": value})
+def _default(field: str) -> dict:
+    return config.NORMALIZE_CONFIG[field]
+
+
+def clean_age(value, conf: dict | None = None) -> Column:
+    return _column_mode(_age_spec(conf or _default("age")), {"value": value})
 
 
 def clean_name(value) -> Column:
-    return _column_mode(_name_spec(), {"value": value})
+    return _column_mode(_name_spec({}), {"value": value})
 
 
-def clean_height(value, bare_height_cm: bool = False) -> Column:
-    return _column_mode(_height_spec(bare_height_cm), {"value": value})
+def clean_height(value, bare_height_cm: bool = False, conf: dict | None = None) -> Column:
+    return _column_mode(_height_spec(conf or _default("height"), bare_height_cm), {"value": value})
 
 
-def clean_height_list(centimeters) -> Column:
-    return _column_mode(_height_spec(), {"centimeter": centimeters})
+def clean_height_list(centimeters, conf: dict | None = None) -> Column:
+    return _column_mode(_height_spec(conf or _default("height")), {"centimeter": centimeters})
 
 
-def clean_weight(value) -> Column:
-    return _column_mode(_weight_spec(), {"value": value})
+def clean_weight(value, fix_stone: bool = False, conf: dict | None = None) -> Column:
+    return _column_mode(_weight_spec(conf or _default("weight"), fix_stone), {"value": value})
 
 
-def clean_weight_list(kilograms) -> Column:
-    return _column_mode(_weight_spec(), {"kilogram": kilograms})
+def clean_weight_list(kilograms, conf: dict | None = None) -> Column:
+    return _column_mode(_weight_spec(conf or _default("weight")), {"kilogram": kilograms})
 
 
 def clean_posting_date(value, formats=None) -> Column:
-    return _column_mode(_date_spec(formats), {"value": value})
+    return _column_mode(_date_spec({}, formats), {"value": value})
 
 
 def clean_city(value, state=None, country=None, longitude=None, latitude=None) -> Column:
-    return _column_mode(_city_spec(), {"value": value, "state": state, "country": country,
-                                       "longitude": longitude, "latitude": latitude})
+    return _column_mode(_city_spec({}), {"value": value, "state": state, "country": country,
+                                         "longitude": longitude, "latitude": latitude})
 
 
 def identity(value) -> Column:
-    return _column_mode(_identity_spec(), {"value": value})
+    return _column_mode(_identity_spec({}), {"value": value})
 
 
 # --- frame mode -----------------------------------------------------------------
 
-def apply(df: DataFrame, function: str, out_col: str = "fv", **inputs) -> DataFrame:
+def apply(df: DataFrame, function: str, out_col: str = "fv", conf: dict | None = None, **inputs) -> DataFrame:
     """Run one normaliser in frame mode: ``inputs`` name the input columns
-    (``value=``, ``centimeter=``, ...); adds ``out_col`` (FV struct)."""
-    return normalize_frame(df, None, out_col, functions={"_": function}, **inputs)
+    (``value=``, ``centimeter=``, ...); adds ``out_col`` (FV struct).  ``conf`` is
+    the configuration entry (default: that of the first field with the function)."""
+    if conf is None:
+        conf = next((c for c in config.NORMALIZE_CONFIG.values() if c["function"] == function), {})
+    return normalize_frame(df, None, out_col, normalize_config={"_": {**conf, "function": function}}, **inputs)
 
 
-def normalize_frame(df: DataFrame, field_col: str | None, out_col: str = "fv", *, normalize_config=None,
-                    functions: dict | None = None, **inputs) -> DataFrame:
+def normalize_frame(df: DataFrame, field_col: str | None, out_col: str = "fv", *, normalize_config=None, **inputs) -> DataFrame:
     """Dispatch on the field through the normaliser configuration, in
     frame mode.  Each configured normaliser's steps are added as columns
     gated on the row's field (rows of other fields carry nulls), then one
     ``CASE`` picks the FV.  Unconfigured fields get null (see
-    ``is_configured``)."""
-    if functions is None:
-        conf = normalize_config or config.NORMALIZE_CONFIG
-        functions = {f: spec["function"] for f, spec in conf.items()}
-    steps, out = _frame_plan(df.sparkSession, field_col, functions, inputs)
+    ``is_configured``).  Ranges, data types and the options ``fix_stone``,
+    ``bare_height_cm`` and ``formats`` are those of each field's own entry; a
+    ``function`` may be a name of ``SPECS`` or a user's ``Column -> Column``."""
+    steps, out = _frame_plan(field_col, normalize_config or config.NORMALIZE_CONFIG, inputs)
     for col, expr in steps:
         df = df.withColumn(col, expr)
     return df.withColumn(out_col, out).drop(*[c for c, _ in steps])
 
 
-_FRAME_CACHE: dict = {}
+def _spec_of(conf: dict):
+    fn = conf["function"]
+    if callable(fn):  # U1: a user function; its text is key and name, null is a rejection
+        return [("u", lambda e: fn(e["value"]).cast("string"))], lambda e: F.when(e["u"].isNotNull(), fv(e["u"], e["u"]))
+    if fn not in SPECS:
+        raise ValueError(f"unknown normaliser {fn!r}")
+    options = {k: conf[k] for k in ("fix_stone", "bare_height_cm", "formats") if k in conf}
+    return SPECS[fn](conf, **options)
 
 
-def _frame_plan(spark, field_col, functions: dict, inputs: dict):
-    """Build (and cache per session) the step columns and the final FV
-    expression.  Column expressions are immutable, so one build serves every
-    DataFrame of the session; building them node by node from Python is the
-    expensive part, not evaluating them."""
-    cacheable = all(isinstance(v, str) for v in inputs.values())
-    key = (id(spark), field_col, tuple(sorted(functions.items())), tuple(sorted(inputs.items()))) if cacheable else None
-    if key is not None and key in _FRAME_CACHE:
-        return _FRAME_CACHE[key]
-    by_fn: dict = {}
-    for field, fn in functions.items():
-        by_fn.setdefault(fn, []).append(field)
+def _frame_plan(field_col, conf: dict, inputs: dict):
+    """The step columns and the final FV expression; fields with equal entries share their steps."""
+    shared: dict = {}
+    for field, entry in conf.items():
+        shared.setdefault(repr(sorted(entry.items(), key=lambda kv: kv[0])), (entry, []))[1].append(field)
     base = _env({k: F.col(v) if isinstance(v, str) else v for k, v in inputs.items()})
-    steps, finals = [], []
-    for i, (fn, fields) in enumerate(by_fn.items()):
-        if fn not in SPECS:
-            raise ValueError(f"unknown normaliser {fn!r}")
-        spec_steps, final = SPECS[fn]()
+    steps, out = [], None
+    for i, (entry, fields) in enumerate(shared.values()):
+        spec_steps, final = _spec_of(entry)
         gate = F.lit(True) if field_col is None else F.col(field_col).isin(*fields)
         env = dict(base)
         for name, step in spec_steps:
             col = f"__n{i}_{name}"
             steps.append((col, F.when(gate, step(env))))
             env[name] = F.col(col)
-        finals.append((gate, final(env)))
-    out = None
-    for gate, expr in finals:
-        out = F.when(gate, expr) if out is None else out.when(gate, expr)
-    out = null_fv() if out is None else out.otherwise(null_fv())
-    if key is not None:
-        _FRAME_CACHE[key] = (steps, out)
-    return steps, out
+        out = F.when(gate, final(env)) if out is None else out.when(gate, final(env))
+    return steps, null_fv() if out is None else out.otherwise(null_fv())
 
 
 def is_configured(field, normalize_config=None) -> Column:

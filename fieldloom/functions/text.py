@@ -117,7 +117,7 @@ def _numeric_entities(c) -> Column:
         n = F.when(e.rlike("^&#[xX]"), F.conv(F.regexp_extract(e, "[0-9a-fA-F]+(?=;)", 0), 16, 10)).otherwise(
             F.regexp_extract(e, "[0-9]+", 0)).cast("bigint")
         ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
-        return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32BE")).otherwise(e)
+        return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise(e)
     found = F.transform(F.regexp_extract_all(c, F.lit(rx), 0), decode)
     whole = F.array_join(F.zip_with(F.split(c, rx, -1), found, lambda p, d: F.concat(p, F.coalesce(d, F.lit("")))), "")
     return F.when(c.contains("&#"), whole).otherwise(c)

@@ -1,10 +1,10 @@
 """Vocabulary canonicalisation by hybrid Jaccard with Jaro partial matching.
 
 Our definition (the matcher itself is not part of the source): a value and a
-reference entry are split into whitespace tokens; each value token takes its
-best Jaro similarity against the entry's tokens and counts as matched when
-that similarity reaches the threshold; the score is the sum of matched
-similarities divided by ``|A| + |B| - matched``.  A value maps to the
+reference entry are split into whitespace tokens; pairs of tokens whose Jaro
+similarity reaches the threshold are matched greedily, highest first and one to
+one; the score is the sum of matched similarities divided by
+``|A| + |B| - matched``.  A value maps to the
 canonical name of its best-scoring entry (ties: reference order) when the
 score reaches the threshold; single-token values reduce to plain Jaro.
 
@@ -48,34 +48,60 @@ def _tokens(c):
     return F.filter(F.split(F.trim(F.lower(c)), r"[ \t\n\x0B\f\r]+"), lambda t: t != "")
 
 
+def _one_to_one(pairs):
+    """Sum and count of a greedy one-to-one token match: pairs of (-sim, a, b) in
+    order, each token of either side used once."""
+    start = F.struct(F.array().cast("array<int>").alias("a"), F.array().cast("array<int>").alias("b"), F.lit(0.0).alias("s"))
+
+    def take(acc, p):
+        free = ~F.array_contains(acc["a"], p["a_ix"]) & ~F.array_contains(acc["b"], p["b_ix"])
+        return F.when(free, F.struct(F.concat(acc["a"], F.array(p["a_ix"])).alias("a"), F.concat(acc["b"], F.array(p["b_ix"])).alias("b"),
+                                     (acc["s"] - p["neg"]).alias("s"))).otherwise(acc)
+    return F.aggregate(F.array_sort(pairs), start, take, lambda acc: F.struct(acc["s"].alias("s"), F.size(acc["a"]).alias("m")))
+
+
 def best_matches(values: DataFrame, refs: DataFrame, threshold: float | str = config.HYBRID_JACCARD_THRESHOLD,
                  max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
     """``values(field, value)`` (distinct) x ``refs(field, canonical, synonym,
-    ref_ix, syn_ix)`` -> ``(field, value, canonical, score)`` for values whose
-    best entry reaches the threshold."""
-    t = float(threshold)
-    ratio = max(3 * t - 2, 0.0)
-    vt = (values.select("field", "value", F.posexplode(_tokens(F.col("value"))).alias("a_ix", "a"))
-          .withColumn("n_a", F.size(_tokens(F.col("value"))))
-          .withColumn("la", F.length("a")))
-    lo = F.greatest(F.floor(F.col("la") * ratio).cast("int") - 1, F.lit(1))
-    hi = (F.ceil(F.col("la") / ratio).cast("int") + 1) if ratio > 0 else F.lit(1 << 20)
-    vt = vt.withColumn("lb", F.explode(F.sequence(lo, F.greatest(lo, hi))))
-    rt = (refs.select("field", "canonical", "synonym", "ref_ix", "syn_ix",
-                      F.posexplode(_tokens(F.col("synonym"))).alias("b_ix", "b"))
-          .withColumn("n_b", F.size(_tokens(F.col("synonym"))))
-          .withColumn("lb", F.length("b")))
-    pairs = vt.join(bounded_broadcast(rt, max_broadcast_rows), ["field", "lb"], "inner")
-    sims = pairs.withColumn("sim", jaro(F.col("a"), F.col("b"))).where(F.col("sim") >= t)
-    per_token = (sims.groupBy("field", "value", "canonical", "synonym", "ref_ix", "syn_ix", "a_ix", "n_a", "n_b")
-                 .agg(F.max("sim").alias("sim")))
-    per_entry = (per_token.groupBy("field", "value", "canonical", "synonym", "ref_ix", "syn_ix", "n_a", "n_b")
-                 .agg(F.sum("sim").alias("s"), F.count("*").alias("m"))
-                 .withColumn("score", F.col("s") / (F.col("n_a") + F.col("n_b") - F.col("m")))
-                 .where(F.col("score") >= t))
-    return (per_entry.groupBy("field", "value")
-            .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), "ref_ix", "syn_ix", "canonical")).alias("b"))
-            .select("field", "value", F.col("b.canonical").alias("canonical"), (-F.col("b.neg_score")).alias("score")))
+    ref_ix, syn_ix[, threshold])`` -> ``(field, value, canonical, score)`` for
+    values whose best entry reaches the threshold (the entry's own, if the
+    references have one).
+
+    A value that is an entry's text is that entry (first in reference order);
+    only the others are compared.  Tokens meet by length where the lowest
+    threshold allows to prune, else by field."""
+    low = float(threshold)
+    refs = refs.withColumn("threshold", F.coalesce(F.col("threshold").cast("double"), F.lit(low)) if "threshold" in refs.columns
+                           else F.lit(low))
+    refs = refs.select("field", "canonical", "synonym", "ref_ix", "syn_ix", "threshold")
+    if refs.schema["threshold"].nullable:
+        low = refs.agg(F.min("threshold")).first()[0] or low
+    order = F.min(F.struct(F.lit(-1.0).alias("neg_score"), "ref_ix", "syn_ix", "canonical")).alias("b")
+    exact = (values.join(bounded_broadcast(refs.withColumn("value", F.lower(F.trim("synonym"))), max_broadcast_rows), ["field", "value"])
+             .groupBy("field", "value").agg(order))
+    rest = values.join(exact, ["field", "value"], "left_anti")
+    ratio = 3 * low - 2
+    vt = (rest.select("field", "value", F.posexplode(_tokens(F.col("value"))).alias("a_ix", "a"))
+          .withColumn("n_a", F.size(_tokens(F.col("value")))))
+    rt = (refs.select("*", F.posexplode(_tokens(F.col("synonym"))).alias("b_ix", "b"))
+          .withColumn("n_b", F.size(_tokens(F.col("synonym")))))
+    on = ["field"]
+    if ratio > 0:  # Jaro >= t needs min/max length >= 3t - 2
+        lo = F.greatest(F.floor(F.length("a") * ratio).cast("int") - 1, F.lit(1))
+        hi = F.ceil(F.length("a") / ratio).cast("int") + 1
+        vt = vt.withColumn("lb", F.explode(F.sequence(lo, F.greatest(lo, hi))))
+        rt = rt.withColumn("lb", F.length("b"))
+        on = ["field", "lb"]
+    pairs = vt.join(bounded_broadcast(rt, max_broadcast_rows), on, "inner")
+    sims = pairs.withColumn("sim", jaro("a", "b")).where(F.col("sim") >= F.col("threshold"))
+    entry = ["field", "value", "canonical", "synonym", "ref_ix", "syn_ix", "threshold", "n_a", "n_b"]
+    per_entry = (sims.groupBy(*entry).agg(F.collect_list(F.struct((-F.col("sim")).alias("neg"), "a_ix", "b_ix")).alias("pairs"))
+                 .withColumn("r", _one_to_one(F.col("pairs")))
+                 .withColumn("score", F.col("r.s") / (F.col("n_a") + F.col("n_b") - F.col("r.m")))
+                 .where(F.col("score") >= F.col("threshold")))
+    near = (per_entry.groupBy("field", "value")
+            .agg(F.min(F.struct((-F.col("score")).alias("neg_score"), "ref_ix", "syn_ix", "canonical")).alias("b")))
+    return exact.union(near).select("field", "value", F.col("b.canonical").alias("canonical"), (-F.col("b.neg_score")).alias("score"))
 
 
 def canonicalize(df: DataFrame, value_col: str, refs: DataFrame, *, field_col: str | None = None,
@@ -88,12 +114,14 @@ def canonicalize(df: DataFrame, value_col: str, refs: DataFrame, *, field_col: s
     references get null.  Values are matched case-insensitively."""
     all_fields = "\u0000all"
     fld = F.col(field_col) if field_col else F.lit(all_fields)
-    keyed = df.withColumn("__f", fld).withColumn("__v", F.lower(F.trim(F.col(value_col))))
     r = refs if field_col else refs.withColumn("field", F.lit(all_fields))
-    fields_with_refs = bounded_broadcast(r.select(F.col("field").alias("__f")).distinct(), max_broadcast_rows)
-    distinct_vals = (keyed.select("__f", "__v").where(F.col("__v").isNotNull())
-                     .join(fields_with_refs, "__f", "left_semi")
-                     .distinct()
+    # rows of fields without references get a short key of no value, so their texts are never joined by value
+    # and they spread over the join's partitions
+    spread = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(value_col), F.lit(4099)).cast("string"))
+    named = bounded_broadcast(r.select(F.col("field").alias("__f")).distinct().withColumn("__has", F.lit(True)), max_broadcast_rows)
+    keyed = (df.withColumn("__f", fld).join(named, "__f", "left")
+             .withColumn("__v", F.when(F.col("__has"), F.lower(F.trim(F.col(value_col)))).otherwise(spread)).drop("__has"))
+    distinct_vals = (keyed.select("__f", "__v").where(F.col("__v").isNotNull() & ~F.col("__v").startswith("\u0000")).distinct()
                      .select(F.col("__f").alias("field"), F.col("__v").alias("value")))
     best = best_matches(distinct_vals, r, threshold, max_broadcast_rows).select(
         F.col("field").alias("__f"), F.col("value").alias("__v"),

@@ -597,3 +597,63 @@ SELECT p.page_id, CAST(coalesce(a.n_fields, 0) AS BIGINT) AS n_fields, a.title,
        CAST(coalesce(a.n_email_relaxed, 0) AS BIGINT) AS n_email_relaxed
 FROM pages p LEFT JOIN agg a ON p.page_id = a.doc_id
 """
+
+# --- queries with constants written out -----------------------------------------
+
+ORACLE["name_regex"] = r"""
+WITH t AS (SELECT c_custkey, 'Hello. My  name IS ' || c_mktsegment || '-' || CAST(c_custkey AS VARCHAR) || ' and my name is x'
+                  || CAST(c_nationkey AS VARCHAR) || '!' AS text FROM customer),
+m AS (SELECT c_custkey, regexp_extract_all(text, '(?i)my[ \t\n]+name[ \t\n]+is[ \t\n]+([-a-z0-9@$!]+)', 1) AS v FROM t)
+SELECT c_custkey, CAST(unnest(range(len(v))) AS BIGINT) AS match_ix, unnest(v) AS value FROM m
+"""
+
+ORACLE["odd_hosts"] = r"""
+WITH r AS (SELECT page_id, url, regexp_replace(url, '^[a-z]+://', '') AS rest FROM pages),
+u AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'http://my_site.' || rest WHEN 1 THEN 'HTTPS://User:pw@' || rest || ' x|y'
+        WHEN 2 THEN 'http://' || regexp_extract(rest, '^[^/]+') || ':8080/a b' WHEN 3 THEN url ELSE rest END AS url FROM r)
+SELECT page_id, nullif(lower(regexp_extract(url, '^[A-Za-z]+://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '') AS host FROM u
+"""
+
+ORACLE["equal_seq_rows"] = """
+SELECT user_id AS doc_id, 'strict' AS tier, count(*) AS n_values FROM events GROUP BY user_id
+"""
+
+ORACLE["normalize_custom_ranges"] = """
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity) AS INTEGER) AS q FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE l_linenumber % 4 WHEN 0 THEN 'age' WHEN 1 THEN 'years' WHEN 2 THEN 'label' ELSE 'code' END AS field,
+       CASE WHEN l_linenumber % 4 = 0 AND q BETWEEN 1 AND 30 THEN CAST(q AS VARCHAR)
+            WHEN l_linenumber % 4 = 1 AND q BETWEEN 10 AND 99 THEN CAST(q AS VARCHAR)
+            WHEN l_linenumber % 4 = 3 AND q <> 7 THEN 'q' || CAST(q AS VARCHAR) END AS name
+FROM li
+"""
+
+ORACLE["normalize_weight_stone"] = """
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity) AS INTEGER) % 15 AS q FROM lineitem),
+k AS (SELECT *, CAST(14 * q + l_linenumber AS BIGINT) / CAST(2.2 AS DOUBLE) AS kg FROM li)
+SELECT l_orderkey, l_linenumber,
+       CAST(q AS VARCHAR) || CASE WHEN l_linenumber % 2 = 0 THEN ' stone ' ELSE 'st ' END || CAST(l_linenumber AS VARCHAR)
+         || CASE WHEN l_linenumber % 3 = 0 THEN 'lbs' ELSE 'lb' END AS value,
+       CASE WHEN trunc(kg) BETWEEN 40 AND 150 THEN round(kg, 6) END AS kg
+FROM k
+"""
+
+ORACLE["canonicalize_phrases"] = """
+WITH p AS (SELECT p_partkey, split_part(p_name, ' ', 1) AS w1, split_part(p_name, ' ', 2) AS w2 FROM part),
+m AS (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN w1 ELSE substr(w1, 1, 1) || substr(w1, 3) END AS a1,
+             CASE WHEN p_partkey % 3 = 0 THEN w1 ELSE w2 END AS a2 FROM p),
+v AS (SELECT * FROM (VALUES ('red', 'ring', 0), ('blue', 'bolt', 1), ('old', 'gear', 2), ('new', 'rod', 3), ('hot', 'plate', 4),
+                            ('cold', 'anvil', 5), ('large', 'gizmo', 6), ('small', 'widget', 7)) v(b1, b2, ref_ix)),
+j AS (SELECT DISTINCT a1, a2, b1, b2, ref_ix, jaro_similarity(a1, b1) AS x11, jaro_similarity(a1, b2) AS x12,
+             jaro_similarity(a2, b1) AS x21, jaro_similarity(a2, b2) AS x22 FROM m CROSS JOIN v),
+t AS (SELECT a1, a2, b1, b2, ref_ix, CASE WHEN x11 >= 0.8 THEN x11 ELSE 0 END AS s11, CASE WHEN x12 >= 0.8 THEN x12 ELSE 0 END AS s12,
+             CASE WHEN x21 >= 0.8 THEN x21 ELSE 0 END AS s21, CASE WHEN x22 >= 0.8 THEN x22 ELSE 0 END AS s22 FROM j),
+g AS (SELECT *, greatest(s11, s12, s21, s22) AS top FROM t),
+d AS (SELECT *, s11 = top OR (s12 < top AND s21 < top) AS straight FROM g),
+c AS (SELECT a1, a2, b1, b2, ref_ix, CASE WHEN straight THEN s11 + s22 ELSE s12 + s21 END AS s,
+             CASE WHEN straight THEN CAST(s11 > 0 AS INTEGER) + CAST(s22 > 0 AS INTEGER)
+                  ELSE CAST(s12 > 0 AS INTEGER) + CAST(s21 > 0 AS INTEGER) END AS n FROM d),
+e AS (SELECT a1, a2, b1 || ' ' || b2 AS canonical, s / (4 - n) AS score,
+             row_number() OVER (PARTITION BY a1, a2 ORDER BY s / (4 - n) DESC, ref_ix) AS rn FROM c WHERE s / (4 - n) >= 0.8)
+SELECT m.p_partkey, m.a1 || ' ' || m.a2 AS raw, e.canonical, round(e.score, 6) AS score
+FROM m LEFT JOIN (SELECT * FROM e WHERE rn = 1) e ON m.a1 = e.a1 AND m.a2 = e.a2
+"""

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldloom import config
 from fieldloom.operators import consolidate as G
 from fieldloom.operators import content, mentions, tokens
 from fieldloom.session import cut_lineage
@@ -26,7 +27,8 @@ def extract(pages: DataFrame, vocab: DataFrame, *, id_col: str = "page_id", html
     """Stage 1: segments, token spans and regex mentions.
 
     ``vocab(entry, weight)`` is the dictionary; ``weight`` becomes the span
-    probability.  ``regexes`` maps a field to a pattern (default: email).
+    probability.  ``regexes`` maps a field to a pattern or a
+    ``(pattern, group)`` pair (default: email).
     Returns ``{"segments", "spans", "regex"}`` DataFrames keyed by
     ``(id, segment)``.
     """
@@ -40,10 +42,27 @@ def extract(pages: DataFrame, vocab: DataFrame, *, id_col: str = "page_id", html
     if "weight" in spans.columns:
         spans = spans.withColumnRenamed("weight", "probability")
     found = None
-    for fld, pattern in regexes.items():
-        m = mentions.regex_mentions(text_segs, [id_col, "segment"], "text", pattern, field=fld)
+    for fld, spec in regexes.items():
+        pattern, group = (spec, 0) if isinstance(spec, str) else spec
+        m = mentions.regex_mentions(text_segs, [id_col, "segment"], "text", pattern, field=fld, group=group)
         found = m if found is None else found.unionByName(m)
-    return {"segments": segs, "spans": spans, "regex": found}
+    return {"segments": segs, "spans": spans, "regex": found, "site_text": site_text(pages, id_col)}
+
+
+def site_text(pages: DataFrame, id_col: str = "page_id") -> DataFrame | None:
+    """``(id, inferlink_title, inferlink_description)`` of the pages that have
+    either: the column's text, or the first non-empty element of an array."""
+    present = [c for c in ("inferlink_title", "inferlink_description") if c in pages.columns]
+    if not present:
+        return None
+
+    def first(c):
+        v = F.col(f"`{c}`")
+        if pages.schema[c].dataType.simpleString().startswith("array"):
+            v = F.get(F.filter(F.transform(v, lambda e: e.cast("string")), lambda e: e.isNotNull() & (e != "")), 0)
+        return F.nullif(v.cast("string"), F.lit("")).alias(c)
+    texts = pages.select(id_col, *map(first, present))
+    return texts.groupBy(id_col).agg(*(F.max(c).alias(c) for c in present))
 
 
 def candidates(extracted: dict, id_col: str = "page_id") -> DataFrame:
@@ -69,6 +88,9 @@ def candidates(extracted: dict, id_col: str = "page_id") -> DataFrame:
                     F.max(F.when(F.col("segment") == "content_strict", F.col("text"))).alias("strict_text"),
                     F.max(F.when(F.col("segment") == "content_relaxed", F.col("text"))).alias("relaxed_text"))
                .withColumnRenamed(id_col, "doc_id"))
+    if extracted.get("site_text") is not None:
+        site = extracted["site_text"].withColumnRenamed(id_col, "doc_id")
+        per_doc = per_doc.join(site, "doc_id", "left")
     td = G.title_description_candidates(per_doc).withColumn("probability", F.lit(None).cast("double"))
     parts.append(td.select(*parts[0].columns))
     out = parts[0]
@@ -80,7 +102,6 @@ def candidates(extracted: dict, id_col: str = "page_id") -> DataFrame:
 def site_candidates(pages: DataFrame, id_col: str = "page_id") -> DataFrame | None:
     """Wrapper (site) fields of the pages as strict extractor values
     (pass 2), in the order of the site-field configuration."""
-    from fieldloom import config
     order = {src: i for i, src in enumerate(s for srcs in config.SITE_FIELD_SOURCES.values() for s in srcs)}
     present = [c for c in pages.columns if c in order]
     if not present:
@@ -137,18 +158,18 @@ REGEX_EXTRACTORS = {
     "email": (mentions.EMAIL_PATTERN, 0),
     "phone": (mentions.PHONE_PATTERN, 0),
     "age": (mentions.AGE_PATTERN, 0),
-    "name": (r"(?i)(?:my[\s]+name[\s]+is[\s]+([-a-z0-9@$!]+))", 1),
+    "name": (config.MY_NAME_IS_PATTERN, 1),
 }
 
 
 def select_regexes(names, available=None, log=print) -> dict:
-    """The requested regex extractors; an unknown name is reported and
-    skipped, never fatal."""
+    """The requested regex extractors as ``{name: (pattern, group)}``; an
+    unknown name is reported and skipped, never fatal."""
     available = available or REGEX_EXTRACTORS
     out = {}
     for n in names:
         if n in available:
-            out[n] = available[n][0]
+            out[n] = available[n]
         else:
             log(f"{n} - Not found")
     return out

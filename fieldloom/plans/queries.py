@@ -122,6 +122,29 @@ def regex_phone(spark: SparkSession, sf_dir: str) -> DataFrame:
                     mentions.phone_digits("value").alias("digits"))
 
 
+@query
+def name_regex(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captured group of every match."""
+    from fieldloom.plans.pipeline import select_regexes
+    text = F.concat(F.lit("Hello. My  name IS "), F.col("c_mktsegment"), F.lit("-"), F.col("c_custkey").cast("string"),
+                    F.lit(" and my name is x"), F.col("c_nationkey").cast("string"), F.lit("!"))
+    rows = T.load(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
+    pattern, group = select_regexes(["name"])["name"]
+    m = mentions.regex_mentions(rows, ["c_custkey"], "text", pattern, field="name", group=group)
+    return m.select("c_custkey", F.col("match_ix").cast("bigint").alias("match_ix"), "value")
+
+
+@query
+def odd_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts of URLs with underscores, users, ports, spaces and bars."""
+    k = F.col("page_id") % 5
+    rest = F.regexp_replace("url", "^[a-z]+://", "")
+    url = (F.when(k == 0, F.concat(F.lit("http://my_site."), rest)).when(k == 1, F.concat(F.lit("HTTPS://User:pw@"), rest, F.lit(" x|y")))
+           .when(k == 2, F.concat(F.lit("http://"), F.regexp_extract(rest, "^[^/]+", 0), F.lit(":8080/a b"))).when(k == 3, F.col("url"))
+           .otherwise(rest))
+    return T.load(spark, sf_dir, "pages").select("page_id", host_of(url).alias("host"))
+
+
 # --- site fields (X13) -------------------------------------------------------
 
 def site_pages(spark, sf_dir) -> DataFrame:
@@ -207,6 +230,16 @@ def consolidate_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.consolidate(event_candidates(spark, sf_dir))
 
 
+@query
+def equal_seq_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an unconfigured field are never merged, even where all they have is equal."""
+    from fieldloom.operators import consolidate as G
+    rows = T.load(spark, sf_dir, "events").select(
+        F.col("user_id").alias("doc_id"), F.lit("price").alias("field"), F.lit("strict").alias("tier"), F.lit(2).alias("pass_no"),
+        F.lit(0.0).alias("rank"), F.lit(0).cast("bigint").alias("pos"), F.lit("9").alias("value"))
+    return G.consolidate(rows).groupBy("doc_id", "tier").agg(F.count("*").alias("n_values"))
+
+
 # --- normalisers on strings built from lineitem / part / customer (H1-H19) ---
 
 def _li(spark, sf_dir) -> DataFrame:
@@ -267,6 +300,31 @@ def normalize_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fv(li, "clean_weight", ["l_orderkey", "l_linenumber", "raw"], value="raw")
 
 
+@query
+def normalize_custom_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's configuration: own ranges, a data type that does not fit, a user function."""
+    from fieldloom.functions import normalize as N
+    conf = {"age": {"data_type": "int", "range": (1, 30), "function": "clean_age"},
+            "years": {"data_type": "int", "range": (10, 99), "function": "clean_age"},
+            "label": {"data_type": "string", "range": (1, 99), "function": "clean_age"},
+            "code": {"data_type": "string", "function": lambda v: F.when(v != "7", F.concat(F.lit("q"), v))}}
+    field = F.element_at(F.array(*map(F.lit, conf)), (F.col("l_linenumber") % 4 + 1).cast("int"))
+    li = _li(spark, sf_dir).select("l_orderkey", "l_linenumber", field.alias("field"), F.col("q").cast("string").alias("value"))
+    out = N.normalize_frame(li, "field", "fv", normalize_config=conf, value="value")
+    return out.select("l_orderkey", "l_linenumber", "field", F.col("fv.name").alias("name"))
+
+
+@query
+def normalize_weight_stone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stones read as 14 pounds, by the opt-in flag."""
+    from fieldloom.functions import normalize as N
+    q, ln = F.col("q") % 15, F.col("l_linenumber")
+    text = F.concat(q.cast("string"), F.when(ln % 2 == 0, " stone ").otherwise("st "), ln.cast("string"), F.when(ln % 3 == 0, "lbs").otherwise("lb"))
+    li = _li(spark, sf_dir).select("l_orderkey", "l_linenumber", text.alias("value"))
+    out = N.apply(li, "clean_weight", "fv", conf={"data_type": "number", "range": (40, 150), "fix_stone": True}, value="value")
+    return out.select("l_orderkey", "l_linenumber", "value", F.round("fv.num", 6).alias("kg"))
+
+
 @query
 def normalize_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = T.load(spark, sf_dir, "part")
@@ -367,6 +425,22 @@ def canonicalize_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("p_partkey", "word_ix", "raw", "canonical", F.round("score", 6).alias("score"))
 
 
+PHRASE_REFERENCES = ["red ring", "blue bolt", "old gear", "new rod", "hot plate", "cold anvil", "large gizmo", "small widget"]
+
+
+@query
+def canonicalize_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-word values: the first word lacks a letter, or is repeated."""
+    from fieldloom.operators import canonical as J
+    w = F.split("p_name", " ")
+    one, two = F.get(w, 0), F.get(w, 1)
+    raw = F.when(F.col("p_partkey") % 3 == 0, F.concat_ws(" ", one, one)).otherwise(
+        F.concat_ws(" ", F.concat(F.substring(one, 1, 1), F.substring(one, 3, 99)), two))
+    p = T.load(spark, sf_dir, "part").select("p_partkey", raw.alias("raw"))
+    out = J.canonicalize(p, "raw", J.reference_table(spark, {None: PHRASE_REFERENCES}), score_col="score", threshold=0.8)
+    return out.select("p_partkey", "raw", "canonical", F.round("score", 6).alias("score"))
+
+
 # --- spans (F1, G1) -------------------------------------------------------------
 
 def phrase_spans(spark, sf_dir) -> DataFrame:

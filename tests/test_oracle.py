@@ -7,12 +7,7 @@ import pytest
 
 from conftest import SMALL
 
-FAST = ["title_extract", "registered_domain", "content_blocks", "content_strict", "list_cells", "landmark_fields",
-        "tokenize", "regex_email", "regex_phone", "merge_site_fields", "route_strict_relaxed", "consolidate_fields",
-        "dedupe_fields", "normalize_age", "normalize_height", "normalize_weight", "normalize_name", "normalize_city",
-        "unit_convert", "height_weight_split", "posting_date", "canonicalize_vocab", "score_mentions",
-        "consistent_locations"]
-
+from fieldloom.plans.queries import QUERIES  # noqa: E402
 
 def norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
@@ -31,7 +26,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_matches_oracle(spark, con, name):
     import __spark_entry__ as E
     df = E.queries()[name](spark, SMALL)
