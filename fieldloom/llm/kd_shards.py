@@ -36,7 +36,7 @@ from pyspark.sql.window import Window
 
 from fieldloom.llm.common import stored
 
-CELLS, TOLERANCE, SLOT_ROWS = 8192, 1 / 4000, 20_000
+CELLS, TOLERANCE, SLOT_ROWS = 256, 1 / 1000, 20_000
 DIM_BITS, CRC_BITS, ID_BITS = 20, 20, 23
 OVERHEAD = 8  # bytes of a row besides its text
 
