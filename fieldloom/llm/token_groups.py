@@ -22,7 +22,9 @@ Steps:
 5. Each candidate pair of groups bounds the overlap of every member with the
    other union, opens what qualifies, and counts exact intersections.  Only a
    spanning forest of the links found leaves the task, so a group of near
-   copies costs a row per member and not a row per pair.
+   copies costs a row per member and not a row per pair.  Each group is opened
+   by itself and with one candidate first; pairs of groups that lie whole in one
+   component by then are settled, the others are opened next.
 
 No link is lost: the prefix and the bound are necessary conditions, and no
 partner, candidate or group is capped.
@@ -315,6 +317,15 @@ def _open(percent: int):
     return run
 
 
+def _edges(pairs: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
+    """Links found by opening the two groups (or the one) of each pair."""
+    other = matrix.select(*(F.col(c).alias(f"{c}2") for c in matrix.columns))
+    two = pairs.where("gid <> gid2").join(matrix, "gid").join(other, "gid2").select(*matrix.columns, *other.columns)
+    one = pairs.where("gid = gid2").join(matrix, "gid")
+    return (two.mapInArrow(_open(percent), "a long, b long")
+            .union(one.mapInArrow(_open(percent), "a long, b long")))
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
                     buckets: int = 1 << 24) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per input row: documents
@@ -343,21 +354,29 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("g", "h", "ch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cg") - 1)).alias("i"))
         .select("g", "h", "i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ch") - 1)).alias("j"))
         .where("g <> h or i <= j")
-        .select(F.xxhash64("g", "i").alias("gid"), F.xxhash64("h", "j").alias("gid2")), "pairs")
+        .select(F.xxhash64("g", "i").alias("x"), F.xxhash64("h", "j").alias("y"))
+        .select(F.least("x", "y").alias("gid"), F.greatest("x", "y").alias("gid2")).distinct(), "pairs")
 
     needed = pairs.select("gid").union(pairs.select("gid2")).distinct()
-    members = (classes.join(groups, "grp").select("rep", F.expr("xxhash64(grp, pmod(xxhash64(rep), chunks))").alias("gid"))
-               .join(needed, "gid", "left_semi"))
+    members = stored(classes.join(groups, "grp").select("rep", F.expr("xxhash64(grp, pmod(xxhash64(rep), chunks))").alias("gid"))
+                     .join(needed, "gid", "left_semi"), "members")
     opened = (docs.join(members, F.col("doc_id") == F.col("rep")).select("gid", "doc_id", "text")
               .repartition("gid").sortWithinPartitions("gid"))
     matrix = stored(opened.mapInArrow(_group_rows(k), GROUP_DDL), "matrix")
 
-    other = matrix.select(*(F.col(c).alias(f"{c}2") for c in matrix.columns))
-    edges = (pairs.where("gid <> gid2").join(matrix, "gid").join(other, "gid2")
-             .select(*matrix.columns, *other.columns).mapInArrow(_open(percent), "a long, b long"))
-    alone = pairs.where("gid = gid2").join(matrix, "gid").withColumn("gid2", F.col("gid"))
-    edges = edges.union(alone.mapInArrow(_open(percent), "a long, b long"))
-    comp = components(edges)
+    # first every group by itself and with one other candidate; what that connects needs no further comparison
+    ends = pairs.where("gid <> gid2").select(F.col("gid").alias("x"), F.col("gid2").alias("y"))
+    nearest = ends.union(ends.select("y", "x")).groupBy("x").agg(F.min("y").alias("y"))
+    first = stored(pairs.where("gid = gid2").union(nearest.select(F.least("x", "y"), F.greatest("x", "y"))).distinct(), "first-pairs")
+    found = stored(_edges(first, matrix, percent), "links")
+    comp = stored(components(found), "parts")
+    whole = (members.join(comp, F.col("rep") == F.col("vertex"), "left").groupBy("gid")
+             .agg(F.min(F.coalesce("component", "rep")).alias("part"), F.max(F.coalesce("component", "rep")).alias("high"))
+             .where("part = high").select("gid", "part"))
+    rest = (pairs.join(first, ["gid", "gid2"], "left_anti").join(whole, "gid", "left")
+            .join(whole.toDF("gid2", "part2"), "gid2", "left").where("not coalesce(part = part2, false)").select("gid", "gid2"))
+    more = _edges(stored(rest, "rest-pairs"), matrix, percent)
+    comp = components(comp.select(F.col("component").alias("a"), F.col("vertex").alias("b")).union(more))
 
     known = stored(classes.join(comp, F.col("rep") == F.col("vertex"), "left").where("copies > 1 or component is not null")
                    .select("d1", "d2", "n", F.coalesce("component", "rep").alias("component")), "known")
