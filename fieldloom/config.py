@@ -136,7 +136,8 @@ DATE_FORMATS = [
 ]
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
-# Public suffixes used for registered domains when no table is given.
+# Public suffixes used for registered domains when no table is given (a sample:
+# the last label stands in for a suffix that is not listed).
 DEFAULT_PUBLIC_SUFFIXES = [
     "com", "net", "org", "edu", "gov", "io", "info", "biz",
     "co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "de", "fr", "es", "it", "nl", "uk", "us",

@@ -56,22 +56,24 @@ def suffix_table(spark, suffixes=None) -> DataFrame:
 
 def registered_domains(hosts: DataFrame, host_col: str = "host", suffixes: DataFrame | None = None) -> DataFrame:
     """``(host, registered_domain)`` for distinct hosts: ``label.suffix`` with
-    the longest public suffix that the host ends with.
+    the longest public suffix that the host ends with.  Where no listed suffix
+    fits, the last label is the suffix (the public suffix list's own default
+    rule); numeric addresses have no registered domain.
 
     Candidate suffixes are the host's label tails (bounded by its label
     count); they meet the suffix table in a size-checked broadcast join and the
     longest hit per host wins through a grouped ``max_by``.
     """
     spark = hosts.sparkSession
-    sfx = bounded_broadcast(suffixes if suffixes is not None else suffix_table(spark))
+    sfx = bounded_broadcast((suffixes if suffixes is not None else suffix_table(spark)).withColumn("__listed", F.lit(True)))
     labels = F.split(F.col(host_col), r"\.")
     cand = (hosts.select(host_col, labels.alias("labels"))
-            .where(F.size("labels") >= 2)
+            .where((F.size("labels") >= 2) & ~F.col(host_col).rlike(r"^[0-9.]+$|^\["))
             .select(host_col, "labels", F.explode(F.sequence(F.lit(2), F.size("labels"))).alias("k"))
             .select(host_col, F.array_join(F.slice("labels", F.col("k"), F.size("labels")), ".").alias("suffix"),
                     F.element_at("labels", F.col("k") - 1).alias("label"),
                     (F.size("labels") - F.col("k") + 1).alias("n_labels")))
-    return (cand.join(sfx, "suffix", "inner")
+    return (cand.join(sfx, "suffix", "left").where(F.col("__listed") | (F.col("n_labels") == 1))
             .groupBy(host_col)
             .agg(F.max_by(F.concat_ws(".", "label", "suffix"), "n_labels").alias("registered_domain")))
 

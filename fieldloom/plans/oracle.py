@@ -657,3 +657,53 @@ e AS (SELECT a1, a2, b1 || ' ' || b2 AS canonical, s / (4 - n) AS score,
 SELECT m.p_partkey, m.a1 || ' ' || m.a2 AS raw, e.canonical, round(e.score, 6) AS score
 FROM m LEFT JOIN (SELECT * FROM e WHERE rn = 1) e ON m.a1 = e.a1 AND m.a2 = e.a2
 """
+
+ORACLE["regex_age"] = r"""
+WITH n AS (SELECT c_custkey, c_custkey % 120 AS n FROM customer),
+t AS (SELECT c_custkey, 'Aged: ' || CAST(n AS VARCHAR) || ' or ' || CAST(n + 3 AS VARCHAR)
+             || CASE WHEN n % 2 = 0 THEN ' yo, page 44 years old' ELSE 'yrs and age 77x' END AS text FROM n),
+m AS (SELECT c_custkey, regexp_extract_all(text,
+             '(?i)\b(?:age|aged)[ :]+[1-9][0-9]\b|\b[1-9][0-9] ?(?:yo|y/o|yrs|years old)\b') AS v FROM t)
+SELECT c_custkey, CAST(unnest(range(len(v))) AS BIGINT) AS match_ix, unnest(v) AS value FROM m
+"""
+
+ORACLE["blank_and_rename"] = "SELECT c_custkey AS cdr_id, '...' AS crawl_data, '...' AS extracted_metadata FROM customer"
+
+ORACLE["parse_props"] = """
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CASE WHEN event_id % 7 = 0 THEN 'bad' ELSE 'good' END AS side FROM events
+"""
+
+ORACLE["letters_and_digits"] = """
+WITH t AS (SELECT p_partkey, p_brand || ' / ' || p_type || ' é ' || CAST(p_size AS VARCHAR) AS text FROM part)
+SELECT p_partkey, regexp_replace(text, '[^A-Za-z]+', '', 'g') AS letters, regexp_replace(text, '[^0-9]+', '', 'g') AS digits FROM t
+"""
+
+ORACLE["measure_lists"] = """
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity) AS INTEGER) AS q FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       CAST(CASE WHEN q * 10 BETWEEN 121 AND 214 THEN q * 10 WHEN q * 7 BETWEEN 121 AND 214 THEN q * 7
+                 WHEN q * 3 BETWEEN 121 AND 214 THEN q * 3 END AS DOUBLE) AS cm,
+       CAST(CASE WHEN q * 5 BETWEEN 40 AND 150 THEN q * 5 WHEN q * 3 BETWEEN 40 AND 150 THEN q * 3
+                 WHEN q BETWEEN 40 AND 150 THEN q END AS DOUBLE) AS kg
+FROM li
+"""
+
+ORACLE["color_vocabularies"] = """
+WITH w AS (SELECT ['blu', 'sapphire', 'grey', 'blond', 'flaxen', 'ginger', 'platnum', 'hazel', 'Raven ', 'brwn', 'none'] AS words,
+                  ['eye_color', 'hair_color', 'price'] AS fields),
+p AS (SELECT p_partkey, fields[p_size % 3 + 1] AS field, words[p_partkey % 11 + 1] AS value FROM part, w),
+r AS (SELECT * FROM (VALUES ('eye_color', 'amber', 'amber', 0), ('eye_color', 'blue', 'blue', 1), ('eye_color', 'blue', 'azure', 1),
+  ('eye_color', 'blue', 'sapphire', 1), ('eye_color', 'brown', 'brown', 2), ('eye_color', 'gray', 'gray', 3), ('eye_color', 'gray', 'grey', 3),
+  ('eye_color', 'green', 'green', 4), ('eye_color', 'hazel', 'hazel', 5), ('eye_color', 'violet', 'violet', 6),
+  ('hair_color', 'blonde', 'blonde', 0), ('hair_color', 'blonde', 'blond', 0), ('hair_color', 'blonde', 'flaxen', 0),
+  ('hair_color', 'blonde', 'fair', 0), ('hair_color', 'brown', 'brown', 1), ('hair_color', 'brown', 'brunette', 1),
+  ('hair_color', 'chestnut', 'chestnut', 2), ('hair_color', 'black', 'black', 3), ('hair_color', 'black', 'raven', 3),
+  ('hair_color', 'auburn', 'auburn', 4), ('hair_color', 'red', 'red', 5), ('hair_color', 'red', 'redhead', 5),
+  ('hair_color', 'red', 'ginger', 5), ('hair_color', 'gray', 'gray', 6), ('hair_color', 'gray', 'platinum', 6),
+  ('hair_color', 'gray', 'silver', 6), ('hair_color', 'white', 'white', 7)) r(field, canonical, synonym, ix)),
+s AS (SELECT DISTINCT p.field, p.value, r.canonical, r.ix, jaro_similarity(lower(trim(p.value)), r.synonym) AS score
+      FROM p JOIN r ON p.field = r.field),
+b AS (SELECT *, row_number() OVER (PARTITION BY field, value ORDER BY score DESC, ix) AS rn FROM s WHERE score >= 0.9)
+SELECT p.p_partkey, p.field, p.value, b.canonical FROM p LEFT JOIN (SELECT * FROM b WHERE rn = 1) b ON p.field = b.field AND p.value = b.value
+"""

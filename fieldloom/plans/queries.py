@@ -145,6 +145,34 @@ def odd_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.load(spark, sf_dir, "pages").select("page_id", host_of(url).alias("host"))
 
 
+@query
+def regex_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("c_custkey") % 120
+    text = F.concat(F.lit("Aged: "), n.cast("string"), F.lit(" or "), (n + 3).cast("string"),
+                    F.when(n % 2 == 0, " yo, page 44 years old").otherwise("yrs and age 77x"))
+    rows = T.load(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
+    m = mentions.regex_mentions(rows, ["c_custkey"], "text", mentions.AGE_PATTERN, field="age")
+    return m.select("c_custkey", F.col("match_ix").cast("bigint").alias("match_ix"), "value")
+
+
+@query
+def blank_and_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import plumbing as B
+    c = T.load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("_id"), F.col("c_name").alias("crawl_data"))
+    return B.rename_if_present(B.blank_columns(c, keep_placeholder=True))
+
+
+@query
+def parse_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose text is no JSON go to the quarantine side."""
+    from fieldloom.operators import plumbing as B
+    props = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("x"), F.col("props"))).otherwise(F.col("props"))
+    ev = T.load(spark, sf_dir, "events").select("event_id", props.alias("props"))
+    good, bad = B.parse_json_column(ev, "props", "k int", "parsed", quarantine=True)
+    return (good.select("event_id", F.col("parsed.k").alias("k"), F.lit("good").alias("side"))
+            .union(bad.select("event_id", F.lit(None).cast("int"), F.lit("bad"))))
+
+
 # --- site fields (X13) -------------------------------------------------------
 
 def site_pages(spark, sf_dir) -> DataFrame:
@@ -300,6 +328,25 @@ def normalize_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_fv(li, "clean_weight", ["l_orderkey", "l_linenumber", "raw"], value="raw")
 
 
+@query
+def letters_and_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.functions import normalize as N
+    text = F.concat("p_brand", F.lit(" / "), "p_type", F.lit(" é "), F.col("p_size").cast("string"))
+    return T.load(spark, sf_dir, "part").select("p_partkey", N.alpha_only(text).alias("letters"), N.numeric_only(text).alias("digits"))
+
+
+@query
+def measure_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first element in range of a list."""
+    from fieldloom.functions import normalize as N
+    q = F.col("q")
+    li = _li(spark, sf_dir).select("l_orderkey", "l_linenumber", F.array(q * 10, q * 7, q * 3).alias("cm"),
+                                   F.array(*((q * k).cast("double") for k in (5, 3, 1))).alias("kg"))
+    out = N.apply(li, "clean_height", "h", centimeter="cm")
+    out = N.apply(out, "clean_weight", "w", kilogram="kg")
+    return out.select("l_orderkey", "l_linenumber", F.col("h.num").alias("cm"), F.col("w.num").alias("kg"))
+
+
 @query
 def normalize_custom_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A user's configuration: own ranges, a data type that does not fit, a user function."""
@@ -425,6 +472,18 @@ def canonicalize_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("p_partkey", "word_ix", "raw", "canonical", F.round("score", 6).alias("score"))
 
 
+@query
+def color_vocabularies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eye and hair colours by their own reference lists; other fields stay null."""
+    from fieldloom.operators import canonical as J
+    words = ["blu", "sapphire", "grey", "blond", "flaxen", "ginger", "platnum", "hazel", "Raven ", "brwn", "none"]
+    word = F.element_at(F.array(*map(F.lit, words)), (F.col("p_partkey") % len(words) + 1).cast("int"))
+    field = F.element_at(F.array(*map(F.lit, ("eye_color", "hair_color", "price"))), (F.col("p_size") % 3 + 1).cast("int"))
+    p = T.load(spark, sf_dir, "part").select("p_partkey", field.alias("field"), word.alias("value"))
+    out = J.canonicalize(p, "value", J.default_references(spark), field_col="field")
+    return out.select("p_partkey", "field", "value", "canonical")
+
+
 PHRASE_REFERENCES = ["red ring", "blue bolt", "old gear", "new rod", "hot plate", "cold anvil", "large gizmo", "small widget"]
 
 
