@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom import config
-from fieldloom.functions.text import col_of, html_to_text, memo_column
+from fieldloom.functions.text import col_of, html_to_text, let, memo_column
 from fieldloom.operators.plumbing import bounded_broadcast, host_of
 
 # Patterns (shared with the SQL oracles in plans/).
@@ -28,11 +28,6 @@ REMOVE_PATTERN = (r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|"
                   r"<noscript\b.*?</noscript>|<head\b.*?</head>")
 BLOCK_SPLIT_PATTERN = r"(?i)</?(?:" + config.BLOCK_TAGS + r")\b[^>]*>"
 LINK_PATTERN = r"(?is)<a\b[^>]*>(.*?)</a>"
-TABLE_PATTERN = r"(?is)<table\b[^>]*>(.*?)</table>"
-ROW_PATTERN = r"(?is)<tr\b[^>]*>(.*?)</tr>"
-CELL_PATTERN = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
-LIST_PATTERN = r"(?is)<(?:ul|ol)\b[^>]*>(.*?)</(?:ul|ol)>"
-ITEM_PATTERN = r"(?is)<li\b[^>]*>(.*?)</li>"
 
 def extract_title(html) -> "F.Column":
     """Text of the first ``<title>`` element, case-insensitive; ``.`` does not
@@ -104,23 +99,57 @@ def join_blocks(blocks: DataFrame, id_col: str, out_col: str = "text") -> DataFr
             .select(id_col, F.array_join(F.transform("__b", lambda b: b["text"]), "\n").alias(out_col)))
 
 
+def own_contents(html, tags: str) -> "F.Column":
+    """Per element of ``tags`` (in the order of their opening tags), its content
+    without that of elements of these tags inside it.  An element that is never
+    closed runs to the end of the page; a closing tag without an opening one is
+    ignored."""
+    rx = rf"(?is)</?(?:{tags})\b[^>]*>"
+    html = col_of(html)
+    none = F.array().cast("array<int>")
+
+    def owners(closes):
+        """Per piece between tags, the innermost open element (-1: none)."""
+        start = F.struct(none.alias("open"), F.array(F.lit(-1)).alias("owner"), F.lit(0).alias("n"))
+
+        def step(acc, close):
+            opened = F.when(~close, F.concat(acc["open"], F.array(acc["n"]))).when(
+                F.size(acc["open"]) > 0, F.slice(acc["open"], F.lit(1), F.size(acc["open"]) - 1)).otherwise(none)
+            return F.struct(opened.alias("open"), F.concat(acc["owner"], F.array(F.when(~close, acc["n"]).otherwise(
+                F.coalesce(F.try_element_at(opened, F.lit(-1)), F.lit(-1))))).alias("owner"),
+                (acc["n"] + F.when(close, 0).otherwise(1)).alias("n"))
+        return F.aggregate(closes, start, step)
+    closes = F.transform(F.regexp_extract_all(html, F.lit(rx), 0), lambda t: t.startswith("</"))
+    found = F.struct(F.split(html, rx, -1).alias("part"), owners(closes).alias("s"))
+
+    def contents(f):
+        return F.transform(F.when(f["s"]["n"] > 0, F.sequence(F.lit(0), f["s"]["n"] - 1)).otherwise(none),
+                           lambda i: F.array_join(F.filter(f["part"], lambda p, j: F.get(f["s"]["owner"], j) == i), " "))
+    return let(found, contents)
+
+
+def _items(html, tag: str) -> "F.Column":
+    """Contents of the elements ``tag`` of a piece of HTML; each ends at its closing
+    tag or where the next one begins."""
+    pieces = F.split(col_of(html), rf"(?i)<(?:{tag})\b[^>]*>", -1)
+    return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
+                       lambda p: F.get(F.split(p, rf"(?i)</(?:{tag})\s*>", 2), 0))
+
+
 def extract_tables(df: DataFrame, id_col: str, html_col: str = "html") -> DataFrame:
-    """``cells(id, table_ix, row_ix, cell_ix, text)`` from ``<table>/<tr>/<td|th>``."""
-    t = df.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(TABLE_PATTERN), 1))
-                  .alias("table_ix", "table_html"))
-    r = t.select(id_col, "table_ix", F.posexplode(F.regexp_extract_all("table_html", F.lit(ROW_PATTERN), 1))
-                 .alias("row_ix", "row_html"))
-    c = r.select(id_col, "table_ix", "row_ix",
-                 F.posexplode(F.regexp_extract_all("row_html", F.lit(CELL_PATTERN), 1)).alias("cell_ix", "cell_html"))
+    """``cells(id, table_ix, row_ix, cell_ix, text)`` from ``<table>/<tr>/<td|th>``;
+    nested tables are tables of their own, and rows and cells may lack closing tags."""
+    t = df.select(id_col, F.posexplode(own_contents(html_col, "table")).alias("table_ix", "table_html"))
+    r = t.select(id_col, "table_ix", F.posexplode(_items("table_html", "tr")).alias("row_ix", "row_html"))
+    c = r.select(id_col, "table_ix", "row_ix", F.posexplode(_items("row_html", "t[dh]")).alias("cell_ix", "cell_html"))
     return c.select(id_col, "table_ix", "row_ix", "cell_ix", html_to_text(F.col("cell_html")).alias("text"))
 
 
 def extract_lists(df: DataFrame, id_col: str, html_col: str = "html") -> DataFrame:
-    """``items(id, list_ix, item_ix, text)`` from ``<ul>/<ol>`` and ``<li>``."""
-    lists = df.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(LIST_PATTERN), 1))
-                      .alias("list_ix", "list_html"))
-    items = lists.select(id_col, "list_ix",
-                         F.posexplode(F.regexp_extract_all("list_html", F.lit(ITEM_PATTERN), 1)).alias("item_ix", "item_html"))
+    """``items(id, list_ix, item_ix, text)`` from ``<ul>/<ol>`` and ``<li>``; nested
+    lists are lists of their own, and items may lack closing tags."""
+    lists = df.select(id_col, F.posexplode(own_contents(html_col, "ul|ol")).alias("list_ix", "list_html"))
+    items = lists.select(id_col, "list_ix", F.posexplode(_items("list_html", "li")).alias("item_ix", "item_html"))
     return items.select(id_col, "list_ix", "item_ix", html_to_text(F.col("item_html")).alias("text"))
 
 

@@ -16,6 +16,14 @@ from fieldloom.plans import tables as T
 ORACLE: dict = {}
 
 
+# Patterns of flat, well-formed tables and lists: what the given pages and built tables hold.
+TABLE_PATTERN = r"(?is)<table\b[^>]*>(.*?)</table>"
+ROW_PATTERN = r"(?is)<tr\b[^>]*>(.*?)</tr>"
+CELL_PATTERN = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"
+LIST_PATTERN = r"(?is)<(?:ul|ol)\b[^>]*>(.*?)</(?:ul|ol)>"
+ITEM_PATTERN = r"(?is)<li\b[^>]*>(.*?)</li>"
+
+
 def q(s: str) -> str:
     """SQL string literal."""
     return "'" + s.replace("'", "''") + "'"
@@ -81,9 +89,9 @@ SELECT page_id, block_ix, text FROM f WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.
 """
 
 ORACLE["list_cells"] = f"""
-WITH l AS (SELECT page_id, regexp_extract_all(html, {q(C.LIST_PATTERN)}, 1) AS ls FROM pages),
+WITH l AS (SELECT page_id, regexp_extract_all(html, {q(LIST_PATTERN)}, 1) AS ls FROM pages),
 l1 AS (SELECT page_id, unnest(ls) AS list_html, generate_subscripts(ls, 1) - 1 AS list_ix FROM l),
-l2 AS (SELECT page_id, list_ix, regexp_extract_all(list_html, {q(C.ITEM_PATTERN)}, 1) AS items FROM l1),
+l2 AS (SELECT page_id, list_ix, regexp_extract_all(list_html, {q(ITEM_PATTERN)}, 1) AS items FROM l1),
 l3 AS (SELECT page_id, list_ix, unnest(items) AS item_html, generate_subscripts(items, 1) - 1 AS item_ix FROM l2)
 SELECT page_id, CAST(list_ix AS INTEGER) AS list_ix, CAST(item_ix AS INTEGER) AS item_ix,
        {html_to_text('item_html')} AS text FROM l3
@@ -96,11 +104,11 @@ ORDER_HTML = """'<table class="order"><tr><th>Key</th><th>Customer</th><th>Statu
 
 ORACLE["table_cells"] = f"""
 WITH h AS (SELECT o_orderkey, {ORDER_HTML} AS html FROM orders),
-t AS (SELECT o_orderkey, regexp_extract_all(html, {q(C.TABLE_PATTERN)}, 1) AS ts FROM h),
+t AS (SELECT o_orderkey, regexp_extract_all(html, {q(TABLE_PATTERN)}, 1) AS ts FROM h),
 t1 AS (SELECT o_orderkey, unnest(ts) AS th, generate_subscripts(ts, 1) - 1 AS table_ix FROM t),
-r AS (SELECT o_orderkey, table_ix, regexp_extract_all(th, {q(C.ROW_PATTERN)}, 1) AS rs FROM t1),
+r AS (SELECT o_orderkey, table_ix, regexp_extract_all(th, {q(ROW_PATTERN)}, 1) AS rs FROM t1),
 r1 AS (SELECT o_orderkey, table_ix, unnest(rs) AS rh, generate_subscripts(rs, 1) - 1 AS row_ix FROM r),
-c AS (SELECT o_orderkey, table_ix, row_ix, regexp_extract_all(rh, {q(C.CELL_PATTERN)}, 1) AS cs FROM r1),
+c AS (SELECT o_orderkey, table_ix, row_ix, regexp_extract_all(rh, {q(CELL_PATTERN)}, 1) AS cs FROM r1),
 c1 AS (SELECT o_orderkey, table_ix, row_ix, unnest(cs) AS ch, generate_subscripts(cs, 1) - 1 AS cell_ix FROM c)
 SELECT o_orderkey, CAST(table_ix AS INTEGER) AS table_ix, CAST(row_ix AS INTEGER) AS row_ix,
        CAST(cell_ix AS INTEGER) AS cell_ix, {html_to_text('ch')} AS text FROM c1
@@ -707,3 +715,11 @@ s AS (SELECT DISTINCT p.field, p.value, r.canonical, r.ix, jaro_similarity(lower
 b AS (SELECT *, row_number() OVER (PARTITION BY field, value ORDER BY score DESC, ix) AS rn FROM s WHERE score >= 0.9)
 SELECT p.p_partkey, p.field, p.value, b.canonical FROM p LEFT JOIN (SELECT * FROM b WHERE rn = 1) b ON p.field = b.field AND p.value = b.value
 """
+
+ORACLE["nested_tables"] = """
+SELECT o_orderkey, c.table_ix, c.row_ix, c.cell_ix,
+       CASE c.what WHEN 'k' THEN 'K' || CAST(o_orderkey AS VARCHAR) WHEN 's' THEN 'in ' || o_orderstatus
+                   WHEN 'p' THEN 'last ' || o_orderpriority ELSE c.what END AS text
+FROM orders CROSS JOIN (VALUES (0, 0, 0, 'k'), (0, 0, 1, 'after'), (0, 1, 0, 'p'), (1, 0, 0, 's'), (1, 1, 0, 'second'))
+     c(table_ix, row_ix, cell_ix, what)
+"""

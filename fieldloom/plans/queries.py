@@ -73,6 +73,14 @@ def table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content.extract_tables(order_tables_html(T.load(spark, sf_dir, "orders")), "o_orderkey", "html")
 
 
+@query
+def nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table inside a cell, and rows and cells without closing tags."""
+    html = F.concat(F.lit("<table><tr><td>K"), F.col("o_orderkey").cast("string"), F.lit("<TABLE class=x><tr><td>in "), F.col("o_orderstatus"),
+                    F.lit("<tr><td>second</table></td><th>after<tr><td>last "), F.col("o_orderpriority"), F.lit("</table>"))
+    return content.extract_tables(T.load(spark, sf_dir, "orders").select("o_orderkey", html.alias("html")), "o_orderkey")
+
+
 @query
 def landmark_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = add_registered_domain(T.load(spark, sf_dir, "pages").select("page_id", "url", "html"))
