@@ -217,8 +217,9 @@ def _unique_pairs(found):
     return batch(PAIR, p[0][keep], p[1][keep])
 
 
-GROUP = pa.schema([("gid", pa.int64()), ("ids", pa.binary()), ("tokens", pa.binary()), ("bits", pa.binary())])
-GROUP_DDL = "gid long, ids binary, tokens binary, bits binary"
+GROUP = pa.schema([("gid", pa.int64()), ("ids", pa.binary()), ("tokens", pa.binary()), ("bits", pa.binary()),
+                   ("a", pa.binary()), ("b", pa.binary())])
+GROUP_DDL = "gid long, ids binary, tokens binary, bits binary, a binary, b binary"
 WIDTH = 6  # bytes kept of a shingle's hash in a matrix row
 
 
@@ -232,8 +233,9 @@ def _wide(x: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-def _group_rows(k: int):
-    """One matrix row per group: the token union, and a bit per member and token."""
+def _group_rows(k: int, percent: int):
+    """One matrix row per group: the token union, a bit per member and token
+    (both only if the group meets others), and the links within the group."""
     def run(batches):
         low = np.uint64((1 << 8 * WIDTH) - 1)
         for t in runs(batches, "gid"):
@@ -244,7 +246,13 @@ def _group_rows(k: int):
             sets = [sets[i] for i in first]
             union = np.unique(np.concatenate(sets))
             bits = b"".join(np.packbits(np.isin(union, s, assume_unique=True)).tobytes() for s in sets)
-            yield batch(GROUP, [t.column("gid")[0].as_py()], [ids.astype(np.int64).tobytes()], [_narrow(union)], [bits])
+            ids, tokens = ids.astype(np.int64).tobytes(), _narrow(union)
+            x = _Group(ids, tokens, bits)
+            ox, oy, link = _linked(x, x, percent) if len(sets) > 1 else (x.ids[:0], x.ids[:0], np.zeros((0, 0), dtype=bool))
+            a, b = _stars(_forest(x.ids[ox], x.ids[oy], link))
+            meets = t.column("meets")[0].as_py()
+            yield batch(GROUP, [t.column("gid")[0].as_py()], [ids], [tokens if meets else None], [bits if meets else None],
+                        [a.tobytes()], [b.tobytes()])
     return run
 
 
@@ -301,29 +309,36 @@ def _forest(ix: np.ndarray, iy: np.ndarray, link: np.ndarray):
         todo &= ~rows
 
 
+def _stars(parts) -> tuple[np.ndarray, np.ndarray]:
+    parts = list(parts) or [(np.zeros(0, dtype=np.int64),) * 2]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
 def _open(percent: int):
+    """Links between the two groups of each row."""
     def run(batches):
         for b in batches:
-            a, c = [], []
+            found = []
             for r in b.to_pylist():
-                x = _Group(r["ids"], r["tokens"], r["bits"])
-                y = x if r["gid"] == r["gid2"] else _Group(r["ids2"], r["tokens2"], r["bits2"])
+                x, y = _Group(r["ids"], r["tokens"], r["bits"]), _Group(r["ids2"], r["tokens2"], r["bits2"])
                 ox, oy, link = _linked(x, y, percent)
-                for p, q in _forest(x.ids[ox], y.ids[oy], link):
-                    a.append(p)
-                    c.append(q)
-            if a:
-                yield batch(EDGE, np.concatenate(a), np.concatenate(c))
+                found += _forest(x.ids[ox], y.ids[oy], link)
+            if found:
+                yield batch(EDGE, *_stars(found))
     return run
 
 
+def _inner_links(batches):
+    for b in batches:
+        yield batch(EDGE, *(np.frombuffer(b"".join(b.column(i).to_pylist()), np.int64) for i in (0, 1)))
+
+
 def _edges(pairs: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
-    """Links found by opening the two groups (or the one) of each pair."""
-    other = matrix.select(*(F.col(c).alias(f"{c}2") for c in matrix.columns))
-    two = pairs.where("gid <> gid2").join(matrix, "gid").join(other, "gid2").select(*matrix.columns, *other.columns)
-    one = pairs.where("gid = gid2").join(matrix, "gid")
-    return (two.mapInArrow(_open(percent), "a long, b long")
-            .union(one.mapInArrow(_open(percent), "a long, b long")))
+    """Links found by opening the two groups of each pair."""
+    rows = matrix.select("gid", "ids", "tokens", "bits").where("tokens is not null")
+    other = rows.toDF("gid2", "ids2", "tokens2", "bits2").join(pairs.select("gid2").distinct(), "gid2", "left_semi")
+    both = pairs.join(rows, "gid").join(other, "gid2").select(*rows.columns, *other.columns)
+    return both.mapInArrow(_open(percent), "a long, b long")
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -357,23 +372,27 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select(F.xxhash64("g", "i").alias("x"), F.xxhash64("h", "j").alias("y"))
         .select(F.least("x", "y").alias("gid"), F.greatest("x", "y").alias("gid2")).distinct(), "pairs")
 
-    needed = pairs.select("gid").union(pairs.select("gid2")).distinct()
+    ends = pairs.where("gid <> gid2").select(F.col("gid").alias("x"), F.col("gid2").alias("y"))
+    both = ends.union(ends.select("y", "x"))
+    needed = (both.select(F.col("x").alias("gid"), F.lit(True).alias("meets")).union(pairs.where("gid = gid2").select("gid", F.lit(False)))
+              .groupBy("gid").agg(F.max("meets").alias("meets")))
     members = stored(classes.join(groups, "grp").select("rep", F.expr("xxhash64(grp, pmod(xxhash64(rep), chunks))").alias("gid"))
-                     .join(needed, "gid", "left_semi"), "members")
-    opened = (docs.join(members, F.col("doc_id") == F.col("rep")).select("gid", "doc_id", "text")
+                     .join(needed, "gid"), "members")
+    # the members grow with the corpus, so they are not broadcast at any size
+    opened = (docs.join(members.hint("merge"), F.col("doc_id") == F.col("rep")).select("gid", "doc_id", "text", "meets")
               .repartition("gid").sortWithinPartitions("gid"))
-    matrix = stored(opened.mapInArrow(_group_rows(k), GROUP_DDL), "matrix")
+    matrix = stored(opened.mapInArrow(_group_rows(k, percent), GROUP_DDL), "matrix")
 
-    # first every group by itself and with one other candidate; what that connects needs no further comparison
-    ends = pairs.where("gid <> gid2").select(F.col("gid").alias("x"), F.col("gid2").alias("y"))
-    nearest = ends.union(ends.select("y", "x")).groupBy("x").agg(F.min("y").alias("y"))
-    first = stored(pairs.where("gid = gid2").union(nearest.select(F.least("x", "y"), F.greatest("x", "y"))).distinct(), "first-pairs")
-    found = stored(_edges(first, matrix, percent), "links")
+    # links within groups and with one other candidate each; what that connects needs no further comparison
+    nearest = both.groupBy("x").agg(F.min("y").alias("y")).select(F.least("x", "y").alias("gid"), F.greatest("x", "y").alias("gid2"))
+    first = stored(nearest.distinct(), "first-pairs")
+    inner = matrix.where("length(a) > 0").select("a", "b").mapInArrow(_inner_links, "a long, b long")
+    found = stored(inner.union(_edges(first, matrix, percent)), "links")
     comp = stored(components(found), "parts")
     whole = (members.join(comp, F.col("rep") == F.col("vertex"), "left").groupBy("gid")
              .agg(F.min(F.coalesce("component", "rep")).alias("part"), F.max(F.coalesce("component", "rep")).alias("high"))
              .where("part = high").select("gid", "part"))
-    rest = (pairs.join(first, ["gid", "gid2"], "left_anti").join(whole, "gid", "left")
+    rest = (pairs.where("gid <> gid2").join(first, ["gid", "gid2"], "left_anti").join(whole, "gid", "left")
             .join(whole.toDF("gid2", "part2"), "gid2", "left").where("not coalesce(part = part2, false)").select("gid", "gid2"))
     more = _edges(stored(rest, "rest-pairs"), matrix, percent)
     comp = components(comp.select(F.col("component").alias("a"), F.col("vertex").alias("b")).union(more))
