@@ -138,13 +138,15 @@ SENTENCE_END = byte_set(b".!?\n")
 
 
 def sentence_starts(w: Words) -> np.ndarray:
-    """Index of each sentence's first word: a sentence ends at a word whose last
-    byte is . ! or ?, or where one of these or a line break follows the word."""
+    """Index of each sentence's first word: a sentence ends where . ! ? or a line
+    break stands between a word's last letter or digit and the next word."""
     if not len(w.hash):
         return np.zeros(0, dtype=np.int64)
     c = np.concatenate([[0], np.cumsum(SENTENCE_END[w.data])])
     new = np.ones(len(w.hash), dtype=bool)
-    new[1:] = c[w.start[1:]] > c[w.end[:-1] - 1]
+    letter = np.maximum.accumulate(np.where(WORD_BYTES[w.data], np.arange(len(w.data)), -1))
+    tail = np.maximum(letter[w.end[:-1] - 1] + 1, w.start[:-1])
+    new[1:] = c[w.start[1:]] > c[tail]
     new[w.first[w.first < len(new)]] = True
     return np.flatnonzero(new)
 

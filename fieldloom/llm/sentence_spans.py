@@ -1,7 +1,8 @@
 """Substring dedup by sliding sentence spans (operator 5).
 
-Every run of ``k`` consecutive sentences with at least ``min_words`` words is
-hashed (128 bits, words as A-Z a-z and separated by any white space).  Runs of
+From every sentence on, the shortest run of at least ``k`` consecutive sentences
+that has ``min_words`` words is hashed (128 bits, A-Z as a-z, words separated by any
+white space).  Runs of
 all texts meet by hash.  The occurrence in the smallest doc_id, and there the
 first, stays; the sentences of every other occurrence are removed.
 
@@ -27,9 +28,9 @@ from pyspark.sql.window import Window
 from fieldloom.llm.common import (_power_table, batch, char_offsets, mix64, on_executors, sentence_starts, signed, split_words, stored,
                                   text_pieces)
 
-RUN = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("ix", pa.int32()), ("start", pa.int32()),
-                 ("stop", pa.int32()), ("again", pa.bool_())])
-RUN_DDL = "h1 long, h2 long, doc_id long, ix int, start int, stop int, again boolean"
+RUN = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("ix", pa.int32()), ("last", pa.int32()),
+                 ("start", pa.int32()), ("stop", pa.int32()), ("again", pa.bool_())])
+RUN_DDL = "h1 long, h2 long, doc_id long, ix int, last int, start int, stop int, again boolean"
 
 
 def _runs(k: int, min_words: int):
@@ -41,17 +42,16 @@ def _runs(k: int, min_words: int):
             for i, data, bounds in text_pieces(b.column(1)):
                 w = split_words(data, bounds)
                 first = sentence_starts(w)
-                m = len(first) - k + 1
-                if m <= 0:
-                    continue
                 stop = np.r_[first[1:], len(w.hash)]
                 doc = np.searchsorted(w.first, first, "right") - 1
-                s, e = first[:m], stop[k - 1:]
-                ok = (doc[:m] == doc[k - 1:]) & (e - s >= min_words) & valid[i + doc[:m]]
-                at = np.flatnonzero(ok)
+                at = np.arange(len(first))
+                last = np.maximum(at + k - 1, np.searchsorted(stop, first + min_words))  # the run's last sentence
+                at = at[last < len(first)]
+                at = at[(doc[at] == doc[last[at]]) & valid[i + doc[at]]]
                 if not len(at):
                     continue
-                s, e = s[at], e[at]
+                last = last[at]
+                s, e = first[at], stop[last]
                 p, q = _power_table(len(w.hash))
                 h = []
                 for salt in (0, 0x51ED270B):
@@ -66,7 +66,7 @@ def _runs(k: int, min_words: int):
                 base = chars[bounds[d]]
                 begin = np.searchsorted(first, w.first[d])  # the text's first sentence
                 yield batch(RUN, signed(h[0]), signed(h[1]), ids[i + d], (at - begin).astype(np.int32),
-                            (chars[w.start[s]] - base).astype(np.int32), (chars[w.end[e - 1]] - base).astype(np.int32), same)
+                            (last - begin).astype(np.int32), (chars[w.start[s]] - base).astype(np.int32), (chars[w.end[e - 1]] - base).astype(np.int32), same)
     return run
 
 
@@ -83,13 +83,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .where("top > kept_in or twice = 1").select(*key, "kept_in"))
     seen = stored(seen, "repeated")
     later = (spans.join(seen, key).where("doc_id > kept_in or again")
-             .select("doc_id", "ix", "start", "stop", "kept_in"))
+             .select("doc_id", "ix", "last", "start", "stop", "kept_in"))
     # islands of covered sentences per document
     order = Window.partitionBy("doc_id").orderBy("ix", "kept_in")
-    reach = F.max("ix").over(order.rowsBetween(Window.unboundedPreceding, -1)) + k
+    reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)) + 1
     island = F.sum((F.coalesce(reach, F.lit(-1)) < F.col("ix")).cast("int")).over(order)
     return (later.withColumn("island", island).groupBy("doc_id", "island")
-            .agg(F.min("ix").alias("first_sentence"), (F.max("ix") + k - 1).alias("last_sentence"),
+            .agg(F.min("ix").alias("first_sentence"), F.max("last").alias("last_sentence"),
                  F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("kept_in").alias("kept_in"))
             .drop("island"))
 

@@ -12,7 +12,7 @@ def sentences(text):
     """(start, end, words) of each sentence of the text."""
     out, cur = [], []
     for m in re.finditer(r"[^\x20\x09-\x0D]+", text or ""):
-        if cur and (cur[-1][2][-1] in ".!?" or re.search(r"[.!?\n]", text[cur[-1][1]:m.start()])):
+        if cur and re.search(r"[.!?\n]", re.sub(r".*[0-9A-Za-z\x80-\U0010ffff]", "", cur[-1][2]) + text[cur[-1][1]:m.start()]):
             out.append(cur)
             cur = []
         cur.append((m.start(), m.end(), m.group()))
@@ -29,25 +29,28 @@ def brute(rows, k=2, least=12):
         if i is None:
             continue
         s = sentences(t)
-        for j in range(len(s) - k + 1):
-            w = sum((x[2] for x in s[j:j + k]), ())
-            if len(w) >= least:
-                runs.append((n, i, j, w, s[j][0], s[j + k - 1][1]))
+        for j in range(len(s)):
+            z = j + k
+            while z < len(s) and sum(len(x[2]) for x in s[j:z]) < least:
+                z += 1
+            w = sum((x[2] for x in s[j:z]), ())
+            if z <= len(s) and len(w) >= least:
+                runs.append((n, i, j, w, s[j][0], s[z - 1][1], z - 1))
                 where.setdefault(w, []).append((i, n, j))
     out = {}
-    for n, i, j, w, a, z in runs:
+    for n, i, j, w, a, z, last in runs:
         first = min(x[0] for x in where[w])
         again = any(x[1] == n and x[2] < j for x in where[w])
         if i > first or again:
-            out.setdefault(i, set()).add((j, a, z, first))
+            out.setdefault(i, set()).add((j, a, z, first, last))
     result = []
     for i, hits in out.items():
         isl = []
-        for j, a, z, f in sorted(hits):
+        for j, a, z, f, last in sorted(hits):
             if isl and j <= isl[-1][1] + 1:
-                isl[-1] = [isl[-1][0], max(isl[-1][1], j + k - 1), min(isl[-1][2], a), max(isl[-1][3], z), min(isl[-1][4], f)]
+                isl[-1] = [isl[-1][0], max(isl[-1][1], last), min(isl[-1][2], a), max(isl[-1][3], z), min(isl[-1][4], f)]
             else:
-                isl.append([j, j + k - 1, a, z, f])
+                isl.append([j, last, a, z, f])
         result += [(i, *x) for x in isl]
     return sorted(result)
 
