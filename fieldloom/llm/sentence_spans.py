@@ -70,7 +70,7 @@ def _runs(k: int, min_words: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, min_words: int = 12) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, min_words: int = 25) -> DataFrame:
     """One row per maximal range of sentences to remove: ``doc_id``, its first and
     last sentence (from 0), its character range ``[start, stop)`` and the smallest
     ``kept_in`` document of the spans that cover it."""

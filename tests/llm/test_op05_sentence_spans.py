@@ -22,7 +22,7 @@ def sentences(text):
     return [(s[0][0], s[-1][1], tuple(fold(x[2]) for x in s)) for s in out]
 
 
-def brute(rows, k=2, least=12):
+def brute(rows, k=2, least=25):
     where = {}
     runs = []
     for n, (i, t) in enumerate(rows):
