@@ -96,6 +96,7 @@ def kd_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_co
         rows = (rows.join(F.broadcast(table), "__node", "left")  # at most one row per shard
                 .withColumn("__node", F.when(F.col("dim").isNull(), F.col("__node")).when(key < F.col("cut"), F.col("left")).otherwise(F.col("right")))
                 .drop("dim", "cut", "left", "right"))
+        rows = stored(rows, "level")  # each round of the next level reads one short table
         grown = {}
         for k, (s, n) in nodes.items():
             grown |= {2 * k + 1: (s, n // 2), 2 * k + 2: (s + n // 2, n - n // 2)} if n > 1 else {k: (s, n)}
