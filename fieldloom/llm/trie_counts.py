@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,9 +51,13 @@ class Trie:
     """Prefix nodes with the best score and token count of their string."""
 
     def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
         self.longest = max(map(len, pieces), default=1)
         self.byte = min(pieces.values(), default=0.0) - BYTE_PENALTY
+        self.find = ahocorasick.Automaton()  # the pieces that end at each character of a string
+        for p, s in pieces.items():
+            self.find.add_word(p, (len(p), s))
+        if pieces:
+            self.find.make_automaton()
         self.reset()
 
     def reset(self):
@@ -60,43 +65,50 @@ class Trie:
         self.score, self.count = [0.0], [0]
         self.terminal: dict[str, int] = {}
 
-    def _best(self, word: str, i: int, path: list[int], score: list, count: list):
-        """Best (score, tokens) of word[:i] from those of its shorter prefixes."""
-        n = len(word[i - 1].encode())
-        top, k = score[path[i - 1]] + n * self.byte, count[path[i - 1]] + n
-        get = self.pieces.get
-        for j in range(max(0, i - self.longest), i):
-            p = get(word[j:i])
-            if p is not None:
-                s = score[path[j]] + p
-                if s > top or (s == top and count[path[j]] + 1 < k):
-                    top, k = s, count[path[j]] + 1
-        return top, k
+    def _extend(self, word: str, path: list[int], score: list, count: list):
+        """Best (score, tokens) of each longer prefix of ``word``, in turn, from those
+        of its shorter prefixes; the caller appends each result's place to ``path``."""
+        done = len(path) - 1
+        ending: list[list] = [[] for _ in range(done, len(word))]
+        if len(self.find):
+            for e, piece in self.find.iter(word, max(0, done + 1 - self.longest)):
+                if e >= done:
+                    ending[e - done].append(piece)
+        for i, pieces in enumerate(ending, done + 1):
+            n = len(word[i - 1].encode())
+            top, k = score[path[i - 1]] + n * self.byte, count[path[i - 1]] + n
+            for m, p in pieces:
+                j = path[i - m]
+                s = score[j] + p
+                if s > top or (s == top and count[j] + 1 < k):
+                    top, k = s, count[j] + 1
+            yield top, k
 
     def insert(self, word: str) -> int:
         """The node of ``word``; nodes that are missing are made and scored."""
         node, path = 0, [0]
         edges, score, count = self.edges, self.score, self.count
-        for i, c in enumerate(word, 1):
-            child = edges.get((node, c))
-            if child is None:
-                s, k = self._best(word, i, path, score, count)
-                child = edges[node, c] = len(score)
+        for c in word:
+            node = edges.get((node, c))
+            if node is None:
+                break
+            path.append(node)
+        if len(path) <= len(word):
+            for s, k in self._extend(word, path, score, count):
+                child = edges[path[-1], word[len(path) - 1]] = len(score)
                 score.append(s)
                 count.append(k)
-            path.append(child)
-            node = child
-        self.terminal[word] = node
-        return node
+                path.append(child)
+        self.terminal[word] = path[-1]
+        return path[-1]
 
     def look(self, word: str) -> tuple[float, int]:
         node = self.terminal.get(word)
         if node is None:
             if len(word) > LONG:
-                score, count = [0.0], [0]
-                path = range(len(word) + 1)
-                for i in range(1, len(word) + 1):
-                    s, k = self._best(word, i, path, score, count)
+                score, count, path = [0.0], [0], [0]
+                for s, k in self._extend(word, path, score, count):
+                    path.append(len(score))
                     score.append(s)
                     count.append(k)
                 return score[-1], count[-1]
