@@ -334,7 +334,15 @@ def _inner_links(batches):
 
 
 def _edges(pairs: DataFrame, matrix: DataFrame, percent: int) -> DataFrame:
-    """Links found by opening the two groups of each pair."""
+    """Links found by opening the two groups of each pair.  The first group's row is
+    sent once for each of its pairs and the second's once at all, so the group
+    with more pairs goes second."""
+    ends = pairs.select(F.col("gid").alias("x")).union(pairs.select("gid2"))
+    many = ends.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+    swap = F.col("n") > F.col("n2")
+    pairs = stored(pairs.join(many.toDF("gid", "n"), "gid").join(many.toDF("gid2", "n2"), "gid2")
+                   .select(F.when(swap, F.col("gid2")).otherwise(F.col("gid")).alias("gid"),
+                           F.when(swap, F.col("gid")).otherwise(F.col("gid2")).alias("gid2")), "oriented-pairs")
     rows = matrix.select("gid", "ids", "tokens", "bits").where("tokens is not null")
     other = rows.toDF("gid2", "ids2", "tokens2", "bits2").join(pairs.select("gid2").distinct(), "gid2", "left_semi")
     both = pairs.join(rows, "gid").join(other, "gid2").select(*rows.columns, *other.columns)
