@@ -47,6 +47,10 @@ def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(_table(spark, sf_dir, "documents"))
 
 
+def op5_sentence_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents"), open_ends=True)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -82,6 +86,7 @@ QUERIES = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_toxicity": op4_toxicity,
     "op5_sentence_spans": op5_sentence_spans,
+    "op5_sentence_removal": op5_sentence_removal,
     "op6_token_counts": op6_token_counts,
     "op7_benchmark_overlap": op7_benchmark_overlap,
     "op8_arc_warc": op8_arc_warc,

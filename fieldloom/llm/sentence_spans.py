@@ -6,6 +6,13 @@ white space).  Runs of
 all texts meet by hash.  The occurrence in the smallest doc_id, and there the
 first, stays; the sentences of every other occurrence are removed.
 
+With ``open_ends`` a run may begin or end inside a sentence: every sentence is
+hashed with what follows it, and again with what stands before it, up to
+``min_words`` words (a longer sentence alone), and the whole sentences within are
+its range.  A repeated passage of 2 * ``min_words`` words holds one of the two for
+each sentence that is whole in both places, so all of these are found, and the
+sentences of complete runs as well.  A passage without a whole sentence is left.
+
 One scan emits a narrow row per run; no text is shuffled.  Repeated hashes are
 found by a grouped minimum, which combines before the shuffle, and stored; the
 join back to the runs has stored tables on both sides, so adaptive execution can
@@ -33,7 +40,7 @@ RUN = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()),
 RUN_DDL = "h1 long, h2 long, doc_id long, ix int, last int, start int, stop int, again boolean"
 
 
-def _runs(k: int, min_words: int):
+def _runs(k: int, min_words: int, open_ends: bool = False):
     def run(batches):
         for b in batches:
             ids = b.column(0)
@@ -45,20 +52,31 @@ def _runs(k: int, min_words: int):
                 stop = np.r_[first[1:], len(w.hash)]
                 doc = np.searchsorted(w.first, first, "right") - 1
                 at = np.arange(len(first))
-                last = np.maximum(at + k - 1, np.searchsorted(stop, first + min_words))  # the run's last sentence
-                at = at[last < len(first)]
-                at = at[(doc[at] == doc[last[at]]) & valid[i + doc[at]]]
+                if open_ends:
+                    at = at[valid[i + doc]]
+                    more = np.maximum(min_words - (stop - first)[at], 0)
+                    s, e = np.r_[first[at], first[at] - more], np.r_[stop[at] + more, stop[at]]
+                    d = np.r_[doc[at], doc[at]]
+                    fits = (s >= w.first[d]) & (e <= w.first[d + 1])
+                    # a run back to a sentence's first word is that sentence's run onwards
+                    fits[len(at):] &= ~np.isin(s[len(at):], first)
+                    s, e = s[fits], e[fits]
+                    at, last = np.searchsorted(first, s), np.searchsorted(stop, e, "right") - 1
+                else:
+                    last = np.maximum(at + k - 1, np.searchsorted(stop, first + min_words))  # the run's last sentence
+                    at = at[last < len(first)]
+                    at = at[(doc[at] == doc[last[at]]) & valid[i + doc[at]]]
+                    last = last[at]
+                    s, e = first[at], stop[last]
                 if not len(at):
                     continue
-                last = last[at]
-                s, e = first[at], stop[last]
                 p, q = _power_table(len(w.hash))
                 h = []
                 for salt in (0, 0x51ED270B):
                     c = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix64(w.hash + np.uint64(salt)) * p[:len(w.hash)])])
                     h.append(mix64((c[e] - c[s]) * q[s] + (e - s).astype(np.uint64)))
                 d = doc[at]
-                order = np.lexsort((at, h[1], h[0], d))  # within a text, later copies of a run come after the first
+                order = np.lexsort((s, h[1], h[0], d))  # within a text, later copies of a run come after the first
                 same = np.zeros(len(at), dtype=bool)
                 o = order
                 same[o[1:]] = (d[o[1:]] == d[o[:-1]]) & (h[0][o[1:]] == h[0][o[:-1]]) & (h[1][o[1:]] == h[1][o[:-1]])
@@ -66,17 +84,19 @@ def _runs(k: int, min_words: int):
                 base = chars[bounds[d]]
                 begin = np.searchsorted(first, w.first[d])  # the text's first sentence
                 yield batch(RUN, signed(h[0]), signed(h[1]), ids[i + d], (at - begin).astype(np.int32),
-                            (last - begin).astype(np.int32), (chars[w.start[s]] - base).astype(np.int32), (chars[w.end[e - 1]] - base).astype(np.int32), same)
+                            (last - begin).astype(np.int32), (chars[w.start[first[at]]] - base).astype(np.int32),
+                            (chars[w.end[stop[last] - 1]] - base).astype(np.int32), same)
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, min_words: int = 25) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, min_words: int = 25,
+                   open_ends: bool = False) -> DataFrame:
     """One row per maximal range of sentences to remove: ``doc_id``, its first and
     last sentence (from 0), its character range ``[start, stop)`` and the smallest
     ``kept_in`` document of the spans that cover it."""
     on_executors(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    spans = rows.mapInArrow(_runs(k, min_words), RUN_DDL)
+    spans = rows.mapInArrow(_runs(k, min_words, open_ends), RUN_DDL)
     key = ["h1", "h2"]
     seen = (spans.groupBy(*key).agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("top"),
                                     F.max(F.col("again").cast("int")).alias("twice"))
