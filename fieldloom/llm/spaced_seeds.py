@@ -4,8 +4,8 @@ Fixed masks pick some positions of a run of words and ignore the others, so a
 substituted word at an ignored position leaves the hash unchanged.  Masked
 hashes of the test items meet those of the training texts; around each hit the
 two word sequences are aligned without gaps and the best segment that tolerates
-substitutions (a match counts 1, a mismatch -``MISS``) is kept when it has
-``min_words`` matching words.
+substitutions (a match counts 1, a mismatch -``MISS``) is kept, among those that
+have ``min_words`` matching words.
 
 The items are the small, stated side.  They are hashed on the executors and sent
 to the tasks in blocks of about ``block_words`` words, a fixed size; further
@@ -96,12 +96,23 @@ class Seeds:
                     yield np.repeat(at, n), self.item[pick], self.at[pick]
 
 
-def best_segment(equal: np.ndarray) -> tuple[int, int]:
-    """The segment [s, e) of highest matches - MISS * mismatches, first of equals."""
+def best_segment(equal: np.ndarray, least: int = 0) -> tuple[int, int]:
+    """The segment [s, e) of highest matches - MISS * mismatches, first of equals.
+    If it has fewer than ``least`` matches, the best of the others that have as
+    many, one from each point where the running score falls to 0 to the next."""
     c = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISS))])
     low = np.minimum.accumulate(c)
     e = int(np.argmax(c - low))
-    return (int(np.argmin(c[:e + 1])), e) if e else (0, 0)
+    best = (int(np.argmin(c[:e + 1])), e) if e else (0, 0)
+    if equal[best[0]:best[1]].sum() >= least or equal.sum() < least:
+        return best
+    score, out = 0, best
+    zero = np.flatnonzero(c == low)
+    for s, z in zip(zero, np.append(zero[1:], len(c)), strict=True):
+        e = int(s + np.argmax(c[s:z]))
+        if c[e] - c[s] > score and equal[s:e].sum() >= least:
+            score, out = c[e] - c[s], (int(s), e)
+    return out
 
 
 HIT = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("matched", pa.int64()), ("aligned", pa.int64()),
@@ -130,7 +141,7 @@ def _search(seeds, min_words: int):
                     if hi <= lo:
                         continue
                     equal = q[lo:hi] == w.hash[shift + lo:shift + hi]
-                    x, y = best_segment(equal)
+                    x, y = best_segment(equal, min(min_words, len(q)))
                     n = int(equal[x:y].sum())
                     if n >= min(min_words, len(q)):
                         rows.append((ids[i + doc].as_py(), s.ids[item], n, y - x, shift + lo + x - a, lo + x))
