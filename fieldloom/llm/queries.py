@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldloom.llm.arc_warc import convert, http_field
+from fieldloom.llm.common import stored
 from fieldloom.llm.epsilon_grid import near_copies
 from fieldloom.llm.kd_shards import kd_shards
 from fieldloom.llm.pair_bpe import decode, encode
 from fieldloom.llm.secret_scan import scan
-from fieldloom.llm.sentence_spans import repeated_spans
+from fieldloom.llm.sentence_spans import remove_spans, repeated_spans
 from fieldloom.llm.spaced_seeds import contaminated
 from fieldloom.llm.token_groups import jaccard_classes
 from fieldloom.llm.toxicity import toxicity
@@ -48,7 +49,13 @@ def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans(_table(spark, sf_dir, "documents"), open_ends=True)
+    docs = _table(spark, sf_dir, "documents")
+    spans = stored(repeated_spans(docs, open_ends=True), "spans")
+    ranges = (spans.groupBy(F.col("doc_id").alias("__id"))
+              .agg(F.array_sort(F.collect_list(F.struct("first_sentence", "last_sentence", "start", "stop", "kept_in"))).alias("ranges")))
+    left = (remove_spans(docs.select("doc_id", "text"), spans)
+            .select("doc_id", F.length("text").cast("long").alias("chars_left"), F.sha2("text", 256).alias("text_sha256")))
+    return left.join(ranges, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "ranges", "chars_left", "text_sha256")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
+import hashlib
 import random
 
 from helpers import docs_frame, words
 from test_op05_sentence_spans import brute, passages, run, sentences
 
+from fieldloom.llm import queries as Q
+
 L = 51
 
 
@@ -60,3 +63,20 @@ def test_sentences_of_complete_runs_are_found_too(spark):
     cut = lambda r: {(x[0], j) for x in r for j in range(x[1], x[2] + 1)}
     got = cut(run(spark, rows, open_ends=True))
     assert got >= cut(brute(rows)) and got >= windows(rows)
+
+
+def test_query_removes_the_ranges(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(sf + "/documents.parquet").select("doc_id", "text").collect()]
+    spans = {}
+    for i, ix, last, a, z, kept in run(spark, rows, open_ends=True):
+        spans.setdefault(i, []).append((ix, last, a, z, kept))
+    want = []
+    for i, t in rows:
+        for _, _, a, z, _ in sorted(spans.get(i, []), reverse=True):
+            t = t[:a] + t[z:]
+        want.append((i, sorted(spans[i]) if i in spans else None, t if t is None else len(t),
+                     t if t is None else hashlib.sha256(t.encode()).hexdigest()))
+    got = [(r.doc_id, r.ranges and [tuple(x) for x in r.ranges], r.chars_left, r.text_sha256) for r in Q.op5_sentence_removal(spark, sf).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert 143 in spans and len(got) == len(rows)
