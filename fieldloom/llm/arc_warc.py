@@ -232,13 +232,19 @@ def read_warc(spark, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(run, WARC_DDL)
 
 
-def convert(pages: DataFrame, version: int = 1, min_bytes: int = 100, **kw) -> DataFrame:
+def convert(pages: DataFrame, version: int | None = 1, min_bytes: int = 100, key_col: str = "page_id", **kw) -> DataFrame:
     """Pages to ARC files, ARC to WARC files, and the WARC records read back, all
-    in the shared folder.  ``key`` is the source row's key; ``refers_key`` the key
+    in the shared folder.  ``version`` None writes each page as ARC 1 or ARC 2 by a
+    hash of its key.  ``key`` is the source row's key; ``refers_key`` the key
     of the record that a revisit refers to."""
     spark = pages.sparkSession
-    arc = write_arc(pages, shared_path(spark, "arc"), version, **kw)
-    warc = write_warc(to_warc(read_arc(spark, arc), min_bytes), shared_path(spark, "warc"))
+    if version is None:
+        second = F.pmod(F.xxhash64(key_col), F.lit(2)) == 1
+        parts = [write_arc(pages.where(c), shared_path(spark, "arc"), v, key_col, **kw) for v, c in ((1, ~second), (2, second))]
+        arc = read_arc(spark, parts[0]).unionByName(read_arc(spark, parts[1]))
+    else:
+        arc = read_arc(spark, write_arc(pages, shared_path(spark, "arc"), version, key_col, **kw))
+    warc = write_warc(to_warc(arc, min_bytes), shared_path(spark, "warc"))
     back = (read_warc(spark, warc).withColumn("key", http_field(F.col("head"), "X-Record-Key").try_cast("bigint")))
     named = stored(back.where("refers_to is not null").select(F.col("refers_to").alias("__id")).distinct(), "referred")
     ids = stored(back.where("type = 'response'").select(F.col("record_id").alias("__id"), F.col("key").alias("refers_key"))

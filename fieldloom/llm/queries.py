@@ -67,7 +67,7 @@ def op7_benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_arc_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back = convert(_table(spark, sf_dir, "pages"))
+    back = convert(_table(spark, sf_dir, "pages"), version=None)
     whole = F.when(F.col("type") == "revisit", http_field(F.col("head"), "Content-Length").cast("long")).otherwise(F.octet_length("body"))
     digest = F.when(F.col("type") == "revisit", F.col("payload_digest")).otherwise(F.sha2("body", 256))
     return back.select(F.col("key").alias("page_id"), whole.cast("long").alias("payload_bytes"), digest.alias("payload_digest"),
