@@ -101,4 +101,14 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_arc_warc": """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+d AS (SELECT page_id, octet_length(body) AS n, sha256(body) AS digest FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 AND page_id IS NOT NULL GROUP BY digest)
+SELECT d.page_id, CAST(n AS BIGINT) AS payload_bytes, d.digest AS payload_digest,
+       CASE WHEN d.page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.page_id > first THEN first END AS refers_to
+FROM d LEFT JOIN f ON d.digest = f.digest
+""",
+}
