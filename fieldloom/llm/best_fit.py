@@ -35,10 +35,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import byte_set, on_executors, text_pieces
+from fieldloom.llm.common import Memo, binary_slices, byte_set, on_executors, text_pieces
 
-BLOCK_BYTES = 4 << 20
-KNOWN_BYTES = 12 << 20
+BLOCK_BYTES = 2 << 20
+KNOWN_BYTES = 8 << 20
 LOOK = 4096
 OPEN_BINS = 4096
 
@@ -70,7 +70,7 @@ def cut_words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndar
     inside = kind != 0
     place = np.cumsum(inside) - 1
     start = np.flatnonzero(begins)
-    offsets = np.append(place[start], inside.sum()).astype(np.int32)
+    offsets = np.append(place[start], inside.sum())
     return _LOWER[data[inside]], offsets, np.searchsorted(start, bounds)
 
 
@@ -95,32 +95,26 @@ class WordCoder:
         self.ends = np.zeros(1 + max(vocab.values(), default=0), dtype=bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-        self.reset()
-
-    def reset(self):
-        self.code: dict[bytes, int] = {}
-        self.ids, self.cuts, self.known_bytes = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64), 0
+        self.memo = Memo(self._learn, KNOWN_BYTES, np.uint32)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Encode new words; runs of plain ASCII letters, one token word each, go to the
+    def _learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new words; runs of plain ASCII letters, one token word each, go to the
         tokenizer joined and are told apart by the end-of-word tokens."""
-        plain = [w for w in words if w.isalpha()]
-        other = [w for w in words if not w.isalpha()]
-        joined = [b" ".join(plain[i:i + 256]).decode() for i in range(0, len(plain), 256)]
+        plain = [i for i, w in enumerate(words) if w.isalpha()]
+        lists: list = [None] * len(words)
+        joined = [b" ".join(words[i] for i in plain[s:s + 256]).decode() for s in range(0, len(plain), 256)]
         ids = np.array([i for part in self._whole(joined) for i in part], dtype=np.uint32)
         stop = np.flatnonzero(self.ends[ids]) + 1
-        if len(stop) != len(plain):
-            other, plain, ids, stop = words, [], ids[:0], stop[:0]
-        rest = self._whole([w.decode("utf-8", "replace") for w in other])
-        size = np.concatenate([np.diff(stop, prepend=0), [len(r) for r in rest]]).astype(np.int64)
-        first = len(self.cuts) - 1
-        self.code.update(zip([*plain, *other], range(first, first + len(words)), strict=True))
-        self.ids = np.concatenate([self.ids, ids, np.array([i for r in rest for i in r], dtype=np.uint32)])
-        self.cuts = np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(size)])
-        self.known_bytes += sum(map(len, words))
+        if len(stop) == len(plain):
+            for i, part in zip(plain, np.split(ids, stop[:-1]), strict=False):
+                lists[i] = part
+        other = [i for i, part in enumerate(lists) if part is None]
+        for i, part in zip(other, self._whole([words[i].decode("utf-8", "replace") for i in other]), strict=True):
+            lists[i] = part
+        return np.concatenate(lists), np.array([len(part) for part in lists], dtype=np.int64)
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, and how many each text has."""
@@ -130,20 +124,9 @@ class WordCoder:
             whole = [any(raw.find(t, s, e) >= 0 for t in self.added) for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
         ids, size = np.zeros(0, dtype=np.uint32), np.zeros(len(whole), dtype=np.int64)
         if self.by_words:
-            if self.known_bytes > KNOWN_BYTES:
-                self.reset()
             buffer, offsets, first = cut_words(data, bounds)
-            words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(buffer)])
-            coded = words.dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            new = [w for w in distinct if w not in self.code]
-            if new:
-                self._learn(new)
-            at = np.fromiter(map(self.code.__getitem__, distinct), dtype=np.int64, count=len(distinct))[coded.indices.to_numpy()]
-            length = self.cuts[at + 1] - self.cuts[at]
-            ends = np.concatenate([[0], np.cumsum(length)])
-            ids = self.ids[np.arange(ends[-1]) + np.repeat(self.cuts[at] - ends[:-1], length)]
-            size = np.diff(ends[first])
+            ids, length = self.memo.look(binary_slices(buffer, offsets))
+            size = np.diff(np.concatenate([[0], np.cumsum(length)])[first])
         if any(whole):
             parts = np.split(ids, np.cumsum(size)[:-1]) if len(size) else []
             for i in np.flatnonzero(whole).tolist():

@@ -201,6 +201,52 @@ def shingle_sets(w: Words, k: int = 5) -> Iterator[np.ndarray]:
             yield np.zeros(0, dtype=np.uint64)
 
 
+class Memo:
+    """Integer lists of byte strings, each worked out once by ``learn(strings) ->
+    (joined lists, their lengths)``.  About ``most`` bytes of strings are remembered;
+    beyond that it starts anew, which repeats work and changes no result."""
+
+    def __init__(self, learn, most: int, dtype):
+        self.learn, self.most, self.dtype = learn, most, dtype
+        self.reset()
+
+    def reset(self):
+        self.code: dict[bytes, int] = {}
+        self.held = 0
+        self.values, self.cuts = np.zeros(0, dtype=self.dtype), np.zeros(1, dtype=np.int64)
+
+    def look(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of all ``strings`` (a binary array) joined, and their lengths."""
+        if self.held > self.most:
+            self.reset()
+        coded = strings.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        code = self.code
+        new = [w for w in distinct if w not in code]
+        if new:
+            values, size = self.learn(new)
+            code.update(zip(new, range(len(self.cuts) - 1, len(self.cuts) - 1 + len(new)), strict=True))
+            self.values = np.concatenate([self.values, values.astype(self.dtype)])
+            self.cuts = np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(size)])
+            self.held += sum(map(len, new))
+        at = np.fromiter(map(code.__getitem__, distinct), dtype=np.int64, count=len(distinct))[coded.indices.to_numpy()]
+        return gather(self.values, self.cuts, at)
+
+
+def gather(values: np.ndarray, cuts: np.ndarray, ix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices ``values[cuts[i]:cuts[i + 1]]`` for i in ix, joined, and their lengths."""
+    size = cuts[ix + 1] - cuts[ix]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.arange(total) + np.repeat(cuts[ix] - (ends - size), size)], size
+
+
+def binary_slices(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """The stretches of ``data`` between consecutive ``offsets`` as a binary array, not copied."""
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1,
+                                 [None, pa.py_buffer(np.ascontiguousarray(offsets, dtype=np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 # --- Arrow batches ------------------------------------------------------------------
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:

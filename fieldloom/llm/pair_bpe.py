@@ -4,12 +4,13 @@ The distinct pre-tokens of a block of a partition are laid out as one symbol
 sequence.  An index maps every mergeable pair to all its positions.  Active
 ranks are taken from a heap in ascending order; a rank's pair is merged at all
 its positions, left to right, and only the lists of the pairs that appear
-beside a merge are updated.  Pre-tokens met before in the partition are looked
-up, so each is encoded once.  The vocabulary is a parameter (a tokenizer file
-of the ``tokenizers`` library); it is fixed in size and broadcast.
+beside a merge are updated.  Texts are cut into chunks of whole pre-tokens; those
+that the worker process met before, in this partition or another, are looked up.
+The vocabulary is a parameter (a tokenizer file of the ``tokenizers`` library); it
+is fixed in size and broadcast.
 
 Whole texts are encoded.  Memory is bounded by a block of ``BLOCK_BYTES`` of
-text (or one longer text) and ``KNOWN`` remembered pre-tokens.
+text (or one longer text) and ``KNOWN_BYTES`` of remembered chunks.
 
 Edge cases: null text is empty and has no tokens; an added token's string in a
 text becomes that token, as the library does; a null id array decodes to null;
@@ -29,12 +30,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import on_executors, text_pieces
+from fieldloom.llm.common import Memo, binary_slices, byte_set, gather, on_executors, text_pieces
 
 # Fixed value: the split pattern of byte-level pre-tokenisation.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK_BYTES = 1 << 20
-KNOWN = 200_000
+KNOWN_BYTES = 6 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -80,14 +81,6 @@ class Vocabulary:
         self.cuts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
 
 
-def gather(values: np.ndarray, cuts: np.ndarray, ix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The slices ``values[cuts[i]:cuts[i + 1]]`` for i in ix, joined, and their lengths."""
-    size = cuts[ix + 1] - cuts[ix]
-    ends = np.cumsum(size)
-    total = int(ends[-1]) if len(ends) else 0
-    return values[np.arange(total) + np.repeat(cuts[ix] - (ends - size), size)], size
-
-
 def merge_all(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all ``words`` joined, and how many each word has."""
     data = np.frombuffer(b"".join(words), dtype=np.uint8)
@@ -150,47 +143,71 @@ def merge_all(words: list[bytes], v: Vocabulary) -> tuple[np.ndarray, np.ndarray
     return out[out >= 0], live[ends] - live[ends - size]
 
 
+# Classes of bytes: 0 white space, 1 ASCII letter, 2 other ASCII sign that is no
+# apostrophe, 3 the rest.  No pre-token of SPLIT reaches from class 1 to 2 or back, nor
+# from a visible ASCII character to white space, so texts may be cut there.
+_CLASS = np.full(256, 3, dtype=np.uint8)
+_CLASS[byte_set(b" \t\n\x0b\x0c\r")] = 0
+_CLASS[byte_set(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")] = 1
+_CLASS[byte_set(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~')] = 2
+_VISIBLE = byte_set(bytes(range(33, 127)))
+
+
+def cut_chunks(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the chunks of all texts (the end included), and the index of each text's
+    first chunk.  A chunk holds whole pre-tokens, in most cases one."""
+    kind = _CLASS[data]
+    begins = np.zeros(len(data), dtype=bool)
+    a, b = kind[:-1], kind[1:]
+    begins[1:] = (b == 0) & _VISIBLE[data[:-1]] | (a + b == 3) & (a != 0) & (b != 0)
+    begins[bounds[bounds < len(data)]] = True
+    start = np.flatnonzero(begins)
+    return np.append(start, len(data)), np.searchsorted(start, bounds)
+
+
 class Encoder:
     def __init__(self, v: Vocabulary):
         self.v, self.find = v, regex.compile(SPLIT).findall
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(v.added, key=len, reverse=True))) + ")") if v.added else None
-        self.reset()
-
-    def reset(self):
-        self.code: dict[str, int] = {}
-        self.ids, self.cuts = np.zeros(0, dtype=np.int32), np.zeros(1, dtype=np.int64)
-        for t, i in self.v.added.items():  # codes of added tokens; their strings are never pre-tokens of plain text
-            self.code["\0added" + t] = len(self.cuts) - 1
-            self._append(np.array([i]), np.array([1]))
-
-    def _append(self, ids, size):
-        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
-        self.cuts = np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(size)])
-
-    def words(self, text: str) -> list[str]:
-        if self.cut is None or not self.cut.search(text):
-            return self.find(text)
+        added = sorted(v.added, key=len, reverse=True)
+        self.cut = regex.compile(b"(" + b"|".join(regex.escape(t.encode()) for t in added) + b")") if added else None
+        self.memo = Memo(self._learn, KNOWN_BYTES, np.int32)
+
+    def _learn(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of new chunks; each distinct pre-token in them is encoded once."""
+        lists = [[c] if c.isalpha() or c[:1] == b" " and c[1:].isalpha() else [w.encode() for w in self.find(c.decode("utf-8", "replace"))]
+                 for c in chunks]
+        number = {w: i for i, w in enumerate(dict.fromkeys(w for ws in lists for w in ws))}
+        ids, size = merge_all(list(number), self.v)
+        flat = np.array([number[w] for ws in lists for w in ws], dtype=np.int64)
+        joined, length = gather(ids, np.concatenate([[0], np.cumsum(size)]), flat)
+        ends = np.concatenate([[0], np.cumsum(length)])
+        return joined, np.diff(ends[np.cumsum([0, *map(len, lists)])])
+
+    def _plain(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        offsets, first = cut_chunks(data, bounds)
+        ids, length = self.memo.look(binary_slices(data, offsets))
+        return ids, np.diff(np.concatenate([[0], np.cumsum(length)])[first])
+
+    def _with_added(self, text: bytes) -> np.ndarray:
         out = []
         for i, part in enumerate(self.cut.split(text)):
-            out += ["\0added" + part] if i % 2 else self.find(part)
-        return out
+            if i % 2:
+                out.append(np.array([self.v.added[part.decode()]], dtype=np.int32))
+            elif part:
+                out.append(self._plain(np.frombuffer(part, dtype=np.uint8), np.array([0, len(part)]))[0])
+        return np.concatenate(out)
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts joined, and how many each text has."""
-        if len(self.code) > KNOWN:
-            self.reset()
-        lists = [self.words(t) for t in texts]
-        code = self.code
-        new = sorted(set().union(*lists).difference(code)) if lists else []
-        if new:
-            first = len(self.cuts) - 1
-            self._append(*merge_all([w.encode() for w in new], self.v))
-            code.update(zip(new, range(first, first + len(new)), strict=True))
-        look = code.__getitem__
-        flat = np.fromiter((c for ws in lists for c in map(look, ws)), dtype=np.int64, count=sum(map(len, lists)))
-        ids, size = gather(self.ids, self.cuts, flat)
-        ends = np.concatenate([[0], np.cumsum(size)])
-        return ids, np.diff(ends[np.concatenate([[0], np.cumsum([len(ws) for ws in lists])]).astype(np.int64)])
+        ids, size = self._plain(data, bounds)
+        raw = data.tobytes()
+        if self.cut is not None and self.cut.search(raw):  # a hit may also lie across two texts
+            parts = np.split(ids, np.cumsum(size)[:-1])
+            for i, (s, e) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
+                if self.cut.search(raw, s, e):
+                    parts[i] = self._with_added(raw[s:e])
+            ids, size = np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+        return ids, size
 
 
 def _lists(values: pa.Array, size: np.ndarray) -> pa.Array:
@@ -203,10 +220,16 @@ def _vocabulary(text: str) -> Vocabulary:
     return Vocabulary(text)
 
 
-def _with_column(df: DataFrame, source: str, target: str, ddl: str, fill) -> DataFrame:
-    """Add ``target`` made from column ``source``, block by block, other columns unchanged."""
+@functools.lru_cache(maxsize=1)
+def _encoder(text: str) -> Encoder:
+    """Kept by the worker process: later tasks find the chunks of earlier ones."""
+    return Encoder(_vocabulary(text))
+
+
+def _with_column(df: DataFrame, source: str, target: str, ddl: str, fill, keep: list[str] | None) -> DataFrame:
+    """Add ``target`` made from column ``source``, block by block, to the columns ``keep`` (default: all)."""
     on_executors(df.sparkSession)
-    keep = [c for c in df.columns if c != target]
+    keep = [c for c in (df.columns if keep is None else keep) if c != target]
     inner = "__source"
     while inner in df.columns:
         inner += "_"
@@ -222,26 +245,24 @@ def _with_column(df: DataFrame, source: str, target: str, ddl: str, fill) -> Dat
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """``df`` with ``ids_col`` (array<int>): the token ids of each whole text."""
+def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with ``ids_col`` (array<int>): the token ids of each whole text."""
     with open(vocabulary_path, encoding="utf-8") as f:  # a local parameter file of the driver, sent to the tasks
         text = df.sparkSession.sparkContext.broadcast(f.read())
 
     def fill():
-        enc = Encoder(_vocabulary(text.value))
+        enc = _encoder(text.value)
 
         def make(column):
             for i, data, bounds in text_pieces(column, BLOCK_BYTES):
-                raw = data.tobytes()
-                texts = [raw[s:e].decode("utf-8", "replace") for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
-                ids, size = enc.encode(texts)
-                yield i, i + len(texts), _lists(pa.array(ids, pa.int32()), size)
+                ids, size = enc.encode(data, bounds)
+                yield i, i + len(size), _lists(pa.array(ids, pa.int32()), size)
         return make
-    return _with_column(df, text_col, ids_col, "array<int>", fill)
+    return _with_column(df, text_col, ids_col, "array<int>", fill, keep)
 
 
-def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``df`` with ``text_col``: the text that the ids stand for, special tokens
+def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """``df`` (or its columns ``keep``) with ``text_col``: the text that the ids stand for, special tokens
     included; bytes that are not UTF-8 become U+FFFD."""
     with open(vocabulary_path, encoding="utf-8") as f:
         text = df.sparkSession.sparkContext.broadcast(f.read())
@@ -267,4 +288,4 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", text_col:
                        for a, b, ok in zip(cuts[:-1], cuts[1:], part.is_valid().to_pylist(), strict=True)]
                 yield s, s + len(part), pa.array(out, pa.string())
         return make
-    return _with_column(df, ids_col, text_col, "string", fill)
+    return _with_column(df, ids_col, text_col, "string", fill, keep)

@@ -208,7 +208,7 @@ def _sampled(texts: DataFrame, fraction: float, seed: int) -> DataFrame:
                 piece += np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
                 draw = mix64(np.arange(seen, seen + (int(piece[-1]) + 1 if len(piece) else 0), dtype=np.uint64) + base)
                 seen += len(draw)
-                kept = PIECE_ENDS[data] | (draw < np.uint64(int(fraction * (1 << 64) - 1)))[piece] if len(data) else np.zeros(0, dtype=bool)
+                kept = PIECE_ENDS[data] | ((draw >> np.uint64(11)) * 2.0 ** -53 < fraction)[piece] if len(data) else np.zeros(0, dtype=bool)
                 cuts = np.concatenate([[0], np.cumsum(kept)])[bounds]
                 text = pa.Array.from_buffers(pa.large_string(), len(bounds) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data[kept])])
                 yield pa.RecordBatch.from_arrays([text.cast(pa.string()), batch.column(1).slice(i, len(bounds) - 1)], names=["text", "lang"])

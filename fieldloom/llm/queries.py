@@ -84,7 +84,7 @@ def op9_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    out = decode(encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path), path)
+    out = decode(encode(_table(spark, sf_dir, "documents"), path, keep=["doc_id"]), path)
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 from helpers import docs_frame, sample_docs
@@ -38,16 +39,34 @@ def test_same_as_library(spark, tok):
     assert got == sorted(want, key=repr)
 
 
-def test_known_pre_tokens_start_anew(spark, tok, monkeypatch):
-    v = pair_bpe.Vocabulary(open(PATH, encoding="utf-8").read())
-    enc = pair_bpe.Encoder(v)
-    monkeypatch.setattr(pair_bpe, "KNOWN", 50)
+def flat(texts):
+    raw = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)])
+
+
+def test_known_chunks_start_anew(spark, tok, monkeypatch):
+    monkeypatch.setattr(pair_bpe, "KNOWN_BYTES", 50)
+    enc = pair_bpe.Encoder(pair_bpe.Vocabulary(open(PATH, encoding="utf-8").read()))
     for t in odd_texts(60, 2):
-        ids, size = enc.encode([t, t])
+        ids, size = enc.encode(*flat([t, t]))
         want = tok.encode(t, add_special_tokens=False).ids
         assert ids.tolist() == want * 2 and size.tolist() == [len(want)] * 2
 
 
+def test_chunks_cut_no_pre_token(spark, tok):
+    rng = random.Random(11)
+    parts = [" ", "  ", "\n", "\t", "\xa0", "\u2003", "\x1c", "a", "Bc", "'", "'s", "'S", "''", ",", ".", "-", "1", "é", "e\u0301", "漢", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    ids, size = pair_bpe.Encoder(pair_bpe.Vocabulary(open(PATH, encoding="utf-8").read())).encode(*flat(texts))
+    got = [p.tolist() for p in np.split(ids, np.cumsum(size)[:-1])]
+    assert got == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_added_token_across_two_texts(spark, tok):
+    ids, size = pair_bpe.Encoder(pair_bpe.Vocabulary(open(PATH, encoding="utf-8").read())).encode(*flat(["a <|endof", "text|> b"]))
+    assert ids.tolist() == [i for t in ("a <|endof", "text|> b") for i in tok.encode(t, add_special_tokens=False).ids]
+
+
 def test_decode_of_broken_bytes(spark, tok):
     ids = tok.encode("漢字", add_special_tokens=False).ids
     rows = [(1, ids[:1]), (2, ids[1:]), (3, []), (4, None)]
