@@ -58,7 +58,7 @@ def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding (10): token counts, and digests of the ids and of the text they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    out = decode(encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    out = decode(encode(docs, path, keep=["doc_id", "lang", "source"]), path)
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"),
                       F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"), F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
