@@ -7,14 +7,19 @@ Input is a ``candidates`` table, one row per candidate value::
     probability, selected, [centimeter, kilogram, state, country, longitude,
     latitude, canonical]
 
-Arrival order within a field is ``seq = (pass_no, rank, pos)``: token spans use
+A candidate may hold a list instead of one value: ``values`` (array of strings, or
+of arrays of strings) has one value per element, in order (G9).  Columns that say
+where a candidate comes from (``PROVENANCE``, B11) are carried to the result.
+
+Arrival order within a field is ``seq = (pass_no, rank, pos, ix)``: token spans use
 ``rank = -probability`` (highest first, stable on position), other passes
-``rank = 0``.  Pass numbers follow the source's order: 1 strict spans,
+``rank = 0``; ``ix`` is the place in a list.  Pass numbers follow the source's order: 1 strict spans,
 2 strict extractor values, 3 title strict, 4 title relaxed, 5 description
 strict, 6 relaxed spans, 7 relaxed extractor values, 8 description relaxed.
 
 Order-dependent rules are expressed as grouped minima over ``seq`` (partial
-aggregation, so a hot document or field is never gathered whole in one task):
+aggregation), and what a minimum says is joined back on the group and the whole
+``seq``, so the rows of a hot document or field are dealt out over all tasks:
 
 * routing (G4): a strict-tier candidate stays strict when ``selected`` is
   present, or ``probability >= 0.5``, or it is the field's first strict-tier
@@ -33,7 +38,10 @@ from pyspark.sql import functions as F
 from fieldloom import config
 from fieldloom.functions import normalize as N
 
-SEQ = ["pass_no", "rank", "pos"]
+SEQ = ["pass_no", "rank", "pos", "ix"]
+
+# Where a candidate comes from: extractor name, "text" or "tokens", source column, segment, table cell.
+PROVENANCE = ["extractor", "input_type", "source", "segment", "cell"]
 
 OPTIONAL = {"probability": "double", "selected": "boolean", "centimeter": "array<int>",
             "kilogram": "array<double>", "state": "string", "country": "string",
@@ -46,7 +54,21 @@ def with_optional_columns(cands: DataFrame) -> DataFrame:
             cands = cands.withColumn(c, F.lit(None).cast(t))
     if "rank" not in cands.columns:
         cands = cands.withColumn("rank", F.lit(0.0))
-    return cands
+    return explode_lists(cands)
+
+
+def explode_lists(cands: DataFrame) -> DataFrame:
+    """One candidate per element of a ``values`` list, nested lists flattened, null
+    elements and empty lists giving none; a null list leaves ``value`` as it is.  ``ix``
+    is the element's place.  Row-local: a list is one row's own."""
+    if "values" not in cands.columns:
+        return cands if "ix" in cands.columns else cands.withColumn("ix", F.lit(0))
+    lists = F.col("values")
+    if cands.schema["values"].dataType.simpleString().startswith("array<array<"):
+        lists = F.flatten(F.filter(lists, lambda v: v.isNotNull()))
+    one = F.when(lists.isNull(), F.array(F.col("value"))).otherwise(F.filter(lists, lambda v: v.isNotNull()))
+    kept = [F.col(f"`{c}`") for c in cands.columns if c not in ("value", "values", "ix")]
+    return cands.select(*kept, F.posexplode(one).alias("ix", "value"))
 
 
 def span_rank(probability) -> "F.Column":
@@ -64,16 +86,23 @@ def rebuild_spans(spans: DataFrame, threshold: float = config.SPAN_PROBABILITY)
 
 def route(cands: DataFrame) -> DataFrame:
     """Add ``routed_tier``.  One grouped minimum finds each field's
-    first strict-tier candidate; one left join brings it back (a hot
-    (doc, field) key is split by AQE's skew join, the other side being one
-    row per key)."""
+    first strict-tier candidate.  It is joined back on (doc, field) and the
+    whole ``seq``: only the first candidate itself meets it, and a hot (doc, field)
+    is spread by ``seq`` over all tasks whatever follows in the plan (AQE cannot
+    split a skewed join whose partitioning an aggregation above it relies on)."""
+    cands = explode_lists(cands)
     first = (cands.where(F.col("tier") == "strict").groupBy("doc_id", "field")
-             .agg(F.min(F.struct(*SEQ)).alias("__first")))
-    j = cands.join(first, ["doc_id", "field"], "left")
-    keep = (F.col("selected").isNotNull() | (F.col("probability") >= config.STRICT_PROBABILITY)
-            | (F.struct(*SEQ) == F.col("__first")))
+             .agg(F.min(F.struct(*SEQ)).alias("__first"))
+             .select(F.col("doc_id").alias("__doc"), F.col("field").alias("__field"),
+                     *(F.col(f"__first.{c}").alias(f"__{c}") for c in SEQ), F.lit(True).alias("__met")))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & F.col("field").eqNullSafe(F.col("__field"))
+    for c in SEQ:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    j = cands.join(first, same, "left")
+    keep = (F.col("selected").isNotNull() | (F.col("probability") >= config.STRICT_PROBABILITY) | F.col("__met"))
     strict = (F.col("tier") == "strict") & F.coalesce(keep, F.lit(False))
-    return j.withColumn("routed_tier", F.when(strict, "strict").otherwise("relaxed")).drop("__first")
+    return (j.withColumn("routed_tier", F.when(strict, "strict").otherwise("relaxed"))
+            .drop("__doc", "__field", "__met", *(f"__{c}" for c in SEQ)))
 
 
 def normalize_values(cands: DataFrame, normalize_config=None) -> DataFrame:
@@ -99,7 +128,8 @@ def dedupe(values: DataFrame) -> DataFrame:
     compared by number (55 equals 55.0).
 
     One grouped minimum over ``seq`` does it (partial aggregation, no window
-    over a possibly hot group).  Rows that are not deduplicated (fallbacks,
+    over a possibly hot group; the name is part of the key, so a hot (doc, field) is
+    spread by its names).  Rows that are not deduplicated (fallbacks,
     unconfigured fields) get a row id as key, so they pass through unmerged
     even where all their columns are equal.  No filter
     follows the normaliser projections: a pushed-down filter would inline
@@ -118,14 +148,16 @@ def dedupe(values: DataFrame) -> DataFrame:
 
 def consolidate(cands: DataFrame, normalize_config=None) -> DataFrame:
     """Candidates -> ``fields(doc_id, field, tier, pass_no, rank, pos, key,
-    name, num, search)``; list order within (doc, field, tier) is
-    ``(pass_no, rank, pos)``."""
+    name, num, search)``, with ``ix`` where candidates hold lists and with the
+    ``PROVENANCE`` columns that they carry; list order within (doc, field, tier)
+    is ``(pass_no, rank, pos, ix)``."""
     c = with_optional_columns(cands)
     routed = route(c)
     values = normalize_values(routed, normalize_config)
     kept = dedupe(values)
     return kept.select("doc_id", "field", F.col("routed_tier").alias("tier"), "pass_no", "rank", "pos",
-                       "key", "name", "num", "search")
+                       *(["ix"] if {"values", "ix"} & set(cands.columns) else []), "key", "name", "num", "search",
+                       *(p for p in PROVENANCE if p in cands.columns))
 
 
 def title_description_candidates(docs: DataFrame) -> DataFrame:
@@ -164,7 +196,8 @@ def assemble(fields: DataFrame, docs: DataFrame, renames=None) -> DataFrame:
     fname = F.col("field")
     for a, b in renames.items():
         fname = F.when(F.col("field") == a, F.lit(b)).otherwise(fname)
-    fv = F.struct("pass_no", "rank", "pos", F.struct("key", "name", "num", "search").alias("v"))
+    seq = [c for c in SEQ if c in fields.columns]
+    fv = F.struct(*seq, F.struct("key", "name", "num", "search").alias("v"))
     per_field = (fields.withColumn("field", fname)
                  .groupBy("doc_id", "field")
                  .agg(F.array_sort(F.collect_list(F.when(F.col("tier") == "strict", fv))).alias("s"),
