@@ -64,30 +64,51 @@ def explode_blocks(df: DataFrame, id_col: str, blocks_col: str = "blocks", keep=
                     F.col("b.n_chars").alias("n_chars"), F.col("b.link_chars").alias("link_chars")))
 
 
+BLOCK_KEY = ["__h", "__h2", "n_chars"]
+
+
+def keyed_blocks(blocks: DataFrame, min_chars: int = config.STRICT_MIN_CHARS,
+                 max_link_density: float = config.STRICT_MAX_LINK_DENSITY) -> DataFrame:
+    """Blocks that are long and link-poor enough, with ``BLOCK_KEY``: a 128-bit hash
+    and the length of the text."""
+    return (blocks.where((F.col("n_chars") >= min_chars) & (F.col("link_chars") <= F.col("n_chars") * max_link_density))
+            .withColumn("__h", F.xxhash64("text")).withColumn("__h2", F.xxhash64(F.lit(1), "text")))
+
+
+def page_counts(keyed: DataFrame, id_col: str, site_col: str) -> DataFrame:
+    """``(site, *BLOCK_KEY, pages)``: on how many distinct pages of a site a block occurs."""
+    return keyed.groupBy(site_col, *BLOCK_KEY).agg(F.count_distinct(id_col).alias("pages"))
+
+
+def same_block(left: DataFrame, right: DataFrame, site_col: str) -> "F.Column":
+    """Join condition on site and block; a null site is one site."""
+    on = left[site_col].eqNullSafe(right[site_col])
+    for c in BLOCK_KEY:
+        on = on & (left[c] == right[c])
+    return on
+
+
 def strict_blocks(blocks: DataFrame, id_col: str, site_col: str,
                   min_chars: int = config.STRICT_MIN_CHARS,
                   max_link_density: float = config.STRICT_MAX_LINK_DENSITY,
-                  max_site_repeats: int = config.STRICT_MAX_SITE_REPEATS) -> DataFrame:
+                  max_site_repeats: int = config.STRICT_MAX_SITE_REPEATS,
+                  counts: DataFrame | None = None) -> DataFrame:
     """High-precision blocks: long enough, link-poor, and not boilerplate.
 
     A block is boilerplate when the same text occurs on more than
     ``max_site_repeats`` distinct pages of one site.  Repeats are counted on
     ``(site, 128-bit hash, length)``, a null site being one site, with a distinct-count aggregation (partial
     aggregation; a hot site or block never lands whole in one task), and the
-    boilerplate keys are removed with an anti join.  The key set is derived
+    boilerplate keys are removed with an anti join.  ``counts`` (as of ``page_counts``)
+    gives them from elsewhere, such as the state of a stream.  The key set is derived
     from the data, so its size is measured at run time: AQE broadcasts it when
     the measured size is small and keeps a shuffled join (with skew splitting)
     otherwise; a separate counting pass would recompute the whole block job.
     """
-    keyed = (blocks.where((F.col("n_chars") >= min_chars) & (F.col("link_chars") <= F.col("n_chars") * max_link_density))
-             .withColumn("__h", F.xxhash64("text")).withColumn("__h2", F.xxhash64(F.lit(1), "text")))
-    repeated = (keyed.groupBy(site_col, "__h", "__h2", "n_chars")
-                .agg(F.count_distinct(id_col).alias("__pages"))
-                .where(F.col("__pages") > max_site_repeats)
-                .select(F.col(site_col).alias("__site"), "__h", "__h2", "n_chars"))
-    same = (F.col(site_col).eqNullSafe(F.col("__site")) & (keyed["__h"] == repeated["__h"]) & (keyed["__h2"] == repeated["__h2"])
-            & (keyed["n_chars"] == repeated["n_chars"]))
-    return keyed.join(repeated, same, "left_anti").drop("__h", "__h2")
+    keyed = keyed_blocks(blocks, min_chars, max_link_density)
+    counts = counts if counts is not None else page_counts(keyed, id_col, site_col)
+    repeated = counts.where(F.col("pages") > max_site_repeats)
+    return keyed.join(repeated, same_block(keyed, repeated, site_col), "left_anti").drop("__h", "__h2")
 
 
 def join_blocks(blocks: DataFrame, id_col: str, out_col: str = "text") -> DataFrame:
@@ -173,6 +194,26 @@ def landmark_values(pages: DataFrame, rules: DataFrame, id_col: str, site_col: s
             .select(id_col, "field", value.alias("value")))
 
 
+def page_rows(pages: DataFrame, id_col: str, html_col: str = "html", url_col: str | None = "url", site_col: str = "host") -> DataFrame:
+    """The HTML parsed once: ``(id, site, title, blocks)`` per page."""
+    site = host_of(F.col(url_col)) if url_col else F.lit("")
+    return pages.select(id_col, site.alias(site_col), extract_title(F.col(html_col)).alias("title"), html_blocks(html_col).alias("blocks"))
+
+
+def segments_of_rows(rows: DataFrame, id_col: str, source: str = "html", strict: bool = True, site_col: str = "host",
+                     counts: DataFrame | None = None) -> DataFrame:
+    """``(id, segment, source, text)`` of parsed page rows; see ``segments``."""
+    src = F.lit(source).alias("source")
+    title = rows.select(id_col, F.lit("title").alias("segment"), src, F.col("title").alias("text"))
+    relaxed = rows.select(id_col, F.lit("content_relaxed").alias("segment"), src, relaxed_content("blocks").alias("text"))
+    out = title.unionByName(relaxed)
+    if strict:
+        exploded = explode_blocks(rows, id_col, keep=(site_col,))
+        strict_df = join_blocks(strict_blocks(exploded, id_col, site_col, counts=counts), id_col)
+        out = out.unionByName(strict_df.select(id_col, F.lit("content_strict").alias("segment"), src, "text"))
+    return out.where(F.col("text") != "")
+
+
 def segments(pages: DataFrame, id_col: str, html_col: str = "html", url_col: str | None = "url",
              strict: bool = True, site_col: str = "host", materialize: bool = True) -> DataFrame:
     """All content segments of the pages as ``(id, segment, source, text)``:
@@ -183,18 +224,8 @@ def segments(pages: DataFrame, id_col: str, html_col: str = "html", url_col: str
     with ``materialize`` those rows are checkpointed so the relaxed/title
     branch and the strict branch (explode, site repeat count, anti join,
     regroup) both read them instead of re-parsing the HTML."""
-    site = host_of(F.col(url_col)) if url_col else F.lit("")
-    rows = pages.select(id_col, site.alias(site_col), extract_title(F.col(html_col)).alias("title"),
-                        html_blocks(html_col).alias("blocks"))
+    rows = page_rows(pages, id_col, html_col, url_col, site_col)
     if materialize:
         from fieldloom.session import cut_lineage
         rows = cut_lineage(rows)
-    src = F.lit(html_col).alias("source")
-    title = rows.select(id_col, F.lit("title").alias("segment"), src, F.col("title").alias("text"))
-    relaxed = rows.select(id_col, F.lit("content_relaxed").alias("segment"), src, relaxed_content("blocks").alias("text"))
-    out = title.unionByName(relaxed)
-    if strict:
-        exploded = explode_blocks(rows, id_col, keep=(site_col,))
-        strict_df = join_blocks(strict_blocks(exploded, id_col, site_col), id_col)
-        out = out.unionByName(strict_df.select(id_col, F.lit("content_strict").alias("segment"), src, "text"))
-    return out.where(F.col("text") != "")
+    return segments_of_rows(rows, id_col, html_col, strict, site_col)

@@ -23,19 +23,20 @@ TEXT_SEGMENTS = ("content_strict", "content_relaxed")
 
 
 def extract(pages: DataFrame, vocab: DataFrame, *, id_col: str = "page_id", html_col: str = "html",
-            url_col: str = "url", field: str = "phrase", n: int = 3, regexes=None) -> dict:
+            url_col: str = "url", field: str = "phrase", n: int = 3, regexes=None, segments: DataFrame | None = None) -> dict:
     """Stage 1: segments, token spans and regex mentions.
 
     ``vocab(entry, weight)`` is the dictionary; ``weight`` becomes the span
     probability.  ``regexes`` maps a field to a pattern or a
-    ``(pattern, group)`` pair (default: email).
+    ``(pattern, group)`` pair (default: email).  ``segments`` gives content that was
+    parsed before.
     Returns ``{"segments", "spans", "regex"}`` DataFrames keyed by
     ``(id, segment)``.
     """
     regexes = regexes if regexes is not None else {"email": mentions.EMAIL_PATTERN}
     # Segments feed three consumers; materialise them once (reliably, in the
     # shared checkpoint folder) instead of re-parsing the HTML per consumer.
-    segs = cut_lineage(content.segments(pages, id_col, html_col, url_col))
+    segs = cut_lineage(segments if segments is not None else content.segments(pages, id_col, html_col, url_col))
     text_segs = segs.where(F.col("segment").isin(*TEXT_SEGMENTS))
     toks = text_segs.select(id_col, "segment", tokens.tokenize(F.col("text")).alias("tokens"))
     spans = mentions.dictionary_mentions(toks, [id_col, "segment"], "tokens", vocab, field=field, n=n)

@@ -3,8 +3,9 @@
 Stage 1's per-page work (title, block text, tokens, vocabulary spans, regex
 mentions) is stateless, so the batch functions run unchanged on a stream; the
 vocabulary is a static broadcast side of a stream-static join.  Re-crawled
-pages are dropped with a watermark on the crawl time.  Stage 2 and the
-cross-page boilerplate count run per micro-batch in ``foreachBatch``.
+pages are dropped with a watermark on the crawl time.  Stage 2 runs per
+micro-batch in ``foreachBatch``, over block counts that are kept for the whole
+stream (see ``fieldloom.streaming.incremental``).
 """
 
 from __future__ import annotations
@@ -48,15 +49,16 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
 
 
 def start_document_sink(pages_stream: DataFrame, vocab: DataFrame, out_path: str, name: str = "documents",
-                        id_col: str = "page_id", trigger: dict | None = None):
-    """Run the full pipeline per micro-batch and append index documents."""
-    from fieldloom.plans import pipeline
-
-    def write_batch(batch: DataFrame, epoch: int) -> None:
-        docs = pipeline.consolidate_documents(batch, vocab, id_col=id_col)
-        docs.withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(out_path)
-
-    w = pages_stream.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint_location(pages_stream.sparkSession, name))
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+                        id_col: str = "page_id", ts_col: str | None = None, delay: str = "1 day", trigger: dict | None = None, **kw):
+    """Run the full pipeline on a stream of pages and write index documents below
+    ``out_path``; ``incremental.latest_documents`` reads them.  With ``ts_col``,
+    re-crawls within ``delay`` are dropped by the stream's own state.  The page and
+    block state of the sink lives beside the stream's checkpoint."""
+    from fieldloom.streaming.incremental import DocumentSink
+
+    location = checkpoint_location(pages_stream.sparkSession, name)
+    sink = DocumentSink(pages_stream.sparkSession, vocab, out_path, f"{location}-state", id_col=id_col, **kw)
+    if ts_col:
+        pages_stream = drop_recrawls(pages_stream, id_col, ts_col, delay)
+    w = pages_stream.writeStream.foreachBatch(sink.write).option("checkpointLocation", location)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
