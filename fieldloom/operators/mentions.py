@@ -55,7 +55,7 @@ def vocabulary(spark, entries) -> DataFrame:
 
 def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFrame, *, field: str,
                         n: int = 1, extractor: str | None = None, prefilter: str | None = config.DICTIONARY_PREFILTER,
-                        max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+                        context: int = 0, max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
     """Exact vocabulary lookup of token n-grams.
 
     Each n-gram (1..n tokens, joined by one space) is lower-cased, must pass
@@ -64,16 +64,25 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
     ``[start, end)``.  The vocabulary is broadcast when within
     ``max_broadcast_rows`` rows; otherwise a shuffled join is used.  Extra
     vocabulary columns (e.g. ``canonical``, ``weight``) are carried along.
+
+    With ``context`` > 0 each mention gets ``context``: the lower-cased tokens up to
+    that many places before and after it, itself included, cut from its row's token
+    array after the join (so only rows with a mention ever hold it).
     """
     key_cols = list(key_cols)
-    g = (df.select(*key_cols, F.explode(ngrams(tokens_col, n)).alias("g"))
-         .select(*key_cols, F.col("g.start").alias("start"), (F.col("g.start") + F.col("g.k")).alias("end"),
+    row = [F.col(tokens_col).alias("__tokens")] if context else []
+    g = (df.select(*key_cols, *row, F.explode(ngrams(tokens_col, n)).alias("g"))
+         .select(*key_cols, *(["__tokens"] if context else []), F.col("g.start").alias("start"), (F.col("g.start") + F.col("g.k")).alias("end"),
                  F.col("g.text").alias("text"), F.lower(F.col("g.text")).alias("value")))
     if prefilter:
         g = g.where(F.col("value").rlike(prefilter))
     v = bounded_broadcast(vocab.withColumnRenamed("entry", "value"), max_broadcast_rows)
     out = g.join(v, "value", "inner")
     extra = [c for c in v.columns if c != "value"]
+    if context:
+        first = F.greatest(F.col("start") - context, F.lit(0))
+        out = out.withColumn("context", F.transform(F.slice("__tokens", first + 1, F.col("end") + context - first), F.lower))
+        extra.append("context")
     return out.select(*key_cols, F.lit(field).alias("field"),
                       F.lit(extractor or f"{field}_dictionary").alias("extractor"),
                       F.lit("tokens").alias("input_type"), "value", "text",

@@ -1,11 +1,15 @@
-"""Span scoring (F3) and joint location choice.
+"""Span scoring (F3), token vectors (random indexing) and joint location choice.
 
 F3 (our definition; the source's pickled models are not available): a span's
 context vector is the mean embedding of its context tokens; a per-field linear
-model gives ``probability = sigmoid(w . x + b)``.  ``prototype_models`` derives
-``w`` as the mean vector of each field's labelled examples (bias 0), which is
-what the registered query uses; any trained ``(field, w, b)`` table works the
-same way.
+model gives ``probability = sigmoid(w . x + b)``.  Models are ``(field, w, b)`` tables:
+``prototype_models`` takes the mean vector of each field's examples (bias 0),
+``centroid_models`` the plane between the means of positive and negative examples,
+``logistic_models`` a logistic regression.
+
+Random indexing: every token has a sparse ternary index vector that follows from
+its hash alone; a token's context vector is the sum of the index vectors of its
+neighbours.  Nothing is trained or given, and sums of integers are exact.
 
 F4 (re-aimed from an exact integer program to a greedy, join-only rule): each
 location mention scores ``source weight x probability`` plus the number of
@@ -58,28 +62,146 @@ def score(vectors: DataFrame, models: DataFrame, vec_col: str = "vec", field_col
             .drop("w", "b"))
 
 
-def context_vectors(spans: DataFrame, tokens_long: DataFrame, embeddings: DataFrame, key_cols,
-                    window: int = 2, max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mean embedding of the tokens within ``window`` of each span:
-    ``(*keys, start, end, vec)``.  ``tokens_long`` is ``(*keys, pos, value)``,
-    ``embeddings`` is ``(token, vec)``."""
+def grouped_means(vectors: DataFrame, key_cols, vec_col: str = "vec") -> DataFrame:
+    """Mean vector per key, ``(*keys, mean array<double>)``, by the ML library's mean
+    aggregator: partial sums per task, one row per key in the shuffle."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     key_cols = list(key_cols)
-    ctx = (spans.select(*key_cols, "start", "end",
-                        F.explode(F.sequence(F.greatest(F.col("start") - window, F.lit(0)),
-                                             F.col("end") - 1 + window)).alias("pos")))
-    tok = tokens_long.select(*key_cols, "pos", F.lower("value").alias("token"))
-    emb = bounded_broadcast(embeddings, max_broadcast_rows)
-    with_vec = ctx.join(tok, key_cols + ["pos"], "inner").join(emb, "token", "inner")
-    return mean_vectors(with_vec, key_cols + ["start", "end"], "vec").withColumnRenamed("mean", "vec")
+    return (vectors.groupBy(*key_cols).agg(Summarizer.mean(array_to_vector(F.col(vec_col).cast("array<double>"))).alias("mean"))
+            .withColumn("mean", vector_to_array("mean")))
 
 
-def choose_locations(mentions: DataFrame, gazetteer: DataFrame, source_weights=None,
-                     max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+def context_vectors(spans: DataFrame, embeddings: DataFrame, key_cols, context_col: str = "context",
+                    max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mean embedding of each span's context tokens, ``(*keys, vec)``, from spans with a
+    ``context`` array (``dictionary_mentions(context=...)``) and ``embeddings(token, vec)``.
+    Tokens without an embedding are left out; a span with none has no row.  ``key_cols``
+    tell spans apart.  Only the context tokens travel, never whole documents; the
+    embedding table is broadcast within its bounds and joined by token beyond them."""
+    key_cols = list(key_cols)
+    ctx = spans.select(*key_cols, F.explode(context_col).alias("token"))
+    with_vec = ctx.join(bounded_broadcast(embeddings.select("token", "vec"), max_broadcast_rows), "token", "inner")
+    return grouped_means(with_vec, key_cols).withColumnRenamed("mean", "vec")
+
+
+def centroid_models(examples: DataFrame, field_col: str = "field", vec_col: str = "vec", label_col: str = "label") -> DataFrame:
+    """``(field, w, b)`` from labelled examples: the plane half way between the mean of the
+    positive (label 1) and of the negative (label 0) vectors of a field.  A field without
+    examples of both kinds has no model; other labels are left out."""
+    means = grouped_means(examples.where(F.col(label_col).isin(0, 1)), [field_col, label_col], vec_col)
+    side = lambda y: means.where(F.col(label_col) == y).select(F.col(field_col).alias("field"), F.col("mean").alias(f"m{y}"))
+    norm = lambda c: dot(F.col(c), F.col(c))
+    return side(1).join(side(0), "field").select("field", F.zip_with("m1", "m0", lambda p, q: p - q).alias("w"),
+                                                 ((norm("m0") - norm("m1")) / 2).alias("b"))
+
+
+def logistic_models(examples: DataFrame, fields, field_col: str = "field", vec_col: str = "vec", label_col: str = "label",
+                    reg: float = 0.01, max_iter: int = 50) -> DataFrame:
+    """``(field, w, b)`` by logistic regression, one distributed fit per field in ``fields``
+    (a short list of the configuration)."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    rows = []
+    for f in fields:
+        data = (examples.where((F.col(field_col) == f) & F.col(label_col).isin(0, 1))
+                .select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"), F.col(label_col).cast("double").alias("label")))
+        m = LogisticRegression(regParam=reg, maxIter=max_iter).fit(data)
+        rows.append((f, [float(x) for x in m.coefficients], float(m.intercept)))
+    return examples.sparkSession.createDataFrame(rows, "field string, w array<double>, b double")
+
+
+# --- random indexing -------------------------------------------------------------
+
+def index_vector(token, dims: int, nonzeros: int) -> "F.Column":
+    """Sparse ternary index vector of a token: ``array<struct<d int, s int>>`` with
+    ``nonzeros`` (up to 8) places and signs from the digits of its MD5."""
+    h = F.md5(token)
+    digits = lambda at, n: F.conv(F.substring(h, at, n), 16, 10).cast("int")
+    return F.array(*(F.struct((digits(1 + 3 * j, 3) % dims).alias("d"), (1 - 2 * (digits(25 + j, 1) % 2)).alias("s"))
+                     for j in range(nonzeros)))
+
+
+def random_index(df: DataFrame, tokens_col: str = "tokens", dims: int = 32, nonzeros: int = 2, window: int = 2) -> DataFrame:
+    """``(token, n, vec array<bigint>)``: the context vector of every token, the sum of the
+    index vectors of the tokens up to ``window`` places before and after it in its row;
+    ``n`` counts the neighbours.  Tokens are taken as they are.  Each task adds up by
+    (token, place) before the shuffle, so a frequent token is no hot key."""
+    if not 1 <= nonzeros <= 8 or not 1 <= dims <= 4096 or window < 1:
+        raise ValueError("dims, nonzeros or window out of range")
+    rows = df.select(F.col(tokens_col).alias("t"), F.transform(tokens_col, lambda t: index_vector(t, dims, nonzeros)).alias("v"))
+    size = F.size("t")
+    pairs = []
+    for k in range(1, window + 1):
+        n = F.greatest(size - k, F.lit(0))
+        for own, other in ((F.lit(1), F.lit(1 + k)), (F.lit(1 + k), F.lit(1))):
+            pairs.append(F.zip_with(F.slice("t", own, n), F.slice("v", other, n), lambda t, v: F.struct(t.alias("token"), v.alias("v"))))
+    near = rows.select(F.explode(F.concat(*pairs)).alias("p")).select("p.token", "p.v")
+    parts = near.select("token", F.explode("v").alias("e")).groupBy("token", F.col("e.d").alias("d")).agg(
+        F.sum(F.col("e.s").cast("long")).alias("x"), F.count(F.lit(1)).alias("c"))
+    by_token = parts.groupBy("token").agg((F.sum("c") / nonzeros).cast("long").alias("n"),
+                                          F.map_from_entries(F.collect_list(F.struct("d", "x"))).alias("m"))
+    return by_token.select("token", "n", F.transform(F.sequence(F.lit(0), F.lit(dims - 1)),
+                                                     lambda d: F.coalesce(F.try_element_at("m", d), F.lit(0).cast("long"))).alias("vec"))
+
+
+# --- F4 --------------------------------------------------------------------------
+
+LOCATION_TYPES = ("city", "state", "country")
+
+
+def place_pairs(places: DataFrame, types=LOCATION_TYPES) -> DataFrame:
+    """Gazetteer rows ``(city, state, country)`` as consistent pairs
+    ``(type_a, value_a, type_b, value_b)``, the narrower type first; null parts give none."""
+    pairs = [places.select(F.lit(a).alias("type_a"), F.col(a).alias("value_a"), F.lit(b).alias("type_b"), F.col(b).alias("value_b"))
+             for i, a in enumerate(types) for b in types[i + 1:] if a in places.columns and b in places.columns]
+    out = pairs[0]
+    for p in pairs[1:]:
+        out = out.unionByName(p)
+    return out.dropna().distinct()
+
+
+def consistent_partners(mentions: DataFrame, gazetteer: DataFrame, aliases: DataFrame | None = None, types=LOCATION_TYPES,
+                        max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+    """``(doc_id, type_a, value_a, type_b, value_b)``: the distinct mentions of a document
+    that a gazetteer pair makes consistent, each pair once, the narrower type as a.
+
+    Only narrower mentions look their places up (a city its states and countries, never
+    a country its cities), and what they find must be mentioned in the same document.
+    So rows grow with the document's mentions and the ambiguity of a name, not with
+    the size of a country.  ``aliases(type, alias, value)`` adds further names: a mention
+    also counts as every value that it is an alias of."""
+    def order(t):
+        rank = F.lit(len(types))
+        for i, name in enumerate(types):
+            rank = F.when(t == name, F.lit(i)).otherwise(rank)
+        return F.struct(rank, t)
+    back = gazetteer.select(F.col("type_b").alias("type_a"), F.col("value_b").alias("value_a"), F.col("type_a").alias("type_b"),
+                            F.col("value_a").alias("value_b"))
+    narrow = (gazetteer.select("type_a", "value_a", "type_b", "value_b").unionByName(back)
+              .where(order(F.col("type_a")) < order(F.col("type_b"))).distinct())
+    present = mentions.select("doc_id", "type", "value").dropna().distinct()
+    forms = present.withColumn("form", F.col("value"))
+    if aliases is not None:
+        names = bounded_broadcast(aliases.select("type", F.col("alias").alias("value"), F.col("value").alias("form")), max_broadcast_rows)
+        forms = forms.unionByName(present.join(names, ["type", "value"]).select("doc_id", "type", "value", "form")).distinct()
+    child = forms.select("doc_id", F.col("type").alias("type_a"), F.col("value").alias("own"), F.col("form").alias("value_a"))
+    parent = forms.select("doc_id", F.col("type").alias("type_b"), F.col("form").alias("value_b"), F.col("value").alias("other"))
+    return (child.join(bounded_broadcast(narrow, max_broadcast_rows), ["type_a", "value_a"])
+            .join(parent, ["doc_id", "type_b", "value_b"])
+            .select("doc_id", "type_a", F.col("own").alias("value_a"), "type_b", F.col("other").alias("value_b")).distinct())
+
+
+def choose_locations(mentions: DataFrame, gazetteer: DataFrame, source_weights=None, aliases: DataFrame | None = None,
+                     types=LOCATION_TYPES, max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
     """Greedy joint choice of location mentions.
 
     ``mentions(doc_id, type, value, source, probability)``;
-    ``gazetteer(type_a, value_a, type_b, value_b)`` lists consistent pairs in
-    both directions.  Returns ``(doc_id, type, value, score)`` of the selected
+    ``gazetteer(type_a, value_a, type_b, value_b)`` lists consistent pairs in one
+    direction or both; ``aliases(type, alias, value)`` lists other names.  Returns
+    ``(doc_id, type, value, score)`` of the selected
     mention per (doc, type): highest score, ties to the smallest value.
     """
     weights = source_weights or {"title": config.TITLE_WEIGHT, "text": config.TEXT_WEIGHT}
@@ -87,12 +209,11 @@ def choose_locations(mentions: DataFrame, gazetteer: DataFrame, source_weights=N
     for src, val in weights.items():
         w = F.when(F.col("source") == src, F.lit(val)).otherwise(w)
     m = mentions.withColumn("__w", w)
-    present = mentions.select("doc_id", F.col("type").alias("type_b"), F.col("value").alias("value_b")).distinct()
-    partners = (mentions.select("doc_id", F.col("type").alias("type_a"), F.col("value").alias("value_a")).distinct()
-                .join(bounded_broadcast(gazetteer, max_broadcast_rows), ["type_a", "value_a"], "inner")
-                .join(present, ["doc_id", "type_b", "value_b"], "inner")
-                .groupBy("doc_id", "type_a", "value_a").agg(F.count("*").alias("n_consistent"))
-                .select("doc_id", F.col("type_a").alias("type"), F.col("value_a").alias("value"), "n_consistent"))
+    pairs = consistent_partners(mentions, gazetteer, aliases, types, max_broadcast_rows)
+    ends = F.explode(F.array(F.struct(F.col("type_a").alias("type"), F.col("value_a").alias("value")),
+                             F.struct(F.col("type_b").alias("type"), F.col("value_b").alias("value"))))
+    partners = (pairs.select("doc_id", ends.alias("e")).groupBy("doc_id", F.col("e.type").alias("type"), F.col("e.value").alias("value"))
+                .agg(F.count("*").alias("n_consistent")))
     scored = (m.join(partners, ["doc_id", "type", "value"], "left")
               .select("doc_id", "type", "value",
                       (F.col("__w") * F.col("probability") + F.coalesce(F.col("n_consistent"), F.lit(0))).alias("score")))

@@ -723,3 +723,63 @@ SELECT o_orderkey, c.table_ix, c.row_ix, c.cell_ix,
 FROM orders CROSS JOIN (VALUES (0, 0, 0, 'k'), (0, 0, 1, 'after'), (0, 1, 0, 'p'), (1, 0, 0, 's'), (1, 1, 0, 'second'))
      c(table_ix, row_ix, cell_ix, what)
 """
+
+
+# --- context scores, token vectors, joint places -------------------------------------
+
+# The vocabulary of score_context, written out: three-token phrases and their parts.
+ORACLE["score_context"] = r"""
+WITH t AS (SELECT doc_id, regexp_extract_all(text, '(\n|[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r])', 1) AS toks FROM documents),
+p AS (SELECT doc_id, toks, unnest(range(1, len(toks) + 1)) AS i FROM t),
+g AS (SELECT doc_id, toks, i, unnest(range(1, least(3, len(toks) - i + 1) + 1)) AS k FROM p),
+s AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS start, CAST(i - 1 + k AS INTEGER) AS "end", lower(array_to_string(toks[i:i + k - 1], ' ')) AS field,
+             toks[greatest(i - 2, 1):i + k + 1] AS ctx FROM g
+      WHERE lower(array_to_string(toks[i:i + k - 1], ' ')) IN ('mit license', 'apache license', 'general public license', 'gnu general public',
+            'released under the', 'of the', 'de la', 'in the', 'und der')),
+c AS (SELECT doc_id, start, "end", field, unnest(ctx) AS tok FROM s),
+v AS (SELECT c.*, e.embedding FROM c JOIN embeddings e
+      ON e.vec_id < 500 AND e.vec_id = CAST('0x' || substr(md5(lower(tok)), 1, 7) AS BIGINT) % 500),
+u AS (SELECT doc_id, start, "end", field, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM v),
+m AS (SELECT doc_id, start, "end", field, d, avg(CAST(x AS DOUBLE)) AS x FROM u GROUP BY ALL),
+tr AS (SELECT m.field, l.quality AS y, d, avg(m.x) AS x FROM m JOIN labels l ON m.doc_id = l.doc_id
+       WHERE m.doc_id % 5 <> 0 AND l.quality IN (0, 1) GROUP BY ALL),
+w AS (SELECT a.field, a.d, a.x - b.x AS w, (b.x * b.x - a.x * a.x) / 2 AS b FROM tr a JOIN tr b ON a.field = b.field AND a.d = b.d AND a.y = 1 AND b.y = 0)
+SELECT doc_id, start, "end", m.field, round(1.0 / (1.0 + exp(-(sum(m.x * w.w) + sum(w.b)))), 6) AS probability
+FROM m JOIN w ON m.field = w.field AND m.d = w.d WHERE m.doc_id % 5 = 0 GROUP BY doc_id, start, "end", m.field
+"""
+
+ORACLE["random_index_vectors"] = r"""
+WITH t AS (SELECT row_number() OVER () AS r, regexp_extract_all(text, '(\n|[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r])', 1) AS toks FROM documents),
+p AS (SELECT r, lower(unnest(toks)) AS token, generate_subscripts(toks, 1) AS i FROM t),
+pr AS (SELECT a.token, b.token AS other FROM p a JOIN (VALUES (-2), (-1), (1), (2)) o(k) ON true JOIN p b ON b.r = a.r AND b.i = a.i + o.k),
+co AS (SELECT token, other, count(*) AS c FROM pr GROUP BY ALL),
+ix AS (SELECT DISTINCT other, md5(other) AS h FROM co),
+nz AS (SELECT other, CAST('0x' || substr(h, 1 + 3 * j, 3) AS INT) % 32 AS d, 1 - 2 * (CAST('0x' || substr(h, 25 + j, 1) AS INT) % 2) AS s
+       FROM ix, (VALUES (0), (1)) v(j)),
+x AS (SELECT token, d, sum(c * s) AS x FROM co JOIN nz ON co.other = nz.other GROUP BY ALL),
+n AS (SELECT token, sum(c) AS n FROM co GROUP BY token),
+f AS (SELECT n.token, n.n, dd.d, coalesce(x.x, 0) AS x FROM n CROSS JOIN (SELECT unnest(range(32)) AS d) dd LEFT JOIN x ON x.token = n.token AND x.d = dd.d)
+SELECT token, CAST(any_value(n) AS BIGINT) AS n, list(CAST(x AS BIGINT) ORDER BY d) AS vec FROM f GROUP BY token
+"""
+
+ORACLE["joint_locations"] = """
+WITH pl AS (SELECT s_suppkey, s_name AS city, n_name AS state, r_name AS country FROM supplier
+            JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+nm AS (SELECT *, CASE WHEN s_suppkey % 3 = 0 THEN 'old ' || city ELSE city END AS said FROM pl),
+m AS (SELECT c_custkey AS doc_id, 'city' AS type, said AS value, 1.0 * 0.4 AS w FROM customer JOIN nm ON s_suppkey = c_custkey % 10 + 1
+      UNION ALL SELECT c_custkey, 'city', said, 0.5 * 0.9 FROM customer JOIN nm ON s_suppkey = (c_custkey * 7 + 3) % 10 + 1
+      UNION ALL SELECT c_custkey, 'state', n_name, 0.5 * 0.5 FROM customer JOIN nation ON c_nationkey = n_nationkey
+      UNION ALL SELECT c_custkey, 'country', country, 0.5 * 0.7 FROM customer JOIN nm ON s_suppkey = c_custkey % 10 + 1),
+f AS (SELECT DISTINCT doc_id, type, value, value AS form FROM m
+      UNION SELECT DISTINCT doc_id, type, value, substr(value, 5) FROM m WHERE type = 'city' AND value LIKE 'old %'),
+g AS (SELECT 'city' AS ta, city AS va, 'state' AS tb, state AS vb FROM pl UNION SELECT 'city', city, 'country', country FROM pl
+      UNION SELECT 'state', state, 'country', country FROM pl),
+pr AS (SELECT DISTINCT a.doc_id, a.type AS ta, a.value AS va, b.type AS tb, b.value AS vb FROM f a JOIN g ON g.ta = a.type AND g.va = a.form
+       JOIN f b ON b.doc_id = a.doc_id AND b.type = g.tb AND b.form = g.vb),
+ends AS (SELECT doc_id, ta AS type, va AS value FROM pr UNION ALL SELECT doc_id, tb, vb FROM pr),
+k AS (SELECT doc_id, type, value, count(*) AS n FROM ends GROUP BY ALL),
+s AS (SELECT m.doc_id, m.type, m.value, CAST(m.w AS DOUBLE) + coalesce(k.n, 0) AS score FROM m
+      LEFT JOIN k ON m.doc_id = k.doc_id AND m.type = k.type AND m.value = k.value)
+SELECT doc_id, type, value, round(score, 6) AS score FROM s
+QUALIFY row_number() OVER (PARTITION BY doc_id, type ORDER BY score DESC, value) = 1
+"""

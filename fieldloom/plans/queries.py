@@ -579,6 +579,73 @@ def consistent_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select(F.col("doc_id").alias("c_custkey"), "type", "value", F.round("score", 6).alias("score"))
 
 
+EMBEDDING_ROWS = 500
+
+
+def hashed_token(token) -> "F.Column":
+    """The embedding row of a token: its MD5 modulo the number of rows (a hashed vocabulary)."""
+    return (F.conv(F.substring(F.md5(token), 1, 7), 16, 10).cast("long") % EMBEDDING_ROWS).cast("string")
+
+
+@query
+def score_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """phrase spans scored from the embeddings of the tokens around them, by models
+    fitted on the labelled documents of four fifths of the ids; the others are scored."""
+    from fieldloom.operators import scoring
+    spans = mentions.dictionary_mentions(_doc_tokens(spark, sf_dir), ["doc_id"], "tokens", T.phrase_vocab(spark).select("entry"),
+                                         field="phrase", n=3, context=2)
+    hashed = spans.select("doc_id", "start", "end", F.col("value").alias("field"), F.transform("context", hashed_token).alias("context"))
+    e = T.load(spark, sf_dir, "embeddings").where(F.col("vec_id") < EMBEDDING_ROWS)
+    vecs = scoring.context_vectors(hashed, e.select(F.col("vec_id").cast("string").alias("token"), F.col("embedding").alias("vec")),
+                                   ["doc_id", "start", "end", "field"])
+    labels = T.load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    models = scoring.centroid_models(vecs.where("doc_id % 5 <> 0").join(labels, "doc_id"))
+    scored = scoring.score(vecs.where("doc_id % 5 = 0"), models)
+    return scored.select("doc_id", "start", "end", "field", F.round("probability", 6).alias("probability"))
+
+
+@query
+def random_index_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fieldloom.operators import scoring
+    lower = _doc_tokens(spark, sf_dir).select(F.transform("tokens", F.lower).alias("tokens"))
+    return scoring.random_index(lower)
+
+
+def place_mentions(spark, sf_dir) -> DataFrame:
+    """Per customer: a city (title), another city and its own state (text), the country of the
+    first city (text); one city in three goes by another name."""
+    s = T.load(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = T.load(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = T.load(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    c = T.load(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    named = F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit("old "), F.col("s_name"))).otherwise(F.col("s_name"))
+    place = (s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+             .select("s_suppkey", named.alias("city"), "r_name"))
+    count = 10  # suppliers there are at every scale
+    def at(key):
+        return c.select("c_custkey", (key % count + 1).alias("s_suppkey")).join(place, "s_suppkey")
+    def row(df, kind, value, source, p):
+        return df.select(F.col("c_custkey").alias("doc_id"), F.lit(kind).alias("type"), F.col(value).alias("value"),
+                         F.lit(source).alias("source"), F.lit(p).alias("probability"))
+    first, other = at(F.col("c_custkey")), at(F.col("c_custkey") * 7 + 3)
+    own = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return (row(first, "city", "city", "title", 0.4).unionByName(row(other, "city", "city", "text", 0.9))
+            .unionByName(row(own, "state", "n_name", "text", 0.5)).unionByName(row(first, "country", "r_name", "text", 0.7)))
+
+
+@query
+def joint_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F4 with cities, states and countries, and other names of cities."""
+    from fieldloom.operators import scoring
+    s = T.load(spark, sf_dir, "supplier")
+    n, r = T.load(spark, sf_dir, "nation"), T.load(spark, sf_dir, "region")
+    places = (s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+              .select(F.col("s_name").alias("city"), F.col("n_name").alias("state"), F.col("r_name").alias("country")))
+    aliases = s.select(F.lit("city").alias("type"), F.concat(F.lit("old "), F.col("s_name")).alias("alias"), F.col("s_name").alias("value"))
+    best = scoring.choose_locations(place_mentions(spark, sf_dir), scoring.place_pairs(places), aliases=aliases)
+    return best.select("doc_id", "type", "value", F.round("score", 6).alias("score"))
+
+
 # --- flagship: full pipeline (C1-C6, D1, X1, X7, G1-G13, A7) ---------------------
 
 @query
