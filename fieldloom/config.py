@@ -45,8 +45,8 @@ TITLE_PATTERN = r"(?i)<title>(.*?)</title>"
 MY_NAME_IS_PATTERN = r"(?i)(?:my[\s]+name[\s]+is[\s]+([-a-z0-9@$!]+))"
 # Dictionary pre-filter, applied after lower-casing, anchored at the start.
 DICTIONARY_PREFILTER = r"^[a-z].*[a-z]"
-# Default n-gram size of the city dictionary.
-CITY_NGRAMS = 3
+# N-gram sizes of the dictionaries (others: 1).
+DICTIONARY_NGRAMS = {"city": 3}
 
 # Site (wrapper) source fields -> semantic field.
 SITE_FIELD_SOURCES = {
@@ -136,8 +136,8 @@ DATE_FORMATS = [
 ]
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
-# Public suffixes used for registered domains when no table is given (a sample:
-# the last label stands in for a suffix that is not listed).
+# A sample of public suffixes, for tests and for the registered queries; users pass the
+# whole list as a table (the last label stands in for a suffix that is not listed).
 DEFAULT_PUBLIC_SUFFIXES = [
     "com", "net", "org", "edu", "gov", "io", "info", "biz",
     "co.uk", "org.uk", "ac.uk", "com.au", "co.jp", "de", "fr", "es", "it", "nl", "uk", "us",

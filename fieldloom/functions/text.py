@@ -61,6 +61,27 @@ def let(value, body) -> Column:
     return F.get(F.transform(F.array(col_of(value)), body), 0)
 
 
+def running(values, step, zero, block: int = 256) -> Column:
+    """The results of an associative ``step`` over every prefix of an array (the first
+    element alone first).  Blocks are summed up first, then the elements of each from
+    what stands before it, so that no array grows step by step over the whole length."""
+    def grow(first, arr):
+        return F.aggregate(arr, F.array(first), lambda acc, v: F.concat(acc, F.array(step(F.element_at(acc, -1), v))))
+
+    def cut(v):
+        last = F.floor((F.size(v) - 1) / block).cast("int")
+        return F.when(F.size(v) > 0, F.transform(F.sequence(F.lit(0), last), lambda b: F.slice(v, b * block + 1, F.lit(block)))).otherwise(
+            F.array().cast(f"array<array<{zero[1]}>>"))
+
+    start = F.lit(zero[0]).cast(zero[1])
+
+    def whole(blocks):
+        before = grow(start, F.transform(blocks, lambda b: F.aggregate(b, start, lambda acc, v: step(acc, v))))
+        return F.flatten(F.zip_with(blocks, F.slice(before, 1, F.size(blocks)), lambda b, o: F.slice(grow(o, b), 2, F.size(b))))
+    return let(let(values, cut), whole)
+
+
+
 def py_float(c) -> Column:
     """Parse a string the way Python's ``float()`` does; null where it raises."""
     c = col_of(c)
@@ -101,12 +122,13 @@ def collapse_ws(c, keep_edges: bool = True) -> Column:
 def unescape_entities(c) -> Column:
     """Decode the named entities of ``config.HTML_ENTITIES``; ``&amp;`` is
     decoded last so that ``&amp;lt;`` becomes ``&lt;``."""
-    out = col_of(c)
-    for ent, ch in config.HTML_ENTITIES:
-        if ent == "&amp;":
-            continue
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return F.replace(_numeric_entities(out), F.lit("&amp;"), F.lit("&"))
+    def decode(t):
+        out = t
+        for ent, ch in config.HTML_ENTITIES:
+            if ent != "&amp;":
+                out = F.replace(out, F.lit(ent), F.lit(ch))
+        return F.when(t.contains("&"), F.replace(let(out, _numeric_entities), F.lit("&amp;"), F.lit("&"))).otherwise(t)
+    return let(c, decode)
 
 
 def _numeric_entities(c) -> Column:

@@ -20,8 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldloom import config
-from fieldloom.functions.text import col_of, html_to_text, let, memo_column
-from fieldloom.operators.plumbing import bounded_broadcast, host_of
+from fieldloom.functions.text import col_of, html_to_text, let, memo_column, running
+from fieldloom.operators.plumbing import bounded_broadcast, host_of, registered_domains
+from fieldloom.session import cut_lineage
 
 # Patterns (shared with the SQL oracles in plans/).
 REMOVE_PATTERN = (r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|"
@@ -127,26 +128,35 @@ def own_contents(html, tags: str) -> "F.Column":
     ignored."""
     rx = rf"(?is)</?(?:{tags})\b[^>]*>"
     html = col_of(html)
-    none = F.array().cast("array<int>")
-
-    def owners(closes):
-        """Per piece between tags, the innermost open element (-1: none)."""
-        start = F.struct(none.alias("open"), F.array(F.lit(-1)).alias("owner"), F.lit(0).alias("n"))
-
-        def step(acc, close):
-            opened = F.when(~close, F.concat(acc["open"], F.array(acc["n"]))).when(
-                F.size(acc["open"]) > 0, F.slice(acc["open"], F.lit(1), F.size(acc["open"]) - 1)).otherwise(none)
-            return F.struct(opened.alias("open"), F.concat(acc["owner"], F.array(F.when(~close, acc["n"]).otherwise(
-                F.coalesce(F.try_element_at(opened, F.lit(-1)), F.lit(-1))))).alias("owner"),
-                (acc["n"] + F.when(close, 0).otherwise(1)).alias("n"))
-        return F.aggregate(closes, start, step)
-    closes = F.transform(F.regexp_extract_all(html, F.lit(rx), 0), lambda t: t.startswith("</"))
-    found = F.struct(F.split(html, rx, -1).alias("part"), owners(closes).alias("s"))
+    big = 1 << 31
+    opens = F.transform(F.regexp_extract_all(html, F.lit(rx), 0), lambda t: ~t.startswith("</"))
+
+    def add(a, b):
+        return a + b
+
+    def owners(opens):
+        """Per tag ``(owner, i)``: the element that is open behind the i-th tag, -1 for none.
+        It is the last one that opened at the depth there: a running maximum over the
+        tags in order of depth finds it."""
+        level = running(F.transform(opens, lambda o: F.when(o, 1).otherwise(-1)), add, (0, "int"))
+        depth = let(level, lambda s: F.zip_with(s, running(s, F.least, (0, "int")), lambda x, low: x - low))
+        number = running(F.transform(opens, lambda o: o.cast("int")), add, (0, "int"))
+        tags_ = F.zip_with(depth, F.zip_with(opens, number, lambda o, n: F.when(o, n).otherwise(0)), lambda d, n: F.struct(d.alias("d"), n.alias("n")))
+        ordered = F.array_sort(F.transform(tags_, lambda t, i: F.struct(t["d"].alias("d"), i.alias("i"), t["n"].alias("n"))))
+        last = lambda o: running(F.transform(o, lambda t: t["d"].cast("long") * big + t["n"]), F.greatest, (0, "bigint"))
+        return let(ordered, lambda o: F.zip_with(o, last(o), lambda t, m: F.struct(
+            F.when(t["d"] > 0, (m % big).cast("int") - 1).otherwise(-1).alias("owner"), t["i"].alias("i"))))
 
     def contents(f):
-        return F.transform(F.when(f["s"]["n"] > 0, F.sequence(F.lit(0), f["s"]["n"] - 1)).otherwise(none),
-                           lambda i: F.array_join(F.filter(f["part"], lambda p, j: F.get(f["s"]["owner"], j) == i), " "))
-    return let(found, contents)
+        """Each element's pieces lie side by side once sorted by owner."""
+        ranked = F.array_sort(F.filter(f["s"], lambda x: x["owner"] >= 0))
+
+        def joined(x):
+            begin = F.filter(F.transform(x, lambda e, j: F.when((j == 0) | (F.get(x, j - 1)["owner"] != e["owner"]), j)), lambda j: j.isNotNull())
+            return let(begin, lambda g: F.transform(g, lambda j, k: F.array_join(F.transform(
+                F.slice(x, j + 1, F.coalesce(F.get(g, k + 1), F.size(x)) - j), lambda e: F.get(f["part"], e["i"] + 1)), " ")))
+        return let(ranked, joined)
+    return let(F.struct(F.split(html, rx, -1).alias("part"), let(opens, owners).alias("s")), contents)
 
 
 def _items(html, tag: str) -> "F.Column":
@@ -174,24 +184,38 @@ def extract_lists(df: DataFrame, id_col: str, html_col: str = "html") -> DataFra
     return items.select(id_col, "list_ix", "item_ix", html_to_text(F.col("item_html")).alias("text"))
 
 
-def landmark_values(pages: DataFrame, rules: DataFrame, id_col: str, site_col: str,
-                    html_col: str = "html", max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
-    """Apply per-site begin/end rules: ``rules(site, field, begin, end)``.
+def landmark_values(pages: DataFrame, rules: DataFrame, id_col: str, suffixes: DataFrame,
+                    url_col: str = "url", html_col: str = "html", max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Apply per-site begin/end rules, ``rules(site, field, begin, end)``, a site being a
+    registered domain: ``(id, field, value, rule_ix)``.
 
-    Each page meets only its own site's rules (equi join on the site key,
-    broadcast when the rule table is within bounds).  The value is the trimmed
-    text between the first ``begin`` and the next ``end`` after it; rules whose
-    literals are not found give no row.
+    Which hosts belong to a site with rules is found out from the URLs alone.  These few hosts,
+    with their rules, are then broadcast to the pages, whose HTML is read where it
+    is: no exchange carries HTML (beyond the broadcast's bounds the host join is
+    shuffled).  The value is the trimmed text between the first ``begin`` and the next
+    ``end`` after it; rules whose literals are not found give no row.  ``rule_ix`` numbers
+    the rules of a site by field and literals.
     """
-    r = bounded_broadcast(rules.withColumnRenamed("site", site_col) if "site" in rules.columns and site_col != "site"
-                          else rules, max_broadcast_rows)
-    j = (pages.select(id_col, site_col, html_col).join(r, site_col, "inner")
+    from pyspark.sql import Window
+    order = Window.partitionBy("site").orderBy("field", "begin", "end")  # a site's rules: a few configuration rows
+    ruled = rules.select("site", "field", "begin", "end").withColumn("rule_ix", F.row_number().over(order) - 1)
+    hosts = pages.select(host_of(F.col(url_col)).alias("host")).where(F.col("host").isNotNull()).distinct()
+    sites = registered_domains(hosts, suffixes).withColumnRenamed("registered_domain", "site")
+    by_host = bounded_broadcast(cut_lineage(sites.join(ruled, "site").drop("site").withColumnRenamed("host", "__host")), max_broadcast_rows)
+    j = (pages.select(id_col, host_of(F.col(url_col)).alias("__host"), html_col).join(by_host, "__host", "inner")
          .withColumn("__b", F.expr(f"locate(`begin`, `{html_col}`)"))
          .withColumn("__vs", F.col("__b") + F.length("begin"))
          .withColumn("__e", F.expr(f"locate(`end`, `{html_col}`, __vs)")))
     value = F.trim(F.substring(F.col(html_col), F.col("__vs"), F.col("__e") - F.col("__vs")))
     return (j.where((F.col("__b") > 0) & (F.col("__e") > 0))
-            .select(id_col, "field", value.alias("value")))
+            .select(id_col, "field", value.alias("value"), "rule_ix"))
+
+
+def url_text(url) -> "F.Column":
+    """Host and path of a URL as words: the query and fragment are left out, and every run
+    of characters other than letters and digits becomes one space."""
+    place = F.regexp_replace(F.regexp_replace(col_of(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?", ""), r"[?#].*$", "")
+    return F.trim(F.regexp_replace(place, r"[^\p{L}\p{N}]+", " "))
 
 
 def page_rows(pages: DataFrame, id_col: str, html_col: str = "html", url_col: str | None = "url", site_col: str = "host") -> DataFrame:
@@ -226,6 +250,5 @@ def segments(pages: DataFrame, id_col: str, html_col: str = "html", url_col: str
     regroup) both read them instead of re-parsing the HTML."""
     rows = page_rows(pages, id_col, html_col, url_col, site_col)
     if materialize:
-        from fieldloom.session import cut_lineage
         rows = cut_lineage(rows)
     return segments_of_rows(rows, id_col, html_col, strict, site_col)

@@ -22,6 +22,7 @@ from fieldloom.functions.text import col_of, memo_column
 from fieldloom.operators.plumbing import bounded_broadcast
 
 MARK = "\u0001"
+PIECES = 256  # pieces of a text whose offsets are summed at a time; even, so that matches stay the odd ones
 
 
 # --- X1: dictionary ---------------------------------------------------------
@@ -47,6 +48,16 @@ def ngrams(tokens, n: int) -> "F.Column":
     return F.filter(F.concat(*parts), lambda s: s["text"].isNotNull())
 
 
+def vocabularies(tables: dict) -> DataFrame:
+    """One vocabulary ``(field, entry, n, ...)`` from ``{field: (table with entry, n)}``; columns
+    that only some of the tables have are null in the others."""
+    out = None
+    for field, (table, n) in tables.items():
+        part = table.withColumn("field", F.lit(field)).withColumn("n", F.lit(n))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
 def vocabulary(spark, entries) -> DataFrame:
     """Vocabulary table ``(entry)`` from a Python list (lower-cased)."""
     rows = [(e.lower(),) for e in entries]
@@ -65,6 +76,10 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
     ``max_broadcast_rows`` rows; otherwise a shuffled join is used.  Extra
     vocabulary columns (e.g. ``canonical``, ``weight``) are carried along.
 
+    A vocabulary with a ``field`` column holds the entries of several fields, looked
+    up in one pass over the tokens; with an ``n`` column (at most the given ``n``) an entry is found among
+    n-grams of up to that many tokens only.
+
     With ``context`` > 0 each mention gets ``context``: the lower-cased tokens up to
     that many places before and after it, itself included, cut from its row's token
     array after the join (so only rows with a mention ever hold it).
@@ -73,18 +88,23 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
     row = [F.col(tokens_col).alias("__tokens")] if context else []
     g = (df.select(*key_cols, *row, F.explode(ngrams(tokens_col, n)).alias("g"))
          .select(*key_cols, *(["__tokens"] if context else []), F.col("g.start").alias("start"), (F.col("g.start") + F.col("g.k")).alias("end"),
-                 F.col("g.text").alias("text"), F.lower(F.col("g.text")).alias("value")))
+                 F.col("g.k").alias("__k"), F.col("g.text").alias("text"), F.lower(F.col("g.text")).alias("value")))
     if prefilter:
         g = g.where(F.col("value").rlike(prefilter))
     v = bounded_broadcast(vocab.withColumnRenamed("entry", "value"), max_broadcast_rows)
+    own_field = "field" in v.columns
+    v = v.withColumnRenamed("field", "__field").withColumnRenamed("n", "__n")
     out = g.join(v, "value", "inner")
-    extra = [c for c in v.columns if c != "value"]
+    if "__n" in v.columns:
+        out = out.where(F.col("__k") <= F.col("__n"))
+    extra = [c for c in v.columns if c not in ("value", "__field", "__n")]
+    name = F.col("__field") if own_field else F.lit(field)
     if context:
         first = F.greatest(F.col("start") - context, F.lit(0))
         out = out.withColumn("context", F.transform(F.slice("__tokens", first + 1, F.col("end") + context - first), F.lower))
         extra.append("context")
-    return out.select(*key_cols, F.lit(field).alias("field"),
-                      F.lit(extractor or f"{field}_dictionary").alias("extractor"),
+    return out.select(*key_cols, name.alias("field"),
+                      (F.lit(extractor) if extractor else F.concat(name, F.lit("_dictionary"))).alias("extractor"),
                       F.lit("tokens").alias("input_type"), "value", "text",
                       F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), *extra)
 
@@ -97,24 +117,38 @@ def regex_mentions(df: DataFrame, key_cols, text_col: str, pattern: str, *, fiel
     character offsets.  ``value`` is the match, or its capture ``group`` when
     ``group > 0`` (taken where it matched, so anchors and lookaround hold).
 
-    Matches are marked with a control character, the text is split on it and
-    the odd pieces are the matches; offsets are running sums of piece lengths.
-    Offsets refer to the text with any pre-existing marker characters removed.
-    Pieces and offsets are columns of their own, so each is computed once per
-    text however many matches it has."""
+    Matches are marked with a control character and the text is split on it: odd pieces
+    are the matches.  Offsets are running sums of piece lengths, first within blocks of
+    ``PIECES`` pieces, then over the blocks, so the cost is linear in the matches of a text;
+    the blocks are rows of their own, so no large array is copied per match.
+    Offsets refer to the text with any pre-existing marker characters removed."""
     keys = [F.col(f"`{c}`") for c in key_cols]
+
+    def running(values):
+        return F.aggregate(values, F.array(F.lit(0)), lambda acc, v: F.concat(acc, F.array(F.element_at(acc, -1) + v)))
     marked = (df.select(*keys, F.regexp_replace(F.col(text_col), MARK, "").alias("__t"))
               .withColumn("__p", F.split(F.regexp_replace("__t", pattern, MARK + "$0" + MARK), MARK, -1))
-              .withColumn("__v", F.regexp_extract_all("__t", F.lit(pattern), F.lit(group))))
-    sums = F.aggregate("__p", F.array(F.lit(0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p))))
-    m = (marked.withColumn("__o", sums).select(*keys, F.explode(F.arrays_zip(
-        F.transform("__v", lambda v, k: k).alias("k"), F.col("__v").alias("value"),
-        F.filter("__p", lambda p, i: i % 2 == 1).alias("match"), F.filter("__o", lambda o, i: i % 2 == 1).alias("start"))).alias("m")))
-    m = m.where((F.length("m.match") > 0) & F.col("m.k").isNotNull())
+              .where(F.size("__p") > 1))
+    groups = F.regexp_extract_all("__t", F.lit(pattern), F.lit(group)) if group else F.lit(None).cast("array<string>")
+    marked = marked.withColumn("__v", groups)
+    last = F.floor((F.size("__p") - 1) / PIECES).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), last), lambda b: F.struct(
+        F.slice("__p", b * PIECES + 1, F.lit(PIECES)).alias("p"), F.slice("__v", b * (PIECES // 2) + 1, F.lit(PIECES // 2)).alias("v")))
+    rows = marked.select(*keys, blocks.alias("__blocks")).withColumn(
+        "__o", running(F.transform("__blocks", lambda b: F.aggregate(b["p"], F.lit(0), lambda acc, p: acc + F.length(p)))))
+    rows = (rows.select(*keys, F.posexplode(F.arrays_zip(F.col("__blocks").alias("b"), F.slice("__o", 1, F.size("__blocks")).alias("o"))).alias("__b", "__z"))
+            .select(*keys, "__b", F.col("__z.b.p").alias("__p"), F.col("__z.b.v").alias("__v"), F.col("__z.o").alias("__base"))
+            .withColumn("__i", running(F.transform("__p", lambda p: F.length(p)))))
+    found = F.filter(F.transform("__p", lambda p, i: F.struct(
+        p.alias("match"), (F.get("__i", i) + F.col("__base")).alias("start"), ((i - 1) / 2).cast("int").alias("j"), i.alias("i"))),
+        lambda z: (z["i"] % 2 == 1) & (F.length(z["match"]) > 0))
+    value = (lambda z: F.get("__v", z["j"])) if group else (lambda z: z["match"])
+    found = F.transform(found, lambda z: F.struct(z["match"].alias("match"), z["start"].alias("start"), z["j"].alias("j"), value(z).alias("value")))
+    m = rows.select(*keys, "__b", F.explode(found).alias("m"))
     return m.select(*keys, F.lit(field).alias("field"), F.lit(extractor or f"{field}_regex").alias("extractor"),
                     F.lit("text").alias("input_type"), F.col("m.value").alias("value"), F.col("m.match").alias("text"),
                     F.col("m.start").alias("start"), (F.col("m.start") + F.length("m.match")).alias("end"),
-                    F.col("m.k").alias("match_ix"))
+                    (F.col("__b") * (PIECES // 2) + F.col("m.j")).alias("match_ix"))
 
 
 # Extractor patterns (our definitions; the originals live outside the source).
@@ -214,3 +248,50 @@ def site_field_mentions(df: DataFrame, key_cols, mapping=None, with_index: bool
             .where(F.col("value").isNotNull() & (F.col("value") != "")))
     return long.join(bounded_broadcast(fm, max_broadcast_rows), "source", "inner").select(
         *key_cols, "field", "source", "value", *(["ix"] if with_index else []))
+
+
+def map_sources(values: DataFrame, key_cols, mapping=None, max_broadcast_rows: int = config.BROADCAST_MAX_ROWS) -> DataFrame:
+    """Values that are rows already, ``(*keys, source, ix, value)`` (such as what landmark
+    rules find), mapped to semantic fields like site columns; nulls and empty strings give none."""
+    fm = bounded_broadcast(site_field_map(values.sparkSession, mapping), max_broadcast_rows)
+    return (values.where(F.col("value").isNotNull() & (F.col("value") != "")).join(fm, "source", "inner")
+            .select(*key_cols, "field", "source", "value", "ix"))
+
+
+# --- U1, B8: user extractors ---------------------------------------------------
+
+def hook_mentions(df: DataFrame, key_cols, text_col: str, function, *, field: str, extractor: str | None = None):
+    """A user's extractor ``function(text) -> list of strings`` (or None, or one string):
+    ``(mentions, errors)``.
+
+    Failures are isolated by row: a text for which the function raises gives no mention and one
+    row ``(*keys, extractor, error)``; every other text is untouched.  A null text is not
+    passed on.  The function runs in Python over Arrow batches, once: its result is
+    checkpointed for the two readers."""
+    import pandas as pd
+
+    from fieldloom.session import cut_lineage
+    extractor = extractor or f"{field}_hook"
+
+    @F.pandas_udf("struct<found: array<string>, error: string>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        found, errors = [], []
+        for t in texts:
+            got, error = None, None
+            if t is not None:
+                try:
+                    got = function(t)
+                    got = [got] if isinstance(got, str) else None if got is None else [None if x is None else str(x) for x in got]
+                except Exception as e:  # noqa: BLE001 - isolated by design
+                    got, error = None, f"{type(e).__name__}: {e}"
+            found.append(got)
+            errors.append(error)
+        return pd.DataFrame({"found": found, "error": errors}, dtype=object)
+
+    keys = [F.col(f"`{c}`") for c in key_cols]
+    done = cut_lineage(df.select(*keys, run(F.col(text_col)).alias("__r")))
+    out = (done.select(*keys, F.posexplode("__r.found").alias("match_ix", "value")).where(F.col("value").isNotNull() & (F.col("value") != ""))
+           .select(*keys, F.lit(field).alias("field"), F.lit(extractor).alias("extractor"), F.lit("text").alias("input_type"), "value",
+                   F.col("value").alias("text"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), "match_ix"))
+    errors = done.where(F.col("__r.error").isNotNull()).select(*keys, F.lit(extractor).alias("extractor"), F.col("__r.error").alias("error"))
+    return out, errors

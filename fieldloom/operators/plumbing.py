@@ -48,40 +48,50 @@ def host_of(url) -> Column:
     return F.when(host != "", host)
 
 
-def suffix_table(spark, suffixes=None) -> DataFrame:
-    """Public-suffix table ``(suffix)``; the default list is a small sample."""
-    rows = [(s,) for s in (suffixes or config.DEFAULT_PUBLIC_SUFFIXES)]
-    return spark.createDataFrame(rows, "suffix string")
+def suffix_rules(spark, rules) -> DataFrame:
+    """Public-suffix rules ``(suffix)`` from a list in the list's own notation: ``co.uk``,
+    ``*.ck`` (any one label), ``!www.ck`` (an exception to a wildcard)."""
+    return spark.createDataFrame([(r,) for r in rules], "suffix string")
 
 
-def registered_domains(hosts: DataFrame, host_col: str = "host", suffixes: DataFrame | None = None) -> DataFrame:
-    """``(host, registered_domain)`` for distinct hosts: ``label.suffix`` with
-    the longest public suffix that the host ends with.  Where no listed suffix
-    fits, the last label is the suffix (the public suffix list's own default
-    rule); numeric addresses have no registered domain.
+def registered_domains(hosts: DataFrame, suffixes: DataFrame, host_col: str = "host") -> DataFrame:
+    """``(host, registered_domain)`` for distinct hosts: one label and the public suffix
+    behind it, by the rules in ``suffixes(suffix)``.
+
+    An exception rule wins (its suffix lacks the rule's first label), else the matching rule
+    with the most labels that leaves a label in front; a wildcard stands for exactly
+    one label.  Where no rule fits, the last label is the suffix (the public suffix list's own
+    default rule); numeric addresses and hosts of one label have no registered domain.
+    Null and blank rules are ignored.
 
     Candidate suffixes are the host's label tails (bounded by its label
-    count); they meet the suffix table in a size-checked broadcast join and the
-    longest hit per host wins through a grouped ``max_by``.
+    count); they meet the rules in a size-checked broadcast join and the
+    best hit per host wins through a grouped ``max``.
     """
-    spark = hosts.sparkSession
-    sfx = bounded_broadcast((suffixes if suffixes is not None else suffix_table(spark)).withColumn("__listed", F.lit(True)))
+    rule = F.lower(F.trim("suffix"))
+    kind = F.when(rule.startswith("!"), F.lit("exception")).when(rule.startswith("*."), F.lit("wildcard")).otherwise(F.lit("plain"))
+    rules = bounded_broadcast(suffixes.select(F.regexp_replace(rule, r"^(!|\*\.)", "").alias("tail"), kind.alias("kind"))
+                              .where(F.col("tail") != "").distinct())
     labels = F.split(F.col(host_col), r"\.")
-    cand = (hosts.select(host_col, labels.alias("labels"))
-            .where((F.size("labels") >= 2) & ~F.col(host_col).rlike(r"^[0-9.]+$|^\["))
-            .select(host_col, "labels", F.explode(F.sequence(F.lit(2), F.size("labels"))).alias("k"))
-            .select(host_col, F.array_join(F.slice("labels", F.col("k"), F.size("labels")), ".").alias("suffix"),
-                    F.element_at("labels", F.col("k") - 1).alias("label"),
-                    (F.size("labels") - F.col("k") + 1).alias("n_labels")))
-    return (cand.join(sfx, "suffix", "left").where(F.col("__listed") | (F.col("n_labels") == 1))
-            .groupBy(host_col)
-            .agg(F.max_by(F.concat_ws(".", "label", "suffix"), "n_labels").alias("registered_domain")))
-
-
-def add_registered_domain(df: DataFrame, url_col: str = "url", out_col: str = "tld",
-                          suffixes: DataFrame | None = None) -> DataFrame:
-    """Add ``out_col`` = registered domain of the URL host; an existing
-    non-null ``out_col`` is kept.
+    tails = (hosts.select(host_col, labels.alias("labels"))
+             .where((F.size("labels") >= 2) & ~F.col(host_col).rlike(r"^[0-9.]+$|^\["))
+             .select(host_col, "labels", F.explode(F.sequence(F.lit(1), F.size("labels"))).alias("k"))
+             .select(host_col, "labels", F.array_join(F.slice("labels", F.col("k"), F.size("labels")), ".").alias("tail"),
+                     (F.size("labels") - F.col("k") + 1).alias("n")))
+    hit = tails.join(rules, "tail", "left")
+    # how many labels the rule makes the suffix have; the default rule gives every last label
+    n = (F.when(F.col("kind") == "exception", F.col("n") - 1).when(F.col("kind") == "wildcard", F.col("n") + 1)
+         .when(F.col("kind") == "plain", F.col("n")).when(F.col("n") == 1, F.lit(1)))
+    best = (hit.select(host_col, "labels", (F.col("kind") == "exception").alias("exception"), n.alias("n"))
+            .where(F.col("n").between(1, F.size("labels") - 1))
+            .groupBy(host_col).agg(F.max(F.struct(F.coalesce("exception", F.lit(False)).alias("exception"), "n", "labels")).alias("b")))
+    size = F.size("b.labels")
+    return best.select(host_col, F.array_join(F.slice("b.labels", size - F.col("b.n"), F.col("b.n") + 1), ".").alias("registered_domain"))
+
+
+def add_registered_domain(df: DataFrame, suffixes: DataFrame, url_col: str = "url", out_col: str = "tld") -> DataFrame:
+    """Add ``out_col`` = registered domain of the URL host by the rules in ``suffixes``; an
+    existing non-null ``out_col`` is kept.
 
     The suffix search runs once per distinct host, not per page.  The host
     map is derived from the data, so its size is measured at run time: AQE
@@ -90,7 +100,7 @@ def add_registered_domain(df: DataFrame, url_col: str = "url", out_col: str = "t
     """
     with_host = df.withColumn("__host", host_of(F.col(url_col)))
     hosts = with_host.select(F.col("__host").alias("host")).where(F.col("host").isNotNull()).distinct()
-    rd = registered_domains(hosts, "host", suffixes).withColumnRenamed("host", "__host")
+    rd = registered_domains(hosts, suffixes).withColumnRenamed("host", "__host")
     out = with_host.join(rd, "__host", "left").drop("__host")
     if out_col in df.columns:
         return out.withColumn(out_col, F.coalesce(F.col(out_col), F.col("registered_domain"))).drop("registered_domain")

@@ -32,7 +32,7 @@ def title_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def registered_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = T.load(spark, sf_dir, "pages").select("page_id", "url")
-    return add_registered_domain(pages).select("page_id", host_of(F.col("url")).alias("host"), "tld")
+    return add_registered_domain(pages, T.suffixes(spark)).select("page_id", host_of(F.col("url")).alias("host"), "tld")
 
 
 def _blocks(spark, sf_dir) -> DataFrame:
@@ -83,8 +83,8 @@ def nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def landmark_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = add_registered_domain(T.load(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return content.landmark_values(pages, T.landmark_rules(spark), "page_id", "tld", "html")
+    pages = T.load(spark, sf_dir, "pages")
+    return content.landmark_values(pages, T.landmark_rules(spark), "page_id", T.suffixes(spark)).drop("rule_ix")
 
 
 # --- documents: tokens and mentions (D1-D3, X1-X10) ---------------------------

@@ -74,6 +74,12 @@ LANDMARK_RULES = [
 ]
 
 
+def suffixes(spark) -> DataFrame:
+    from fieldloom import config
+    from fieldloom.operators.plumbing import suffix_rules
+    return suffix_rules(spark, config.DEFAULT_PUBLIC_SUFFIXES)
+
+
 def word_vocab(spark) -> DataFrame:
     return vocabulary(spark, WORD_VOCAB)
 
