@@ -73,6 +73,28 @@ BLANKED_COLUMNS = ["crawl_data", "extracted_metadata"]
 # Field names that the search index spells with a hyphen.
 INDEX_FIELD_RENAMES = {"eye_color": "eye-color", "hair_color": "hair-color"}
 
+# Search-index fields: the tiers and the members a value has there, and members whose
+# type is not string.
+INDEX_FIELDS = {
+    "age": (("strict", "relaxed"), ("key", "name")),
+    "city": (("strict", "relaxed"), ("key", "name")),
+    "country": (("strict", "relaxed"), ("key", "name")),
+    "description": (("strict", "relaxed"), ("name",)),
+    "email": (("strict", "relaxed"), ("key", "name")),
+    "ethnicity": (("strict", "relaxed"), ("key", "name")),
+    "eye-color": (("strict", "relaxed"), ("key", "name")),
+    "hair-color": (("strict", "relaxed"), ("key", "name")),
+    "height": (("strict", "relaxed"), ("key", "name", "search")),
+    "name": (("strict", "relaxed"), ("key", "name")),
+    "phone": (("strict", "relaxed"), ("key", "name")),
+    "posting-date": (("strict", "relaxed"), ("key", "name")),
+    "price": (("strict", "relaxed"), ("key", "name")),
+    "state": (("strict", "relaxed"), ("key", "name")),
+    "title": (("strict",), ("name",)),
+    "weight": (("strict", "relaxed"), ("key", "name", "search")),
+}
+INDEX_TYPES = {"age": "long", "posting-date": "date"}
+
 # Hybrid-Jaccard matching threshold (stored as a string in the source config).
 HYBRID_JACCARD_THRESHOLD = "0.90"
 

@@ -156,6 +156,14 @@ EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_PATTERN = r"(?:\+?1[ .-]?)?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}"
 AGE_PATTERN = r"(?i)\b(?:age|aged)[ :]+[1-9][0-9]\b|\b[1-9][0-9] ?(?:yo|y/o|yrs|years old)\b"
 
+URL_PATTERN = r"(?i)\bhttps?://[^\s<>\"']+[^\s<>\"'.,;:!?)]"
+PRICE_PATTERN = r"[$€£] ?[0-9]{1,3}(?:,[0-9]{3})*(?:\.[0-9]{2})?|\b[0-9]+(?:\.[0-9]{2})? ?(?:USD|EUR|GBP)\b"
+REVIEW_ID_PATTERN = r"(?i)\breview(?: id| no\.?| #|#)[ :]*([A-Z0-9-]*[0-9][A-Z0-9-]*)"
+SOCIAL_ID_PATTERN = r"(?<![A-Za-z0-9._%+@-])@[A-Za-z0-9_]{2,30}\b(?!@)"
+ADDRESS_PATTERN = r"(?i)\b[0-9]{1,5} (?:[A-Za-z]+ ){1,3}(?:street|st|avenue|ave|road|rd|lane|ln|drive|dr|boulevard|blvd)\b"
+POSTING_DATE_PATTERN = (r"\b[0-9]{4}-[0-9]{2}-[0-9]{2}\b|\b[0-9]{2}/[0-9]{2}/[0-9]{4}\b|"
+                        r"\b(?:January|February|March|April|May|June|July|August|September|October|November|December) [0-9]{1,2}, [0-9]{4}\b")
+
 
 def phone_digits(value) -> "F.Column":
     """Canonical phone: digits only."""
@@ -268,28 +276,29 @@ def hook_mentions(df: DataFrame, key_cols, text_col: str, function, *, field: st
     row ``(*keys, extractor, error)``; every other text is untouched.  A null text is not
     passed on.  The function runs in Python over Arrow batches, once: its result is
     checkpointed for the two readers."""
-    import pandas as pd
-
     from fieldloom.session import cut_lineage
     extractor = extractor or f"{field}_hook"
-
-    @F.pandas_udf("struct<found: array<string>, error: string>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found, errors = [], []
-        for t in texts:
-            got, error = None, None
-            if t is not None:
-                try:
-                    got = function(t)
-                    got = [got] if isinstance(got, str) else None if got is None else [None if x is None else str(x) for x in got]
-                except Exception as e:  # noqa: BLE001 - isolated by design
-                    got, error = None, f"{type(e).__name__}: {e}"
-            found.append(got)
-            errors.append(error)
-        return pd.DataFrame({"found": found, "error": errors}, dtype=object)
-
     keys = [F.col(f"`{c}`") for c in key_cols]
-    done = cut_lineage(df.select(*keys, run(F.col(text_col)).alias("__r")))
+    rows = df.select(*keys, F.col(text_col).cast("string").alias("__text"))
+    ddl = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1]) + "__r struct<found: array<string>, error: string>"
+
+    def run(batches):
+        import pyarrow as pa
+        kind = pa.struct([("found", pa.list_(pa.string())), ("error", pa.string())])
+        for batch in batches:
+            results = []
+            for t in batch.column(batch.num_columns - 1).to_pylist():
+                got, error = None, None
+                if t is not None:
+                    try:
+                        got = function(t)
+                        got = [got] if isinstance(got, str) else None if got is None else [None if x is None else str(x) for x in got]
+                    except Exception as e:  # noqa: BLE001 - isolated by design
+                        got, error = None, f"{type(e).__name__}: {e}"
+                results.append({"found": got, "error": error})
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(results, kind)], names=[*batch.schema.names[:-1], "__r"])
+
+    done = cut_lineage(rows.mapInArrow(run, ddl))
     out = (done.select(*keys, F.posexplode("__r.found").alias("match_ix", "value")).where(F.col("value").isNotNull() & (F.col("value") != ""))
            .select(*keys, F.lit(field).alias("field"), F.lit(extractor).alias("extractor"), F.lit("text").alias("input_type"), "value",
                    F.col("value").alias("text"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("end"), "match_ix"))

@@ -81,8 +81,9 @@ def registered_domains(hosts: DataFrame, suffixes: DataFrame, host_col: str = "h
     hit = tails.join(rules, "tail", "left")
     # how many labels the rule makes the suffix have; the default rule gives every last label
     n = (F.when(F.col("kind") == "exception", F.col("n") - 1).when(F.col("kind") == "wildcard", F.col("n") + 1)
-         .when(F.col("kind") == "plain", F.col("n")).when(F.col("n") == 1, F.lit(1)))
-    best = (hit.select(host_col, "labels", (F.col("kind") == "exception").alias("exception"), n.alias("n"))
+         .when(F.col("kind") == "plain", F.col("n")))
+    sizes = F.array_compact(F.array(n, F.when(F.col("n") == 1, F.lit(1))))
+    best = (hit.select(host_col, "labels", (F.col("kind") == "exception").alias("exception"), F.explode(sizes).alias("n"))
             .where(F.col("n").between(1, F.size("labels") - 1))
             .groupBy(host_col).agg(F.max(F.struct(F.coalesce("exception", F.lit(False)).alias("exception"), "n", "labels")).alias("b")))
     size = F.size("b.labels")

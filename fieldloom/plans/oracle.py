@@ -759,7 +759,7 @@ nz AS (SELECT other, CAST('0x' || substr(h, 1 + 3 * j, 3) AS INT) % 32 AS d, 1 -
 x AS (SELECT token, d, sum(c * s) AS x FROM co JOIN nz ON co.other = nz.other GROUP BY ALL),
 n AS (SELECT token, sum(c) AS n FROM co GROUP BY token),
 f AS (SELECT n.token, n.n, dd.d, coalesce(x.x, 0) AS x FROM n CROSS JOIN (SELECT unnest(range(32)) AS d) dd LEFT JOIN x ON x.token = n.token AND x.d = dd.d)
-SELECT token, CAST(any_value(n) AS BIGINT) AS n, list(CAST(x AS BIGINT) ORDER BY d) AS vec FROM f GROUP BY token
+SELECT token, CAST(any_value(n) AS BIGINT) AS n, string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY d) AS vec FROM f GROUP BY token
 """
 
 ORACLE["joint_locations"] = """
@@ -783,3 +783,100 @@ s AS (SELECT m.doc_id, m.type, m.value, CAST(m.w AS DOUBLE) + coalesce(k.n, 0) A
 SELECT doc_id, type, value, round(score, 6) AS score FROM s
 QUALIFY row_number() OVER (PARTITION BY doc_id, type ORDER BY score DESC, value) = 1
 """
+
+
+# --- pipeline parts ---------------------------------------------------------------
+
+ORACLE["suffix_rule_domains"] = """
+WITH h AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([a-z0-9]+)', 1) ||
+             ['.ck', '.shop.ck', '.a.shop.ck', '.www.ck', '.b.co.uk', '.kobe.jp', '.x.kobe.jp', '.city.kobe.jp', '.y.net.example.org', '.unlisted'][page_id % 10 + 1] AS host
+           FROM pages),
+r AS (SELECT * FROM (VALUES ('com', 0, FALSE), ('net', 0, FALSE), ('org', 0, FALSE), ('ck', 0, FALSE), ('ck', 1, FALSE), ('www.ck', -1, TRUE), ('uk', 0, FALSE),
+        ('co.uk', 0, FALSE), ('jp', 0, FALSE), ('kobe.jp', 1, FALSE), ('city.kobe.jp', -1, TRUE), ('net.example.org', 0, FALSE)) v(tail, more, exc)),
+l AS (SELECT page_id, host, string_split(host, '.') AS lb FROM h),
+c AS (SELECT page_id, host, lb, array_to_string(lb[k:], '.') AS tail, len(lb) - k + 1 AS n FROM (SELECT *, unnest(generate_series(1, len(lb))) AS k FROM l)),
+m AS (SELECT c.page_id, c.host, c.lb, c.n + r.more AS n, r.exc FROM c JOIN r ON c.tail = r.tail
+      UNION ALL SELECT page_id, host, lb, 1, FALSE FROM c WHERE n = 1),
+b AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY exc DESC, n DESC) AS rn FROM m WHERE n BETWEEN 1 AND len(lb) - 1)
+SELECT h.page_id, h.host, array_to_string(b.lb[len(b.lb) - b.n:], '.') AS tld FROM h LEFT JOIN b ON h.page_id = b.page_id AND rn = 1
+"""
+
+ORACLE["url_words"] = r"""
+WITH t AS (SELECT page_id, regexp_extract_all(trim(regexp_replace(regexp_replace(regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '[?#].*$', ''),
+             '[^\p{L}\p{N}]+', ' ', 'g')), '[\p{L}\p{N}_]+') AS toks FROM pages),
+g AS (SELECT page_id, toks, i, unnest(range(1, least(2, len(toks) - i + 1) + 1)) AS k FROM (SELECT *, unnest(range(1, len(toks) + 1)) AS i FROM t))
+SELECT page_id, CAST(i - 1 AS INTEGER) AS start, CAST(i - 1 + k AS INTEGER) AS "end", lower(array_to_string(toks[i:i + k - 1], ' ')) AS value FROM g
+WHERE lower(array_to_string(toks[i:i + k - 1], ' ')) IN ('example com', 'example net', 'www', 'fr', 'es', 'org es')
+"""
+
+ORACLE["landmark_site_fields"] = f"""
+WITH {REGISTERED_DOMAIN_CTE},
+r AS (SELECT * FROM (VALUES ('example.com', 'name', 'inferlink_name', 0, '<h1>', '</h1>', 0), ('example.com', 'price', 'inferlink_price', 1, '<!-- ad ', ' -->', 18),
+        ('example.com', 'price', 'inferlink_price-1', 2, '<div class="ad">', '</div>', 19), ('example.net', 'name', 'inferlink_name', 0, '<h1>', '</h1>', 0))
+      v(site, field, source, ix, b, e, o)),
+j AS (SELECT p.page_id, p.html, r.* FROM pages p JOIN rd ON p.page_id = rd.page_id JOIN r ON rd.tld = r.site),
+k AS (SELECT *, strpos(html, b) AS bpos, strpos(html, b) + length(b) AS vs FROM j),
+m AS (SELECT *, strpos(substr(html, vs), e) AS erel FROM k WHERE bpos > 0)
+SELECT page_id, field, source, 'strict' AS tier, CAST(o AS BIGINT) * 4294967296 + ix AS pos, trim(substr(html, vs, erel - 1)) AS value
+FROM m WHERE erel > 0 AND trim(substr(html, vs, erel - 1)) <> ''
+"""
+
+ORACLE["cell_candidates"] = r"""
+WITH c AS (
+  SELECT o_orderkey AS page_id, 0 AS r, 0 AS c, 'Key' AS text FROM orders UNION ALL SELECT o_orderkey, 0, 1, 'Customer' FROM orders
+  UNION ALL SELECT o_orderkey, 0, 2, 'Status & Priority' FROM orders UNION ALL SELECT o_orderkey, 1, 0, CAST(o_orderkey AS VARCHAR) FROM orders
+  UNION ALL SELECT o_orderkey, 1, 1, CAST(o_custkey AS VARCHAR) FROM orders UNION ALL SELECT o_orderkey, 1, 2, o_orderstatus || ' & ' || o_orderpriority FROM orders
+  UNION ALL SELECT o_orderkey, 2, 0, strftime(o_orderdate, '%Y-%m-%d') FROM orders UNION ALL SELECT o_orderkey, 2, 1, 'date' FROM orders),
+t AS (SELECT *, regexp_extract_all(text, '(\n|[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\x0B\f\r])', 1) AS toks FROM c),
+g AS (SELECT *, unnest(range(1, least(2, len(toks) - i + 1) + 1)) AS k FROM (SELECT *, unnest(range(1, len(toks) + 1)) AS i FROM t)),
+v AS (SELECT * FROM (VALUES ('priority', 'urgent', 0.9, 2), ('priority', 'high', 0.8, 2), ('priority', 'low', 0.7, 2), ('priority', 'not specified', 0.6, 2),
+        ('priority', 'medium', 0.1, 2), ('label', 'key', 0.5, 1), ('label', 'date', 0.4, 1), ('label', 'not specified', 0.3, 1)) v(field, entry, w, n)),
+d AS (SELECT page_id, v.field, 9 AS pass_no, -CAST(w AS DOUBLE) AS rank, r, c, i - 1 AS start, array_to_string(toks[i:i + k - 1], ' ') AS value,
+             v.field || '_dictionary' AS extractor, 'tokens' AS input_type
+      FROM g JOIN v ON lower(array_to_string(toks[i:i + k - 1], ' ')) = v.entry AND k <= v.n WHERE w > 0.2),
+x AS (SELECT page_id, 'posting-date', 10, 0.0, r, c, 0, text, 'posting-date_regex', 'text' FROM c WHERE r = 2 AND c = 0)
+SELECT page_id AS doc_id, field, 'relaxed' AS tier, CAST(pass_no AS INTEGER) AS pass_no, rank, (CAST(r AS BIGINT) * 1024 + c) * 16777216 + start AS pos, value,
+       extractor, input_type, 'html' AS source, 'table' AS segment, '0/' || r || '/' || c AS cell
+FROM (SELECT * FROM d UNION ALL SELECT * FROM x)
+"""
+
+ORACLE["height_weight_candidates"] = """
+WITH p AS (SELECT p_partkey AS doc_id, p_size AS s FROM part),
+h AS (SELECT doc_id, s, [s + 110] || CASE WHEN s * 5 BETWEEN 100 AND 299 THEN [s * 5] ELSE [] END AS cm FROM p),
+hh AS (SELECT doc_id, cm, list_filter(cm, lambda x: x BETWEEN 121 AND 214)[1] AS num FROM h),
+kg AS (SELECT doc_id, s, (CASE WHEN s * 6 + 10 BETWEEN 10 AND 999 THEN [CAST(round((s * 6 + 10) / CAST(2.20462 AS DOUBLE)) AS INTEGER)] ELSE [] END) || [s + 30] AS kgs FROM p),
+wk AS (SELECT doc_id, s, kgs, list_filter(kgs, lambda x: x BETWEEN 40 AND 150)[1] AS num FROM kg),
+c AS (SELECT doc_id, 'height' AS field, 'strict' AS tier, 0 AS pos, 0 AS ix, CAST(num AS DOUBLE) AS num, CASE WHEN num IS NULL THEN array_to_string(cm, ',') END AS raw FROM hh
+      UNION ALL SELECT doc_id, 'weight', 'strict', 0, 0, CAST(num AS DOUBLE), CASE WHEN num IS NULL THEN array_to_string(kgs, ',') END FROM wk
+      UNION ALL SELECT doc_id, 'weight', 'relaxed', 1, 0, CASE WHEN s + 35 BETWEEN 40 AND 150 THEN CAST(s + 35 AS DOUBLE) END, CASE WHEN s + 35 < 40 THEN (s + 35) || 'kg' END FROM p
+      UNION ALL SELECT doc_id, 'weight', 'relaxed', 1, 1, NULL, 'heavy' FROM p
+      UNION ALL SELECT doc_id, 'weight', 'relaxed', 1, 2, CASE WHEN s + 30 BETWEEN 40 AND 150 THEN CAST(s + 30 AS DOUBLE) END, CASE WHEN s + 30 < 40 THEN (s + 30) || ' kilos' END FROM p)
+SELECT doc_id, field, tier, CAST(pos AS BIGINT) AS pos, ix, num, raw FROM c
+"""
+
+ORACLE["index_documents"] = f"""
+WITH {EVENT_CANDIDATES}, {ROUTED}, {NORMALIZED},
+t AS (SELECT *, CASE WHEN field = 'title' AND tier = 'relaxed' THEN 'place'
+                     WHEN field = 'age' AND NOT regexp_matches(name, '^[0-9]+$') THEN 'type' END AS odd FROM fields)
+SELECT doc_id,
+       coalesce(string_agg(name, '|' ORDER BY pass_no, rank, pos) FILTER (WHERE field = 'age' AND tier = 'strict' AND odd IS NULL), '') AS ages_strict,
+       CAST(coalesce(sum(TRY_CAST(name AS BIGINT)) FILTER (WHERE field = 'age' AND tier = 'relaxed' AND odd IS NULL), 0) AS BIGINT) AS age_sum_relaxed,
+       coalesce(string_agg(name, '|' ORDER BY pass_no, rank, pos) FILTER (WHERE field = 'name' AND tier = 'strict'), '') AS names_strict,
+       coalesce(string_agg(name, '|' ORDER BY pass_no, rank, pos) FILTER (WHERE field = 'title' AND tier = 'strict'), '') AS titles,
+       CAST(count(*) FILTER (WHERE field = 'weight' AND tier = 'relaxed') AS INTEGER) AS n_weights,
+       count(*) FILTER (WHERE odd = 'type') AS n_wrong_type, count(*) FILTER (WHERE odd = 'place') AS n_no_place
+FROM t GROUP BY doc_id
+"""
+
+ORACLE["entity_rows"] = """
+SELECT c_custkey, 'price' AS field, '$' || (c_custkey % 900) || '.50' AS value FROM customer
+UNION ALL SELECT c_custkey, 'price', c_custkey || ' EUR' FROM customer
+UNION ALL SELECT c_custkey, 'url', 'https://a.example.com/x?id=' || c_custkey FROM customer
+UNION ALL SELECT c_custkey, 'review-id', 'R-' || c_custkey FROM customer
+UNION ALL SELECT c_custkey, 'social-id', '@user_' || c_custkey FROM customer
+UNION ALL SELECT c_custkey, 'address', c_custkey || ' Old Mill Road' FROM customer
+UNION ALL SELECT c_custkey, 'posting-date', '2017-03-1' || (c_custkey % 10) FROM customer
+UNION ALL SELECT c_custkey, 'gender', ['female', 'male', 'woman'][c_custkey % 3 + 1] FROM customer
+UNION ALL SELECT c_custkey, 'nationality', ['new zealand', 'france'][c_custkey % 2 + 1] FROM customer
+UNION ALL SELECT c_custkey, 'service', unnest(['deep tissue massage', 'massage']) FROM customer
+"""

@@ -608,7 +608,7 @@ def score_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 def random_index_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fieldloom.operators import scoring
     lower = _doc_tokens(spark, sf_dir).select(F.transform("tokens", F.lower).alias("tokens"))
-    return scoring.random_index(lower)
+    return scoring.random_index(lower).withColumn("vec", F.array_join("vec", ","))
 
 
 def place_mentions(spark, sf_dir) -> DataFrame:
@@ -646,6 +646,124 @@ def joint_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.select("doc_id", "type", "value", F.round("score", 6).alias("score"))
 
 
+# --- pipeline parts: suffix rules, URL words, landmark fields, cells, lists, the index ------------
+
+SUFFIX_RULES = ["com", "net", "org", "ck", "*.ck", "!www.ck", "uk", "co.uk", "jp", "*.kobe.jp", "!city.kobe.jp", "net.example.org"]
+
+
+@query
+def suffix_rule_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3 with wildcard and exception rules: hosts of the pages under other suffixes."""
+    from fieldloom.operators.plumbing import suffix_rules
+    label = F.regexp_extract("url", "^[a-z]+://([a-z0-9]+)", 1)
+    ends = [".ck", ".shop.ck", ".a.shop.ck", ".www.ck", ".b.co.uk", ".kobe.jp", ".x.kobe.jp", ".city.kobe.jp", ".y.net.example.org", ".unlisted"]
+    end = F.element_at(F.array(*map(F.lit, ends)), (F.col("page_id") % len(ends) + 1).cast("int"))
+    pages = T.load(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("http://"), label, end, F.lit("/p")).alias("url"))
+    out = add_registered_domain(pages, suffix_rules(spark, SUFFIX_RULES))
+    return out.select("page_id", host_of(F.col("url")).alias("host"), "tld")
+
+
+@query
+def url_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dictionary mentions in the words of a URL's host and path."""
+    pages = T.load(spark, sf_dir, "pages").select("page_id", content.url_text("url").alias("text"))
+    toks = pages.select("page_id", tokens.tokenize("text").alias("tokens"))
+    vocab = spark.createDataFrame([("example com",), ("example net",), ("www",), ("fr",), ("es",), ("org es",)], "entry string")
+    m = mentions.dictionary_mentions(toks, ["page_id"], "tokens", vocab, field="place", n=2)
+    return m.select("page_id", "start", "end", "value")
+
+
+SITE_RULES = [("example.com", "inferlink_name", "<h1>", "</h1>"), ("example.com", "inferlink_price-1", '<div class="ad">', "</div>"),
+              ("example.com", "inferlink_price", "<!-- ad ", " -->"), ("example.net", "inferlink_name", "<h1>", "</h1>"),
+              ("example.net", "no_such_source", "<h1>", "</h1>"), ("com", "inferlink_name", "<h1>", "</h1>")]
+
+
+@query
+def landmark_site_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C5 -> X13: what landmark rules find, as values of semantic fields."""
+    from fieldloom.plans import pipeline
+    rules = spark.createDataFrame(SITE_RULES, "site string, field string, begin string, end string")
+    c = pipeline.landmark_candidates(T.load(spark, sf_dir, "pages"), rules, T.suffixes(spark))
+    return c.select(F.col("doc_id").alias("page_id"), "field", "source", "tier", "pos", "value")
+
+
+@query
+def cell_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates from table cells, by two vocabularies in one pass and by a pattern, with their provenance."""
+    from fieldloom.plans import pipeline
+    pages = order_tables_html(T.load(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("page_id"), F.lit("http://x.example.com/").alias("url"), "html")
+    words = spark.createDataFrame([("urgent", 0.9), ("high", 0.8), ("low", 0.7), ("not specified", 0.6), ("medium", 0.1)], "entry string, weight double")
+    labels = spark.createDataFrame([("key", 0.5), ("date", 0.4), ("not specified", 0.3)], "entry string, weight double")
+    no_segments = spark.createDataFrame([], "page_id long, segment string, source string, text string")
+    ex = pipeline.extract(pages, mentions.vocabularies({"priority": (words, 2), "label": (labels, 1)}), n=2, segments=no_segments, cells=True,
+                          regexes={"posting-date": pipeline.REGEX_EXTRACTORS["posting-date"]})
+    c = pipeline.candidates(ex)
+    return c.select("doc_id", "field", "tier", "pass_no", "rank", "pos", "value", "extractor", "input_type", "source", "segment", "cell")
+
+
+@query
+def height_weight_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11/X12 records and list-valued site strings in one run of consolidation."""
+    from fieldloom.operators import consolidate as G
+    size = F.col("p_size")
+    text = F.concat((size + 110).cast("string"), F.lit(" cm, or "), (size * 5).cast("string"), F.lit(" CM; "), (size * 6 + 10).cast("string"),
+                    F.lit(" lbs and "), (size + 30).cast("string"), F.lit(" kg"))
+    parts = T.load(spark, sf_dir, "part").select(F.col("p_partkey").alias("doc_id"), "p_size", text.alias("text"))
+    measures = mentions.split_height_weight(parts.select("doc_id", mentions.height_weight("text").alias("hw")), ["doc_id"])
+    lists = F.coalesce(F.col("centimeter").cast("array<string>"), F.col("kilogram").cast("array<string>"))
+    first = measures.select("doc_id", "field", F.lit(0).cast("bigint").alias("pos"), F.array_join(lists, ",").alias("value"),
+                            F.lit(None).cast("array<string>").alias("values"), "centimeter", F.col("kilogram").cast("array<double>").alias("kilogram"))
+    site = parts.select("doc_id", F.lit("weight").alias("field"), F.lit(1).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("value"),
+                        F.array(F.concat((size + 35).cast("string"), F.lit("kg")), F.lit(None).cast("string"), F.lit("heavy"),
+                                F.concat((size + 30).cast("string"), F.lit(" kilos"))).alias("values"),
+                        F.lit(None).cast("array<int>").alias("centimeter"), F.lit(None).cast("array<double>").alias("kilogram"))
+    cands = first.unionByName(site).withColumn("tier", F.lit("strict")).withColumn("pass_no", F.lit(2)).withColumn("rank", F.lit(0.0))
+    out = G.consolidate(cands)
+    return out.select("doc_id", "field", "tier", "pos", "ix", F.round("num", 6).alias("num"), F.when(F.col("num").isNull(), F.col("name")).alias("raw"))
+
+
+@query
+def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed index documents, one row per document, with the values that the index has no place for."""
+    from fieldloom.operators import consolidate as G
+    from fieldloom.sources import pages as P
+    from fieldloom.session import cut_lineage
+    fields = cut_lineage(G.consolidate(event_candidates(spark, sf_dir)))
+    good, bad = P.index_rows(fields)
+    docs = P.index_rows_to_documents(good, fields.select("doc_id").distinct())
+    odd = bad.groupBy("doc_id").agg(F.count(F.when(F.col("reason") == "wrong type", 1)).alias("n_wrong_type"),
+                                    F.count(F.when(F.col("reason") == "not in the index", 1)).alias("n_no_place"))
+    f = lambda path, m: F.array_join(F.transform(f"fields.{path}", lambda v: v[m].cast("string")), "|")
+    return docs.join(odd, "doc_id", "left").select(
+        "doc_id", f("age.strict", "name").alias("ages_strict"), F.aggregate("fields.age.relaxed", F.lit(0).cast("bigint"), lambda a, v: a + v["name"]).alias("age_sum_relaxed"),
+        f("name.strict", "name").alias("names_strict"), f("title.strict", "name").alias("titles"), F.size("fields.weight.relaxed").alias("n_weights"),
+        F.coalesce("n_wrong_type", F.lit(0)).alias("n_wrong_type"), F.coalesce("n_no_place", F.lit(0)).alias("n_no_place"))
+
+
+@query
+def entity_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price, URL, review, account, address and date patterns, and gender, nationality and service
+    vocabularies in one pass, over texts built from customers."""
+    from fieldloom.plans import pipeline
+    k = F.col("c_custkey")
+    text = F.concat(F.lit("Price $"), (k % 900).cast("string"), F.lit(".50 or "), k.cast("string"), F.lit(" EUR, see https://a.example.com/x?id="), k.cast("string"),
+                    F.lit(". Review #R-"), k.cast("string"), F.lit(" by @user_"), k.cast("string"), F.lit(" at "), k.cast("string"),
+                    F.lit(" Old Mill Road on 2017-03-1"), (k % 10).cast("string"), F.lit(", mail me@x.example.com. "),
+                    F.element_at(F.array(*map(F.lit, ("Female", "male", "A  woman"))), (k % 3 + 1).cast("int")), F.lit(" from "),
+                    F.element_at(F.array(*map(F.lit, ("New Zealand", "France"))), (k % 2 + 1).cast("int")), F.lit(" offers deep tissue massage"))
+    rows = T.load(spark, sf_dir, "customer").select("c_custkey", text.alias("text"))
+    out = None
+    for name in ("price", "url", "review-id", "social-id", "address", "posting-date"):
+        pattern, group = pipeline.REGEX_EXTRACTORS[name]
+        m = mentions.regex_mentions(rows, ["c_custkey"], "text", pattern, field=name, group=group).select("c_custkey", "field", "value")
+        out = m if out is None else out.unionByName(m)
+    table = lambda words: spark.createDataFrame([(w,) for w in words], "entry string")
+    vocab = mentions.vocabularies({"gender": (table(["female", "male", "woman", "man"]), 1), "nationality": (table(["france", "new zealand"]), 2),
+                                   "service": (table(["deep tissue massage", "massage"]), 3)})
+    toks = rows.select("c_custkey", tokens.tokenize("text").alias("tokens"))
+    return out.unionByName(mentions.dictionary_mentions(toks, ["c_custkey"], "tokens", vocab, field="", n=3).select("c_custkey", "field", "value"))
+
+
 # --- flagship: full pipeline (C1-C6, D1, X1, X7, G1-G13, A7) ---------------------
 
 @query
