@@ -31,7 +31,8 @@ partner, candidate or group is capped.
 
 Edge cases: null text and text without words have an empty set and link with
 nothing; fewer than k words are one shingle; rows that repeat a doc_id are one
-vertex; a null doc_id links with nothing and its component is null; an empty
+vertex, which has the links of all its texts (a row without words keeps its own id as
+its component); a null doc_id links with nothing and its component is null; an empty
 table gives an empty result; other columns of the input are ignored.
 """
 
@@ -59,6 +60,12 @@ def _need(n, percent):
     return (percent * n + 99) // 100
 
 
+def _digest(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    """128 bits of a shingle set."""
+    m = mix64(s)
+    return m.sum(dtype=np.uint64), mix64(m + np.uint64(77)).sum(dtype=np.uint64)
+
+
 def _scan(k: int, buckets: int):
     shift = np.uint64(64 - buckets.bit_length() + 1)
 
@@ -71,8 +78,7 @@ def _scan(k: int, buckets: int):
                 for j, s in enumerate(shingle_sets(split_words(data, bounds), k)):
                     if len(s):
                         np.add.at(counts, (s >> shift).astype(np.int64), 1)
-                        m = mix64(s)
-                        rows.append((i + j, len(s), m.sum(dtype=np.uint64), mix64(m + np.uint64(77)).sum(dtype=np.uint64), s[0]))
+                        rows.append((i + j, len(s), *_digest(s), s[0]))
                     else:
                         rows.append((i + j, 0, 0, 0, 0))
             ix, n, d1, d2, g = (list(x) for x in zip(*rows, strict=True)) if rows else ([],) * 5
@@ -239,11 +245,15 @@ def _group_rows(k: int, percent: int):
     def run(batches):
         low = np.uint64((1 << 8 * WIDTH) - 1)
         for t in runs(batches, "gid"):
-            sets = []
-            for i, data, bounds in text_pieces(t.column("text")):
-                sets += [np.unique(s & low) for s in shingle_sets(split_words(data, bounds), k)]
-            ids, first = np.unique(t.column("doc_id").to_numpy(), return_index=True)
-            sets = [sets[i] for i in first]
+            ids, full = t.column("doc_id").to_numpy(), []
+            for _, data, bounds in text_pieces(t.column("text")):
+                full += shingle_sets(split_words(data, bounds), k)
+            at = np.arange(len(ids))
+            if len(np.unique(ids)) < len(ids):  # an id came with several texts: the class's own text stays, once
+                d1, d2 = (t.column(c).to_numpy().view(np.uint64) for c in ("d1", "d2"))
+                own = [i for i in at if len(full[i]) and _digest(full[i]) == (d1[i], d2[i])]
+                at = np.array(sorted({(ids[i], d1[i], d2[i]): i for i in reversed(own)}.values()), dtype=np.int64)
+            ids, sets = ids[at], [np.unique(full[i] & low) for i in at]
             union = np.unique(np.concatenate(sets))
             bits = b"".join(np.packbits(np.isin(union, s, assume_unique=True)).tobytes() for s in sets)
             ids, tokens = ids.astype(np.int64).tobytes(), _narrow(union)
@@ -384,10 +394,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     both = ends.union(ends.select("y", "x"))
     needed = (both.select(F.col("x").alias("gid"), F.lit(True).alias("meets")).union(pairs.where("gid = gid2").select("gid", F.lit(False)))
               .groupBy("gid").agg(F.max("meets").alias("meets")))
-    members = stored(classes.join(groups, "grp").select("rep", F.expr("xxhash64(grp, pmod(xxhash64(rep), chunks))").alias("gid"))
+    members = stored(classes.join(groups, "grp").select("rep", "d1", "d2", F.expr("xxhash64(grp, pmod(xxhash64(rep), chunks))").alias("gid"))
                      .join(needed, "gid"), "members")
     # the members grow with the corpus, so they are not broadcast at any size
-    opened = (docs.join(members.hint("merge"), F.col("doc_id") == F.col("rep")).select("gid", "doc_id", "text", "meets")
+    opened = (docs.join(members.hint("merge"), F.col("doc_id") == F.col("rep")).select("gid", "doc_id", "text", "meets", "d1", "d2")
               .repartition("gid").sortWithinPartitions("gid"))
     matrix = stored(opened.mapInArrow(_group_rows(k, percent), GROUP_DDL), "matrix")
 
@@ -395,7 +405,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nearest = both.groupBy("x").agg(F.min("y").alias("y")).select(F.least("x", "y").alias("gid"), F.greatest("x", "y").alias("gid2"))
     first = stored(nearest.distinct(), "first-pairs")
     inner = matrix.where("length(a) > 0").select("a", "b").mapInArrow(_inner_links, "a long, b long")
-    found = stored(inner.union(_edges(first, matrix, percent)), "links")
+    # an id with several texts is one vertex: it links the classes of all its texts
+    several = (usable.groupBy("doc_id").agg(F.min("d1").alias("low"), F.max("d1").alias("high"), F.min("d2").alias("low2"), F.max("d2").alias("high2"))
+               .where("low <> high or low2 <> high2").select("doc_id"))
+    same_id = (usable.join(several, "doc_id", "left_semi").join(classes, ["d1", "d2", "n"])
+               .select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    found = stored(inner.union(_edges(first, matrix, percent)).union(same_id), "links")
     comp = stored(components(found), "parts")
     whole = (members.join(comp, F.col("rep") == F.col("vertex"), "left").groupBy("gid")
              .agg(F.min(F.coalesce("component", "rep")).alias("part"), F.max(F.coalesce("component", "rep")).alias("high"))

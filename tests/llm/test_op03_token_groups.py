@@ -63,6 +63,21 @@ def test_large_groups_are_cut_and_still_meet(spark, monkeypatch):
     assert run(spark, rows) == brute(rows)
 
 
+def test_an_id_with_several_texts_is_one_vertex(spark, monkeypatch):
+    rng = random.Random(12)
+    def near(t):
+        w = t.split()
+        w[len(w) // 2] = "changed"
+        return " ".join(w)
+    a, b, c, d = (words(rng, 60, 9000) for _ in range(4))
+    rows = [(1, near(a)), (5, a), (5, b), (7, near(b)), (8, c), (9, c), (9, d), (9, d), (11, near(d)), (12, words(rng, 30, 9000)), (12, words(rng, 30, 9000))]
+    want = brute(rows)
+    assert {i: comp for i, _, comp in want} == {1: 1, 5: 1, 7: 1, 8: 8, 9: 8, 11: 8, 12: 12}
+    for seed in range(3):  # whatever comes first
+        rng.shuffle(rows)
+        assert run(spark, rows) == brute(rows) == want
+
+
 @pytest.mark.parametrize("rows", [[], [(5, None)], [(5, "a b c d e f")]])
 def test_tiny(spark, rows):
     assert run(spark, rows) == brute(rows)
