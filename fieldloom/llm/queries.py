@@ -48,17 +48,23 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans(_table(spark, sf_dir, "documents"))
+    """The ranges that are removed, each with what is left of its text."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    spans = stored(repeated_spans(docs), "spans")
+    touched = spans.select("doc_id", "text_hash").distinct()
+    left = (remove_spans(docs.join(touched, ["doc_id", "text_hash"], "left_semi"), spans)
+            .select("doc_id", "text_hash", F.length("text").cast("long").alias("chars_left"), F.sha2("text", 256).alias("text_sha256")).distinct())
+    return spans.join(left, ["doc_id", "text_hash"], "left").drop("text_hash")
 
 
 def op5_sentence_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    spans = stored(repeated_spans(docs, open_ends=True), "spans")
-    ranges = (spans.groupBy(F.col("doc_id").alias("__id"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    spans = stored(repeated_spans(docs, open_ends=True, min_words=25, min_stretch=0), "spans")
+    ranges = (spans.groupBy("doc_id", "text_hash")
               .agg(F.array_sort(F.collect_list(F.struct("first_sentence", "last_sentence", "start", "stop", "kept_in"))).alias("ranges")))
-    left = (remove_spans(docs.select("doc_id", "text"), spans)
-            .select("doc_id", F.length("text").cast("long").alias("chars_left"), F.sha2("text", 256).alias("text_sha256")))
-    return left.join(ranges, F.col("doc_id") == F.col("__id"), "left").select("doc_id", "ranges", "chars_left", "text_sha256")
+    left = (remove_spans(docs, spans)
+            .select("doc_id", "text_hash", F.length("text").cast("long").alias("chars_left"), F.sha2("text", 256).alias("text_sha256")))
+    return left.join(ranges, ["doc_id", "text_hash"], "left").select("doc_id", "ranges", "chars_left", "text_sha256")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

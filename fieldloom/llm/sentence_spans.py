@@ -4,9 +4,13 @@ From every sentence on, the shortest run of at least ``k`` consecutive sentences
 that has ``min_words`` words is hashed (128 bits, A-Z as a-z, words separated by any
 white space).  Runs of
 all texts meet by hash.  The occurrence in the smallest doc_id, and there the
-first, stays; the sentences of every other occurrence are removed.
+first, stays; the sentences of every other occurrence are covered.  Covered sentences
+that touch make one range, and a range of ``min_stretch`` words or more is removed: short
+runs find a passage wherever it begins, the length of what they cover together tells
+it from a repeated line.
 
-With ``open_ends`` a run may begin or end inside a sentence: every sentence is
+With ``open_ends`` (where ``k`` has no part: one sentence of ``min_words`` words is a run)
+a run may begin or end inside a sentence: every sentence is
 hashed with what follows it, and again with what stands before it, up to
 ``min_words`` words (a longer sentence alone), and the whole sentences within are
 its range.  A repeated passage of 2 * ``min_words`` words holds one of the two for
@@ -20,8 +24,8 @@ split a hash that a third of all documents share.
 
 Edge cases: null or empty texts have no sentences; a text of fewer than ``k``
 sentences has no runs; rows that repeat a doc_id count as the same document,
-none of them a later copy of the other; a null doc_id is left alone; other
-columns pass through.
+none of them a later copy of the other, and ranges are cut from the text they were
+found in alone; a null doc_id is left alone; other columns pass through.
 """
 
 from __future__ import annotations
@@ -35,9 +39,12 @@ from pyspark.sql.window import Window
 from fieldloom.llm.common import (_power_table, batch, char_offsets, mix64, on_executors, sentence_starts, signed, split_words, stored,
                                   text_pieces)
 
+MIN_WORDS, MIN_STRETCH = 8, 25
+
 RUN = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("ix", pa.int32()), ("last", pa.int32()),
-                 ("start", pa.int32()), ("stop", pa.int32()), ("again", pa.bool_())])
-RUN_DDL = "h1 long, h2 long, doc_id long, ix int, last int, start int, stop int, again boolean"
+                 ("start", pa.int32()), ("stop", pa.int32()), ("words", pa.int32()), ("upto", pa.int32()),
+                 ("again", pa.bool_()), ("text_hash", pa.int64())])
+RUN_DDL = "h1 long, h2 long, doc_id long, ix int, last int, start int, stop int, words int, upto int, again boolean, text_hash long"
 
 
 def _runs(k: int, min_words: int, open_ends: bool = False):
@@ -46,6 +53,7 @@ def _runs(k: int, min_words: int, open_ends: bool = False):
             ids = b.column(0)
             valid = ids.is_valid().to_numpy(zero_copy_only=False)
             ids = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            texts = b.column(2).to_numpy(zero_copy_only=False)
             for i, data, bounds in text_pieces(b.column(1)):
                 w = split_words(data, bounds)
                 first = sentence_starts(w)
@@ -85,17 +93,19 @@ def _runs(k: int, min_words: int, open_ends: bool = False):
                 begin = np.searchsorted(first, w.first[d])  # the text's first sentence
                 yield batch(RUN, signed(h[0]), signed(h[1]), ids[i + d], (at - begin).astype(np.int32),
                             (last - begin).astype(np.int32), (chars[w.start[first[at]]] - base).astype(np.int32),
-                            (chars[w.end[stop[last] - 1]] - base).astype(np.int32), same)
+                            (chars[w.end[stop[last] - 1]] - base).astype(np.int32), (first[at] - w.first[d]).astype(np.int32),
+                            (stop[last] - w.first[d]).astype(np.int32), same, texts[i + d])
     return run
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, min_words: int = 25,
-                   open_ends: bool = False) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 2, min_words: int = MIN_WORDS,
+                   open_ends: bool = False, min_stretch: int = MIN_STRETCH) -> DataFrame:
     """One row per maximal range of sentences to remove: ``doc_id``, its first and
-    last sentence (from 0), its character range ``[start, stop)`` and the smallest
-    ``kept_in`` document of the spans that cover it."""
+    last sentence (from 0), its character range ``[start, stop)``, the smallest
+    ``kept_in`` document of the spans that cover it, and ``text_hash``, which tells
+    the texts of rows with one doc_id apart.  A range of fewer than ``min_stretch`` words stays."""
     on_executors(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
     spans = rows.mapInArrow(_runs(k, min_words, open_ends), RUN_DDL)
     key = ["h1", "h2"]
     seen = (spans.groupBy(*key).agg(F.min("doc_id").alias("kept_in"), F.max("doc_id").alias("top"),
@@ -103,24 +113,32 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .where("top > kept_in or twice = 1").select(*key, "kept_in"))
     seen = stored(seen, "repeated")
     later = (spans.join(seen, key).where("doc_id > kept_in or again")
-             .select("doc_id", "ix", "last", "start", "stop", "kept_in"))
-    # islands of covered sentences per document
-    order = Window.partitionBy("doc_id").orderBy("ix", "kept_in")
+             .select("doc_id", "text_hash", "ix", "last", "start", "stop", "words", "upto", "kept_in"))
+    # islands of covered sentences per text
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("ix", "kept_in")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)) + 1
     island = F.sum((F.coalesce(reach, F.lit(-1)) < F.col("ix")).cast("int")).over(order)
-    return (later.withColumn("island", island).groupBy("doc_id", "island")
+    return (later.withColumn("island", island).groupBy("doc_id", "text_hash", "island")
             .agg(F.min("ix").alias("first_sentence"), F.max("last").alias("last_sentence"),
-                 F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("kept_in").alias("kept_in"))
-            .drop("island"))
+                 F.min("start").alias("start"), F.max("stop").alias("stop"), F.min("kept_in").alias("kept_in"),
+                 (F.max("upto") - F.min("words")).alias("n_words"))
+            .where(F.col("n_words") >= min_stretch).drop("island", "n_words"))
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the ranges of ``spans`` cut out of the text; documents without a range are unchanged."""
-    cut = (spans.groupBy(F.col("doc_id").alias("__id")).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__cut")))
-    text = F.col(text_col)
-    begins = F.concat(F.array(F.lit(0)), F.col("__cut.stop"))
-    ends = F.concat(F.col("__cut.start"), F.array(F.length(text)))
+    """``docs`` with the ranges of ``spans`` cut out of the text; rows without a range are
+    unchanged, also those that share a doc_id with a row that has one."""
+    own = [f"__cut{i}" for i in range(3)]
+    while set(own) & set(docs.columns):
+        own = [c + "_" for c in own]
+    key, digest, ranges = own
+    cut = (spans.groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(digest))
+           .agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias(ranges)))
+    text = F.col(f"`{text_col}`")
+    begins = F.concat(F.array(F.lit(0)), F.col(f"{ranges}.stop"))
+    ends = F.concat(F.col(f"{ranges}.start"), F.array(F.length(text)))
     kept = F.array_join(F.transform(F.arrays_zip(begins.alias("a"), ends.alias("z")),
                                     lambda g: text.substr(g["a"] + 1, g["z"] - g["a"])), "")
-    return (docs.join(cut, F.col(id_col) == F.col("__id"), "left")
-            .withColumn(text_col, F.when(F.col("__cut").isNull(), text).otherwise(kept)).select(*docs.columns))
+    same = (F.col(f"`{id_col}`") == F.col(key)) & (F.xxhash64(text) == F.col(digest))
+    return (docs.join(cut, same, "left").withColumn(text_col, F.when(F.col(ranges).isNull(), text).otherwise(kept))
+            .select(*(F.col(f"`{c}`") for c in docs.columns)))

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -22,7 +23,8 @@ def sentences(text):
     return [(s[0][0], s[-1][1], tuple(fold(x[2]) for x in s)) for s in out]
 
 
-def brute(rows, k=2, least=25):
+def brute(rows, k=2, least=25, stretch=0):
+    """Ranges per text; ``stretch``: the least number of words in a range."""
     where = {}
     runs = []
     for n, (i, t) in enumerate(rows):
@@ -42,21 +44,23 @@ def brute(rows, k=2, least=25):
         first = min(x[0] for x in where[w])
         again = any(x[1] == n and x[2] < j for x in where[w])
         if i > first or again:
-            out.setdefault(i, set()).add((j, a, z, first, last))
+            out.setdefault((i, n), set()).add((j, a, z, first, last))
     result = []
-    for i, hits in out.items():
+    for (i, n), hits in out.items():
         isl = []
         for j, a, z, f, last in sorted(hits):
             if isl and j <= isl[-1][1] + 1:
                 isl[-1] = [isl[-1][0], max(isl[-1][1], last), min(isl[-1][2], a), max(isl[-1][3], z), min(isl[-1][4], f)]
             else:
                 isl.append([j, last, a, z, f])
-        result += [(i, *x) for x in isl]
-    return sorted(result)
+        s = sentences(rows[n][1])
+        result += [(i, *x) for x in isl if sum(len(q[2]) for q in s[x[0]:x[1] + 1]) >= stretch]
+    return sorted(set(result))
 
 
 def run(spark, rows, **kw):
-    return sorted(tuple(r) for r in repeated_spans(docs_frame(spark, rows), **kw).collect())
+    spans = repeated_spans(docs_frame(spark, rows), **{"min_words": 25, "min_stretch": 0, **kw})
+    return sorted(tuple(r) for r in spans.drop("text_hash").collect())
 
 
 def passages(seed=4):
@@ -73,6 +77,40 @@ def test_brute_force(spark):
     assert len(want) > 40
     assert run(spark, rows) == want
     assert run(spark, rows, k=3, min_words=5) == brute(rows, 3, 5)
+    for stretch in (12, 25, 40):
+        assert run(spark, rows, min_words=8, min_stretch=stretch) == brute(rows, 2, 8, stretch)
+
+
+def test_short_repeats_are_spared_and_long_ones_found(spark):
+    """A repeated line stays; a passage of the same sentences in a row goes, wherever the runs begin."""
+    rng = random.Random(8)
+    say = lambda n: words(rng, n, 9000).capitalize() + ". "
+    line = say(9) + say(10)  # 19 words: two short sentences
+    passage = say(6) + say(7) + say(21) + say(5) + say(14)
+    rows = [(i, say(12) + (line if i % 2 else passage) + say(11)) for i in range(20)]
+    got = run(spark, rows, min_words=8, min_stretch=25)
+    assert got == brute(rows, 2, 8, 25) and {r[0] for r in got} == set(range(2, 20, 2))
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    rng = random.Random(9)
+    say = lambda n: words(rng, n, 9000).capitalize() + ". "
+    p = say(15) + say(20) + say(18)
+    clean = say(12) + say(14) + say(13) + say(16)
+    rows = [(1, p + say(9)), (2, say(8) + p), (2, clean), (2, None), (2, clean), (3, p)]
+    df = docs_frame(spark, rows)
+    spans = repeated_spans(df)
+    assert sorted(tuple(r) for r in spans.drop("text_hash").collect()) == brute(rows, 2, 8, 25)
+    got = sorted((r.doc_id, r.text) for r in remove_spans(df.where("text is not null"), spans).collect())
+    left = rows[1][1][:rows[1][1].index(p)] + rows[1][1][rows[1][1].index(p) + len(p.rstrip()):]
+    assert got == sorted([(1, rows[0][1]), (2, left), (2, clean), (2, clean), (3, p[len(p.rstrip()):])])
+
+
+def test_removal_minds_no_column_names(spark):
+    rows = [(1, "a"), (2, None)]
+    df = docs_frame(spark, rows).withColumnRenamed("spans", "__cut0").withColumnRenamed("ids", "__id")
+    out = remove_spans(df, repeated_spans(df))
+    assert out.columns == df.columns and out.count() == 2
 
 
 def test_awkward_rows(spark):
@@ -90,7 +128,7 @@ def test_removal(spark):
     df = docs_frame(spark, rows)
     spans = repeated_spans(df)
     cut = {}
-    for i, _, _, a, z, _ in brute(rows):
+    for i, _, _, a, z, _ in brute(rows, 2, 8, 25):
         cut.setdefault(i, []).append((a, z))
     out = remove_spans(df, spans)
     assert out.columns == df.columns
@@ -104,4 +142,15 @@ def test_removal(spark):
 def test_query(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(sf + "/documents.parquet").select("doc_id", "text").collect()]
-    assert sorted(tuple(r) for r in Q.op5_sentence_spans(spark, sf).collect()) == brute(rows)
+    ranges, want = brute(rows, 2, 8, 25), []
+    cut = {}
+    for r in ranges:
+        cut.setdefault(r[0], []).append(r[3:5])
+    for r in ranges:
+        t = dict(rows)[r[0]]
+        for a, z in sorted(cut[r[0]], reverse=True):
+            t = t[:a] + t[z:]
+        want.append((*r, len(t), hashlib.sha256(t.encode()).hexdigest()))
+    got = Q.op5_sentence_spans(spark, sf)
+    assert got.columns == ["doc_id", "first_sentence", "last_sentence", "start", "stop", "kept_in", "chars_left", "text_sha256"]
+    assert sorted(map(tuple, got.collect())) == sorted(want) and len(want) > 10
