@@ -35,7 +35,7 @@ from fieldloom.llm.common import Memo, binary_slices, byte_set, gather, on_execu
 # Fixed value: the split pattern of byte-level pre-tokenisation.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 BLOCK_BYTES = 1 << 20
-KNOWN_BYTES = 6 << 20
+KNOWN_BYTES = 4 << 20
 
 
 def byte_letters() -> dict[str, int]:
