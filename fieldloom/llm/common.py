@@ -36,6 +36,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while taken & {n.lower() for n in names}:
+        names = tuple(n + "_" for n in names)
+    return list(names)
+
+
 _shipped: set[str] = set()
 
 

@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from fieldloom.llm.common import free_names
+
 # The three base patterns; kind -> (pattern, value group, least characters of the value).
 BASE = {
     "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 6),
@@ -112,11 +114,13 @@ def span_lists(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end", "base"))).alias("spans")))
 
 
-def _with_lists(docs: DataFrame, columns: list[Column], id_col: str, text_col: str, scope: int) -> DataFrame:
-    lists = span_lists(docs, id_col, text_col, scope).toDF("__id", "__hash", "__spans")
-    own = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return (docs.select(*columns, F.col(id_col).alias("__own"), own.alias("__text"))
-            .join(lists, F.col("__own").eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left"))
+def _with_lists(docs: DataFrame, columns: list[Column], id_col: str, text_col: str, scope: int) -> tuple[DataFrame, str]:
+    """``columns`` of ``docs`` with the span list of each row, and the name of that column."""
+    key, digest, spans, own_key, own_digest = free_names(docs, "__id", "__hash", "__spans", "__own", "__text")
+    lists = span_lists(docs, id_col, text_col, scope).toDF(key, digest, spans)
+    own = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    return (docs.select(*columns, F.col(f"`{id_col}`").alias(own_key), own.alias(own_digest))
+            .join(lists, F.col(own_key).eqNullSafe(F.col(key)) & (F.col(own_digest) == F.col(digest)), "left")), spans
 
 
 def _text(spans: Column) -> Column:
@@ -126,8 +130,9 @@ def _text(spans: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """One row per input row: ``doc_id``, the count of each base kind, and the base
     and all spans as ``kind:start:end`` lists."""
-    spans = F.coalesce(F.col("__spans"), F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,base:boolean>>"))
-    out = _with_lists(docs, [F.col(id_col).alias("doc_id")], id_col, text_col, scope).select("doc_id", spans.alias("s"))
+    out, name = _with_lists(docs, [F.col(f"`{id_col}`").alias("doc_id")], id_col, text_col, scope)
+    spans = F.coalesce(F.col(name), F.array().cast("array<struct<start:bigint,rank:int,kind:string,end:bigint,base:boolean>>"))
+    out = out.select("doc_id", spans.alias("s"))
 
     def count(kind: str) -> Column:
         return F.size(F.filter("s", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -137,16 +142,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every reported span of the text replaced by ``mark``; spans
     that overlap or touch are replaced as one.  Other texts are unchanged."""
-    text = F.col(text_col)
+    text = F.col(f"`{text_col}`")
+    out, spans = _with_lists(docs, [F.col(f"`{c}`") for c in docs.columns], id_col, text_col, scope)
+    state_col, = free_names(out, "__state")
     begin = F.struct(F.array().cast("array<struct<a:bigint,z:bigint>>").alias("gaps"), F.lit(0).cast("long").alias("to"))
     # stretches of text between spans, in one pass over the ordered spans
-    state = F.aggregate("__spans", begin, lambda s, x: F.struct(
+    state = F.aggregate(spans, begin, lambda s, x: F.struct(
         F.when(x["start"] > s["to"], F.concat(s["gaps"], F.array(F.struct(s["to"].alias("a"), x["start"].alias("z")))))
         .when(F.size(s["gaps"]) == 0, F.array(F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("z"))))
         .otherwise(s["gaps"]).alias("gaps"),
         F.greatest(s["to"], x["end"]).alias("to")))
-    out = _with_lists(docs, [F.col(f"`{c}`") for c in docs.columns], id_col, text_col, scope).withColumn("__state", state)
-    kept = F.transform(F.col("__state.gaps"), lambda g: text.substr((g["a"] + 1).cast("int"), (g["z"] - g["a"]).cast("int")))
-    rest = text.substr((F.col("__state.to") + 1).cast("int"), F.length(text))
+    out = out.withColumn(state_col, state)
+    kept = F.transform(F.col(f"{state_col}.gaps"), lambda g: text.substr((g["a"] + 1).cast("int"), (g["z"] - g["a"]).cast("int")))
+    rest = text.substr((F.col(f"{state_col}.to") + 1).cast("int"), F.length(text))
     new = F.concat(F.array_join(kept, mark), F.lit(mark), rest)
-    return out.withColumn(text_col, F.when(F.col("__spans").isNull(), text).otherwise(new)).select(*docs.columns)
+    return out.withColumn(text_col, F.when(F.col(spans).isNull(), text).otherwise(new)).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -168,6 +168,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] = ("
     """The ``keep`` columns of each row with ``score``, ``n_sentences`` and
     ``offending``: the noisy-or score and the sentences (character spans) whose own
     score reaches ``OFFENDING``.  Kept columns must not have these names."""
+    clash = {c.lower() for c in keep} & {"score", "n_sentences", "offending"}
+    if clash:
+        raise ValueError(f"kept columns have the names of outputs: {sorted(clash)}")
     on_executors(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).alias("__text"))

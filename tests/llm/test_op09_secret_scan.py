@@ -112,3 +112,13 @@ def test_query(spark):
         want[r.doc_id] = (*(sum(x[1] == k for x in s) for k in range(3)), hashlib.sha256(text_of(base).encode()).hexdigest(), text_of(s))
     got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in Q.op9_secret_links(spark, sf).collect()}
     assert got == want and any(w[-1] for w in want.values())
+
+
+def test_redaction_minds_no_column_names(spark):
+    names = ["__own", "__text", "__id", "__hash", "__spans", "__state", "__before"]
+    row = (1, "password=abcdefgh and more", *range(len(names)))
+    df = spark.createDataFrame([row], "doc_id long, text string, " + ", ".join(f"`{n}` long" for n in names))
+    out = redact(df)
+    assert out.columns == df.columns
+    assert tuple(out.first()) == (1, "[SECRET] and more", *range(len(names)))
+    assert scan(df).first().n_assign == 1
