@@ -17,7 +17,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import stored
+from fieldloom.llm.common import free_names, stored
 from fieldloom.llm.pair_bpe import decode, encode
 from fieldloom.llm.secret_scan import redact
 from fieldloom.llm.spaced_seeds import decontaminate
@@ -48,8 +48,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def blot_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans (9): reported spans are replaced; ``n_chars`` follows the text."""
-    out = redact(docs.withColumn("__before", F.length("text")))
-    changed = F.length("text") != F.col("__before")
+    before, = free_names(docs, "__before")
+    out = redact(docs.withColumn(before, F.length("text")))
+    changed = F.length("text") != F.col(before)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
