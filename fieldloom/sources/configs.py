@@ -24,11 +24,15 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("site string, field string, begin string, end string").json(path)
 
 
+def _json_file(spark: SparkSession, path: str):
+    """One small JSON file, read by Spark wherever it lies."""
+    return json.loads(spark.read.option("wholetext", True).text(path).first()["value"])
+
+
 def load_synonyms(spark: SparkSession, path: str) -> DataFrame:
     """Synonym configuration ``{name: {references: ["canonical: a, b"], parameters: {threshold}}}``
     -> ``(field, canonical, synonym, ref_ix, syn_ix, threshold)``."""
-    with open(path, encoding="utf-8") as fh:
-        conf = json.load(fh)
+    conf = _json_file(spark, path)
     rows = []
     for name, spec in conf.items():
         thr = float(spec.get("parameters", {}).get("threshold", "0.9"))
@@ -38,11 +42,10 @@ def load_synonyms(spark: SparkSession, path: str) -> DataFrame:
                                        "threshold double")
 
 
-def load_normalize_config(path: str) -> dict:
+def load_normalize_config(spark: SparkSession, path: str) -> dict:
     """Normaliser configuration ``{field: {data_type, range?, function}}`` in
     the shape of ``config.NORMALIZE_CONFIG``."""
-    with open(path, encoding="utf-8") as fh:
-        conf = json.load(fh)
+    conf = _json_file(spark, path)
     out = {}
     for field, spec in conf.items():
         entry = {"data_type": spec.get("data_type"), "function": spec["function"]}

@@ -48,6 +48,20 @@ def test_vocabulary_loader(spark):
     assert got == ["boston", "new york"]
 
 
+def test_configuration_loaders(spark):
+    from fieldloom.sources import configs
+    d = tempfile.mkdtemp(prefix="fl-conf-")
+    with open(os.path.join(d, "n.json"), "w") as fh:
+        json.dump({"age": {"data_type": "int", "function": "clean_age", "range": {"lower_bound": 18, "upper_bound": 60}},
+                   "title": {"data_type": "string", "function": "identity"}}, fh, indent=1)
+    with open(os.path.join(d, "s.json"), "w") as fh:
+        json.dump({"eye_color": {"references": ["blue: azure", "green"], "parameters": {"threshold": "0.90"}}}, fh, indent=1)
+    conf = configs.load_normalize_config(spark, os.path.join(d, "n.json"))
+    assert conf == {"age": {"data_type": "int", "function": "clean_age", "range": (18, 60)}, "title": {"data_type": "string", "function": "identity"}}
+    rows = configs.load_synonyms(spark, os.path.join(d, "s.json")).collect()
+    assert {(r.field, r.canonical, r.synonym, r.threshold) for r in rows} >= {("eye_color", "blue", "azure", 0.9), ("eye_color", "green", "green", 0.9)}
+
+
 def test_site_fields_from_jsonl_shape(spark):
     from fieldloom.operators.mentions import site_field_mentions
     df = spark.createDataFrame([("d1", ["25", "26"], None)], "doc_id string, `inferlink_age` array<string>, `inferlink_name` string")
