@@ -51,8 +51,7 @@ def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranges that are removed, each with what is left of its text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     spans = stored(repeated_spans(docs), "spans")
-    touched = spans.select("doc_id", "text_hash").distinct()
-    left = (remove_spans(docs.join(touched, ["doc_id", "text_hash"], "left_semi"), spans)
+    left = (remove_spans(docs, spans, only_cut=True)
             .select("doc_id", "text_hash", F.length("text").cast("long").alias("chars_left"), F.sha2("text", 256).alias("text_sha256")).distinct())
     return spans.join(left, ["doc_id", "text_hash"], "left").drop("text_hash")
 

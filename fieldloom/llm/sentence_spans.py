@@ -125,9 +125,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             .where(F.col("n_words") >= min_stretch).drop("island", "n_words"))
 
 
-def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text", only_cut: bool = False) -> DataFrame:
     """``docs`` with the ranges of ``spans`` cut out of the text; rows without a range are
-    unchanged, also those that share a doc_id with a row that has one."""
+    unchanged, also those that share a doc_id with a row that has one (``only_cut``: left out)."""
     own = [f"__cut{i}" for i in range(3)]
     while set(own) & set(docs.columns):
         own = [c + "_" for c in own]
@@ -140,5 +140,6 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     kept = F.array_join(F.transform(F.arrays_zip(begins.alias("a"), ends.alias("z")),
                                     lambda g: text.substr(g["a"] + 1, g["z"] - g["a"])), "")
     same = (F.col(f"`{id_col}`") == F.col(key)) & (F.xxhash64(text) == F.col(digest))
-    return (docs.join(cut, same, "left").withColumn(text_col, F.when(F.col(ranges).isNull(), text).otherwise(kept))
+    # the ranges grow with the corpus, so they are not broadcast at any size
+    return (docs.join(cut.hint("merge"), same, "inner" if only_cut else "left").withColumn(text_col, F.when(F.col(ranges).isNull(), text).otherwise(kept))
             .select(*(F.col(f"`{c}`") for c in docs.columns)))
