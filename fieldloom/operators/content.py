@@ -147,16 +147,22 @@ def own_contents(html, tags: str) -> "F.Column":
         return let(ordered, lambda o: F.zip_with(o, last(o), lambda t, m: F.struct(
             F.when(t["d"] > 0, (m % big).cast("int") - 1).otherwise(-1).alias("owner"), t["i"].alias("i"))))
 
-    def contents(f):
+    def nested(part, owned):
         """Each element's pieces lie side by side once sorted by owner."""
-        ranked = F.array_sort(F.filter(f["s"], lambda x: x["owner"] >= 0))
+        ranked = F.array_sort(F.filter(owned, lambda x: x["owner"] >= 0))
 
         def joined(x):
             begin = F.filter(F.transform(x, lambda e, j: F.when((j == 0) | (F.get(x, j - 1)["owner"] != e["owner"]), j)), lambda j: j.isNotNull())
             return let(begin, lambda g: F.transform(g, lambda j, k: F.array_join(F.transform(
-                F.slice(x, j + 1, F.coalesce(F.get(g, k + 1), F.size(x)) - j), lambda e: F.get(f["part"], e["i"] + 1)), " ")))
+                F.slice(x, j + 1, F.coalesce(F.get(g, k + 1), F.size(x)) - j), lambda e: F.get(part, e["i"] + 1)), " ")))
         return let(ranked, joined)
-    return let(F.struct(F.split(html, rx, -1).alias("part"), let(opens, owners).alias("s")), contents)
+
+    def contents(f):
+        """Where opening and closing tags take turns (most pages), every second piece is an element."""
+        turns = (F.size(f["opens"]) % 2 == 0) & (F.size(F.filter(f["opens"], lambda o, i: o != (i % 2 == 0))) == 0)
+        return F.when(turns, F.filter(f["part"], lambda p, i: i % 2 == 1)).otherwise(
+            let(let(f["opens"], owners), lambda s: nested(f["part"], s)))
+    return let(F.struct(F.split(html, rx, -1).alias("part"), opens.alias("opens")), contents)
 
 
 def _items(html, tag: str) -> "F.Column":
