@@ -5,8 +5,7 @@ sequence.  An index maps every mergeable pair to all its positions.  Active
 ranks are taken from a heap in ascending order; a rank's pair is merged at all
 its positions, left to right, and only the lists of the pairs that appear
 beside a merge are updated.  Texts are cut into chunks of whole pre-tokens; those
-that the worker process met before, in this partition or another, are looked up.
-The vocabulary is a parameter (a tokenizer file of the ``tokenizers`` library); it
+that the partition met before are looked up.  The vocabulary is a parameter (a tokenizer file of the ``tokenizers`` library); it
 is fixed in size and broadcast.
 
 Whole texts are encoded.  Memory is bounded by a block of ``BLOCK_BYTES`` of
@@ -220,12 +219,6 @@ def _vocabulary(text: str) -> Vocabulary:
     return Vocabulary(text)
 
 
-@functools.lru_cache(maxsize=1)
-def _encoder(text: str) -> Encoder:
-    """Kept by the worker process: later tasks find the chunks of earlier ones."""
-    return Encoder(_vocabulary(text))
-
-
 def _with_column(df: DataFrame, source: str, target: str, ddl: str, fill, keep: list[str] | None) -> DataFrame:
     """Add ``target`` made from column ``source``, block by block, to the columns ``keep`` (default: all)."""
     on_executors(df.sparkSession)
@@ -251,7 +244,7 @@ def encode(df: DataFrame, vocabulary_path: str, text_col: str = "text", ids_col:
         text = df.sparkSession.sparkContext.broadcast(f.read())
 
     def fill():
-        enc = _encoder(text.value)
+        enc = Encoder(_vocabulary(text.value))  # of this task alone: a kept one would weigh on later stages
 
         def make(column):
             for i, data, bounds in text_pieces(column, BLOCK_BYTES):
