@@ -14,7 +14,7 @@ from fieldloom.operators.canonical import parse_references
 def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """A3: a JSON array of strings -> ``vocab(entry)`` lower-cased, distinct.
     The file is read whole by Spark (``wholetext``) and exploded there."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return (raw.select(F.explode(F.from_json("value", "array<string>")).alias("entry"))
             .select(F.lower("entry").alias("entry")).where(F.col("entry").isNotNull()).distinct())
 
@@ -26,7 +26,7 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def _json_file(spark: SparkSession, path: str):
     """One small JSON file, read by Spark wherever it lies."""
-    return json.loads(spark.read.option("wholetext", True).text(path).first()["value"])
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def load_synonyms(spark: SparkSession, path: str) -> DataFrame:

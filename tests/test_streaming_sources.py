@@ -43,7 +43,7 @@ def test_vocabulary_loader(spark):
     d = tempfile.mkdtemp(prefix="fl-voc-")
     p = os.path.join(d, "v.json")
     with open(p, "w") as fh:
-        json.dump(["Boston", "new york", "boston"], fh)
+        json.dump(["Boston", "new york", "boston"], fh, indent=1)  # over several lines
     got = sorted(r.entry for r in load_vocabulary(spark, p).collect())
     assert got == ["boston", "new york"]
 
