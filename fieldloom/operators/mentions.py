@@ -48,6 +48,19 @@ def ngrams(tokens, n: int) -> "F.Column":
     return F.filter(F.concat(*parts), lambda s: s["text"].isNotNull())
 
 
+def token_places(df: DataFrame, key_cols, tokens_col: str, n: int, context: int = 0) -> DataFrame:
+    """``(*keys, start, t0 .. t<n+context-1>, b1 .. b<context>)``: a row per token, with those that
+    follow it and the ``context`` ones before it (null beyond the ends).  Shifted arrays are
+    zipped, so there is one linear pass."""
+    t = F.col(tokens_col)
+    after = [t.alias("t0")] + [F.slice(t, k + 1, F.greatest(F.size(t) - k, F.lit(0))).alias(f"t{k}") for k in range(1, n + context)]
+    before = [F.concat(F.array_repeat(F.lit(None).cast("string"), k), F.slice(t, 1, F.greatest(F.size(t) - k, F.lit(0)))).alias(f"b{k}") for k in range(1, context + 1)]
+    names = [f"t{k}" for k in range(n + context)] + [f"b{k}" for k in range(1, context + 1)]
+    zipped = F.arrays_zip(*after, *before)
+    return (df.select(*key_cols, F.posexplode(zipped).alias("start", "__p"))
+            .select(*key_cols, "start", *(F.col(f"__p.{c}").alias(c) for c in names)).where(F.col("t0").isNotNull()))
+
+
 def vocabularies(tables: dict) -> DataFrame:
     """One vocabulary ``(field, entry, n, ...)`` from ``{field: (table with entry, n)}``; columns
     that only some of the tables have are null in the others."""
@@ -81,17 +94,29 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
     n-grams of up to that many tokens only.
 
     With ``context`` > 0 each mention gets ``context``: the lower-cased tokens up to
-    that many places before and after it, itself included, cut from its row's token
-    array after the join (so only rows with a mention ever hold it).
+    that many places before and after it, itself included.  Every place carries just the
+    tokens that it may need, never its row's token array.
+
+    An n-gram is put together only where a token's first word is that of an entry.
     """
     key_cols = list(key_cols)
-    row = [F.col(tokens_col).alias("__tokens")] if context else []
-    g = (df.select(*key_cols, *row, F.explode(ngrams(tokens_col, n)).alias("g"))
-         .select(*key_cols, *(["__tokens"] if context else []), F.col("g.start").alias("start"), (F.col("g.start") + F.col("g.k")).alias("end"),
-                 F.col("g.k").alias("__k"), F.col("g.text").alias("text"), F.lower(F.col("g.text")).alias("value")))
+    vocab = vocab.withColumnRenamed("entry", "value")
     if prefilter:
-        g = g.where(F.col("value").rlike(prefilter))
-    v = bounded_broadcast(vocab.withColumnRenamed("entry", "value"), max_broadcast_rows)
+        vocab = vocab.where(F.col("value").rlike(prefilter))  # an n-gram found equals its entry
+    places = token_places(df, key_cols, tokens_col, n, context)
+    word = lambda c: F.substring_index(c, " ", 1)
+    if n > 1:  # only a place whose first word begins an entry can begin a mention
+        firsts = bounded_broadcast(vocab.select(word(F.col("value")).alias("__w")), max_broadcast_rows)
+        places = places.withColumn("__w", word(F.lower("t0"))).join(firsts, "__w", "left_semi").drop("__w")
+    around = [f"b{i}" for i in range(context, 0, -1)] + [f"t{i}" for i in range(n + context)] if context else []
+    grams, gram = [], F.col("t0")
+    for k in range(1, n + 1):
+        gram = gram if k == 1 else F.concat(gram, F.lit(" "), F.col(f"t{k - 1}"))
+        grams.append(F.struct(F.lit(k).alias("k"), gram.alias("text")))
+    g = (places.select(*key_cols, *around, "start", F.explode(F.array(*grams)).alias("g"))
+         .select(*key_cols, *around, "start", (F.col("start") + F.col("g.k")).alias("end"),
+                 F.col("g.k").alias("__k"), F.col("g.text").alias("text"), F.lower(F.col("g.text")).alias("value")))
+    v = bounded_broadcast(vocab, max_broadcast_rows)
     own_field = "field" in v.columns
     v = v.withColumnRenamed("field", "__field").withColumnRenamed("n", "__n")
     out = g.join(v, "value", "inner")
@@ -100,8 +125,8 @@ def dictionary_mentions(df: DataFrame, key_cols, tokens_col: str, vocab: DataFra
     extra = [c for c in v.columns if c not in ("value", "__field", "__n")]
     name = F.col("__field") if own_field else F.lit(field)
     if context:
-        first = F.greatest(F.col("start") - context, F.lit(0))
-        out = out.withColumn("context", F.transform(F.slice("__tokens", first + 1, F.col("end") + context - first), F.lower))
+        cells = F.array(*(F.lower(c) for c in around))
+        out = out.withColumn("context", F.array_compact(F.slice(cells, 1, 2 * context + F.col("__k"))))
         extra.append("context")
     return out.select(*key_cols, name.alias("field"),
                       (F.lit(extractor) if extractor else F.concat(name, F.lit("_dictionary"))).alias("extractor"),
