@@ -596,11 +596,11 @@ def score_context(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          field="phrase", n=3, context=2)
     hashed = spans.select("doc_id", "start", "end", F.col("value").alias("field"), F.transform("context", hashed_token).alias("context"))
     e = T.load(spark, sf_dir, "embeddings").where(F.col("vec_id") < EMBEDDING_ROWS)
-    vecs = scoring.context_vectors(hashed, e.select(F.col("vec_id").cast("string").alias("token"), F.col("embedding").alias("vec")),
-                                   ["doc_id", "start", "end", "field"])
+    table = e.select(F.col("vec_id").cast("string").alias("token"), F.col("embedding").alias("vec"))
+    vectors = lambda rows, *more: scoring.context_vectors(rows, table, ["doc_id", "start", "end", "field", *more], max_context=2 * 2 + 3)
     labels = T.load(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    models = scoring.centroid_models(vecs.where("doc_id % 5 <> 0").join(labels, "doc_id"))
-    scored = scoring.score(vecs.where("doc_id % 5 = 0"), models)
+    models = scoring.centroid_models(vectors(hashed.where("doc_id % 5 <> 0").join(labels, "doc_id"), "label"))
+    scored = scoring.score(vectors(hashed.where("doc_id % 5 = 0")), models)
     return scored.select("doc_id", "start", "end", "field", F.round("probability", 6).alias("probability"))
 
 
