@@ -70,7 +70,7 @@ def order_tables_html(orders: DataFrame) -> DataFrame:
 
 @query
 def table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return content.extract_tables(order_tables_html(T.load(spark, sf_dir, "orders")), "o_orderkey", "html")
+    return content.extract_tables(order_tables_html(T.dealt(T.load(spark, sf_dir, "orders"))), "o_orderkey", "html")
 
 
 @query
@@ -78,7 +78,7 @@ def nested_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table inside a cell, and rows and cells without closing tags."""
     html = F.concat(F.lit("<table><tr><td>K"), F.col("o_orderkey").cast("string"), F.lit("<TABLE class=x><tr><td>in "), F.col("o_orderstatus"),
                     F.lit("<tr><td>second</table></td><th>after<tr><td>last "), F.col("o_orderpriority"), F.lit("</table>"))
-    return content.extract_tables(T.load(spark, sf_dir, "orders").select("o_orderkey", html.alias("html")), "o_orderkey")
+    return content.extract_tables(T.dealt(T.load(spark, sf_dir, "orders")).select("o_orderkey", html.alias("html")), "o_orderkey")
 
 
 @query
@@ -691,7 +691,7 @@ def landmark_site_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cell_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates from table cells, by two vocabularies in one pass and by a pattern, with their provenance."""
     from fieldloom.plans import pipeline
-    pages = order_tables_html(T.load(spark, sf_dir, "orders")).select(F.col("o_orderkey").alias("page_id"), F.lit("http://x.example.com/").alias("url"), "html")
+    pages = order_tables_html(T.dealt(T.load(spark, sf_dir, "orders"))).select(F.col("o_orderkey").alias("page_id"), F.lit("http://x.example.com/").alias("url"), "html")
     words = spark.createDataFrame([("urgent", 0.9), ("high", 0.8), ("low", 0.7), ("not specified", 0.6), ("medium", 0.1)], "entry string, weight double")
     labels = spark.createDataFrame([("key", 0.5), ("date", 0.4), ("not specified", 0.3)], "entry string, weight double")
     no_segments = spark.createDataFrame([], "page_id long, segment string, source string, text string")

@@ -36,6 +36,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if current < target else df
 
 
+def dealt(df: DataFrame, rows_per_task: int = 250_000) -> DataFrame:
+    """Rows with much work each in tasks of at most about ``rows_per_task`` rows, so that tasks
+    grow in number and not in length.  Parquet counts its rows from the footers."""
+    tasks = -(-df.count() // rows_per_task)
+    return df.repartition(tasks) if tasks > df.rdd.getNumPartitions() else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
