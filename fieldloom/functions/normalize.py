@@ -212,46 +212,57 @@ def _weight_spec(conf: dict, fix_stone: bool = False):
     """
     per_lb = config.LB_PER_KG_WEIGHT
 
+    def unit(e):
+        out = F.when(e["lb"].endswith("lb"), "lb")
+        for u in ("pound", "kg", "kilo", "kilogram"):
+            out = out.when(e["lb"].endswith(u), u)
+        return out
+
+    def rejected(e):
+        return (F.lit(not fix_stone) & e["x"].contains("st")) | e["value"].rlike(r"[^\x00-\x7F]")
+
     def kg(e):
-        x, lb = e["x"], e["lb"]
-
-        def after(chars):
-            return py_int_of_float(py_float(F.btrim(lb, F.lit(chars))))
-        bare = py_int_of_float(py_float(x))
-        kg_txt = (F.when(lb.endswith("lb"), after("lb") / per_lb)
-                  .when(lb.endswith("pound"), after("pound") / per_lb)
-                  .when(lb.endswith("kg"), after("kg").cast("double"))
-                  .when(lb.endswith("kilo"), after("kilo").cast("double"))
-                  .when(lb.endswith("kilogram"), after("kilogram").cast("double"))
-                  .when(bare < config.BARE_WEIGHT_KG_BELOW, bare.cast("double"))
-                  .otherwise(bare / per_lb))
+        n, u = e["int"], e["unit"]
+        pounds = u.isin("lb", "pound") | (u.isNull() & (n >= config.BARE_WEIGHT_KG_BELOW))
         if fix_stone:
-            halves = F.when(x.contains("stone"), F.split(x, "stone", -1)).otherwise(F.split(x, "st", -1))
-            left = F.btrim(F.btrim(F.btrim(F.get(halves, 1), F.lit("s")), F.lit("lb")), F.lit("pound"))
-            pounds = F.coalesce(py_float(left), F.lit(0.0))
-            kg_txt = F.when(x.contains("st"), py_int_of_float(py_float(F.get(halves, 0)) * 14 + pounds) / per_lb).otherwise(kg_txt)
-        rejected = e["value"].isNull() | (F.lit(not fix_stone) & x.contains("st")) | e["value"].rlike(r"[^\x00-\x7F]")
+            pounds = pounds | e["x"].contains("st")
         return F.when(e["kilogram"].isNotNull(),
                       F.get(F.filter(e["kilogram"], lambda v: (v == 0) | _in_range(v, conf)), 0).cast("double")
-                      ).when(~rejected, kg_txt)
-
-    def is_int(e):
-        lb = e["lb"]
-        return (e["kilogram"].isNull() & ~lb.endswith("lb") & ~lb.endswith("pound")
-                & (lb.endswith("kg") | lb.endswith("kilo") | lb.endswith("kilogram")))
+                      ).when(~rejected(e), F.when(pounds, n / per_lb).otherwise(n.cast("double")))
 
+    def kept(e):
+        k = e["kg"]
+        typed = F.when(e["whole"], F.lit(_of_type(conf, True))).otherwise(F.lit(_of_type(conf, False)))
+        return F.when((k == 0) | (_in_range(k, conf) & typed), k)
+
+    number = [("float", lambda e: py_float(F.when(e["unit"].isNull(), e["x"]).otherwise(F.btrim(e["lb"], e["unit"]))))]
+    if fix_stone:  # text before the mark, and between it and a second one
+        def half(e, i):
+            mark = lambda m: F.substring_index(e["x"], m, 1) if i == 0 else F.substring_index(F.substring_index(e["x"], m, 2), m, -1)
+            return F.when(e["x"].contains("stone"), mark("stone")).when(e["x"].contains("st"), mark("st"))
+        number = [
+            ("stones", lambda e: half(e, 0)),
+            ("pounds", lambda e: F.btrim(F.btrim(F.btrim(half(e, 1), F.lit("s")), F.lit("lb")), F.lit("pound"))),
+            ("more", lambda e: py_float(e["pounds"])),
+            ("first", lambda e: py_float(F.when(e["stones"].isNotNull(), e["stones"]).when(e["unit"].isNull(), e["x"])
+                                         .otherwise(F.btrim(e["lb"], e["unit"])))),
+            ("float", lambda e: F.when(e["stones"].isNull(), e["first"]).otherwise(e["first"] * 14 + F.coalesce(e["more"], F.lit(0.0)))),
+        ]
     steps = [
         ("x", lambda e: F.lower(py_strip(e["value"]))),
         ("lb", lambda e: F.btrim(e["x"], F.lit("s"))),
+        ("unit", unit),
+        *number,
+        ("int", lambda e: py_int_of_float(e["float"])),
         ("kg", kg),
-        ("txt", lambda e: F.when(is_int(e), e["kg"].cast("bigint").cast("string")).otherwise(py2_str(e["kg"]))),
+        ("whole", lambda e: e["kilogram"].isNull() & e["unit"].isin("kg", "kilo", "kilogram")),
+        ("kept", kept),
+        ("txt", lambda e: F.when(e["whole"], e["kept"].cast("bigint").cast("string")).otherwise(py2_str(e["kept"]))),
+        ("lb_txt", lambda e: py2_str(unit_conversion(e["kept"], "kg", "lb"))),
     ]
 
     def final(e):
-        k = e["kg"]
-        typed = F.when(is_int(e), F.lit(_of_type(conf, True))).otherwise(F.lit(_of_type(conf, False)))
-        ok = k.isNotNull() & ((k == 0) | (_in_range(k, conf) & typed))
-        return F.when(ok, fv(e["txt"], e["txt"], k, convert_weight_all_units(k, e["txt"])))
+        return F.when(e["kept"].isNotNull(), fv(e["txt"], e["txt"], e["kept"], F.concat_ws(" ", e["txt"], e["lb_txt"])))
     return steps, final
 
 
