@@ -162,40 +162,45 @@ def _height_spec(conf: dict, bare_height_cm: bool = False):
     inches count 0; text without a foot mark yields digits as text, which the
     number check rejects, or ``''`` when it has none, which passes) or a list
     of integer centimetres (first in range)."""
-    def cm(e):
-        dims = e["dims"]
-        feet = py_float(dims.getItem(0))
-        inches = F.coalesce(py_float(F.btrim(F.get(dims, 1), F.lit('"'))), F.lit(0.0))
-        return F.when(F.size(dims) >= 2, feet * config.CM_PER_FT + inches * config.CM_PER_IN)
-
     def first_list(e):
         return F.get(F.filter(e["centimeter"], lambda x: (x == 0) | _in_range(x, conf)), 0)
 
+    def foot(e):
+        return F.size(e["dims"]) >= 2
+
+    def kept(e):
+        cm, lst = e["cm"], e["lst"]
+        list_ok = (lst == 0) | F.lit(_of_type(conf, True))
+        foot_ok = (cm == 0) | (_in_range(cm, conf) & F.lit(_of_type(conf, False)))
+        out = F.when(e["centimeter"].isNotNull(), F.when(list_ok, lst.cast("double"))).when(foot(e), F.when(foot_ok, cm))
+        if bare_height_cm:
+            b = e["bare"].try_cast("bigint")
+            out = out.otherwise(F.when((b != 0) & _in_range(b, conf), b.cast("double")))
+        return out
+
+    def head(e):
+        whole = F.coalesce(e["lst"].cast("string"), e["bare"].try_cast("bigint").cast("string"))
+        return F.when(e["centimeter"].isNull() & foot(e), py2_str(e["kept"])).when(e["kept"].isNotNull(), whole)
+
     steps = [
         ("dims", lambda e: F.split(py_strip(F.split(py_strip(F.lower(py_strip(e["value"]))), "-", -1).getItem(0)),
                                    "'", -1)),
-        ("cm", cm),
+        ("feet", lambda e: F.when(foot(e), py_float(e["dims"].getItem(0)))),
+        ("inches", lambda e: F.when(foot(e), py_float(F.btrim(F.get(e["dims"], 1), F.lit('"'))))),
+        ("cm", lambda e: e["feet"] * config.CM_PER_FT + F.coalesce(e["inches"], F.lit(0.0)) * config.CM_PER_IN),
         ("lst", first_list),
-        ("cm_txt", lambda e: py2_str(e["cm"])),
-        ("bare", lambda e: numeric_only(e["value"])),
+        ("bare", lambda e: F.when(~foot(e), numeric_only(e["value"]))),
+        ("kept", kept),
+        ("head", head),
+        ("ft_txt", lambda e: py2_str(unit_conversion(e["kept"], "cm", "ft"))),
+        ("in_txt", lambda e: py2_str(unit_conversion(e["kept"], "cm", "in"))),
     ]
 
     def final(e):
-        c, lst = e["cm"], e["lst"]
-        foot_ok = c.isNotNull() & ((c == 0) | (_in_range(c, conf) & F.lit(_of_type(conf, False))))
-        foot_fv = F.when(foot_ok, fv(e["cm_txt"], e["cm_txt"], c, convert_height_all_units(c, e["cm_txt"])))
-        if bare_height_cm:
-            b = e["bare"].try_cast("bigint")
-            bare_fv = F.when((b != 0) & _in_range(b, conf),
-                             fv(b.cast("string"), b.cast("string"), b, convert_height_all_units(b, b.cast("string"))))
-        else:
-            bare_fv = F.when(e["bare"] == "", fv(F.lit(""), F.lit(""), None, F.lit(" None None")))
-        list_fv = F.when(lst.isNotNull() & ((lst == 0) | F.lit(_of_type(conf, True))), fv(lst.cast("string"), lst.cast("string"), lst,
-                                             convert_height_all_units(lst, lst.cast("string"))))
-        return (F.when(e["centimeter"].isNotNull(), list_fv)
-                .when(e["value"].isNull(), null_fv())
-                .when(F.size(e["dims"]) >= 2, foot_fv)
-                .otherwise(bare_fv))
+        out = F.when(e["kept"].isNotNull(), fv(e["head"], e["head"], e["kept"], F.concat_ws(" ", e["head"], e["ft_txt"], e["in_txt"])))
+        if not bare_height_cm:
+            out = out.when(e["centimeter"].isNull() & (e["bare"] == ""), fv(F.lit(""), F.lit(""), None, F.lit(" None None")))
+        return out
     return steps, final
 
 

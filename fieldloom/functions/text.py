@@ -97,20 +97,20 @@ def py_int_of_float(c) -> Column:
 def py2_str(c) -> Column:
     """Text of ``str(float)`` in Python 2: 12 significant digits (``%.12g``),
     trailing fraction zeros dropped (one kept after the point), ``.0``
-    appended to bare integers.  Pass a column or a cheap expression: ``c`` is
-    referenced more than once.  Plain decimals are fixed with ``rtrim``; only
-    the rare exponent form uses regular expressions."""
+    appended to bare integers; null for null.  Pass a column or a cheap expression: ``c`` is
+    referenced more than once.  From 1 to below 1000 the number rounded to 12 digits prints as
+    that text already; the formatter and regular expressions, which cost ten times
+    as much, are left to the rest."""
     c = col_of(c).cast("double")
-    g = F.format_string("%.12g", c)
-    frac = F.rtrim(g, F.lit("0"))
-    decimal = F.when(frac.endswith("."), F.concat(frac, F.lit("0"))).otherwise(frac)
-    expo = F.regexp_replace(F.regexp_replace(g, r"(\.[0-9]*?)0+e", "$1e"), r"\.e", "e")
-    return (F.when(F.isnan(c), F.lit("nan"))
-            .when(c == F.lit(float("inf")), F.lit("inf"))
-            .when(c == F.lit(float("-inf")), F.lit("-inf"))
-            .when(g.contains("e"), expo)
-            .when(g.contains("."), decimal)
-            .otherwise(F.concat(g, F.lit(".0"))))
+    size = F.abs(c)
+    near = F.when(size < 10, F.round(c, 11)).when(size < 100, F.round(c, 10)).otherwise(F.round(c, 9))
+    # no zeros at the end of the fraction, no bare point; ".0" after an integer
+    text = F.regexp_replace(F.format_string("%.12g", c), r"(?:\.0+|(\.[0-9]*?)0+)(e.*)?$", "$1$2")
+    text = F.regexp_replace(text, r"^(-?[0-9]+)$", "$1.0")
+    return (F.when((size >= 1) & (size < 1000), near.cast("string"))
+            .when(F.isnan(c), F.lit("nan"))
+            .when(size == F.lit(float("inf")), F.when(c > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when(c.isNotNull(), text))
 
 
 def collapse_ws(c, keep_edges: bool = True) -> Column:
