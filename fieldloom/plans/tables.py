@@ -14,6 +14,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Runtime SQL settings the plans rely on; applied to whatever session runs
 # them (a session built elsewhere does not carry ``session.DEFAULT_CONF``).
 RUNTIME_CONF = {"spark.sql.constraintPropagation.enabled": "false",
+                # The JVM never compiles a method of more than 8,000 bytes; a stage with one runs
+                # in smaller methods, operator by operator.
+                "spark.sql.codegen.hugeMethodLimit": "8000",
                 "spark.sql.adaptive.enabled": "true",
                 "spark.sql.adaptive.skewJoin.enabled": "true"}
 

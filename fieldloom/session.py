@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     # normalisers (planning time grows without bound); the plans here do not
     # need inferred filters.
     "spark.sql.constraintPropagation.enabled": "false",
+    # The JVM never compiles larger methods (see plans.tables).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

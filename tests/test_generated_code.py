@@ -16,7 +16,7 @@ def largest_method(spark, df):
     return max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text))
 
 
-@pytest.mark.parametrize("name", ["normalize_weight_stone", "normalize_height"])
+@pytest.mark.parametrize("name", ["normalize_weight_stone", "normalize_height", "normalize_weight"])
 def test_methods_are_compiled(spark, name):
     from fieldloom.plans.queries import QUERIES
     assert largest_method(spark, QUERIES[name](spark, SMALL)) < 8000
@@ -44,3 +44,10 @@ def test_py2_str_near_powers_of_ten(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
     got = [r.s for r in df.select("i", T.py2_str("x").alias("s")).orderBy("i").collect()]
     assert got == ["1.0", "1.0", "9.99999999999", "10.0", "100.0", "1000.0", "1000.0", "-12.5", "0.333333333333", "123456789012.0", None]
+
+
+def test_stages_with_large_methods_run_in_smaller_ones(spark):
+    from fieldloom.plans import tables as T
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    T.load(spark, SMALL, "region")
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
