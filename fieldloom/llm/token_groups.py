@@ -117,12 +117,20 @@ def _levels(scan: DataFrame, buckets: int) -> np.ndarray:
         part = (part.withColumn("task", F.expr(f"task div {FAN}")).groupBy("slice", "task")
                 .applyInPandas(add, "slice long, task long, counts binary"))
     out = np.zeros(buckets, dtype=np.uint8)
-    for r in part.toLocalIterator():
-        c = _unpack(bytes(r["counts"]))
-        out[r["slice"] * SLICE:r["slice"] * SLICE + len(c)] = np.minimum(255, np.round(8 * np.log2(1.0 + c)))
+    # one job, whatever the number of partitions: a row per slice, ``buckets`` bytes in all
+    for r in part.select("slice", "counts").mapInArrow(_logs, "slice long, level binary").collect():
+        level = np.frombuffer(zstandard.decompress(bytes(r["level"])), dtype=np.uint8)
+        out[r["slice"] * SLICE:r["slice"] * SLICE + len(level)] = level
     return out
 
 
+def _logs(batches):
+    schema = pa.schema([("slice", pa.int64()), ("level", pa.binary())])
+    for b in batches:
+        level = (np.minimum(255, np.round(8 * np.log2(1.0 + _unpack(x)))).astype(np.uint8) for x in b.column(1).to_pylist())
+        yield batch(schema, b.column(0), [zstandard.compress(x.tobytes(), 1) for x in level])
+
+
 POSTING = pa.schema([("token", pa.int64()), ("grp", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32()), ("rest", pa.int32())])
 POSTING_DDL = "token long, grp long, lo int, hi int, rest int"
 

@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldloom.llm.common import WORD_BYTES, Words, char_offsets, on_executors, sentence_starts, split_words, text_pieces
+from fieldloom.llm.common import (WORD_BYTES, Words, batch, char_offsets, on_executors, sentence_starts, split_words, stored,
+                                  text_pieces)
 
 DIM = 1 << 18
 STEM = 5  # bytes of a word's beginning
@@ -62,50 +63,66 @@ def _bags(batches):
                                              schema=schema)
 
 
-def fit(bags: list[tuple[int, bytes, bytes]], prior: tuple[float, float], rounds: int = 200, rate: float = 0.15,
-        decay: float = 1e-5) -> tuple[np.ndarray, float]:
+def _holders(batches):
+    """Per task, how many documents of each label hold each feature."""
+    schema = pa.schema([("feature", pa.int32()), ("clean", pa.int64()), ("toxic", pa.int64())])
+    held = np.zeros((2, DIM), dtype=np.int64)
+    for b in batches:
+        for y, f in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            held[y, np.unique(np.frombuffer(f.as_buffer(), np.int32))] += 1
+    some = np.flatnonzero(held.any(axis=0))
+    yield batch(schema, some.astype(np.int32), held[0, some], held[1, some])
+
+
+def _evidence(used):
+    """Label, count of sentences, and of each used feature its place among ``used`` and its sentence."""
+    schema = pa.schema([("toxic", pa.int32()), ("n", pa.int32()), ("code", pa.binary()), ("sentence", pa.binary())])
+
+    def run(batches):
+        place = np.full(DIM, -1, dtype=np.int32)
+        place[used.value] = np.arange(len(used.value))
+        for b in batches:
+            n, codes, sentences = [], [], []
+            for features, first in zip(b.column(1), b.column(2), strict=True):
+                code, first = place[np.frombuffer(features.as_buffer(), np.int32)], np.frombuffer(first.as_buffer(), np.int32)
+                at = np.flatnonzero(code >= 0)
+                n.append(len(first))
+                codes.append(code[at].tobytes())
+                sentences.append((np.searchsorted(first, at // 2, "right") - 1).astype(np.int32).tobytes())  # two features per word
+            yield batch(schema, b.column(0), n, codes, sentences)
+    return run
+
+
+def fit(bags: list[tuple[int, int, bytes, bytes]], used: np.ndarray, prior: tuple[float, float], rounds: int = 200,
+        rate: float = 0.15, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Non-negative weights and a bias that maximise the weighted noisy-or
     likelihood less ``decay`` times the sum of the weights (Adam, full batch)."""
-    bags = [b for b in bags if len(b[2])]
     y = np.array([b[0] for b in bags], dtype=bool)
-    if not y.any() or y.all():
-        return np.zeros(DIM, dtype=np.float32), -np.inf
-    feats = [np.frombuffer(b[1], np.int32) for b in bags]
-    firsts = [np.frombuffer(b[2], np.int32) for b in bags]
-    flat = np.concatenate(feats)
-    # evidence: features that toxic documents hold clearly more often; others tell nothing apart from chance
-    held = [np.bincount(np.concatenate([np.unique(f) for f, t in zip(feats, y, strict=True) if t == side]), minlength=DIM)
-            for side in (False, True)]
-    odds = ((held[1] + 0.5) / (y.sum() + 1)) / ((held[0] + 0.5) / ((~y).sum() + 1))
-    used = np.flatnonzero((held[1] >= LEAST) & (odds >= ODDS))
-    code = np.zeros(DIM, dtype=np.int64)
-    code[used] = np.arange(1, len(used) + 1)
-    flat = code[flat]
-    base = np.concatenate([[0], np.cumsum([len(f) for f in feats])])[:-1]
-    first = np.concatenate([2 * s + o for s, o in zip(firsts, base, strict=True)])
-    size = np.diff(np.r_[first, len(flat)])
-    doc = np.repeat(np.arange(len(bags)), [len(f) for f in firsts])
+    size = np.array([b[1] for b in bags], dtype=np.int64)
+    flat = np.frombuffer(b"".join(b[2] for b in bags), np.int32)
+    held = [len(b[3]) // 4 for b in bags]
+    sentence = np.frombuffer(b"".join(b[3] for b in bags), np.int32) + np.repeat(np.cumsum(size) - size, held)
+    doc = np.repeat(np.arange(len(bags)), size)
     weight = np.where(y, prior[1] / max(1, y.sum()), prior[0] / max(1, (~y).sum())) * len(y)
-    theta = np.zeros(len(used) + 2)  # 0: all other features, then the used ones, last the bias
+    theta = np.zeros(len(used) + 1)  # the used features, last the bias
     theta[-1] = -6.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
-        z = np.add.reduceat(theta[flat], first) + theta[-1]
+        z = np.bincount(sentence, theta[flat], minlength=len(doc)) + theta[-1]
         soft = np.logaddexp(0, z)
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
         s = np.bincount(doc, soft, minlength=len(bags))
         slope = np.where(y, -1 / np.expm1(np.clip(s, 1e-6, 50)), 1.0) * weight / len(y)
         g = slope[doc] * p
-        grad = np.bincount(flat, np.repeat(g, size), minlength=len(theta)).astype(float)
+        grad = np.bincount(flat, g[sentence], minlength=len(theta)).astype(float)
         grad[-1] += g.sum()
         grad[:-1] += decay
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad * grad
         theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         theta[:-1] = np.maximum(theta[:-1], 0)  # a sentence is evidence for, never against
-        theta[0] = 0.0
     out = np.zeros(DIM, dtype=np.float32)
-    out[used] = theta[1:-1]
+    out[used] = theta[:-1]
     return out, float(theta[-1])
 
 
@@ -158,10 +175,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
               .join(F.broadcast(picks[0].union(picks[1])), "doc_id").select("toxic", "text")
               .mapInArrow(_bags, "toxic int, features binary, first binary"))
-    bags = [(r[0], bytes(r[1]), bytes(r[2])) for r in sample.toLocalIterator()]
-    bags.sort()  # the fit must not depend on the order of tasks
+    bags = stored(sample, "bags").where("length(first) > 0")
+    size = {r["toxic"]: r["n"] for r in bags.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(size) < 2:
+        return np.zeros(DIM, dtype=np.float32), -np.inf
+    # evidence: features that toxic documents hold clearly more often; others tell nothing apart from chance
+    held = (bags.select("toxic", "features").mapInArrow(_holders, "feature int, clean long, toxic long")
+            .groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    odds = ((F.col("toxic") + 0.5) / (size[1] + 1)) / ((F.col("clean") + 0.5) / (size[0] + 1))
+    used = np.array(sorted(r[0] for r in held.where((F.col("toxic") >= LEAST) & (odds >= ODDS)).select("feature").collect()), dtype=np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(used)
+    evidence = bags.mapInArrow(_evidence(shared), "toxic int, n int, code binary, sentence binary").coalesce(8)
+    # the fit must not depend on the order of tasks
+    found = sorted((r[0], r[1], bytes(r[2]), bytes(r[3])) for r in evidence.toLocalIterator())
     total = sum(count.values())
-    return fit(bags, (count[0] / total, count[1] / total))
+    return fit(found, used, (count[0] / total, count[1] / total))
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], keep: list[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
